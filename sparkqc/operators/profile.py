@@ -16,9 +16,14 @@ from sparkqc.functions.stats import unbiased_kurt, unbiased_skew
 from sparkqc.operators.ranking import cumulative_sums
 
 
+def keys(col) -> list[str]:
+    """A column id may be one name or several (e.g. column and candidate transform)."""
+    return [col] if isinstance(col, str) else list(col)
+
+
 def missing_profile(long: DataFrame, col: str = "col", value: str = "v") -> DataFrame:
     """A1: ``(col, n_missing, prop_missing)``."""
-    return long.groupBy(col).agg(
+    return long.groupBy(*keys(col)).agg(
         F.count_if(F.col(value).isNull()).alias("n_missing"),
         (F.count_if(F.col(value).isNull()) / F.count(F.lit(1))).alias("prop_missing"),
     )
@@ -40,7 +45,7 @@ def rows_with_missing_wide(df: DataFrame, features: Sequence[str]) -> DataFrame:
 def moments(long: DataFrame, col: str = "col", value: str = "v") -> DataFrame:
     """A3 (+A5, A6): n, mean, sample/population std, min, max, bias-corrected skew and kurtosis."""
     v = F.col(value)
-    agg = long.groupBy(col).agg(
+    agg = long.groupBy(*keys(col)).agg(
         F.count(v).alias("n"),
         F.avg(v).alias("mean"),
         F.stddev_samp(v).alias("std_samp"),
@@ -58,12 +63,12 @@ def moments(long: DataFrame, col: str = "col", value: str = "v") -> DataFrame:
 
 def value_counts(long: DataFrame, col: str = "col", value: str = "v") -> DataFrame:
     """Distinct (col, v) with multiplicity; collapses ties before any ranking."""
-    return long.where(F.col(value).isNotNull()).groupBy(col, value).agg(F.count(F.lit(1)).alias("c"))
+    return long.where(F.col(value).isNotNull()).groupBy(*keys(col), value).agg(F.count(F.lit(1)).alias("c"))
 
 
 def ranked_values(long: DataFrame, col: str = "col", value: str = "v", strategy: str = "auto") -> DataFrame:
     """``(col, v, c, cum_before, n)``: each distinct value with the number of smaller values."""
-    return cumulative_sums(value_counts(long, col, value), [col], [value], weight="c",
+    return cumulative_sums(value_counts(long, col, value), keys(col), [value], weight="c",
                            out_before="cum_before", out_total="n", strategy=strategy)
 
 
@@ -89,7 +94,7 @@ def quantiles(long: DataFrame, probs: Sequence[float] = (0.25, 0.5, 0.75), col:
         aggs.append(F.max(F.when((lo <= k0) & (k0 < hi), F.col(value))).alias(f"_{nm}_a"))
         aggs.append(F.max(F.when((lo <= k1) & (k1 < hi), F.col(value))).alias(f"_{nm}_b"))
         aggs.append(F.first(h - k0).alias(f"_{nm}_t"))
-    out = r.groupBy(col).agg(F.first("n").alias("n"), *aggs)
+    out = r.groupBy(*keys(col)).agg(F.first("n").alias("n"), *aggs)
     for nm in names:
         a, b, t = F.col(f"_{nm}_a"), F.col(f"_{nm}_b"), F.col(f"_{nm}_t")
         out = out.withColumn(nm, F.when(t == 0, a).otherwise(a + (b - a) * t)).drop(f"_{nm}_a", f"_{nm}_b", f"_{nm}_t")
@@ -101,8 +106,8 @@ def approx_quantiles(long: DataFrame, probs: Sequence[float] = (0.25, 0.5, 0.75)
     """A4 switch for very large data: bounded-memory sketch (``percentile_approx``)."""
     names = list(names) if names else [_qname(p) for p in probs]
     arr = F.percentile_approx(value, list(probs), accuracy).alias("_q")
-    out = long.groupBy(col).agg(F.count(value).alias("n"), arr)
-    return out.select(col, "n", *[F.col("_q")[i].alias(nm) for i, nm in enumerate(names)]).drop("_q")
+    out = long.groupBy(*keys(col)).agg(F.count(value).alias("n"), arr)
+    return out.select(*keys(col), "n", *[F.col("_q")[i].alias(nm) for i, nm in enumerate(names)]).drop("_q")
 
 
 def class_counts(df: DataFrame, label: str = "y") -> DataFrame:

@@ -11,10 +11,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
+from sparkqc.functions import transforms as tfn
 from sparkqc.functions.stats import round6
-from sparkqc.operators import outliers, profile
+from sparkqc.operators import cluster, dedup, evaluate, features, missing, naive_bayes, normality, outliers, profile, split
+from sparkqc.operators import transforms as tops
+from sparkqc.operators.ranking import cumulative_sums
 from sparkqc.operators.shape import to_long
 from sparkqc.plans import fixtures as fx
+from sparkqc.sources.contract import name_ok
 
 LINEITEM_NUM = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
@@ -72,6 +76,270 @@ def q_outlier_report_gaussian(spark, sf):
     return finish(outliers.outlier_report(lg, outliers.gaussian_bounds(lg)))
 
 
+# ------------------------------------------------------------- missing values
+
+def q_rows_with_missing(spark, sf):
+    return profile.rows_with_missing(fx.holes_view(spark, sf), "vec_id", col="pos")
+
+
+def q_missingness_corr(spark, sf):
+    r = missing.missingness_corr(fx.holes_view(spark, sf), "vec_id", col="pos")
+    return finish(r.select(F.col("col_a").alias("pos_a"), F.col("col_b").alias("pos_b"), "r"))
+
+
+def q_impute_plan(spark, sf):
+    return finish(missing.impute_plan(fx.holes_view(spark, sf), "vec_id", col="pos"))
+
+
+def _impute_query(spark, sf, strategy):
+    h = fx.holes_view(spark, sf)
+    fit = missing.fit_simple_imputer(h, strategy, col="pos")
+    return finish(missing.impute_long(h, fit, col="pos").select("vec_id", "pos", "v"))
+
+
+def q_impute_mean(spark, sf):
+    return _impute_query(spark, sf, "mean")
+
+
+def q_impute_median(spark, sf):
+    return _impute_query(spark, sf, "median")
+
+
+def q_constant_columns(spark, sf):
+    return features.constant_columns(fx.holes_view(spark, sf), col="pos")
+
+
+# ---------------------------------------------------------------- normality
+
+def q_anderson_normal(spark, sf):
+    return finish(normality.anderson_normal(fx.long_view(spark, sf), col="pos"))
+
+
+def q_anderson_holes(spark, sf):
+    return finish(normality.anderson_normal(fx.holes_view(spark, sf), col="pos"))
+
+
+# ---------------------------------------------------------------- transforms
+
+def _totalprice(spark, sf):
+    return fx.table(spark, sf, "orders").select("o_orderkey", F.col("o_totalprice").alias("v"))
+
+
+def q_transform_log(spark, sf):
+    return finish(_totalprice(spark, sf).select("o_orderkey", tfn.log_t(F.col("v")).alias("v")))
+
+
+def q_transform_reciprocal(spark, sf):
+    return finish(_totalprice(spark, sf).select("o_orderkey", tfn.reciprocal_t(F.col("v")).alias("v")))
+
+
+def q_transform_sqrt(spark, sf):
+    return finish(_totalprice(spark, sf).select("o_orderkey", tfn.sqrt_t(F.col("v")).alias("v")))
+
+
+def q_transform_square(spark, sf):
+    c = fx.table(spark, sf, "customer")
+    return finish(c.select("c_custkey", tfn.square_t(F.col("c_acctbal")).alias("v")))
+
+
+def q_transform_yeo_johnson(spark, sf):
+    c = fx.table(spark, sf, "customer")
+    v = F.col("c_acctbal")
+    return finish(c.select("c_custkey", tfn.yeo_johnson_t(v, 0.0).alias("yj_0"), tfn.yeo_johnson_t(v, 0.5).alias("yj_05"),
+                           tfn.yeo_johnson_t(v, 2.0).alias("yj_2")))
+
+
+def skewed_view(spark, sf):
+    """Columns made skewed in known ways: exp (log fixes), shifted square (root fixes),
+    shifted reciprocal (reciprocal fixes), negative-valued exp (log impossible)."""
+    lg = fx.long_view(spark, sf)
+    v, pos = F.col("v"), F.col("pos")
+    m = pos % 4
+    sv = (F.when(m == 0, F.exp(F.lit(8.0) * v)).when(m == 1, (v + F.lit(0.6)) * (v + F.lit(0.6)))
+          .when(m == 2, F.lit(1.0) / (v + F.lit(0.6))).otherwise(F.exp(F.lit(4.0) * v) - F.lit(1.0)))
+    return lg.select("vec_id", "y", "pos", sv.alias("v"))
+
+
+CLOSED_FORM_TYPES = ("logarithmic", "reciprocal", "square-root", "square")
+
+
+def q_score_transforms(spark, sf):
+    return finish(tops.score_transforms(skewed_view(spark, sf), col="pos", types=CLOSED_FORM_TYPES))
+
+
+def q_pick_transform_alphabetical(spark, sf):
+    s = tops.score_transforms(skewed_view(spark, sf), col="pos", types=CLOSED_FORM_TYPES)
+    return finish(tops.pick_transform(s, "pos", "alphabetical"))
+
+
+def q_pick_transform_best(spark, sf):
+    s = tops.score_transforms(skewed_view(spark, sf), col="pos", types=CLOSED_FORM_TYPES)
+    return finish(tops.pick_transform(s, "pos", "best"))
+
+
+def q_fit_yeo_johnson(spark, sf):
+    return finish(tops.fit_yeo_johnson(skewed_view(spark, sf), "pos"))
+
+
+# ------------------------------------------------------------------ dedup
+
+EVENT_COLS = ["event_id", "user_id", "event_type", "value", "props"]
+
+
+def q_drop_duplicates(spark, sf):
+    return finish(dedup.drop_duplicates(fx.events_dup_view(spark, sf).select(*EVENT_COLS)))
+
+
+def q_duplicate_rows(spark, sf):
+    return finish(dedup.duplicate_rows(fx.events_dup_view(spark, sf).select(*EVENT_COLS)))
+
+
+def q_distinct_union(spark, sf):
+    a = fx.table(spark, sf, "events").select("user_id", "event_type")
+    b = fx.events_dup_view(spark, sf).select("user_id", "event_type")
+    return dedup.distinct_rows(dedup.union_rows(a, b))
+
+
+# ------------------------------------------------------------------ split
+
+def q_stratified_split(spark, sf):
+    w = fx.wide_view(spark, sf).select("vec_id", "y")
+    return split.stratified_split(w, "y", "vec_id", 0.2, 42)
+
+
+def q_stratified_folds(spark, sf):
+    w = fx.wide_view(spark, sf).select("vec_id", "y")
+    return split.stratified_folds(w, "y", "vec_id", 5, 42)
+
+
+def q_class_weights(spark, sf):
+    return finish(profile.class_counts(fx.wide_view(spark, sf).select("vec_id", "y"), "y"))
+
+
+def q_recode_label(spark, sf):
+    w = fx.wide_view(spark, sf).select("vec_id", F.when(F.col("y") == 1, 1).otherwise(-1).alias("raw_y"))
+    return features.recode_label(w.withColumn("y", F.col("raw_y")), "y")
+
+
+# ---------------------------------------------------------------- features
+
+def q_anova_f(spark, sf):
+    return finish(features.anova_f(fx.long_view(spark, sf), "y", col="pos").select("pos", "f"))
+
+
+def q_select_k_best(spark, sf):
+    a = features.anova_f(fx.long_view(spark, sf), "y", col="pos")
+    return finish(features.select_k_best(a, 10, "pos").select("pos", "f"))
+
+
+def q_standardise(spark, sf):
+    lg = fx.long_view(spark, sf)
+    return finish(features.apply_affine_long(lg, features.fit_standardiser(lg, "pos"), "pos").select("vec_id", "pos", "v"))
+
+
+def q_minmax(spark, sf):
+    lg = fx.long_view(spark, sf)
+    return finish(features.apply_affine_long(lg, features.fit_minmax(lg, "pos"), "pos").select("vec_id", "pos", "v"))
+
+
+def q_scale_split(spark, sf):
+    lg = skewed_view(spark, sf)
+    normal, _ = normality.normal_split(normality.anderson_normal(lg, "pos"), "pos")
+    fit = features.fit_scale_split(lg, normal, "pos")
+    return finish(features.apply_affine_long(lg, fit, "pos").select("vec_id", "pos", "v"))
+
+
+def q_kmeans_k1_cost(spark, sf):
+    return finish(cluster.k1_cost(fx.long_view(spark, sf), "pos"))
+
+
+def quantisation_curve(spark, sf):
+    """Per column, the sum of squared errors of an equal-width k-bucketing, k = 1..10
+    (a data-derived convex decreasing curve for the knee)."""
+    lg = fx.long_view(spark, sf)
+    rng = lg.groupBy("pos").agg(F.min("v").alias("_lo"), F.max("v").alias("_hi"))
+    ex = lg.join(rng, "pos").select("pos", "v", "_lo", "_hi", F.explode(F.sequence(F.lit(1), F.lit(10))).alias("k"))
+    b = F.least(F.floor((F.col("v") - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * F.col("k")), F.col("k") - 1)
+    sse = ex.withColumn("b", b).groupBy("pos", "k", "b").agg((F.var_pop("v") * F.count("v")).alias("sse"))
+    return sse.groupBy("pos", "k").agg(F.sum("sse").alias("wcss"))
+
+
+def q_knee(spark, sf):
+    k = cluster.knee(quantisation_curve(spark, sf), ["pos"], "k", "wcss")
+    return k.select("pos", F.col("knee").cast("bigint").alias("knee"))
+
+
+def q_cluster_dummies(spark, sf):
+    emb = fx.table(spark, sf, "embeddings").select("vec_id", "label")
+    k = emb.agg(F.max("label")).first()[0] + 1  # levels of the fitted model (one number)
+    return cluster.cluster_dummies(emb, "label", int(k), prefix="c").drop("label")
+
+
+def q_gaussian_nb_score(spark, sf):
+    lg = fx.long_view(spark, sf)
+    model, priors = naive_bayes.fit_gaussian_nb(lg, "y", "pos", "v", "vec_id")
+    return finish(naive_bayes.score_gaussian_nb(lg, model, priors, "vec_id", "pos", "v").select("vec_id", "pred"))
+
+
+# -------------------------------------------------------------- evaluation
+
+def q_confusion(spark, sf):
+    return evaluate.confusion(fx.preds_view(spark, sf))
+
+
+def q_mcc(spark, sf):
+    return finish(evaluate.mcc(fx.preds_view(spark, sf)))
+
+
+def q_macro_recall(spark, sf):
+    return finish(evaluate.macro_recall(fx.preds_view(spark, sf)))
+
+
+def q_classification_report(spark, sf):
+    return finish(evaluate.classification_report(fx.preds_view(spark, sf)))
+
+
+def q_cv_scores(spark, sf):
+    return finish(evaluate.cv_scores(fx.preds_view(spark, sf)))
+
+
+TRIAL_OUT = ["trial_id", "val_mcc", "val_recall", "train_val_mcc", "test_mcc", "train_val_recall", "test_recall"]
+
+
+def q_pareto_front(spark, sf):
+    return finish(evaluate.pareto_front(fx.trials_view(spark, sf), "val_mcc", "val_recall").select(*TRIAL_OUT))
+
+
+def q_drop_useless(spark, sf):
+    return finish(evaluate.drop_useless(fx.trials_view(spark, sf)).select(*TRIAL_OUT))
+
+
+def q_select_best(spark, sf):
+    t = evaluate.drop_useless(fx.trials_view(spark, sf))
+    return finish(evaluate.select_best(t).select(*TRIAL_OUT, "num_features", "clustering"))
+
+
+def q_leaderboard(spark, sf):
+    t = fx.trials_view(spark, sf).select("trial_id", "test_mcc")
+    r = cumulative_sums(t, [], [F.desc("test_mcc"), F.asc("trial_id")], out_before="_b", out_total="_n")
+    return finish(r.select("trial_id", "test_mcc", (F.col("_b") + 1).alias("rank")))
+
+
+# ------------------------------------------------------------- file checks
+
+def q_file_name_check(spark, sf):
+    n = fx.names_view(spark, sf)
+    return n.select("page_id", "nm", name_ok(F.col("nm")).alias("ok"))
+
+
+def q_file_verdicts(spark, sf):
+    n = fx.names_view(spark, sf)
+    per_file = n.groupBy("nm").agg(F.count(F.lit(1)).alias("n_deliveries"))
+    ok = name_ok(F.col("nm"))
+    return per_file.select("nm", "n_deliveries", ok.alias("ok"),
+                           F.when(~ok, F.lit("invalid file name")).alias("reason"))
+
+
 QUERIES = {
     "missing_profile": q_missing_profile,
     "column_moments": q_column_moments,
@@ -81,4 +349,48 @@ QUERIES = {
     "gaussian_bounds": q_gaussian_bounds,
     "outlier_report_iqr": q_outlier_report_iqr,
     "outlier_report_gaussian": q_outlier_report_gaussian,
+    "rows_with_missing": q_rows_with_missing,
+    "missingness_corr": q_missingness_corr,
+    "impute_plan": q_impute_plan,
+    "impute_mean": q_impute_mean,
+    "impute_median": q_impute_median,
+    "constant_columns": q_constant_columns,
+    "anderson_normal": q_anderson_normal,
+    "anderson_holes": q_anderson_holes,
+    "transform_log": q_transform_log,
+    "transform_reciprocal": q_transform_reciprocal,
+    "transform_sqrt": q_transform_sqrt,
+    "transform_square": q_transform_square,
+    "transform_yeo_johnson": q_transform_yeo_johnson,
+    "score_transforms": q_score_transforms,
+    "pick_transform_alphabetical": q_pick_transform_alphabetical,
+    "pick_transform_best": q_pick_transform_best,
+    "fit_yeo_johnson": q_fit_yeo_johnson,
+    "drop_duplicates": q_drop_duplicates,
+    "duplicate_rows": q_duplicate_rows,
+    "distinct_union": q_distinct_union,
+    "stratified_split": q_stratified_split,
+    "stratified_folds": q_stratified_folds,
+    "class_weights": q_class_weights,
+    "recode_label": q_recode_label,
+    "anova_f": q_anova_f,
+    "select_k_best": q_select_k_best,
+    "standardise": q_standardise,
+    "minmax": q_minmax,
+    "scale_split": q_scale_split,
+    "kmeans_k1_cost": q_kmeans_k1_cost,
+    "knee": q_knee,
+    "cluster_dummies": q_cluster_dummies,
+    "gaussian_nb_score": q_gaussian_nb_score,
+    "confusion": q_confusion,
+    "mcc": q_mcc,
+    "macro_recall": q_macro_recall,
+    "classification_report": q_classification_report,
+    "cv_scores": q_cv_scores,
+    "pareto_front": q_pareto_front,
+    "drop_useless": q_drop_useless,
+    "select_best": q_select_best,
+    "leaderboard": q_leaderboard,
+    "file_name_check": q_file_name_check,
+    "file_verdicts": q_file_verdicts,
 }
