@@ -340,6 +340,97 @@ def q_file_verdicts(spark, sf):
                            F.when(~ok, F.lit("invalid file name")).alias("reason"))
 
 
+# ------------------------------------------------ learning jobs (rows-only)
+
+WIDE_FEATS = [f"e{i}" for i in range(1, fx.N_DIMS + 1)]
+
+
+def _split_wide(spark, sf):
+    """Stratified train/test of the wide view with 5 stratified folds on train."""
+    from sparkqc.session import cut_lineage
+
+    w = split.stratified_split(fx.wide_view(spark, sf), "y", "vec_id", 0.2, 42)
+    w = cut_lineage(w)
+    train = split.stratified_folds(w.where(F.col("split") == "train").drop("split"), "y", "vec_id", 5, 42)
+    return train, w.where(F.col("split") == "test").drop("split")
+
+
+def _trial_query(family: str, params: dict, n_features: int = 16):
+    def q(spark, sf):
+        from sparkqc.operators import learn
+
+        train, test = _split_wide(spark, sf)
+        ranking = features.ranked_features(features.anova_f(fx.long_view(spark, sf), "y", col="pos"), "pos")
+        feats = [f"e{p}" for p in ranking[:n_features]]
+        t = learn.evaluate_trial(family, params, train, test, feats, "y", max_iter=10)
+        return finish(learn.trial_table(spark, [(feats, "no", t)]))
+    return q
+
+
+def q_iterative_impute(spark, sf):
+    from sparkqc.operators.iterative import fit_iterative_imputer
+
+    _, out = fit_iterative_imputer(fx.holes_wide_view(spark, sf), WIDE_FEATS, max_iter=3)
+    return finish(out)
+
+
+def q_kmeans_assign(spark, sf):
+    from sparkqc.operators import learn
+
+    vec = learn.assemble(fx.wide_view(spark, sf), WIDE_FEATS)
+    model = cluster.fit_kmeans(vec, 4, seed=42)
+    return model.transform(vec).select("vec_id", "cluster")
+
+
+def q_kmeans_knee(spark, sf):
+    from sparkqc.operators import learn
+
+    vec = learn.assemble(fx.wide_view(spark, sf), WIDE_FEATS)
+    curve = spark.createDataFrame(cluster.wcss_curve(vec, ks=range(1, 11), seed=42, max_iter=10), "k int, wcss double")
+    return cluster.knee(curve, [], "k", "wcss").join(curve.groupBy().agg(F.count(F.lit(1)).alias("points")))
+
+
+def q_learning_curve(spark, sf):
+    from sparkqc.operators import learn
+
+    train, _ = _split_wide(spark, sf)
+    return finish(learn.learning_curve(train, WIDE_FEATS[:16], "y", "GaussianNB", {"var_smoothing": 1e-9}, "vec_id"))
+
+
+def q_preprocess_train(spark, sf):
+    from sparkqc.plans.train import fit_preprocess
+
+    fit, train, _ = fit_preprocess(fx.holes_wide_view(spark, sf), "vec_id", "y", relabel=False, iterative_rounds=2)
+    return finish(train)
+
+
+def q_final_score(spark, sf):
+    """E-2 + E-3 end to end: fit the chain and a model on the wide view, then score every item."""
+    from sparkqc.operators import learn
+    from sparkqc.plans import score as sc
+    from sparkqc.plans.train import fit_preprocess, search
+
+    data = fx.holes_wide_view(spark, sf)
+    prep, train, test = fit_preprocess(data, "vec_id", "y", relabel=False, iterative_rounds=2)
+    res = search(train, test, "vec_id", "y", prep.normal, prep.non_normal, ks=(8,), families=("LogisticRegression",),
+                 clustering=("yes",), n_trials=1, max_iter=10)
+    best = res.best.first()
+    if best is None:  # every trial was no better than random: fall back to a default configuration
+        best = {"column_list": res.ranking[:8], "best_params": {"C": "1.0"}, "model_name": "LogisticRegression"}
+    feats = [c for c in best["column_list"] if not c.startswith("cl_")]
+    params = {k: float(v) for k, v in best["best_params"].items()}
+    tr_s = features.apply_affine_wide(train, res.scaler)
+    te_s = features.apply_affine_wide(test, res.scaler)
+    km, n_cl = res.kmeans.get(len(feats), (None, 0))
+    use = list(best["column_list"])
+    if km is not None:
+        tr_s = cluster.cluster_dummies(km.transform(learn.assemble(tr_s, feats)).drop("features"), "cluster", n_cl, "cl_")
+        te_s = cluster.cluster_dummies(km.transform(learn.assemble(te_s, feats)).drop("features"), "cluster", n_cl, "cl_")
+    model = learn.final_fit(best["model_name"], params, tr_s, te_s, use, "y", max_iter=10)
+    sm = sc.ScoringModel(prep, res.scaler, feats, best["model_name"], model, km, n_cl)
+    return sc.score(sc.preprocess_new(data.drop("y"), prep), sm)
+
+
 QUERIES = {
     "missing_profile": q_missing_profile,
     "column_moments": q_column_moments,
@@ -393,4 +484,18 @@ QUERIES = {
     "leaderboard": q_leaderboard,
     "file_name_check": q_file_name_check,
     "file_verdicts": q_file_verdicts,
+    "iterative_impute": q_iterative_impute,
+    "kmeans_assign": q_kmeans_assign,
+    "kmeans_knee": q_kmeans_knee,
+    "logistic_regression_scores": _trial_query("LogisticRegression", {"C": 0.5}),
+    "linear_svc_scores": _trial_query("LinearSVC", {"C": 0.0236}),
+    "decision_tree_scores": _trial_query("DecisionTreeClassifier", {"maxDepth": 4}),
+    "rf_scores": _trial_query("RandomForestClassifier", {"numTrees": 20, "maxDepth": 5}),
+    "gbt_scores": _trial_query("GBTClassifier", {"maxIter": 10, "maxDepth": 3}),
+    "naive_bayes_scores": _trial_query("GaussianNB", {"var_smoothing": 1e-9}),
+    "adaboost_scores": _trial_query("AdaBoostClassifier", {"learning_rate": 0.01, "n_rounds": 5}),
+    "mlp_scores": _trial_query("MultilayerPerceptronClassifier", {"hidden": [8]}),
+    "learning_curve": q_learning_curve,
+    "preprocess_train": q_preprocess_train,
+    "final_score": q_final_score,
 }
