@@ -4,11 +4,17 @@ Per round: one distributed pass gives the column means, variances and the
 Pearson correlation matrix of the current filled frame (p x p, bounded by the
 schema, via Spark ML's ``Summarizer`` and ``Correlation``); the driver solves a
 small ridge system for every column on its ``n_nearest`` most correlated
-predictors; one projection refills only the originally missing cells. The
-frame is checkpointed each round so lineage stays flat. All columns get a
-regression (also complete ones), so NULLs seen only at prediction time are
-filled too. Rounds update all columns together (Jacobi order) and predictors
-are the top-|r| ones, so values differ slightly from a sequential sampler.
+predictors; the refill of the originally missing cells runs inside the tasks
+on Arrow batches (``mapInPandas``), as a sparse product with the round's
+coefficients. Written as Column expressions, rounds would nest p x 20 terms
+per column per round and Catalyst would inline them through every round; as a
+batch operator each round is a flat, vectorised step. The frame is
+checkpointed each round so lineage stays flat.
+
+All columns get a regression (also complete ones), so NULLs seen only at
+prediction time are filled too. Rounds update all columns together (Jacobi
+order) and predictors are the top-|r| ones, so values differ slightly from a
+sequential sampler.
 """
 
 from __future__ import annotations
@@ -21,6 +27,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.stat import Correlation, Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from sparkqc.session import cut_lineage
 
@@ -40,6 +47,26 @@ class IterativeImputerFit:
                 out += [(r, t, p, float(b)) for p, b in terms]
         return out
 
+    def arrays(self) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Per round: intercepts (p,), predictor indices (p, m), coefficients (p, m), has-model flags (p,)."""
+        pos = {c: i for i, c in enumerate(self.columns)}
+        p = len(self.columns)
+        out = []
+        for rnd in self.rounds:
+            m = max([len(t) for _, t in rnd.values()] + [1])
+            b0 = np.array([rnd[c][0] if c in rnd else 0.0 for c in self.columns])
+            idx = np.zeros((p, m), dtype=np.int64)
+            coef = np.zeros((p, m))
+            has = np.zeros(p, dtype=bool)
+            for c, (_, terms) in rnd.items():
+                i = pos[c]
+                has[i] = True
+                for k, (pc, b) in enumerate(terms):
+                    idx[i, k] = pos[pc]
+                    coef[i, k] = b
+            out.append((b0, idx, coef, has))
+        return out
+
 
 def _moments(df: DataFrame, cols: Sequence[str]):
     vec = VectorAssembler(inputCols=list(cols), outputCol="_vec").transform(df).select("_vec")
@@ -63,31 +90,57 @@ def _solve(mean, var, corr, t: int, n_nearest: int, ridge: float):
     return b0, [(j, float(b)) for j, b in zip(cand, beta)]
 
 
-def _round_expr(cols, orig, rnd):
-    out = []
-    for c in cols:
-        if c in rnd:
-            b0, terms = rnd[c]
-            pred = F.lit(b0)
-            for p, b in terms:
-                pred = pred + F.lit(b) * F.col(p)
-            out.append(F.when(F.col(orig[c]).isNull(), pred).otherwise(F.col(orig[c])).alias(c))
-        else:
-            out.append(F.col(c))
-    return out
+def _refill(df: DataFrame, cols: list, means: np.ndarray, rounds: list, mask_cols: list | None = None,
+            track_change: bool = False) -> DataFrame:
+    """Apply ``rounds`` to the missing cells, batch by batch.
+
+    Without ``mask_cols`` the NULL cells of ``cols`` are the mask and start from
+    the means; with them (``_m*`` booleans) ``cols`` already hold the current fill.
+    ``track_change`` adds ``_chg``: the row's largest change of an imputed cell.
+    """
+    spark = df.sparkSession
+    bc = spark.sparkContext.broadcast((means, rounds))  # p x m x rounds numbers: bounded by the schema
+    out_fields = [f if f.name not in cols else StructField(f.name, DoubleType(), True)
+                  for f in df.schema.fields if f.name != "_chg"]
+    if track_change:
+        out_fields.append(StructField("_chg", DoubleType(), True))
+    schema = StructType(out_fields)
+
+    def run(batches):
+        mu, rnds = bc.value
+        for pdf in batches:
+            x = pdf[cols].to_numpy(dtype=float, na_value=np.nan)
+            if mask_cols is None:
+                miss = np.isnan(x)
+                x = np.where(miss, mu, x)
+            else:
+                miss = pdf[mask_cols].to_numpy(dtype=bool)
+            start = x
+            for b0, idx, coef, has in rnds:
+                pred = np.broadcast_to(b0, x.shape).copy()
+                for k in range(idx.shape[1]):
+                    pred += x[:, idx[:, k]] * coef[:, k]
+                x = np.where(miss & has, pred, x)
+            res = pdf.copy()
+            res[cols] = x
+            if track_change:
+                res["_chg"] = np.where(miss, np.abs(x - start), 0.0).max(axis=1) if x.shape[1] else 0.0
+            yield res[[f.name for f in out_fields]]
+
+    return df.mapInPandas(run, schema)
 
 
 def fit_iterative_imputer(df: DataFrame, features: Sequence[str], max_iter: int = 10, n_nearest: int = 20,
                           ridge: float = 1e-3, tol: float = 1e-3) -> tuple[IterativeImputerFit, DataFrame]:
-    """Returns (fit, imputed training frame). ``df`` keeps its other columns (keys, label)."""
+    """Returns (fit, imputed frame). ``df`` keeps its other columns (keys, label)."""
     cols = list(features)
     first = df.agg(*[F.avg(c).alias(c) for c in cols]).first()
     means = {c: (first[c] if first[c] is not None else 0.0) for c in cols}
-    orig = {c: f"_o{i}" for i, c in enumerate(cols)}
+    mu = np.array([means[c] for c in cols])
+    masks = [f"_m{i}" for i in range(len(cols))]
     keep = [c for c in df.columns if c not in cols]
-    cur = df.select(*keep, *[F.col(c).alias(orig[c]) for c in cols],
-                    *[F.coalesce(F.col(c), F.lit(float(means[c]))).alias(c) for c in cols])
-    cur = cut_lineage(cur)
+    cur = cut_lineage(df.select(*keep, *[F.col(c).isNull().alias(m) for c, m in zip(cols, masks)],
+                                *[F.coalesce(F.col(c), F.lit(float(means[c]))).alias(c) for c in cols]))
     fit = IterativeImputerFit(cols, means)
     for _ in range(max_iter):
         mean, var, corr = _moments(cur, cols)
@@ -96,34 +149,17 @@ def fit_iterative_imputer(df: DataFrame, features: Sequence[str], max_iter: int
             b0, terms = _solve(mean, var, corr, t, n_nearest, ridge)
             rnd[c] = (b0, [(cols[j], b) for j, b in terms])
         fit.rounds.append(rnd)
-        nxt = cur.select(*keep, *[F.col(orig[c]) for c in cols], *_round_expr(cols, orig, rnd))
-        nxt = cut_lineage(nxt)
+        step = IterativeImputerFit(cols, means, [rnd]).arrays()
+        cur = cut_lineage(_refill(cur, cols, mu, step, masks, track_change=True))
+        change = float(cur.agg(F.max("_chg")).first()[0] or 0.0)
         scale = float(np.sqrt(np.max(var))) if len(var) else 1.0
-        change = _max_change(cur, nxt, cols, keep)
-        cur = nxt
         if scale > 0 and change / scale < tol:
             break
     return fit, cur.select(*keep, *cols)
 
 
-def _max_change(prev: DataFrame, nxt: DataFrame, cols, keep) -> float:
-    """Largest absolute change of an imputed cell between rounds (joined on the row key columns)."""
-    if not keep:
-        return float("inf")
-    a = prev.select(*keep, *[F.col(c).alias(f"_a{i}") for i, c in enumerate(cols)])
-    j = nxt.join(a, list(keep))
-    m = j.agg(F.greatest(*[F.max(F.abs(F.col(c) - F.col(f"_a{i}"))) for i, c in enumerate(cols)]).alias("m")).first()["m"]
-    return float(m or 0.0)
-
-
 def apply_iterative(df: DataFrame, fit: IterativeImputerFit) -> DataFrame:
-    """Replay: mean fill, then every round's regressions on the originally missing cells
-    (a chain of projections, no shuffle)."""
-    cols = fit.columns
-    orig = {c: f"_o{i}" for i, c in enumerate(cols)}
-    keep = [c for c in df.columns if c not in cols]
-    cur = df.select(*keep, *[F.col(c).alias(orig[c]) for c in cols],
-                    *[F.coalesce(F.col(c), F.lit(float(fit.means[c]))).alias(c) for c in cols])
-    for rnd in fit.rounds:
-        cur = cur.select(*keep, *[F.col(orig[c]) for c in cols], *_round_expr(cols, orig, rnd))
-    return cur.select(*keep, *cols)
+    """Replay on new rows: mean fill, then every round's regressions on the NULL cells
+    (per Arrow batch; no shuffle)."""
+    mu = np.array([fit.means[c] for c in fit.columns])
+    return _refill(df, list(fit.columns), mu, fit.arrays())
