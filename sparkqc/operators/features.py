@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparkqc.operators.profile import keys
+from sparkqc.operators.profile import keys, per_column
 
 # Model families that are fed scaled features (all others get raw values).
 SCALED_FAMILIES = ("LogisticRegression", "LinearSVC", "KNeighborsClassifier", "MultilayerPerceptronClassifier")
@@ -114,7 +114,7 @@ def fit_minmax(long: DataFrame, col="col", value: str = "v") -> DataFrame:
 def apply_affine_long(long: DataFrame, fit: DataFrame, col="col", value: str = "v") -> DataFrame:
     """(v - mean) / scale with the per-column fit joined (tiny side); unfitted columns unchanged."""
     k = keys(col)
-    j = long.join(fit.select(*k, F.col("mean").alias("_m"), F.col("scale").alias("_s")), k, "left")
+    j = long.join(per_column(fit.select(*k, F.col("mean").alias("_m"), F.col("scale").alias("_s"))), k, "left")
     return j.withColumn(value, F.when(F.col("_m").isNull(), F.col(value)).otherwise((F.col(value) - F.col("_m")) / F.col("_s"))).drop("_m", "_s")
 
 

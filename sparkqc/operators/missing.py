@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkqc.operators.profile import missing_profile, moments, quantiles
+from sparkqc.operators.profile import missing_profile, moments, per_column, quantiles
 
 
 def _column_pairs(spark: SparkSession, cols: list) -> DataFrame:
@@ -93,7 +93,7 @@ def fit_simple_imputer(long: DataFrame, strategy: str, col: str = "col", value:
 
 def impute_long(long: DataFrame, fit: DataFrame, col: str = "col", value: str = "v") -> DataFrame:
     """M2 apply: ``coalesce(v, fill)``; columns without a fit row pass unchanged."""
-    j = long.join(fit.select(col, F.col("fill").alias("_fill")), col, "left")
+    j = long.join(per_column(fit.select(col, F.col("fill").alias("_fill"))), col, "left")
     return j.withColumn(value, F.coalesce(F.col(value), F.col("_fill"))).drop("_fill")
 
 

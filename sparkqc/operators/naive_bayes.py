@@ -31,7 +31,8 @@ def score_gaussian_nb(long: DataFrame, model: DataFrame, priors: DataFrame, key:
                       value: str = "v") -> DataFrame:
     """``(key, pred, jll)``: argmax over classes of the joint log likelihood (ties to the smaller class)."""
     lp = -0.5 * F.log(F.lit(2 * math.pi) * F.col("var")) - 0.5 * (F.col(value) - F.col("theta")) ** 2 / F.col("var")
-    jll = (long.join(model, col).groupBy(key, "class").agg(F.sum(lp).alias("_ll"))
+    # the model has one row per (column, class): bounded by the schema, safe to broadcast
+    jll = (long.join(F.broadcast(model), col).groupBy(key, "class").agg(F.sum(lp).alias("_ll"))
            .join(priors, "class").withColumn("jll", F.col("_ll") + F.col("log_prior")))
     best = jll.groupBy(key).agg(F.max(F.struct(F.col("jll").alias("jll"), (-F.col("class")).alias("nc"))).alias("_b"))
     return best.select(key, (-F.col("_b")["nc"]).alias("pred"), F.col("_b")["jll"].alias("jll"))

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkqc.operators.profile import moments, quantiles
+from sparkqc.operators.profile import moments, per_column, quantiles
 
 
 def iqr_bounds(long: DataFrame, fold: float = 1.5, col: str = "col", value: str = "v", strategy: str = "auto") -> DataFrame:
@@ -30,7 +30,7 @@ def gaussian_bounds(long: DataFrame, fold: float = 3.0, ddof: int = 0, col: str
 def outlier_report(long: DataFrame, bounds: DataFrame, col: str = "col", value: str = "v") -> DataFrame:
     """O3: ``(col, n_outliers, prop_outliers)``; strict comparisons, proportion rounded half-even to 4."""
     v = F.col(value)
-    j = long.join(bounds, col)
+    j = long.join(per_column(bounds), col)
     is_out = (v < F.col("lower")) | (v > F.col("upper"))
     return j.groupBy(col).agg(
         F.count_if(is_out).alias("n_outliers"),
@@ -54,7 +54,7 @@ def capped(v, lo, hi):
 
 def cap_long(long: DataFrame, fit: DataFrame, col: str = "col", value: str = "v") -> DataFrame:
     """O4 apply on long: columns without a fit row pass unchanged."""
-    j = long.join(fit.select(col, F.col("lower").alias("_lo"), F.col("upper").alias("_hi")), col, "left")
+    j = long.join(per_column(fit.select(col, F.col("lower").alias("_lo"), F.col("upper").alias("_hi"))), col, "left")
     out = F.when(F.col("_lo").isNull(), F.col(value)).otherwise(capped(F.col(value), F.col("_lo"), F.col("_hi")))
     return j.withColumn(value, out).drop("_lo", "_hi")
 

@@ -117,3 +117,13 @@ def class_counts(df: DataFrame, label: str = "y") -> DataFrame:
     tot = Window.partitionBy(F.lit(0))  # k rows only: the number of classes
     return (counts.withColumn("n", F.sum("n_c").over(tot)).withColumn("k", F.count(F.lit(1)).over(tot))
             .withColumn("weight", F.col("n") / (F.col("k") * F.col("n_c"))).drop("k"))
+
+
+def per_column(fit: DataFrame) -> DataFrame:
+    """Broadcast a fit / statistics table keyed by column id.
+
+    Its size is bounded by the schema (one row per column, or per column and
+    candidate), never by the data, so broadcasting it is always safe and keeps
+    the big long-shaped side from being shuffled or broadcast by a misestimate.
+    """
+    return F.broadcast(fit)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from sparkqc.functions.transforms import TRANSFORM_TYPES, apply_named, yeo_johnson_t
 from sparkqc.operators.normality import anderson_normal
-from sparkqc.operators.profile import keys, moments
+from sparkqc.operators.profile import keys, moments, per_column
 
 
 def _yj_llf_by_grid(long: DataFrame, k: list[str], value: str, lam_col) -> DataFrame:
@@ -45,7 +45,7 @@ def fit_yeo_johnson(long: DataFrame, col="col", value: str = "v",
     for _ in range(refinements):
         fine = step / points
         local = F.transform(F.sequence(F.lit(-points), F.lit(points)), lambda i: F.col("_best") + i.cast("double") * F.lit(fine))
-        cand = long.join(best.withColumnRenamed("lam", "_best"), k)
+        cand = long.join(per_column(best.withColumnRenamed("lam", "_best")), k)
         best = (_yj_llf_by_grid(cand, k, value, local).groupBy(*k)
                 .agg(F.max_by("lam", F.struct(F.col("llf").isNotNull(), F.col("llf"), -F.abs("lam"))).alias("lam")))
         step = fine
@@ -73,11 +73,11 @@ def score_transforms(train: DataFrame, test: DataFrame | None = None, col="col",
                .where(~(((F.col("type") == "logarithmic") & (F.col("_min") <= 0))
                         | ((F.col("type") == "reciprocal") & (F.col("_zeros") > 0))))
                .select(*k, "type", (F.col("type") == "square-root") & (F.col("_neg_train") > 0)).toDF(*k, "type", "_nan"))
-    tr = train.join(allowed, k)
+    tr = train.join(per_column(allowed), k)
     lam = None
     if "yeo-johnson" in types:
         yj = yj if yj is not None else fit_yeo_johnson(train, k, value)
-        tr = tr.join(yj.withColumnRenamed("lam", "_lam"), k, "left")
+        tr = tr.join(per_column(yj.withColumnRenamed("lam", "_lam")), k, "left")
         lam = F.col("_lam")
     tr = tr.withColumn("_tv", apply_named(F.col("type"), v, lam))
     ad = anderson_normal(tr, [*k, "type"], "_tv")
@@ -111,7 +111,7 @@ def apply_transforms_long(long: DataFrame, plan: DataFrame, col="col", value: st
         p = p.join(yj.withColumnRenamed("lam", "_lam"), k, "left")
     else:
         p = p.withColumn("_lam", F.lit(None).cast("double"))
-    j = long.join(p, k, "left")
+    j = long.join(per_column(p), k, "left")
     return j.withColumn(value, F.when(F.col("_type").isNull(), F.col(value))
                         .otherwise(apply_named(F.col("_type"), F.col(value), F.col("_lam")))).drop("_type", "_lam")
 

@@ -290,4 +290,18 @@ ORACLE.update({
     "file_name_check": with_views("names") + f"SELECT page_id, nm, {NAME_OK} AS ok FROM names",
     "file_verdicts": with_views("names") + f"""SELECT nm, count(*) AS n_deliveries, {NAME_OK} AS ok,
         CASE WHEN NOT {NAME_OK} THEN 'invalid file name' END AS reason FROM names GROUP BY nm""",
+    "select_k_best": with_views("long", "g AS (SELECT pos, y, count(*) AS n_g, avg(v) AS m_g, var_pop(v) AS v_g FROM long GROUP BY pos, y)",
+        """g2 AS (SELECT *, sum(n_g) OVER (PARTITION BY pos) AS nn,
+        sum(n_g * m_g) OVER (PARTITION BY pos) / sum(n_g) OVER (PARTITION BY pos) AS grand FROM g)""",
+        """an AS (SELECT pos, max(nn) AS nn, count(*) AS k, sum(n_g * (m_g - grand) * (m_g - grand)) AS ssb, sum(n_g * v_g) AS ssw
+        FROM g2 GROUP BY pos)""",
+        "anf AS (SELECT pos, (ssb / (k - 1)) / CASE WHEN ssw > 0 THEN ssw / (nn - k) END AS f FROM an)")
+        + f"SELECT pos, {r6('f')} AS f FROM anf WHERE f IS NOT NULL ORDER BY f DESC, pos LIMIT 10",
+    "knn_vote": with_views("long",
+        """kp AS (SELECT a.vec_id AS q, b.vec_id AS r, sum((a.v - b.v) * (a.v - b.v)) AS d2 FROM long a JOIN long b
+        ON a.pos = b.pos AND a.vec_id <> b.vec_id GROUP BY a.vec_id, b.vec_id)""",
+        "kr AS (SELECT q, r, row_number() OVER (PARTITION BY q ORDER BY sqrt(d2), r) AS rn FROM kp)",
+        "kv AS (SELECT kr.q, e.label, count(*) AS c FROM kr JOIN embeddings e ON e.vec_id = kr.r WHERE kr.rn <= 5 GROUP BY kr.q, e.label)")
+        + """SELECT q AS vec_id, label AS pred FROM (SELECT q, label, row_number() OVER (PARTITION BY q ORDER BY c DESC, label) AS rn
+        FROM kv) WHERE rn = 1""",
 })

@@ -340,6 +340,17 @@ def q_file_verdicts(spark, sf):
                            F.when(~ok, F.lit("invalid file name")).alias("reason"))
 
 
+def q_knn_vote(spark, sf):
+    """Leave-one-out 5-NN vote of the 10-class label over all items (Euclidean)."""
+    from sparkqc.operators import knn
+
+    emb = fx.table(spark, sf, "embeddings").select("vec_id", "label")
+    w = fx.wide_view(spark, sf).join(emb, "vec_id")
+    nb = knn.knn_neighbours(w, w, "vec_id", [f"e{i}" for i in range(1, fx.N_DIMS + 1)], "label", k=5, p=2.0,
+                            exclude_self=True)
+    return knn.knn_vote(nb).select(F.col("q_key").alias("vec_id"), "pred")
+
+
 # ------------------------------------------------ learning jobs (rows-only)
 
 WIDE_FEATS = [f"e{i}" for i in range(1, fx.N_DIMS + 1)]
@@ -484,6 +495,7 @@ QUERIES = {
     "leaderboard": q_leaderboard,
     "file_name_check": q_file_name_check,
     "file_verdicts": q_file_verdicts,
+    "knn_vote": q_knn_vote,
     "iterative_impute": q_iterative_impute,
     "kmeans_assign": q_kmeans_assign,
     "kmeans_knee": q_kmeans_knee,
