@@ -104,7 +104,7 @@ def test_knn_blocks_equal_single_block(spark):
         d = np.sqrt(((x - x[qi]) ** 2).sum(axis=1))
         d[qi] = np.inf
         order = sorted(range(len(ids)), key=lambda j: (d[j], ids[j]))[:3]
-        assert [ids[j] for j in order] == [r for q, r, _ in a if q == ids[qi]]
+        assert [ids[j] for j in order] == [r for q, r, _ in sorted(a, key=lambda t: (t[0], t[2])) if q == ids[qi]]
     votes = {r.q_key: r.pred for r in knn.knn_vote(one).collect()}
     assert set(votes.values()) <= set(pdf["label"].unique())
 
