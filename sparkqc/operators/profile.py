@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkqc.functions.stats import unbiased_kurt, unbiased_skew
-from sparkqc.operators.ranking import cumulative_sums
+from sparkqc.operators.ranking import choose_strategy, cumulative_sums
 
 
 def keys(col) -> list[str]:
@@ -68,6 +68,8 @@ def value_counts(long: DataFrame, col: str = "col", value: str = "v") -> DataFra
 
 def ranked_values(long: DataFrame, col: str = "col", value: str = "v", strategy: str = "auto") -> DataFrame:
     """``(col, v, c, cum_before, n)``: each distinct value with the number of smaller values."""
+    if strategy == "auto":
+        strategy = choose_strategy(long, keys(col))  # raw rows per column bound the distinct values
     return cumulative_sums(value_counts(long, col, value), keys(col), [value], weight="c",
                            out_before="cum_before", out_total="n", strategy=strategy)
 
@@ -127,3 +129,9 @@ def per_column(fit: DataFrame) -> DataFrame:
     the big long-shaped side from being shuffled or broadcast by a misestimate.
     """
     return F.broadcast(fit)
+
+
+def small_table(df: DataFrame) -> DataFrame:
+    """Materialise a schema-bounded result (one row per column or class) once, so
+    plans that use it several times do not recompute its inputs."""
+    return df.sparkSession.createDataFrame(df.collect(), df.schema)

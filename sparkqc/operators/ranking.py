@@ -33,6 +33,21 @@ def _max_group_rows(spark) -> int:
     return int(spark.conf.get("sparkqc.rank.maxGroupRows", str(DEFAULT_MAX_GROUP_ROWS)))
 
 
+def choose_strategy(df: DataFrame, by: Sequence[str]) -> str:
+    """'window' when every group of ``df`` is small enough for one task, else 'range'.
+
+    ``df`` may be the raw input of a later tie-collapsing aggregate: its group
+    sizes bound the collapsed ones and cost only a scan with map-side counts.
+    A fixed choice can be forced with ``sparkqc.rank.strategy``.
+    """
+    forced = df.sparkSession.conf.get("sparkqc.rank.strategy", "auto")
+    if forced in ("window", "range"):
+        return forced
+    grp = df.groupBy(*by) if by else df.groupBy()
+    biggest = grp.agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0] or 0
+    return "window" if biggest <= _max_group_rows(df.sparkSession) else "range"
+
+
 def cumulative_sums(df: DataFrame, by: Sequence[str], order: Sequence, weight: str | None = None,
                     out_before: str = "cum_before", out_total: str = "group_total",
                     strategy: str = "auto") -> DataFrame:
@@ -47,8 +62,7 @@ def cumulative_sums(df: DataFrame, by: Sequence[str], order: Sequence, weight: s
     w = F.col(weight).cast("long") if weight else F.lit(1).cast("long")
     src = df.withColumn("_w", w)
     if strategy == "auto":
-        biggest = src.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0] or 0
-        strategy = "window" if biggest <= _max_group_rows(df.sparkSession) else "range"
+        strategy = choose_strategy(df, by)
     if strategy == "window":
         win = Window.partitionBy(*by).orderBy(*order_cols)
         out = (src.withColumn(out_before, F.coalesce(F.sum("_w").over(win.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
@@ -85,9 +99,7 @@ def running_max_before(df: DataFrame, by: Sequence[str], order: Sequence, value:
     by = list(by)
     order_cols = [F.col(o) if isinstance(o, str) else o for o in order]
     if strategy == "auto":
-        grp = df.groupBy(*by) if by else df.groupBy()
-        biggest = grp.agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0] or 0
-        strategy = "window" if biggest <= _max_group_rows(df.sparkSession) else "range"
+        strategy = choose_strategy(df, by)
     if strategy == "window":
         win = (Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))).orderBy(*order_cols)
         return df.withColumn(out, F.max(value).over(win.rowsBetween(Window.unboundedPreceding, -1)))

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from sparkqc.functions.transforms import TRANSFORM_TYPES, apply_named, yeo_johnson_t
 from sparkqc.operators.normality import anderson_normal
-from sparkqc.operators.profile import keys, moments, per_column
+from sparkqc.operators.profile import keys, moments, per_column, small_table
 
 
 def _yj_llf_by_grid(long: DataFrame, k: list[str], value: str, lam_col) -> DataFrame:
@@ -40,14 +40,14 @@ def fit_yeo_johnson(long: DataFrame, col="col", value: str = "v",
     k = keys(col)
     n_steps = int(round((stop - start) / step))
     grid = F.array(*[F.lit(start + i * step) for i in range(n_steps + 1)])
-    best = (_yj_llf_by_grid(long, k, value, grid).groupBy(*k)
-            .agg(F.max_by("lam", F.struct(F.col("llf").isNotNull(), F.col("llf"), -F.abs("lam"))).alias("lam")))
+    best = small_table(_yj_llf_by_grid(long, k, value, grid).groupBy(*k)
+                       .agg(F.max_by("lam", F.struct(F.col("llf").isNotNull(), F.col("llf"), -F.abs("lam"))).alias("lam")))
     for _ in range(refinements):
         fine = step / points
         local = F.transform(F.sequence(F.lit(-points), F.lit(points)), lambda i: F.col("_best") + i.cast("double") * F.lit(fine))
         cand = long.join(per_column(best.withColumnRenamed("lam", "_best")), k)
-        best = (_yj_llf_by_grid(cand, k, value, local).groupBy(*k)
-                .agg(F.max_by("lam", F.struct(F.col("llf").isNotNull(), F.col("llf"), -F.abs("lam"))).alias("lam")))
+        best = small_table(_yj_llf_by_grid(cand, k, value, local).groupBy(*k)
+                           .agg(F.max_by("lam", F.struct(F.col("llf").isNotNull(), F.col("llf"), -F.abs("lam"))).alias("lam")))
         step = fine
     return best
 
@@ -73,10 +73,11 @@ def score_transforms(train: DataFrame, test: DataFrame | None = None, col="col",
                .where(~(((F.col("type") == "logarithmic") & (F.col("_min") <= 0))
                         | ((F.col("type") == "reciprocal") & (F.col("_zeros") > 0))))
                .select(*k, "type", (F.col("type") == "square-root") & (F.col("_neg_train") > 0)).toDF(*k, "type", "_nan"))
+    allowed = small_table(allowed)  # columns x candidates rows
     tr = train.join(per_column(allowed), k)
     lam = None
     if "yeo-johnson" in types:
-        yj = yj if yj is not None else fit_yeo_johnson(train, k, value)
+        yj = small_table(yj if yj is not None else fit_yeo_johnson(train, k, value))
         tr = tr.join(per_column(yj.withColumnRenamed("lam", "_lam")), k, "left")
         lam = F.col("_lam")
     tr = tr.withColumn("_tv", apply_named(F.col("type"), v, lam))

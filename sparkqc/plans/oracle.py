@@ -129,6 +129,58 @@ SCORES = [
         FROM adt d JOIN tmom m ON d.pos = m.pos AND d.type = m.type JOIN allowed a ON a.pos = d.pos AND a.type = d.type)""",
 ]
 
+def _yj_sql(v: str, lam: str) -> str:
+    return (f"CASE WHEN {v} >= 0 THEN (CASE WHEN abs({lam}) < 1e-12 THEN ln(1e0 + {v}) ELSE (pow({v} + 1e0, {lam}) - 1e0) / {lam} END) "
+            f"ELSE (CASE WHEN abs(2e0 - {lam}) < 1e-12 THEN -ln(1e0 - {v}) ELSE -(pow(1e0 - {v}, 2e0 - {lam}) - 1e0) / (2e0 - {lam}) END) END")
+
+
+def _yj_pass(name: str, grid_from: str) -> list[str]:
+    """One grid pass: llf per (pos, lam) and the best lam per column."""
+    return [
+        f"""{name}_g AS (SELECT s.pos, g.lam, count(*) AS n, var_pop({_yj_sql('s.v', 'g.lam')}) AS vr,
+            sum(sign(s.v) * ln(1e0 + abs(s.v))) AS slog FROM sk s JOIN {grid_from} g ON s.pos = g.pos
+            WHERE s.v IS NOT NULL GROUP BY s.pos, g.lam)""",
+        f"""{name} AS (SELECT pos, lam FROM (SELECT pos, lam, row_number() OVER (PARTITION BY pos
+            ORDER BY (vr > 0) DESC, CASE WHEN vr > 0 THEN -n / 2e0 * ln(vr) + (lam - 1e0) * slog END DESC, abs(lam)) AS rn
+            FROM {name}_g) WHERE rn = 1)""",
+    ]
+
+
+def _yj_fit_sql(start: float = -4.0, stop: float = 4.0, step: float = 0.25, refinements: int = 2, points: int = 10):
+    n_steps = int(round((stop - start) / step))
+    lams = ", ".join(repr(start + i * step) + "e0" if "e" not in repr(start + i * step) else repr(start + i * step)
+                     for i in range(n_steps + 1))
+    out = [f"yjg0 AS (SELECT p.pos, CAST(unnest([{lams}]) AS DOUBLE) AS lam FROM (SELECT DISTINCT pos FROM sk) p)"]
+    out += _yj_pass("yj0", "yjg0")
+    for r in range(refinements):
+        fine = step / points
+        out.append(f"""yjg{r + 1} AS (SELECT b.pos, b.lam + CAST(i AS DOUBLE) * CAST({fine!r} AS DOUBLE) AS lam FROM yj{r} b
+            CROSS JOIN (SELECT unnest(range({-points}, {points + 1})) AS i))""")
+        out += _yj_pass(f"yj{r + 1}", f"yjg{r + 1}")
+        step = fine
+    return out
+
+
+YJ_FIT = _yj_fit_sql()
+
+SCORES_ALL = [
+    SKEWED, *YJ_FIT,
+    """gate AS (SELECT pos, min(v) AS mn, count(*) FILTER (WHERE v = 0) AS zeros, count(*) FILTER (WHERE v < 0) AS neg
+        FROM sk GROUP BY pos)""",
+    "types AS (SELECT unnest(['logarithmic', 'reciprocal', 'square-root', 'yeo-johnson', 'square']) AS type)",
+    """allowed AS (SELECT g.pos, t.type, (t.type = 'square-root' AND g.neg > 0) AS nan_flag FROM gate g CROSS JOIN types t
+        WHERE NOT ((t.type = 'logarithmic' AND g.mn <= 0) OR (t.type = 'reciprocal' AND g.zeros > 0)))""",
+    f"""tv AS (SELECT s.pos, a.type, CASE a.type WHEN 'logarithmic' THEN CASE WHEN s.v > 0 THEN ln(s.v) END
+        WHEN 'reciprocal' THEN CASE WHEN s.v <> 0 THEN 1e0 / s.v END
+        WHEN 'square-root' THEN CASE WHEN s.v >= 0 THEN sqrt(s.v) END
+        WHEN 'yeo-johnson' THEN {_yj_sql('s.v', 'y.lam')} ELSE s.v * s.v END AS v
+        FROM sk s JOIN allowed a ON s.pos = a.pos LEFT JOIN yj2 y ON y.pos = s.pos)""",
+    *sql_anderson("tv", ["pos", "type"], "adt"),
+    f"tmom AS (SELECT pos, type, {skew_sql()} AS skew, {kurt_sql()} AS kurt FROM tv GROUP BY pos, type)",
+    """scores AS (SELECT d.pos, d.type, d.n, CASE WHEN a.nan_flag THEN NULL ELSE d.a2 END AS a2, d.crit, m.skew, m.kurt
+        FROM adt d JOIN tmom m ON d.pos = m.pos AND d.type = m.type JOIN allowed a ON a.pos = d.pos AND a.type = d.type)""",
+]
+
 W_SQL = "w AS (SELECT vec_id, CAST(label = 0 AS INTEGER) AS y FROM embeddings)"
 
 KNEE = [
@@ -304,4 +356,9 @@ ORACLE.update({
         "kv AS (SELECT kr.q, e.label, count(*) AS c FROM kr JOIN embeddings e ON e.vec_id = kr.r WHERE kr.rn <= 5 GROUP BY kr.q, e.label)")
         + """SELECT q AS vec_id, label AS pred FROM (SELECT q, label, row_number() OVER (PARTITION BY q ORDER BY c DESC, label) AS rn
         FROM kv) WHERE rn = 1""",
+    "fit_yeo_johnson": with_views("long", SKEWED, *YJ_FIT) + f"SELECT pos, {r6('lam')} AS lam FROM yj2",
+    "score_transforms_all": with_views("long", *SCORES_ALL)
+        + f"SELECT pos, type, n, {r6('a2')} AS a2, {r6('crit')} AS crit, {r6('skew')} AS skew, {r6('kurt')} AS kurt FROM scores",
+    "pick_transform_all": with_views("long", *SCORES_ALL)
+        + f"SELECT pos, min(type) AS type, {r6('min(a2)')} AS a2 FROM scores WHERE a2 < crit GROUP BY pos",
 })

@@ -177,6 +177,15 @@ def q_pick_transform_best(spark, sf):
     return finish(tops.pick_transform(s, "pos", "best"))
 
 
+def q_score_transforms_all(spark, sf):
+    """T6 with all five candidates, Yeo-Johnson with its fitted lambda."""
+    return finish(tops.score_transforms(skewed_view(spark, sf), col="pos"))
+
+
+def q_pick_transform_all(spark, sf):
+    return finish(tops.pick_transform(tops.score_transforms(skewed_view(spark, sf), col="pos"), "pos", "alphabetical"))
+
+
 def q_fit_yeo_johnson(spark, sf):
     return finish(tops.fit_yeo_johnson(skewed_view(spark, sf), "pos"))
 
@@ -468,6 +477,8 @@ QUERIES = {
     "pick_transform_alphabetical": q_pick_transform_alphabetical,
     "pick_transform_best": q_pick_transform_best,
     "fit_yeo_johnson": q_fit_yeo_johnson,
+    "score_transforms_all": q_score_transforms_all,
+    "pick_transform_all": q_pick_transform_all,
     "drop_duplicates": q_drop_duplicates,
     "duplicate_rows": q_duplicate_rows,
     "distinct_union": q_distinct_union,
