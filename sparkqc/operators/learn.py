@@ -32,7 +32,7 @@ from sparkqc.session import cut_lineage
 
 # Tuned families and the order they are searched.
 FAMILIES = ("RandomForestClassifier", "LogisticRegression", "DecisionTreeClassifier", "LinearSVC",
-            "GaussianNB", "GBTClassifier", "AdaBoostClassifier", "MultilayerPerceptronClassifier")
+            "KNeighborsClassifier", "GaussianNB", "GBTClassifier", "AdaBoostClassifier", "MultilayerPerceptronClassifier")
 DEFAULT_FAMILIES = ("RandomForestClassifier", "LogisticRegression", "DecisionTreeClassifier", "LinearSVC",
                     "GaussianNB", "GBTClassifier")
 
@@ -67,6 +67,9 @@ def sample_params(family: str, rng: random.Random, n_features: int = 10) -> dict
         return {"maxDepth": rng.randint(2, 12), "minInfoGain": rng.choice([0.0, 1e-4, 1e-3, 1e-2])}
     if family == "GaussianNB":
         return {"var_smoothing": rng.uniform(0.0, 1.0)}
+    if family == "KNeighborsClassifier":
+        return {"n_neighbors": rng.choice([3, 5, 7, 9, 11]), "weights": rng.choice(["uniform", "distance"]),
+                "p": rng.randint(1, 4)}
     if family == "GBTClassifier":
         return {"maxIter": rng.choice([20, 50]), "maxDepth": rng.randint(2, 6), "stepSize": rng.uniform(0.01, 0.3),
                 "subsamplingRate": rng.uniform(0.5, 1.0), "minInfoGain": rng.choice([0.0, 1e-3, 1e-2]),
@@ -160,6 +163,27 @@ def fit_adaboost(df: DataFrame, label: str, learning_rate: float = 0.01, n_round
     return model
 
 
+# ----------------------------------------------------------------------- kNN
+
+@dataclass
+class KNNModel:
+    """The training rows are the model; prediction is the exact block kNN vote."""
+    reference: DataFrame
+    features: Sequence[str]
+    label: str
+    key: str
+    k: int = 5
+    p: float = 2.0
+    weights: str = "uniform"
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        from sparkqc.operators import knn
+
+        nb = knn.knn_neighbours(df, self.reference, self.key, self.features, self.label, self.k, self.p)
+        votes = knn.knn_vote(nb, self.weights).select(F.col("q_key").alias(self.key), F.col("pred").cast("double").alias("prediction"))
+        return df.join(votes, self.key, "left")
+
+
 # ---------------------------------------------------------------- GaussianNB
 
 @dataclass
@@ -202,8 +226,14 @@ def fit_gaussian_nb_wide(df: DataFrame, features: Sequence[str], label: str, var
 # -------------------------------------------------------------------- fitting
 
 def fit_model(family: str, params: dict, train: DataFrame, features: Sequence[str], label: str, seed: int = 42,
-              max_iter: int = 20):
+              max_iter: int = 20, key: str | None = None):
     """Fit one family on an assembled, weighted frame. Returns an object with ``transform``."""
+    if family == "KNeighborsClassifier":
+        if key is None:
+            raise ValueError("kNN needs the row key")
+        ref = cut_lineage(train.select(key, label, *features))
+        return KNNModel(ref, list(features), label, key, int(params.get("n_neighbors", 5)), float(params.get("p", 2)),
+                        params.get("weights", "uniform"))
     if family == "GaussianNB":
         return _Wrapped(fit_gaussian_nb_wide(train, features, label, params.get("var_smoothing", 1e-9)), features)
     if family == "AdaBoostClassifier":
@@ -238,7 +268,7 @@ class TrialResult:
 
 
 def evaluate_trial(family: str, params: dict, train: DataFrame, test: DataFrame, features: Sequence[str], label: str,
-                   fold: str = "fold", k: int = 5, seed: int = 42, max_iter: int = 20) -> TrialResult:
+                   fold: str = "fold", k: int = 5, seed: int = 42, max_iter: int = 20, key: str | None = None) -> TrialResult:
     """E5: k fold fits (train / validation scores) + one refit (train / test scores) = 8 metrics.
 
     All fold predictions go into one table scored by one grouped aggregation.
@@ -249,7 +279,7 @@ def evaluate_trial(family: str, params: dict, train: DataFrame, test: DataFrame,
     preds = []
     for f in range(1, k + 1):
         fit_part = tr.where(F.col(fold) != f)
-        m = fit_model(family, params, fit_part, features, label, seed, max_iter)
+        m = fit_model(family, params, fit_part, features, label, seed, max_iter, key)
         preds.append(predict(m, fit_part).select(F.col(label).alias("y"), "pred", F.lit(f).alias("fold"), F.lit("train").alias("side")))
         preds.append(predict(m, tr.where(F.col(fold) == f)).select(F.col(label).alias("y"), "pred", F.lit(f).alias("fold"),
                                                                    F.lit("val").alias("side")))
@@ -257,7 +287,7 @@ def evaluate_trial(family: str, params: dict, train: DataFrame, test: DataFrame,
     for p in preds[1:]:
         allp = allp.unionByName(p)
     cv = {r["side"]: r for r in evaluate.cv_scores(allp).collect()}
-    m = fit_model(family, params, tr, features, label, seed, max_iter)
+    m = fit_model(family, params, tr, features, label, seed, max_iter, key)
     full = predict(m, tr).select(F.col(label).alias("y"), "pred", F.lit("train_val").alias("part")).unionByName(
         predict(m, te).select(F.col(label).alias("y"), "pred", F.lit("test").alias("part")))
     mm = {r["part"]: r["mcc"] for r in evaluate.mcc(full, by=["part"]).collect()}
@@ -286,12 +316,12 @@ def trial_table(spark: SparkSession, rows: list[tuple[Sequence[str], str, TrialR
 
 
 def tune(family: str, train: DataFrame, test: DataFrame, features: Sequence[str], label: str, n_trials: int = 10,
-         seed: int = 42, fold: str = "fold", max_iter: int = 20) -> list[TrialResult]:
+         seed: int = 42, fold: str = "fold", max_iter: int = 20, key: str | None = None) -> list[TrialResult]:
     """Seeded random search; keeps the Pareto-optimal trials on (val MCC, val recall)
     and drops those no better than random on train or test (E6, E7)."""
     rng = random.Random(f"{seed}-{family}-{len(features)}")
     res = [evaluate_trial(family, sample_params(family, rng, len(features)), train, test, features, label, fold,
-                          seed=seed, max_iter=max_iter) for _ in range(n_trials)]
+                          seed=seed, max_iter=max_iter, key=key) for _ in range(n_trials)]
     front = []
     for t in res:
         a, b = t.metrics["val_matthews_corrcoef"], t.metrics["val_recall_score"]
@@ -319,7 +349,7 @@ def learning_curve(train: DataFrame, features: Sequence[str], label: str, family
         val = tr.where(F.col(fold) == f)
         for frac in fractions:
             sub = ranked.where(F.col("_rk") < F.ceil(F.col("_n") * F.lit(frac))).drop("_h", "_rk", "_n")
-            m = fit_model(family, params, sub, features, label, seed, max_iter)
+            m = fit_model(family, params, sub, features, label, seed, max_iter, key)
             a = predict(m, sub).select(F.col(label).alias("y"), "pred", F.lit("train").alias("part"))
             b = predict(m, val).select(F.col(label).alias("y"), "pred", F.lit("val").alias("part"))
             rec = {r["part"]: r["macro_recall"] for r in evaluate.macro_recall(a.unionByName(b), by=["part"]).collect()}
@@ -330,10 +360,10 @@ def learning_curve(train: DataFrame, features: Sequence[str], label: str, family
 
 
 def final_fit(family: str, params: dict, train: DataFrame, test: DataFrame, features: Sequence[str], label: str,
-              seed: int = 42, max_iter: int = 20):
+              seed: int = 42, max_iter: int = 20, key: str | None = None):
     """Refit the chosen configuration on train union test."""
     both = assemble(train.unionByName(test, allowMissingColumns=True), features)
-    return fit_model(family, params, both, features, label, seed, max_iter)
+    return fit_model(family, params, both, features, label, seed, max_iter, key)
 
 
 def save_model(model, path: str) -> None:

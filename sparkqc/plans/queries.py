@@ -382,7 +382,7 @@ def _trial_query(family: str, params: dict, n_features: int = 16):
         train, test = _split_wide(spark, sf)
         ranking = features.ranked_features(features.anova_f(fx.long_view(spark, sf), "y", col="pos"), "pos")
         feats = [f"e{p}" for p in ranking[:n_features]]
-        t = learn.evaluate_trial(family, params, train, test, feats, "y", max_iter=10)
+        t = learn.evaluate_trial(family, params, train, test, feats, "y", max_iter=10, key="vec_id")
         return finish(learn.trial_table(spark, [(feats, "no", t)]))
     return q
 
@@ -518,6 +518,7 @@ QUERIES = {
     "naive_bayes_scores": _trial_query("GaussianNB", {"var_smoothing": 1e-9}),
     "adaboost_scores": _trial_query("AdaBoostClassifier", {"learning_rate": 0.01, "n_rounds": 5}),
     "mlp_scores": _trial_query("MultilayerPerceptronClassifier", {"hidden": [8]}),
+    "knn_scores": _trial_query("KNeighborsClassifier", {"n_neighbors": 5, "weights": "distance", "p": 1}),
     "learning_curve": q_learning_curve,
     "preprocess_train": q_preprocess_train,
     "final_score": q_final_score,

@@ -210,7 +210,7 @@ def search(train: DataFrame, test: DataFrame, key: str, label: str, normal: Sequ
                 use = feats + [f"cl_{i}" for i in range(1, n_clusters)]
                 f_tr = cut_lineage(f_tr)
             for fam in families:
-                for t in learn.tune(fam, f_tr, f_te, use, label, n_trials, seed, "fold", max_iter):
+                for t in learn.tune(fam, f_tr, f_te, use, label, n_trials, seed, "fold", max_iter, key=key):
                     rows.append((use, cl, t))
     trials = learn.trial_table(train.sparkSession, rows)
     trials = trials.withColumn("trial_id", F.monotonically_increasing_id())

@@ -86,4 +86,6 @@ def dedup_stream(stream: DataFrame, cols: list[str], event_time: str | None = No
     without one the default is distinct at read (``ingest.compile_table``)."""
     if event_time is None:
         raise ValueError("streaming dedup without event time keeps unbounded state; use compile_table")
+    if stream.schema[event_time].dataType.typeName() == "timestamp_ntz":  # watermarks need a zoned timestamp
+        stream = stream.withColumn(event_time, F.col(event_time).cast("timestamp"))
     return stream.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(cols)
