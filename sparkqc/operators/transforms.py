@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from sparkqc.functions.transforms import TRANSFORM_TYPES, apply_named, yeo_johnson_t
 from sparkqc.operators.normality import anderson_normal
 from sparkqc.operators.profile import keys, moments, per_column, small_table
+from sparkqc.session import spread
 
 
 def _yj_llf_by_grid(long: DataFrame, k: list[str], value: str, lam_col) -> DataFrame:
@@ -38,6 +39,7 @@ def fit_yeo_johnson(long: DataFrame, col="col", value: str = "v",
     10x finer grid around each column's best value (one scan each).
     """
     k = keys(col)
+    long = spread(long.select(*k, value))
     n_steps = int(round((stop - start) / step))
     grid = F.array(*[F.lit(start + i * step) for i in range(n_steps + 1)])
     best = small_table(_yj_llf_by_grid(long, k, value, grid).groupBy(*k)
@@ -62,6 +64,7 @@ def score_transforms(train: DataFrame, test: DataFrame | None = None, col="col",
     """
     k = keys(col)
     v = F.col(value)
+    train = spread(train.select(*k, value))
     sides = train.select(*k, v.alias(value), F.lit(True).alias("_train"))
     if test is not None:
         sides = sides.unionByName(test.select(*k, v.alias(value), F.lit(False).alias("_train")))
