@@ -76,6 +76,22 @@ def q_outlier_report_gaussian(spark, sf):
     return finish(outliers.outlier_report(lg, outliers.gaussian_bounds(lg)))
 
 
+def _events_long(spark, sf):
+    return fx.table(spark, sf, "events").select("event_id", F.lit("value").alias("col"), F.col("value").alias("v"))
+
+
+def q_cap_iqr(spark, sf):
+    """O4 'iqr' (fold 1.5) fitted and applied on events.value."""
+    ev = _events_long(spark, sf)
+    return finish(outliers.cap_long(ev, outliers.fit_capper(ev, "iqr")).select("event_id", "v"))
+
+
+def q_cap_gaussian(spark, sf):
+    """O4 'gaussian' (fold 3, sample std) fitted and applied on events.value."""
+    ev = _events_long(spark, sf)
+    return finish(outliers.cap_long(ev, outliers.fit_capper(ev, "gaussian")).select("event_id", "v"))
+
+
 # ------------------------------------------------------------- missing values
 
 def q_rows_with_missing(spark, sf):
@@ -105,6 +121,17 @@ def q_impute_median(spark, sf):
     return _impute_query(spark, sf, "median")
 
 
+def q_imputation_report(spark, sf):
+    return missing.imputation_report(missing.impute_plan(fx.holes_view(spark, sf), "vec_id", col="pos"), "pos")
+
+
+def q_drop_constant(spark, sf):
+    """P8 apply: the long frame without its constant columns (rows per column)."""
+    h = fx.holes_view(spark, sf)
+    kept = features.drop_constant_long(h, features.constant_columns(h, col="pos"), col="pos")
+    return kept.groupBy("pos").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 def q_constant_columns(spark, sf):
     return features.constant_columns(fx.holes_view(spark, sf), col="pos")
 
@@ -203,6 +230,21 @@ def q_duplicate_rows(spark, sf):
     return finish(dedup.duplicate_rows(fx.events_dup_view(spark, sf).select(*EVENT_COLS)))
 
 
+def q_append_compile(spark, sf):
+    """S3 + S4: the same delivery appended twice to a parquet table in the shared
+    checkpoint folder (history accumulates), then compiled with SELECT DISTINCT."""
+    import uuid
+
+    from sparkqc.session import ensure_checkpoint_dir
+    from sparkqc.sources import ingest
+
+    path = ensure_checkpoint_dir(spark).rstrip("/") + f"/tables/events-{uuid.uuid4().hex}"
+    batch = fx.events_dup_view(spark, sf).select(*EVENT_COLS)
+    ingest.append_table(batch, path)
+    ingest.append_table(batch, path)
+    return finish(ingest.compile_table(spark, path))
+
+
 def q_distinct_union(spark, sf):
     a = fx.table(spark, sf, "events").select("user_id", "event_type")
     b = fx.events_dup_view(spark, sf).select("user_id", "event_type")
@@ -466,6 +508,11 @@ QUERIES = {
     "impute_mean": q_impute_mean,
     "impute_median": q_impute_median,
     "constant_columns": q_constant_columns,
+    "imputation_report": q_imputation_report,
+    "drop_constant": q_drop_constant,
+    "cap_iqr": q_cap_iqr,
+    "cap_gaussian": q_cap_gaussian,
+    "append_compile": q_append_compile,
     "anderson_normal": q_anderson_normal,
     "anderson_holes": q_anderson_holes,
     "transform_log": q_transform_log,
