@@ -45,7 +45,9 @@ def classification_report(df: DataFrame, y: str = "y", pred: str = "pred") -> Da
     per_true = df.groupBy(F.col(y).alias("label")).agg(F.count(F.lit(1)).alias("support"),
                                                        F.count_if(F.col(pred) == F.col(y)).alias("tp"))
     per_pred = df.groupBy(F.col(pred).alias("label")).agg(F.count(F.lit(1)).alias("npred"))
-    cls = per_true.join(per_pred, "label", "full").fillna(0, ["support", "tp", "npred"])
+    labels = per_true.select("label").unionByName(per_pred.select("label")).distinct()  # one row per class
+    cls = (labels.join(F.broadcast(per_true), "label", "left").join(F.broadcast(per_pred), "label", "left")
+           .fillna(0, ["support", "tp", "npred"]))
     prec = F.coalesce(F.try_divide(F.col("tp").cast("double"), F.when(F.col("npred") > 0, F.col("npred"))), F.lit(0.0))
     rec = F.coalesce(F.try_divide(F.col("tp").cast("double"), F.when(F.col("support") > 0, F.col("support"))), F.lit(0.0))
     f1 = F.coalesce(F.try_divide(2 * F.col("precision") * F.col("recall"),
@@ -70,7 +72,7 @@ def cv_scores(df: DataFrame, y: str = "y", pred: str = "pred", fold: str = "fold
               by: Sequence[str] = ()) -> DataFrame:
     """E5: per (group, side) the mean over folds of MCC and macro recall."""
     keys = [*by, side, fold]
-    m = mcc(df, y, pred, keys).join(macro_recall(df, y, pred, keys), keys)
+    m = mcc(df, y, pred, keys).join(F.broadcast(macro_recall(df, y, pred, keys)), keys)  # one row per (side, fold)
     return m.groupBy(*by, side).agg(F.avg("mcc").alias("mcc"), F.avg("macro_recall").alias("macro_recall"),
                                     F.count(F.lit(1)).alias("n_folds"))
 

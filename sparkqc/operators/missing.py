@@ -36,8 +36,7 @@ def _ddl(cols: list) -> str:
 def missingness_corr(long: DataFrame, key: str, col: str = "col", value: str = "v") -> DataFrame:
     """A2: ``(col_a, col_b, r)`` for every pair of columns whose indicator varies (0 < n_missing < N)."""
     spark = long.sparkSession
-    prof = missing_profile(long, col, value).select(col, "n_missing").join(
-        long.groupBy(col).agg(F.count(F.lit(1)).alias("N")), col)
+    prof = long.groupBy(col).agg(F.count_if(F.col(value).isNull()).alias("n_missing"), F.count(F.lit(1)).alias("N"))
     varying = prof.where((F.col("n_missing") > 0) & (F.col("n_missing") < F.col("N")))
     info = {r[col]: (r["n_missing"], r["N"]) for r in varying.collect()}  # one row per column
     cols = sorted(info)
@@ -67,15 +66,15 @@ def impute_plan(long: DataFrame, key: str, col: str = "col", value: str = "v", d
     """
     prof = missing_profile(long, col, value)
     mo = moments(long, col, value).select(col, "skew")
-    p = prof.join(mo, col).where(F.col("n_missing") > 0)
+    p = prof.join(per_column(mo), col).where(F.col("n_missing") > 0)
     drop_flag = F.col("prop_missing") > drop_above
     corr = missingness_corr(long, key, col, value)
     dropped = p.where(drop_flag).select(F.col(col).alias("col_b"), F.lit(True).alias("_b_drop"))
-    c = corr.join(dropped, "col_b", "left")
+    c = corr.join(per_column(dropped), "col_b", "left")
     excluded = F.coalesce(F.col("_b_drop"), F.lit(False)) & (F.col("col_b") < F.col("col_a")) if strict_order else F.lit(False)
     strong = (c.where((F.abs("r") > corr_above) & ~excluded)
               .groupBy(F.col("col_a").alias(col)).agg(F.count(F.lit(1)).alias("n_strong")))
-    j = p.join(strong, col, "left").fillna(0, ["n_strong"])
+    j = p.join(per_column(strong), col, "left").fillna(0, ["n_strong"])
     strat = (F.when(drop_flag, "drop")
              .when(F.col("n_strong") - 1 <= 0, F.when((F.col("skew") > -skew_band) & (F.col("skew") < skew_band), "mean").otherwise("median"))
              .otherwise("iterative"))

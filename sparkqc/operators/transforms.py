@@ -86,7 +86,7 @@ def score_transforms(train: DataFrame, test: DataFrame | None = None, col="col",
     tr = tr.withColumn("_tv", apply_named(F.col("type"), v, lam))
     ad = anderson_normal(tr, [*k, "type"], "_tv")
     mo = moments(tr, [*k, "type"], "_tv").select(*k, "type", "skew", "kurt")
-    out = ad.join(mo, [*k, "type"]).join(allowed, [*k, "type"])
+    out = ad.join(per_column(mo), [*k, "type"]).join(per_column(allowed), [*k, "type"])
     return out.select(*k, "type", "n", F.when(~F.col("_nan"), F.col("a2")).alias("a2"), "crit", "skew", "kurt")
 
 

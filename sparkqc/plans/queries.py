@@ -80,16 +80,21 @@ def _events_long(spark, sf):
     return fx.table(spark, sf, "events").select("event_id", F.lit("value").alias("col"), F.col("value").alias("v"))
 
 
+def _cap_events(spark, sf, method):
+    """O4 fitted on the long shape, applied as one wide projection with literal bounds (no join)."""
+    fit = outliers.collect_fit(outliers.fit_capper(_events_long(spark, sf), method))  # one row per column
+    ev = fx.table(spark, sf, "events").select("event_id", "value")
+    return finish(outliers.cap_wide(ev, fit).select("event_id", F.col("value").alias("v")))
+
+
 def q_cap_iqr(spark, sf):
     """O4 'iqr' (fold 1.5) fitted and applied on events.value."""
-    ev = _events_long(spark, sf)
-    return finish(outliers.cap_long(ev, outliers.fit_capper(ev, "iqr")).select("event_id", "v"))
+    return _cap_events(spark, sf, "iqr")
 
 
 def q_cap_gaussian(spark, sf):
     """O4 'gaussian' (fold 3, sample std) fitted and applied on events.value."""
-    ev = _events_long(spark, sf)
-    return finish(outliers.cap_long(ev, outliers.fit_capper(ev, "gaussian")).select("event_id", "v"))
+    return _cap_events(spark, sf, "gaussian")
 
 
 # ------------------------------------------------------------- missing values
