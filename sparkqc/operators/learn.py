@@ -268,18 +268,28 @@ class TrialResult:
 
 
 def evaluate_trial(family: str, params: dict, train: DataFrame, test: DataFrame, features: Sequence[str], label: str,
-                   fold: str = "fold", k: int = 5, seed: int = 42, max_iter: int = 20, key: str | None = None) -> TrialResult:
+                   fold: str = "fold", k: int = 5, seed: int = 42, max_iter: int = 20, key: str | None = None,
+                   parallelism: int = 4) -> TrialResult:
     """E5: k fold fits (train / validation scores) + one refit (train / test scores) = 8 metrics.
 
-    All fold predictions go into one table scored by one grouped aggregation.
+    Fold fits are submitted from ``parallelism`` driver threads (concurrent Spark
+    jobs, like CrossValidator's parallelism); all fold predictions go into one
+    table scored by one grouped aggregation.
     """
+    from concurrent.futures import ThreadPoolExecutor
+
     tr = assemble(train, features)
     te = assemble(test, features)
     tr, _ = with_balanced_weight(tr, label)
-    preds = []
-    for f in range(1, k + 1):
+
+    def fold_fit(f):
         fit_part = tr.where(F.col(fold) != f)
-        m = fit_model(family, params, fit_part, features, label, seed, max_iter, key)
+        return f, fit_part, fit_model(family, params, fit_part, features, label, seed, max_iter, key)
+
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        fitted = list(pool.map(fold_fit, range(1, k + 1)))
+    preds = []
+    for f, fit_part, m in fitted:
         preds.append(predict(m, fit_part).select(F.col(label).alias("y"), "pred", F.lit(f).alias("fold"), F.lit("train").alias("side")))
         preds.append(predict(m, tr.where(F.col(fold) == f)).select(F.col(label).alias("y"), "pred", F.lit(f).alias("fold"),
                                                                    F.lit("val").alias("side")))

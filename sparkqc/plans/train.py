@@ -193,7 +193,8 @@ def search(train: DataFrame, test: DataFrame, key: str, label: str, normal: Sequ
     rows = []
     kmeans = {}
     for k in ks:
-        feats = ranking[:k]
+        top = set(ranking[:k])
+        feats = [c for c in cols if c in top]  # k best by F, kept in the original column order
         for cl in clustering:
             f_tr, f_te, use = tr_s, te_s, list(feats)
             if cl == "yes":
