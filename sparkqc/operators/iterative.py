@@ -8,8 +8,9 @@ predictors; the refill of the originally missing cells runs inside the tasks
 on Arrow batches (``mapInPandas``), as a sparse product with the round's
 coefficients. Written as Column expressions, rounds would nest p x 20 terms
 per column per round and Catalyst would inline them through every round; as a
-batch operator each round is a flat, vectorised step. The frame is
-checkpointed each round so lineage stays flat.
+batch operator each round is a flat, vectorised step. The input is
+checkpointed once; round r replays rounds 1..r-1 inside the batch step (cheap
+numpy work on cells) instead of writing the whole table every round.
 
 All columns get a regression (also complete ones), so NULLs seen only at
 prediction time are filled too. Rounds update all columns together (Jacobi
@@ -68,11 +69,15 @@ class IterativeImputerFit:
         return out
 
 
-def _moments(df: DataFrame, cols: Sequence[str]):
-    vec = VectorAssembler(inputCols=list(cols), outputCol="_vec").transform(df).select("_vec")
-    s = vec.select(Summarizer.metrics("mean", "variance").summary(F.col("_vec")).alias("s")).first()["s"]
-    corr = Correlation.corr(vec, "_vec").first()[0].toArray()
-    return np.asarray(s["mean"].toArray()), np.asarray(s["variance"].toArray()), np.nan_to_num(corr)
+def _moments(df: DataFrame, cols: Sequence[str], change: str | None = None):
+    """Mean, variance (and the max of ``change``) in one Summarizer pass; correlation in one more."""
+    extra = [change] if change else []
+    vec = VectorAssembler(inputCols=[*cols, *extra], outputCol="_vec").transform(df).select("_vec")
+    s = vec.select(Summarizer.metrics("mean", "variance", "max").summary(F.col("_vec")).alias("s")).first()["s"]
+    p = len(cols)
+    corr = Correlation.corr(vec, "_vec").first()[0].toArray()[:p, :p]
+    mx = float(s["max"].toArray()[p]) if change else float("inf")
+    return (np.asarray(s["mean"].toArray())[:p], np.asarray(s["variance"].toArray())[:p], np.nan_to_num(corr), mx)
 
 
 def _solve(mean, var, corr, t: int, n_nearest: int, ridge: float):
@@ -117,13 +122,14 @@ def _refill(df: DataFrame, cols: list, means: np.ndarray, rounds: list, mask_col
                 miss = pdf[mask_cols].to_numpy(dtype=bool)
             start = x
             for b0, idx, coef, has in rnds:
+                start = x
                 pred = np.broadcast_to(b0, x.shape).copy()
                 for k in range(idx.shape[1]):
                     pred += x[:, idx[:, k]] * coef[:, k]
                 x = np.where(miss & has, pred, x)
             res = pdf.copy()
             res[cols] = x
-            if track_change:
+            if track_change:  # change made by the last round
                 res["_chg"] = np.where(miss, np.abs(x - start), 0.0).max(axis=1) if x.shape[1] else 0.0
             yield res[[f.name for f in out_fields]]
 
@@ -132,30 +138,28 @@ def _refill(df: DataFrame, cols: list, means: np.ndarray, rounds: list, mask_col
 
 def fit_iterative_imputer(df: DataFrame, features: Sequence[str], max_iter: int = 10, n_nearest: int = 20,
                           ridge: float = 1e-3, tol: float = 1e-3) -> tuple[IterativeImputerFit, DataFrame]:
-    """Returns (fit, imputed frame). ``df`` keeps its other columns (keys, label)."""
+    """Returns (fit, imputed frame, lazy). ``df`` keeps its other columns (keys, label)."""
     cols = list(features)
     first = df.agg(*[F.avg(c).alias(c) for c in cols]).first()
     means = {c: (first[c] if first[c] is not None else 0.0) for c in cols}
     mu = np.array([means[c] for c in cols])
-    masks = [f"_m{i}" for i in range(len(cols))]
-    keep = [c for c in df.columns if c not in cols]
-    cur = cut_lineage(df.select(*keep, *[F.col(c).isNull().alias(m) for c, m in zip(cols, masks)],
-                                *[F.coalesce(F.col(c), F.lit(float(means[c]))).alias(c) for c in cols]))
+    base = cut_lineage(df.select(*df.columns))  # read once per pass, never rewritten
     fit = IterativeImputerFit(cols, means)
+    current = _refill(base, cols, mu, [])  # round 0: mean fill
     for _ in range(max_iter):
-        mean, var, corr = _moments(cur, cols)
+        current = current.persist()  # shared by the two statistics passes; recomputable from lineage
+        mean, var, corr, change = _moments(current, cols, "_chg" if fit.rounds else None)
+        current.unpersist()
+        scale = float(np.sqrt(np.max(var))) if len(var) else 1.0
+        if fit.rounds and scale > 0 and change / scale < tol:
+            break
         rnd = {}
         for t, c in enumerate(cols):
             b0, terms = _solve(mean, var, corr, t, n_nearest, ridge)
             rnd[c] = (b0, [(cols[j], b) for j, b in terms])
         fit.rounds.append(rnd)
-        step = IterativeImputerFit(cols, means, [rnd]).arrays()
-        cur = cut_lineage(_refill(cur, cols, mu, step, masks, track_change=True))
-        change = float(cur.agg(F.max("_chg")).first()[0] or 0.0)
-        scale = float(np.sqrt(np.max(var))) if len(var) else 1.0
-        if scale > 0 and change / scale < tol:
-            break
-    return fit, cur.select(*keep, *cols)
+        current = _refill(base, cols, mu, fit.arrays(), track_change=True)
+    return fit, _refill(base, cols, mu, fit.arrays())
 
 
 def apply_iterative(df: DataFrame, fit: IterativeImputerFit) -> DataFrame:
