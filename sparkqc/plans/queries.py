@@ -473,28 +473,15 @@ def q_preprocess_train(spark, sf):
 
 def q_final_score(spark, sf):
     """E-2 + E-3 end to end: fit the chain and a model on the wide view, then score every item."""
-    from sparkqc.operators import learn
     from sparkqc.plans import score as sc
-    from sparkqc.plans.train import fit_preprocess, search
+    from sparkqc.plans.train import final_model, fit_preprocess, search
 
     data = fx.holes_wide_view(spark, sf)
     prep, train, test = fit_preprocess(data, "vec_id", "y", relabel=False, iterative_rounds=2)
     res = search(train, test, "vec_id", "y", prep.normal, prep.non_normal, ks=(8,), families=("LogisticRegression",),
                  clustering=("yes",), n_trials=1, max_iter=10)
-    best = res.best.first()
-    if best is None:  # every trial was no better than random: fall back to a default configuration
-        best = {"column_list": res.ranking[:8], "best_params": {"C": "1.0"}, "model_name": "LogisticRegression"}
-    feats = [c for c in best["column_list"] if not c.startswith("cl_")]
-    params = {k: float(v) for k, v in best["best_params"].items()}
-    tr_s = features.apply_affine_wide(train, res.scaler)
-    te_s = features.apply_affine_wide(test, res.scaler)
-    km, n_cl = res.kmeans.get(len(feats), (None, 0))
-    use = list(best["column_list"])
-    if km is not None:
-        tr_s = cluster.cluster_dummies(km.transform(learn.assemble(tr_s, feats)).drop("features"), "cluster", n_cl, "cl_")
-        te_s = cluster.cluster_dummies(km.transform(learn.assemble(te_s, feats)).drop("features"), "cluster", n_cl, "cl_")
-    model = learn.final_fit(best["model_name"], params, tr_s, te_s, use, "y", max_iter=10)
-    sm = sc.ScoringModel(prep, res.scaler, feats, best["model_name"], model, km, n_cl)
+    model, base, fam, _, km, n_cl = final_model(train, test, "vec_id", "y", res)
+    sm = sc.ScoringModel(prep, res.scaler, base, fam, model, km, n_cl)
     return sc.score(sc.preprocess_new(data.drop("y"), prep), sm)
 
 

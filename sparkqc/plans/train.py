@@ -176,43 +176,67 @@ def fit_scaler(train: DataFrame, key: str, normal: Sequence[str], non_normal: Se
     return {r["col"]: (r["mean"], r["scale"]) for r in fit.collect()}
 
 
+def model_frame(df: DataFrame, scaler: dict, feats: Sequence[str], family: str, km=None, n_clusters: int = 0,
+                keep: Sequence[str] = ()) -> tuple[DataFrame, list]:
+    """Model input for one family: raw and scaled copies of ``feats`` side by side,
+    cluster dummies from k-means on the scaled copy (same rows, no join), and the
+    list of columns the family uses (scaled for LR/SVC/kNN/MLP, raw otherwise)."""
+    from pyspark.ml.feature import VectorAssembler
+
+    s_name = {c: f"_s_{c}" for c in feats}
+    frame = df.select(*keep, *feats, *[((F.col(c) - F.lit(float(scaler[c][0]))) / F.lit(float(scaler[c][1]))).alias(s_name[c])
+                                       for c in feats])
+    use = [s_name[c] for c in feats] if family in features.SCALED_FAMILIES else list(feats)
+    if km is not None:
+        vec = VectorAssembler(inputCols=[s_name[c] for c in feats], outputCol="_kvec").transform(frame)
+        frame = km.copy().setFeaturesCol("_kvec").setPredictionCol("cluster").transform(vec).drop("_kvec")
+        frame = cluster_dummies_frame(frame, n_clusters)
+        use += [f"cl_{i}" for i in range(1, n_clusters)]
+    return frame, use
+
+
+def cluster_dummies_frame(frame: DataFrame, n_clusters: int) -> DataFrame:
+    from sparkqc.operators import cluster
+
+    return cluster.cluster_dummies(frame, "cluster", n_clusters, "cl_").drop("cluster")
+
+
 def search(train: DataFrame, test: DataFrame, key: str, label: str, normal: Sequence[str], non_normal: Sequence[str],
            ks: Sequence[int] = (5, 10), families: Sequence[str] = ("LogisticRegression", "GaussianNB"),
            clustering: Sequence[str] = ("no", "yes"), n_trials: int = 2, folds: int = 5, seed: int = 42,
            threshold: float = 0.10, max_iter: int = 10) -> SearchResult:
     """Feature count x clustering x family grid; ANOVA ranking computed once
-    (F is invariant to the per-column affine scaling) and prefixes taken per k."""
+    (F is invariant to the per-column affine scaling) and prefixes taken per k.
+    Scaled families see scaled features, the others raw ones (P6)."""
     from sparkqc.operators import cluster, evaluate, learn
 
     cols = [*normal, *non_normal]
     scaler = fit_scaler(train, key, normal, non_normal)
-    tr_s = features.apply_affine_wide(train, scaler)
-    te_s = features.apply_affine_wide(test, scaler)
     ranking = features.ranked_features(features.anova_f(_long(train, key, cols).join(train.select(key, label), key), label))
-    tr_s = cut_lineage(split.stratified_folds(tr_s, label, key, folds, seed))
+    tr = cut_lineage(split.stratified_folds(train, label, key, folds, seed))
     rows = []
     kmeans = {}
     for k in ks:
         top = set(ranking[:k])
         feats = [c for c in cols if c in top]  # k best by F, kept in the original column order
         for cl in clustering:
-            f_tr, f_te, use = tr_s, te_s, list(feats)
+            km, n_cl = None, 0
             if cl == "yes":
-                vec = learn.assemble(tr_s, feats)
+                s_tr, _ = model_frame(tr, scaler, feats, "LinearSVC")
+                vec = learn.assemble(s_tr, [f"_s_{c}" for c in feats])
                 curve = cluster.wcss_curve(vec, ks=range(1, 11), seed=seed, max_iter=max_iter)
                 cdf = train.sparkSession.createDataFrame(curve, "x int, y double")
                 kn = cluster.knee(cdf, [], "x", "y").first()["knee"]
-                n_clusters = int(kn) if kn is not None else 2
-                model = cluster.fit_kmeans(vec, n_clusters, seed=seed, max_iter=max_iter)
-                kmeans[k] = (model, n_clusters)
-                f_tr = cluster.cluster_dummies(model.transform(vec).drop("features"), "cluster", n_clusters, "cl_")
-                f_te = cluster.cluster_dummies(model.transform(learn.assemble(te_s, feats)).drop("features"), "cluster",
-                                               n_clusters, "cl_")
-                use = feats + [f"cl_{i}" for i in range(1, n_clusters)]
-                f_tr = cut_lineage(f_tr)
+                n_cl = int(kn) if kn is not None else 2
+                km = cluster.fit_kmeans(vec, n_cl, seed=seed, max_iter=max_iter)
+                kmeans[k] = (km, n_cl)
             for fam in families:
+                f_tr, use = model_frame(tr, scaler, feats, fam, km, n_cl, keep=(key, label, "fold"))
+                f_te, _ = model_frame(test, scaler, feats, fam, km, n_cl, keep=(key, label))
+                f_tr = cut_lineage(f_tr)
+                names = [c[3:] if c.startswith("_s_") else c for c in use]
                 for t in learn.tune(fam, f_tr, f_te, use, label, n_trials, seed, "fold", max_iter, key=key):
-                    rows.append((use, cl, t))
+                    rows.append((names, cl, t))
     trials = learn.trial_table(train.sparkSession, rows)
     trials = trials.withColumn("trial_id", F.monotonically_increasing_id())
     named = trials.withColumnRenamed("clustering_indicator", "clustering")
@@ -222,3 +246,29 @@ def search(train: DataFrame, test: DataFrame, key: str, label: str, normal: Sequ
     if best.isEmpty():  # no trial within the gap: keep the best one anyway instead of failing
         best = cut_lineage(evaluate.select_best(named, float("inf"), **pick))
     return SearchResult(trials, best, ranking, scaler, kmeans)
+
+
+def final_model(train: DataFrame, test: DataFrame, key: str, label: str, res: SearchResult, max_iter: int = 10):
+    """L13 for the selected trial: (model, base features, family, kmeans, n_clusters)."""
+    from sparkqc.operators import learn
+
+    best = res.best.first()
+    if best is None:
+        raise RuntimeError("no trial was better than random on both train and test")
+    chosen = list(best["column_list"])
+    base = [c for c in chosen if not c.startswith("cl_")]
+    fam = best["model_name"]
+    params = {k: _num(v) for k, v in best["best_params"].items()}
+    km, n_cl = res.kmeans.get(len(base), (None, 0)) if any(c.startswith("cl_") for c in chosen) else (None, 0)
+    f_tr, use = model_frame(train, res.scaler, base, fam, km, n_cl, keep=(key, label))
+    f_te, _ = model_frame(test, res.scaler, base, fam, km, n_cl, keep=(key, label))
+    model = learn.final_fit(fam, params, f_tr, f_te, use, label, max_iter=max_iter, key=key)
+    return model, base, fam, params, km, n_cl
+
+
+def _num(v):
+    try:
+        f = float(v)
+    except (TypeError, ValueError):
+        return v
+    return int(f) if f.is_integer() and "." not in str(v) and "e" not in str(v).lower() else f

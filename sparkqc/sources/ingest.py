@@ -101,8 +101,8 @@ def all_null_columns(df: DataFrame, columns: list[str]) -> DataFrame:
 def file_verdicts(spark: SparkSession, path: str, df: DataFrame, contract: Contract) -> DataFrame:
     """V5: one row per file: ``(file_name, ok, reason)``; the first failing check wins
     (name, then column count, then an all-missing column)."""
-    names = df.select("file_name").distinct()
-    widths = header_widths(spark, path)
+    widths = header_widths(spark, path)  # every non-empty file, even one holding only its header
+    names = widths.select("file_name").unionByName(df.select("file_name")).distinct()
     nulls = all_null_columns(df, contract.columns)
     v = names.join(widths, "file_name", "left").join(nulls, "file_name", "left")
     reason = F.coalesce(
