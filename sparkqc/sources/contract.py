@@ -12,6 +12,7 @@ from pyspark.sql.types import DoubleType, IntegerType, StringType, StructField,
 _TYPES = {"float": DoubleType(), "double": DoubleType(), "int": IntegerType(), "integer": IntegerType()}
 
 
+# The delivery naming rule, prefix "wafer", date stamp 8 characters, time stamp 6 characters.
 @dataclass(frozen=True)
 class NamingRule:
     """``<prefix>_<date stamp>_<time stamp>.csv``; only the lengths of the stamps are checked."""
