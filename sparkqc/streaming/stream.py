@@ -55,7 +55,7 @@ def _validate_micro_batch(batch: DataFrame, contract: Contract) -> dict[str, Dat
 
 
 def ingest_stream(spark: SparkSession, path: str, contract: Contract, table_path: str, quarantine_path: str,
-                  checkpoint: str | None = None, available_now: bool = True):
+                  checkpoint: str | None = None, available_now: bool = True, max_files_per_trigger: int | None = None):
     """Append newly delivered files to the table; quarantine bad files and rows.
 
     ``trigger(availableNow=True)`` processes everything present and stops, which
@@ -67,7 +67,7 @@ def ingest_stream(spark: SparkSession, path: str, contract: Contract, table_path
         parts["bad_files"].withColumn("_epoch", F.lit(epoch_id)).write.mode("append").parquet(quarantine_path + "/files")
         parts["rejected_rows"].withColumn("_epoch", F.lit(epoch_id)).write.mode("append").parquet(quarantine_path + "/rows")
 
-    w = read_stream(spark, path, contract).writeStream.foreachBatch(handle).option(
+    w = read_stream(spark, path, contract, max_files_per_trigger).writeStream.foreachBatch(handle).option(
         "checkpointLocation", checkpoint or stream_checkpoint(spark, "ingest"))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start()

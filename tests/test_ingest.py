@@ -72,3 +72,21 @@ def test_stream_matches_batch(spark, tmpdir_path):
     q = ingest_stream(spark, src, CONTRACT, table, os.path.join(tmpdir_path, "q"), os.path.join(tmpdir_path, "ckpt"))
     q.awaitTermination(120)
     assert spark.read.parquet(table).count() == 4
+
+
+def test_stream_one_file_per_micro_batch(spark, tmpdir_path):
+    """Several micro-batches (one file each) give the same table as one batch run."""
+    from sparkqc.streaming.stream import ingest_stream
+
+    src = os.path.join(tmpdir_path, "in")
+    os.makedirs(src)
+    make_batch(src)
+    table = os.path.join(tmpdir_path, "table")
+    q = ingest_stream(spark, src, CONTRACT, table, os.path.join(tmpdir_path, "q"), os.path.join(tmpdir_path, "ckpt"),
+                      max_files_per_trigger=1)
+    q.awaitTermination(180)
+    got = spark.read.parquet(table)
+    assert sorted(r.Wafer for r in got.collect()) == ["w1", "w11", "w2", "w6"]
+    assert got.select("_epoch").distinct().count() >= 2  # really several micro-batches
+    batch = sorted(r.Wafer for r in ingest.validate_batches(spark, src, CONTRACT)["good"].collect())
+    assert batch == ["w1", "w11", "w2", "w6"]

@@ -103,3 +103,12 @@ def test_class_weights(spark):
     df = spark.createDataFrame([(i, 1 if i < 37 else 0) for i in range(837)], "k int, y int")
     w = {r.y: r.weight for r in profile.class_counts(df, "y").collect()}
     assert w[1] == pytest.approx(837 / (2 * 37)) and w[0] == pytest.approx(837 / (2 * 800))
+
+
+def test_approx_quantiles_close_to_exact(spark):
+    rng = np.random.default_rng(9)
+    x = list(rng.normal(size=2000))
+    df = long_df(spark, {"a": x})
+    a = profile.approx_quantiles(df, (0.25, 0.5, 0.75), names=("q1", "q2", "q3")).first()
+    for nm, q in (("q1", .25), ("q2", .5), ("q3", .75)):
+        assert abs(a[nm] - np_quantile(x, q)) < 0.01
