@@ -60,7 +60,7 @@ def log_norm_sf(z: Column) -> Column:
 
 def ad_critical(n: Column, level_index: int = AD_5PCT_INDEX) -> Column:
     """Critical value of A^2 at the chosen level for sample size n."""
-    nd = n.cast("double")
+    nd = F.when(n > 0, n.cast("double"))  # no values: no critical value (and no ANSI division error)
     return F.round(_lit(AD_NORMAL_CRITICAL[level_index]) / (F.lit(1.0) + F.lit(4.0) / nd - F.lit(25.0) / (nd * nd)), 3)
 
 

@@ -35,7 +35,8 @@ def anderson_normal(long: DataFrame, col="col", value: str = "v", strategy: str
     hi = lo + F.col("c").cast("double")
     term = (hi * hi - lo * lo) * log_norm_cdf(z) + ((n - lo) * (n - lo) - (n - hi) * (n - hi)) * log_norm_sf(z)
     out = r.groupBy(*k).agg(F.first("n").alias("n"), F.sum(term).alias("_s"))
-    a2 = -F.col("n").cast("double") - F.col("_s") / F.col("n").cast("double")
+    nn = F.when(F.col("n") > 0, F.col("n").cast("double"))
+    a2 = -nn - F.col("_s") / nn
     return (out.withColumn("a2", a2).withColumn("crit", ad_critical(F.col("n")))
             .withColumn("is_normal", F.coalesce(~(F.col("a2") > F.col("crit")), F.lit(True)))
             .drop("_s"))

@@ -62,15 +62,20 @@ def moments(long: DataFrame, col: str = "col", value: str = "v") -> DataFrame:
 
 
 def value_counts(long: DataFrame, col: str = "col", value: str = "v") -> DataFrame:
-    """Distinct (col, v) with multiplicity; collapses ties before any ranking."""
-    return long.where(F.col(value).isNotNull()).groupBy(*keys(col), value).agg(F.count(F.lit(1)).alias("c"))
+    """Distinct (col, v) with multiplicity ``c``; collapses ties before any ranking.
+
+    NULL cells form one row per column with ``c = 0``, so a column without any
+    value still appears (with NULL statistics) and never counts as data.
+    """
+    return long.groupBy(*keys(col), value).agg(F.count(F.col(value)).alias("c"))
 
 
 def ranked_values(long: DataFrame, col: str = "col", value: str = "v", strategy: str = "auto") -> DataFrame:
-    """``(col, v, c, cum_before, n)``: each distinct value with the number of smaller values."""
+    """``(col, v, c, cum_before, n)``: each distinct value with the number of smaller values
+    (``n`` = non-NULL values of the column)."""
     if strategy == "auto":
         strategy = choose_strategy(long, keys(col))  # raw rows per column bound the distinct values
-    return cumulative_sums(value_counts(long, col, value), keys(col), [value], weight="c",
+    return cumulative_sums(value_counts(long, col, value), keys(col), [F.asc_nulls_first(value)], weight="c",
                            out_before="cum_before", out_total="n", strategy=strategy)
 
 

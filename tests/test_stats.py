@@ -112,3 +112,11 @@ def test_approx_quantiles_close_to_exact(spark):
     a = profile.approx_quantiles(df, (0.25, 0.5, 0.75), names=("q1", "q2", "q3")).first()
     for nm, q in (("q1", .25), ("q2", .5), ("q3", .75)):
         assert abs(a[nm] - np_quantile(x, q)) < 0.01
+
+
+def test_all_null_column_keeps_a_row(spark):
+    df = long_df(spark, {"a": [1, 2, 3, 4], "empty": [None, None, None]})
+    q = {r.col: r for r in profile.quantiles(df, (0.5,), names=("med",)).collect()}
+    assert q["a"].med == 2.5 and q["empty"].med is None and q["empty"].n == 0
+    ad = {r.col: r for r in normality.anderson_normal(df).collect()}
+    assert ad["empty"].a2 is None and ad["a"].n == 4
