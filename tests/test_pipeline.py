@@ -127,3 +127,30 @@ def test_score_stream_equals_batch(spark, tmpdir_path):
     got = sorted(map(tuple, spark.read.parquet(out).select("vec_id", "e2", "e3").collect()))
     want = sorted(map(tuple, prep.apply(spark.read.parquet(src)).select("vec_id", "e2", "e3").collect()))
     assert got == want
+
+
+def test_full_scoring_chain_on_stream(spark, tmpdir_path):
+    """R2 with X2: preprocessing replay + scaling + a Spark ML model on a file stream."""
+    import os
+
+    from sparkqc.operators import learn
+    from sparkqc.plans import score as sc
+    from sparkqc.plans.train import PreprocessFit, model_frame
+    from sparkqc.streaming.stream import score_stream
+
+    wide = fx.wide_view(spark, SF001)
+    feats = ["e1", "e2", "e3", "e4"]
+    prep = PreprocessFit("vec_id", "y", [f"e{i}" for i in range(1, 65)], fallback_fill={c: 0.0 for c in feats})
+    scaler = {c: (0.0, 1.0) for c in feats}
+    frame, use = model_frame(wide, scaler, feats, "LinearSVC", keep=("vec_id", "y"))
+    model = learn.fit_model("LinearSVC", {"C": 1.0}, learn.assemble(frame, use), use, "y", max_iter=5)
+    sm = sc.ScoringModel(prep, scaler, feats, "LinearSVC", model)
+    src = os.path.join(tmpdir_path, "src")
+    wide.drop("y").write.parquet(src)
+    stream = spark.readStream.schema(spark.read.parquet(src).schema).parquet(src)
+    out = os.path.join(tmpdir_path, "out")
+    q = score_stream(stream, lambda d: sc.score(prep.apply(d), sm), out, os.path.join(tmpdir_path, "ck"))
+    q.awaitTermination(120)
+    got = sorted((r.vec_id, r.Pred_Output) for r in spark.read.parquet(out).collect())
+    want = sorted((r.vec_id, r.Pred_Output) for r in sc.score(prep.apply(spark.read.parquet(src)), sm).collect())
+    assert got == want and len(got) == wide.count()
