@@ -13,7 +13,6 @@ import random
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.ml import Model
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
     GBTClassifier,
@@ -377,12 +376,69 @@ def final_fit(family: str, params: dict, train: DataFrame, test: DataFrame, feat
 
 
 def save_model(model, path: str) -> None:
-    """MLWritable models are saved in Spark's format; relational ones as parameters."""
-    if isinstance(model, Model) or hasattr(model, "write"):
+    """Persist any fitted family: Spark ML models in their own format; naive Bayes
+    parameters as JSON; AdaBoost as its stumps (Spark format) plus weights; kNN
+    as its reference rows (parquet) plus parameters."""
+    import json
+    import os
+
+    if isinstance(model, _Wrapped):
+        os.makedirs(path, exist_ok=True)
+        m = model.model
+        with open(os.path.join(path, "gaussian_nb.json"), "w") as fh:
+            json.dump({"features": list(model.features), "classes": [float(c) for c in m.theta],
+                       "theta": [m.theta[c] for c in m.theta], "var": [m.var[c] for c in m.theta],
+                       "log_prior": [m.log_prior[c] for c in m.theta]}, fh)
+    elif isinstance(model, AdaBoostModel):
+        os.makedirs(path, exist_ok=True)
+        for i, st in enumerate(model.stumps):
+            st.write().overwrite().save(os.path.join(path, f"stump_{i}"))
+        with open(os.path.join(path, "adaboost.json"), "w") as fh:
+            json.dump({"alphas": model.alphas, "n_classes": model.n_classes, "label": model.label}, fh)
+    elif isinstance(model, KNNModel):
+        model.reference.write.mode("overwrite").parquet(os.path.join(path, "reference"))
+        with open(os.path.join(path, "knn.json"), "w") as fh:
+            json.dump({"features": list(model.features), "label": model.label, "key": model.key, "k": model.k,
+                       "p": model.p, "weights": model.weights}, fh)
+    elif hasattr(model, "write"):
         model.write().overwrite().save(path)
     else:
-        raise TypeError("only Spark ML models are persisted here; relational models live in fit tables")
+        raise TypeError(f"cannot persist {type(model).__name__}")
+
+
+_SPARK_MODELS = {
+    "LogisticRegression": "LogisticRegressionModel", "LinearSVC": "LinearSVCModel",
+    "RandomForestClassifier": "RandomForestClassificationModel", "DecisionTreeClassifier": "DecisionTreeClassificationModel",
+    "GBTClassifier": "GBTClassificationModel", "MultilayerPerceptronClassifier": "MultilayerPerceptronClassificationModel",
+}
+
+
+def load_model(spark: SparkSession, family: str, path: str):
+    """Inverse of ``save_model``."""
+    import json
+    import os
+
+    from pyspark.ml import classification
+
+    if family == "GaussianNB":
+        with open(os.path.join(path, "gaussian_nb.json")) as fh:
+            d = json.load(fh)
+        cls = d["classes"]
+        m = GaussianNBModel(dict(zip(cls, d["theta"])), dict(zip(cls, d["var"])), dict(zip(cls, d["log_prior"])))
+        return _Wrapped(m, d["features"])
+    if family == "AdaBoostClassifier":
+        with open(os.path.join(path, "adaboost.json")) as fh:
+            d = json.load(fh)
+        stumps = [classification.DecisionTreeClassificationModel.load(os.path.join(path, f"stump_{i}"))
+                  for i in range(len(d["alphas"]))]
+        return AdaBoostModel(stumps, d["alphas"], d["n_classes"], d["label"])
+    if family == "KNeighborsClassifier":
+        with open(os.path.join(path, "knn.json")) as fh:
+            d = json.load(fh)
+        ref = spark.read.parquet(os.path.join(path, "reference"))
+        return KNNModel(ref, d["features"], d["label"], d["key"], d["k"], d["p"], d["weights"])
+    return getattr(classification, _SPARK_MODELS[family]).load(path)
 
 
 __all__ = ["FAMILIES", "DEFAULT_FAMILIES", "assemble", "evaluate_trial", "tune", "trial_table", "learning_curve",
-           "final_fit", "fit_model", "predict", "fit_adaboost", "fit_gaussian_nb_wide"]
+           "final_fit", "fit_model", "predict", "fit_adaboost", "fit_gaussian_nb_wide", "save_model", "load_model"]

@@ -132,26 +132,14 @@ def train(spark: SparkSession, table_path: str, out_dir: str, contract: Contract
             "test_recall": best["test_recall_score"]}
 
 
-_MODEL_LOADERS = {
-    "LogisticRegression": "pyspark.ml.classification.LogisticRegressionModel",
-    "LinearSVC": "pyspark.ml.classification.LinearSVCModel",
-    "RandomForestClassifier": "pyspark.ml.classification.RandomForestClassificationModel",
-    "DecisionTreeClassifier": "pyspark.ml.classification.DecisionTreeClassificationModel",
-    "GBTClassifier": "pyspark.ml.classification.GBTClassificationModel",
-    "MultilayerPerceptronClassifier": "pyspark.ml.classification.MultilayerPerceptronClassificationModel",
-}
-
-
 def load_scoring_model(model_dir: str) -> tuple[sc.ScoringModel, dict]:
-    import importlib
-
     from pyspark.ml.clustering import KMeansModel
+    from pyspark.sql import SparkSession as _S
 
     with open(os.path.join(model_dir, "pipeline.json")) as fh:
         meta = json.load(fh)
     prep = _prep_from_json(meta["prep"])
-    mod, cls = _MODEL_LOADERS[meta["family"]].rsplit(".", 1)
-    model = getattr(importlib.import_module(mod), cls).load(os.path.join(model_dir, "model"))
+    model = learn.load_model(_S.getActiveSession(), meta["family"], os.path.join(model_dir, "model"))
     km = KMeansModel.load(os.path.join(model_dir, "kmeans")) if meta["n_clusters"] else None
     sm = sc.ScoringModel(prep, {c: tuple(v) for c, v in meta["scaler"].items()}, meta["selected"], meta["family"], model,
                          km, meta["n_clusters"])

@@ -154,3 +154,22 @@ def test_full_scoring_chain_on_stream(spark, tmpdir_path):
     got = sorted((r.vec_id, r.Pred_Output) for r in spark.read.parquet(out).collect())
     want = sorted((r.vec_id, r.Pred_Output) for r in sc.score(prep.apply(spark.read.parquet(src)), sm).collect())
     assert got == want and len(got) == wide.count()
+
+
+@pytest.mark.parametrize("family,params", [("GaussianNB", {"var_smoothing": 1e-9}),
+                                           ("AdaBoostClassifier", {"learning_rate": 0.5, "n_rounds": 2}),
+                                           ("KNeighborsClassifier", {"n_neighbors": 3, "p": 2}),
+                                           ("LinearSVC", {"C": 1.0})])
+def test_model_save_load_roundtrip(spark, tmpdir_path, family, params):
+    import os
+
+    wide = fx.wide_view(spark, SF001)
+    feats = ["e1", "e2", "e3"]
+    df = learn.assemble(wide.select("vec_id", "y", *feats), feats)
+    m = learn.fit_model(family, params, df, feats, "y", max_iter=5, key="vec_id")
+    path = os.path.join(tmpdir_path, "m")
+    learn.save_model(m, path)
+    back = learn.load_model(spark, family, path)
+    a = sorted((r.vec_id, r.pred) for r in learn.predict(m, df).select("vec_id", "pred").collect())
+    b = sorted((r.vec_id, r.pred) for r in learn.predict(back, df).select("vec_id", "pred").collect())
+    assert a == b
