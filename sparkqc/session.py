@@ -26,8 +26,6 @@ def get_session(master: str | None = None, app: str = "sparkqc", shuffle_partiti
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
-        # wide (hundreds of sensors) projections stay in whole-stage codegen; Spark falls back if a method is too big
-        .config("spark.sql.codegen.maxFields", "1000")
         .config("spark.driver.memory", os.environ.get("SPARK_DRIVER_MEMORY", "16g"))
     )
     spark = builder.getOrCreate()
