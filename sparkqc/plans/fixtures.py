@@ -92,9 +92,9 @@ def preds_view(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def events_dup_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """events plus an exact second copy of every tenth event."""
+    """events plus the 'error' events delivered a second time (exact row copies)."""
     ev = table(spark, sf_dir, "events")
-    return ev.unionByName(ev.where(F.col("event_id") % 10 == 0))
+    return ev.unionByName(ev.where(F.col("event_type") == "error"))
 
 
 def names_view(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -135,7 +135,7 @@ SQL_PREDS = """preds AS (SELECT CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END A
     CASE WHEN l_discount >= 0.06e0 THEN 1 ELSE 0 END AS pred,
     CAST(l_orderkey % 5 AS INTEGER) AS fold, CAST(l_linenumber % 2 AS INTEGER) AS side FROM lineitem)"""
 
-SQL_EVENTS_DUP = """events_dup AS (SELECT * FROM events UNION ALL SELECT * FROM events WHERE event_id % 10 = 0)"""
+SQL_EVENTS_DUP = """events_dup AS (SELECT * FROM events UNION ALL SELECT * FROM events WHERE event_type = 'error')"""
 
 SQL_NAMES = """names AS (SELECT page_id, CASE page_id % 5 WHEN 0 THEN 'wafer_01012020_120000.csv'
     WHEN 1 THEN 'wafer_0101202_120000.csv' WHEN 2 THEN 'lot_01012020_120000.csv'
