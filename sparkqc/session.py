@@ -8,26 +8,53 @@ import tempfile
 from pyspark.sql import DataFrame, SparkSession
 
 
+def _launcher_conf() -> dict[str, str]:
+    """spark.* settings already fixed by a launcher (``spark-submit`` flags and
+    ``spark-defaults.conf``); empty when this process starts its own JVM."""
+    if not os.environ.get("PYSPARK_GATEWAY_PORT"):
+        return {}
+    from pyspark import SparkConf, SparkContext
+
+    SparkContext._ensure_initialized()  # attaches to the launcher's JVM (no new one)
+    return dict(SparkConf().getAll())
+
+
 def get_session(master: str | None = None, app: str = "sparkqc", shuffle_partitions: int | None = None) -> SparkSession:
     """Build (or reuse) a session tuned for the engine.
 
-    Only sets what is not already configured, so a cluster launcher's settings win.
+    Only sets what is not already configured, so a cluster launcher's settings win:
+    an active session is returned as it is, and under ``spark-submit`` the master,
+    shuffle partitions and memory given there are kept. ``master`` and
+    ``shuffle_partitions`` passed here (local tests, bench) are always applied.
     """
+    active = SparkSession.getActiveSession()
+    if active is not None and master is None and shuffle_partitions is None:
+        ensure_checkpoint_dir(active)
+        return active
     cpus = os.environ.get("BENCH_CPUS", "8")
-    builder = (
-        SparkSession.builder.appName(app)
-        .master(master or f"local[{cpus}]")
-        .config("spark.ui.enabled", "false")
-        .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions or int(cpus)))
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
-        .config("spark.driver.memory", os.environ.get("SPARK_DRIVER_MEMORY", "16g"))
-    )
+    launched = _launcher_conf()
+    defaults = {
+        "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.shuffle.partitions": str(int(cpus)),
+        "spark.sql.session.timeZone": "UTC",
+        "spark.sql.execution.arrow.pyspark.enabled": "true",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+        "spark.driver.memory": os.environ.get("SPARK_DRIVER_MEMORY", "16g"),
+    }
+    builder = SparkSession.builder.appName(app)
+    if master is not None:
+        builder = builder.master(master)
+    elif "spark.master" not in launched:
+        builder = builder.master(f"local[{cpus}]")
+    for key, value in defaults.items():
+        if key not in launched:
+            builder = builder.config(key, value)
+    if shuffle_partitions is not None:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
