@@ -64,8 +64,9 @@ def get_session(master: str | None = None, app: str = "sparkqc", shuffle_partiti
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the launcher sets it to a shared file system. Only when it is
-    unset (local tests) do we create one of our own.
+    On a cluster the launcher sets it to a shared file system; there an unset
+    folder is an error. Only on a local master (tests, bench) is a folder of
+    our own created when it is unset.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -73,6 +74,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is unset: name a folder every executor shares "
+                               "(lineage cuts must survive executor loss)")
         conf_dir = tempfile.mkdtemp(prefix="sparkqc-ckpt-")
         spark.conf.set("spark.checkpoint.dir", conf_dir)
     sc.setCheckpointDir(conf_dir)
