@@ -135,8 +135,12 @@ def append_table(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
-def compile_table(spark: SparkSession, path: str, drop: tuple[str, ...] = ("file_name",)) -> DataFrame:
-    """SELECT DISTINCT over the accumulated table (hash aggregate, map-side combine)."""
+def compile_table(spark: SparkSession, path: str, drop: tuple[str, ...] = ("file_name", "_epoch")) -> DataFrame:
+    """SELECT DISTINCT over the accumulated table (hash aggregate, map-side combine).
+
+    Bookkeeping columns (source file, stream epoch) are dropped first, so a file
+    delivered again later, or a micro-batch replayed after a failure, adds no rows.
+    """
     t = spark.read.option("mergeSchema", True).parquet(path)
     return t.drop(*[c for c in drop if c in t.columns]).distinct()
 

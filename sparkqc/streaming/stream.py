@@ -59,7 +59,10 @@ def ingest_stream(spark: SparkSession, path: str, contract: Contract, table_path
     """Append newly delivered files to the table; quarantine bad files and rows.
 
     ``trigger(availableNow=True)`` processes everything present and stops, which
-    makes the stream a restartable incremental batch job.
+    makes the stream a restartable incremental batch job. The appends are
+    at-least-once: a micro-batch replayed after a failure writes its rows again
+    under the same ``_epoch``; ``compile_table`` (DISTINCT without the
+    bookkeeping columns) removes them.
     """
     def handle(batch: DataFrame, epoch_id: int) -> None:
         parts = _validate_micro_batch(batch, contract)
