@@ -6,9 +6,10 @@ missing both,
 
     r = (N n_ab - n_a n_b) / sqrt(n_a (N - n_a) n_b (N - n_b)).
 
-n_ab is a partial aggregation over the pairs of NULL cells inside each row (at
-most p^2 per row, bounded by the schema, combined map-side), so the matrix is
-never built row by row on the driver and no data rows are paired.
+n_ab is a partial aggregation over the pairs a < b of NULL cells inside each
+row (at most p(p-1)/2 per row, bounded by the schema, combined map-side); the
+aggregate is mirrored and the diagonal is n_a itself. The matrix is never built
+row by row on the driver and no data rows are paired.
 """
 
 from __future__ import annotations
@@ -42,10 +43,16 @@ def missingness_corr(long: DataFrame, key: str, col: str = "col", value: str = "
     cols = sorted(info)
     if not cols:
         return spark.createDataFrame([], f"col_a {_ddl(cols)}, col_b {_ddl(cols)}, r double")
-    holes = long.where(F.col(value).isNull() & F.col(col).isin(cols)).groupBy(key).agg(F.collect_list(col).alias("_m"))
-    co = (holes.select(F.explode("_m").alias("col_a"), "_m").select("col_a", F.explode("_m").alias("col_b"))
-          .groupBy("col_a", "col_b").agg(F.count(F.lit(1)).alias("n_ab")))
+    holes = (long.where(F.col(value).isNull() & F.col(col).isin(cols)).groupBy(key)
+             .agg(F.array_sort(F.collect_list(col)).alias("_m")))
+    # Only pairs a < b are emitted per row (each NULL cell meets the cells after it);
+    # the aggregate (<= p^2/2 rows) is mirrored, and the diagonal is n_missing itself.
+    upper = (holes.select(F.posexplode("_m").alias("_p", "col_a"), "_m")
+             .select("col_a", F.explode(F.slice("_m", F.col("_p") + 2, F.size("_m"))).alias("col_b"))
+             .groupBy("col_a", "col_b").agg(F.count(F.lit(1)).alias("n_ab")))
     stats = spark.createDataFrame([(c, int(a), int(n)) for c, (a, n) in info.items()], f"c {_ddl(cols)}, n_m long, N long")
+    co = (upper.unionByName(upper.select(F.col("col_b").alias("col_a"), F.col("col_a").alias("col_b"), "n_ab"))
+          .unionByName(stats.select(F.col("c").alias("col_a"), F.col("c").alias("col_b"), F.col("n_m").alias("n_ab"))))
     pairs = _column_pairs(spark, cols).join(co, ["col_a", "col_b"], "left").fillna(0, ["n_ab"])
     sa = stats.select(F.col("c").alias("col_a"), F.col("n_m").alias("na"), F.col("N"))
     sb = stats.select(F.col("c").alias("col_b"), F.col("n_m").alias("nb"))

@@ -76,6 +76,20 @@ def test_missingness_corr_against_numpy(spark):
             assert got[(names[i], names[j])] == pytest.approx(ref[i, j])
 
 
+
+def test_missingness_corr_many_holes_per_row(spark):
+    """Rows with up to ten NULL cells: every pair, both orders and the diagonal."""
+    rng = np.random.default_rng(7)
+    names = [f"c{i}" for i in range(10)]
+    mask = rng.random((10, 200)) < np.linspace(0.1, 0.6, 10)[:, None]
+    df = long_df(spark, {nm: [None if mask[i, r] else 1.0 for r in range(200)] for i, nm in enumerate(names)})
+    got = {(r.col_a, r.col_b): r.r for r in missing.missingness_corr(df, "k").collect()}
+    ref = np.corrcoef(mask.astype(float))
+    assert len(got) == 100
+    for i in range(10):
+        for j in range(10):
+            assert got[(names[i], names[j])] == pytest.approx(ref[i, j])
+
 def test_transform_gating_on_train_and_test(spark):
     train = long_df(spark, {"pos": [1, 2, 3, 4, 5], "zero": [0, 1, 2, 3, 4], "neg": [-1, 1, 2, 3, 4],
                             "negtest": [1, 2, 3, 4, 5]})
