@@ -29,6 +29,9 @@ def knn_neighbours(queries: DataFrame, reference: DataFrame, key: str, features:
     feats = list(features)
     nq = queries.count()
     nr = reference.count()
+    # Small inputs: shrink the blocks so the Bq x Br grid still gives every core a task.
+    per_side = math.ceil(math.sqrt(queries.sparkSession.sparkContext.defaultParallelism))
+    block_rows = min(block_rows, max(256, math.ceil(max(nq, nr) / per_side)))
     bq = max(1, math.ceil(nq / block_rows))
     br = max(1, math.ceil(nr / block_rows))
     qblk = F.pmod(F.xxhash64(F.col("_key")), F.lit(bq))
