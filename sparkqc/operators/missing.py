@@ -53,7 +53,8 @@ def missingness_corr(long: DataFrame, key: str, col: str = "col", value: str = "
     stats = spark.createDataFrame([(c, int(a), int(n)) for c, (a, n) in info.items()], f"c {_ddl(cols)}, n_m long, N long")
     co = (upper.unionByName(upper.select(F.col("col_b").alias("col_a"), F.col("col_a").alias("col_b"), "n_ab"))
           .unionByName(stats.select(F.col("c").alias("col_a"), F.col("c").alias("col_b"), F.col("n_m").alias("n_ab"))))
-    pairs = _column_pairs(spark, cols).join(co, ["col_a", "col_b"], "left").fillna(0, ["n_ab"])
+    # co has at most m^2 rows (m = columns with NULLs): bounded by the schema, never by the data
+    pairs = _column_pairs(spark, cols).join(F.broadcast(co), ["col_a", "col_b"], "left").fillna(0, ["n_ab"])
     sa = stats.select(F.col("c").alias("col_a"), F.col("n_m").alias("na"), F.col("N"))
     sb = stats.select(F.col("c").alias("col_b"), F.col("n_m").alias("nb"))
     j = pairs.join(F.broadcast(sa), "col_a").join(F.broadcast(sb), "col_b")
