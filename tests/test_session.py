@@ -22,3 +22,28 @@ def test_no_launcher_outside_spark_submit(monkeypatch):
 
 def test_checkpoint_dir_is_read_from_session(spark):
     assert ensure_checkpoint_dir(spark) == spark.sparkContext.getCheckpointDir()
+
+
+def test_cluster_master_needs_shared_checkpoint_dir():
+    """No machine-local fallback folder on a cluster master."""
+    import pytest
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Context:
+        master = "spark://cluster:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+        def getConf(self):
+            return Conf()
+
+    class Session:
+        sparkContext = Context()
+        conf = Conf()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(Session())
