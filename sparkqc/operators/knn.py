@@ -60,8 +60,11 @@ def knn_neighbours(queries: DataFrame, reference: DataFrame, key: str, features:
             qc = qx[s:s + chunk]
             acc = np.zeros((len(qc), len(rx)))
             for d in range(qx.shape[1]):
-                diff = np.abs(qc[:, d][:, None] - rx[:, d][None, :])
-                acc += diff * diff if p == 2 else diff ** p
+                diff = qc[:, d][:, None] - rx[:, d][None, :]
+                if p == 2:
+                    acc += diff * diff  # squaring needs no abs (same bits either sign)
+                else:
+                    acc += np.abs(diff) ** p
             if exclude_self:
                 acc[qkeys[s:s + chunk][:, None] == rkeys[None, :]] = np.inf
             kk = min(k, len(rx))
