@@ -19,7 +19,7 @@ from sparkqc.functions.stats import ad_critical, log_norm_cdf, log_norm_sf
 from sparkqc.operators.profile import keys, per_column, ranked_values
 
 
-def anderson_normal(long: DataFrame, col="col", value: str = "v", strategy: str = "auto") -> DataFrame:
+def anderson_normal(long: DataFrame, col="col", value: str = "v") -> DataFrame:
     """``(col..., n, a2, crit, is_normal)``; mean and ddof-1 std fitted per column.
 
     A constant column has no defined statistic (a2 NULL) and counts as normal,
@@ -27,7 +27,7 @@ def anderson_normal(long: DataFrame, col="col", value: str = "v", strategy: str
     """
     k = keys(col)
     stats = long.groupBy(*k).agg(F.avg(value).alias("_mean"), F.stddev_samp(value).alias("_sd"))
-    r = ranked_values(long, k, value, strategy).join(per_column(stats), k)
+    r = ranked_values(long, k, value).join(per_column(stats), k)
     sd = F.when(F.col("_sd") > 0, F.col("_sd"))
     z = (F.col(value) - F.col("_mean")) / sd
     n = F.col("n").cast("double")

@@ -13,9 +13,9 @@ from pyspark.sql import functions as F
 from sparkqc.operators.profile import moments, per_column, quantiles
 
 
-def iqr_bounds(long: DataFrame, fold: float = 1.5, col: str = "col", value: str = "v", strategy: str = "auto") -> DataFrame:
+def iqr_bounds(long: DataFrame, fold: float = 1.5, col: str = "col", value: str = "v") -> DataFrame:
     """O1: ``(col, lower, upper)`` = Q1 - fold*IQR, Q3 + fold*IQR (linear quantiles)."""
-    q = quantiles(long, (0.25, 0.75), col, value, names=("q1", "q3"), strategy=strategy)
+    q = quantiles(long, (0.25, 0.75), col, value, names=("q1", "q3"))
     iqr = F.col("q3") - F.col("q1")
     return q.select(col, (F.col("q1") - F.lit(fold) * iqr).alias("lower"), (F.col("q3") + F.lit(fold) * iqr).alias("upper"))
 

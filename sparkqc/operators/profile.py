@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkqc.functions.stats import unbiased_kurt, unbiased_skew
-from sparkqc.operators.ranking import choose_strategy, cumulative_sums
+from sparkqc.operators.ranking import cumulative_sums
 
 
 def keys(col) -> list[str]:
@@ -70,13 +70,11 @@ def value_counts(long: DataFrame, col: str = "col", value: str = "v") -> DataFra
     return long.groupBy(*keys(col), value).agg(F.count(F.col(value)).alias("c"))
 
 
-def ranked_values(long: DataFrame, col: str = "col", value: str = "v", strategy: str = "auto") -> DataFrame:
+def ranked_values(long: DataFrame, col: str = "col", value: str = "v") -> DataFrame:
     """``(col, v, c, cum_before, n)``: each distinct value with the number of smaller values
     (``n`` = non-NULL values of the column)."""
-    if strategy == "auto":
-        strategy = choose_strategy(long, keys(col))  # raw rows per column bound the distinct values
     return cumulative_sums(value_counts(long, col, value), keys(col), [F.asc_nulls_first(value)], weight="c",
-                           out_before="cum_before", out_total="n", strategy=strategy)
+                           out_before="cum_before", out_total="n")
 
 
 def _qname(p: float) -> str:
@@ -84,13 +82,13 @@ def _qname(p: float) -> str:
 
 
 def quantiles(long: DataFrame, probs: Sequence[float] = (0.25, 0.5, 0.75), col: str = "col", value: str = "v",
-              names: Sequence[str] | None = None, strategy: str = "auto") -> DataFrame:
+              names: Sequence[str] | None = None) -> DataFrame:
     """A4: exact linear-interpolation quantiles per column (pandas / numpy 'linear').
 
     Built on ranked distinct values, so no task ever holds a whole column.
     """
     names = list(names) if names else [_qname(p) for p in probs]
-    r = ranked_values(long, col, value, strategy)
+    r = ranked_values(long, col, value)
     nd = F.col("n").cast("double")
     aggs = []
     lo, hi = F.col("cum_before"), F.col("cum_before") + F.col("c")

@@ -4,17 +4,14 @@ Several operators need the rank of a value inside a group: exact quantiles,
 the Anderson-Darling statistic, stratified split quotas, ntile folds, the
 running maximum of the Pareto front. ``Window.partitionBy(group)`` sends a whole
 group to one task, which breaks when one column (or one class) holds a third of
-all rows. ``cumulative_sums`` therefore picks its strategy from measured group
-sizes:
-
-* every group <= ``max_group_rows`` rows: one window per group (one shuffle);
-* otherwise: range-partition the rows on (group, order) so a huge group is
-  spread over many tasks, checkpoint once so partition ids are fixed, take the
-  running sum inside each (partition, group) slice, and add the slice offset
-  from a table of per-slice totals (at most #partitions + #groups rows).
-
-Callers collapse ties first (``groupBy(group, value).count()``), so a heavy
-single value is one row with a large weight, never a large group of rows.
+all rows. So rows are range-partitioned on (group, order), which spreads a huge
+group over many tasks, checkpointed once so that partition ids are fixed,
+summed inside each (partition, group) slice, and shifted by the slice's offset
+from a table of per-slice totals (at most #partitions + #groups rows).
+
+There is one strategy at every size. Callers collapse ties first
+(``groupBy(group, value).count()``), so a heavy single value is one row with a
+large weight, and pass only key, group and order columns, never wide rows.
 """
 
 from __future__ import annotations
@@ -26,31 +23,15 @@ from pyspark.sql import functions as F
 
 from sparkqc.session import cut_lineage
 
-DEFAULT_MAX_GROUP_ROWS = 2_000_000
-
-
-def _max_group_rows(spark) -> int:
-    return int(spark.conf.get("sparkqc.rank.maxGroupRows", str(DEFAULT_MAX_GROUP_ROWS)))
-
 
-def choose_strategy(df: DataFrame, by: Sequence[str]) -> str:
-    """'window' when every group of ``df`` is small enough for one task, else 'range'.
-
-    ``df`` may be the raw input of a later tie-collapsing aggregate: its group
-    sizes bound the collapsed ones and cost only a scan with map-side counts.
-    A fixed choice can be forced with ``sparkqc.rank.strategy``.
-    """
-    forced = df.sparkSession.conf.get("sparkqc.rank.strategy", "auto")
-    if forced in ("window", "range"):
-        return forced
-    grp = df.groupBy(*by) if by else df.groupBy()
-    biggest = grp.agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0] or 0
-    return "window" if biggest <= _max_group_rows(df.sparkSession) else "range"
+def _ranged(df: DataFrame, by: Sequence[str], order: Sequence) -> DataFrame:
+    """``df`` dealt by (group, order) with the partition as column ``_pid``: data, hence stable under retries."""
+    cols = [*[F.col(b) for b in by], *[F.col(o) if isinstance(o, str) else o for o in order]]
+    return cut_lineage(df.repartitionByRange(*cols).withColumn("_pid", F.spark_partition_id()))
 
 
 def cumulative_sums(df: DataFrame, by: Sequence[str], order: Sequence, weight: str | None = None,
-                    out_before: str = "cum_before", out_total: str = "group_total",
-                    strategy: str = "auto") -> DataFrame:
+                    out_before: str = "cum_before", out_total: str = "group_total") -> DataFrame:
     """Add ``cum_before`` (sum of ``weight`` over rows strictly earlier in the group
     order) and ``group_total`` (sum over the group).
 
@@ -59,64 +40,40 @@ def cumulative_sums(df: DataFrame, by: Sequence[str], order: Sequence, weight: s
     """
     by = list(by)
     order_cols = [F.col(o) if isinstance(o, str) else o for o in order]
-    w = F.col(weight).cast("long") if weight else F.lit(1).cast("long")
-    src = df.withColumn("_w", w)
-    if strategy == "auto":
-        strategy = choose_strategy(df, by)
-    if strategy == "window":
-        win = Window.partitionBy(*by).orderBy(*order_cols)
-        out = (src.withColumn(out_before, F.coalesce(F.sum("_w").over(win.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-               .withColumn(out_total, F.sum("_w").over(Window.partitionBy(*by))))
-        return out.drop("_w")
-    return _range_cumulative(src, by, order_cols, out_before, out_total)
-
-
-def _range_cumulative(src: DataFrame, by: list[str], order_cols: list, out_before: str, out_total: str) -> DataFrame:
-    spark = src.sparkSession
-    n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = src.repartitionByRange(n_parts, *[F.col(b) for b in by], *order_cols).withColumn("_pid", F.spark_partition_id())
-    ranged = cut_lineage(ranged)  # partition ids are now data, stable under task retries
+    ranged = _ranged(df.withColumn("_w", F.col(weight).cast("long") if weight else F.lit(1).cast("long")), by, order)
     slices = ranged.groupBy("_pid", *by).agg(F.sum("_w").alias("_slice"))
     over_group = Window.partitionBy(*by)
     offsets = (slices
                .withColumn("_off", F.coalesce(F.sum("_slice").over(over_group.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
                .withColumn(out_total, F.sum("_slice").over(over_group))
-               .drop("_slice"))
+               .select("_pid", *[F.col(b).alias(f"_by_{b}") for b in by], "_off", out_total))
     local = Window.partitionBy("_pid", *by).orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, -1)
-    out = (ranged.withColumn("_local", F.coalesce(F.sum("_w").over(local), F.lit(0)))
-           .join(offsets, ["_pid", *by])
-           .withColumn(out_before, F.col("_off") + F.col("_local"))
-           .drop("_pid", "_off", "_local", "_w"))
-    return out
+    here = ranged.withColumn("_local", F.coalesce(F.sum("_w").over(local), F.lit(0)))
+    return (_join_slices(here, offsets, by)
+            .withColumn(out_before, F.col("_off") + F.col("_local"))
+            .drop("_off", "_local", "_w"))
+
 
+def _join_slices(rows: DataFrame, offsets: DataFrame, by: Sequence[str]) -> DataFrame:
+    """NULL groups are groups too."""
+    on = rows["_pid"] == offsets["_pid"]
+    for b in by:
+        on = on & rows[b].eqNullSafe(offsets[f"_by_{b}"])
+    return rows.join(offsets, on).drop(rows["_pid"]).drop(offsets["_pid"]).drop(*[f"_by_{b}" for b in by])
 
-def running_max_before(df: DataFrame, by: Sequence[str], order: Sequence, value: str, out: str = "max_before",
-                       strategy: str = "auto") -> DataFrame:
+
+def running_max_before(df: DataFrame, by: Sequence[str], order: Sequence, value: str, out: str = "max_before") -> DataFrame:
     """Max of ``value`` over rows strictly earlier in the group order (NULL for the first).
 
-    Same two strategies as ``cumulative_sums``; rows unique on ``by + order``.
+    Dealt like ``cumulative_sums``; rows unique on ``by + order``.
     """
     by = list(by)
     order_cols = [F.col(o) if isinstance(o, str) else o for o in order]
-    if strategy == "auto":
-        strategy = choose_strategy(df, by)
-    if strategy == "window":
-        win = (Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))).orderBy(*order_cols)
-        return df.withColumn(out, F.max(value).over(win.rowsBetween(Window.unboundedPreceding, -1)))
-    spark = df.sparkSession
-    n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    key = [F.col(b) for b in by]
-    ranged = cut_lineage(df.repartitionByRange(n_parts, *key, *order_cols).withColumn("_pid", F.spark_partition_id()))
-    gcols = ["_g"] if not by else by
-    if not by:
-        ranged = ranged.withColumn("_g", F.lit(0))
-    slices = ranged.groupBy("_pid", *gcols).agg(F.max(value).alias("_smax"))
-    offsets = slices.withColumn(
-        "_off", F.max("_smax").over(Window.partitionBy(*gcols).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1))
-    ).drop("_smax")
-    local = Window.partitionBy("_pid", *gcols).orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, -1)
-    res = (ranged.withColumn("_local", F.max(value).over(local))
-           .join(offsets, ["_pid", *gcols])
-           .withColumn(out, F.greatest(F.col("_off"), F.col("_local")))
-           .drop("_pid", "_off", "_local"))
-    return res.drop("_g") if not by else res
+    ranged = _ranged(df, by, order)
+    slices = ranged.groupBy("_pid", *by).agg(F.max(value).alias("_smax"))
+    earlier = Window.partitionBy(*by).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = slices.select("_pid", *[F.col(b).alias(f"_by_{b}") for b in by], F.max("_smax").over(earlier).alias("_off"))
+    local = Window.partitionBy("_pid", *by).orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, -1)
+    return (_join_slices(ranged.withColumn("_local", F.max(value).over(local)), offsets, by)
+            .withColumn(out, F.greatest(F.col("_off"), F.col("_local")))
+            .drop("_off", "_local"))

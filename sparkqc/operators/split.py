@@ -2,7 +2,8 @@
 
 Rows are ordered inside their class by ``md5(key || seed)`` (then key), ranked
 with the skew-safe ``cumulative_sums`` (one class may hold most rows), and
-compared to per-class quotas computed from the class counts (k rows).
+compared to per-class quotas computed from the class counts (k rows). Only key and
+label are ranked; the rank is joined back to the rows by key (unique).
 """
 
 from __future__ import annotations
@@ -32,8 +33,8 @@ def split_quotas(counts: dict, test_size: float = 0.2) -> dict:
 
 def _hash_rank(df: DataFrame, label: str, key: str, seed: int) -> DataFrame:
     h = F.md5(F.concat(F.col(key).cast("string"), F.lit(str(seed))))
-    ranked = cumulative_sums(df.withColumn("_h", h), [label], ["_h", key], out_before="_before", out_total="_n_c")
-    return ranked.withColumn("_rn", F.col("_before") + 1).drop("_before", "_h")
+    ranked = cumulative_sums(df.select(label, key).withColumn("_h", h), [label], ["_h", key], out_before="_before", out_total="_n_c")
+    return df.join(ranked.select(key, (F.col("_before") + 1).alias("_rn"), "_n_c"), key)
 
 
 def stratified_split(df: DataFrame, label: str, key: str, test_size: float = 0.2, seed: int = 42) -> DataFrame:

@@ -4,6 +4,7 @@ import math
 
 import numpy as np
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from sparkqc.operators import normality, profile, ranking
@@ -18,12 +19,11 @@ def np_quantile(x, q):
     return float(np.quantile(np.asarray(x, dtype=float), q))
 
 
-@pytest.mark.parametrize("strategy", ["window", "range"])
-def test_quantiles_match_numpy(spark, strategy):
+def test_quantiles_match_numpy(spark):
     rng = np.random.default_rng(1)
     data = {"a": list(rng.normal(size=101)), "b": [1, 1, 1, 2, 2, 5, 9, 9], "c": [3.0], "d": [7, None, 1, None, 4]}
     df = long_df(spark, data)
-    got = {r.col: r for r in profile.quantiles(df, (0.25, 0.5, 0.75), names=("q1", "q2", "q3"), strategy=strategy).collect()}
+    got = {r.col: r for r in profile.quantiles(df, (0.25, 0.5, 0.75), names=("q1", "q2", "q3")).collect()}
     for c, vals in data.items():
         x = [v for v in vals if v is not None]
         for nm, q in (("q1", .25), ("q2", .5), ("q3", .75)):
@@ -34,18 +34,18 @@ def test_range_ranks_equal_window_ranks(spark):
     rng = np.random.default_rng(2)
     rows = [(int(g), float(v)) for g, v in zip(rng.integers(0, 3, 500), rng.integers(0, 50, 500))]
     df = spark.createDataFrame(rows, "g long, v double").groupBy("g", "v").count()
-    a = {(r.g, r.v): (r.cum_before, r.group_total) for r in ranking.cumulative_sums(df, ["g"], ["v"], "count", strategy="window").collect()}
-    b = {(r.g, r.v): (r.cum_before, r.group_total) for r in ranking.cumulative_sums(df, ["g"], ["v"], "count", strategy="range").collect()}
+    w = Window.partitionBy("g")
+    by_window = df.select("g", "v", F.coalesce(F.sum("count").over(w.orderBy("v").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("b"), F.sum("count").over(w).alias("n"))
+    a = {(r.g, r.v): (r.b, r.n) for r in by_window.collect()}
+    b = {(r.g, r.v): (r.cum_before, r.group_total) for r in ranking.cumulative_sums(df, ["g"], ["v"], "count").collect()}
     assert a == b
 
 
-def test_running_max_strategies_agree(spark):
+def test_running_max(spark):
     rng = np.random.default_rng(3)
     rows = [(float(a), float(b)) for a, b in zip(rng.permutation(200), rng.random(200))]
     df = spark.createDataFrame(rows, "a double, b double")
-    w = {r.a: r.max_before for r in ranking.running_max_before(df, [], [F.desc("a")], "b", strategy="window").collect()}
-    r = {r.a: r.max_before for r in ranking.running_max_before(df, [], [F.desc("a")], "b", strategy="range").collect()}
-    assert w == r
+    w = {r.a: r.max_before for r in ranking.running_max_before(df, [], [F.desc("a")], "b").collect()}
     srt = sorted(rows, key=lambda t: -t[0])
     best = None
     for a, b in srt:
