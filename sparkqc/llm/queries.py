@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkqc.llm import langid, license_scan, sentencepiece_codec
+from sparkqc.llm import langid, license_scan, line_dedup, mixing, sentencepiece_codec
 from sparkqc.llm.common import table
 
 #: Folder of the public vocabulary files; "" means the installed package.
@@ -34,14 +34,29 @@ def op3_language_id(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+def op4_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return line_dedup.dedup_lines(table(spark, sf, "documents"))
+
+
 def op5_license_scan(spark: SparkSession, sf: str) -> DataFrame:
     return license_scan.digest(license_scan.scan(table(spark, sf, "documents")))
 
 
+def op7_source_mixing(spark: SparkSession, sf: str) -> DataFrame:
+    sized = mixing.sizes(table(spark, sf, "documents"))
+    taken = mixing.taken(mixing.mix(sized, mixing.targets(sized)))
+    return taken.select(F.col("id").alias("doc_id"), "size", "source_size", F.round("target", 6).alias("target"), "taken")
+
+
 QUERIES = {
     "op2_sentencepiece_codec": op2_sentencepiece_codec,
     "op3_language_id": op3_language_id,
+    "op4_line_dedup": op4_line_dedup,
     "op5_license_scan": op5_license_scan,
+    "op7_source_mixing": op7_source_mixing,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op4_line_dedup": line_dedup.ORACLE,
+    "op7_source_mixing": mixing.ORACLE,
+}
