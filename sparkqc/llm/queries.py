@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkqc.llm import langid, license_scan, line_dedup, mixing, sentencepiece_codec
+from sparkqc.llm import chat_format, langid, license_scan, line_dedup, mixing, repair_ids, sentencepiece_codec
 from sparkqc.llm.common import table
 
 #: Folder of the public vocabulary files; "" means the installed package.
@@ -42,21 +42,36 @@ def op5_license_scan(spark: SparkSession, sf: str) -> DataFrame:
     return license_scan.digest(license_scan.scan(table(spark, sf, "documents")))
 
 
+def op6_chat_format(spark: SparkSession, sf: str) -> DataFrame:
+    calls, results = chat_format.conversation_calls(table(spark, sf, "conversations"))
+    linked = chat_format.link(calls, results, chat_format.CONVERSATION_TOOLS)
+    return linked.select(F.col("conv").alias("conv_id"), F.col("id").alias("call_id"), "kind", "state", "level", "place",
+                         F.size("errors").cast("long").alias("n_errors"), "message", "n_rows")
+
+
 def op7_source_mixing(spark: SparkSession, sf: str) -> DataFrame:
     sized = mixing.sizes(table(spark, sf, "documents"))
     taken = mixing.taken(mixing.mix(sized, mixing.targets(sized)))
     return taken.select(F.col("id").alias("doc_id"), "size", "source_size", F.round("target", 6).alias("target"), "taken")
 
 
+def op8_token_ids(spark: SparkSession, sf: str) -> DataFrame:
+    path = repair_ids.write_ids(table(spark, sf, "documents"), tokenizer_path("word_bpe_49k.json"), repair_ids.shard_folder(spark))
+    return repair_ids.read_ids(spark, path)
+
+
 QUERIES = {
     "op2_sentencepiece_codec": op2_sentencepiece_codec,
     "op3_language_id": op3_language_id,
     "op4_line_dedup": op4_line_dedup,
     "op5_license_scan": op5_license_scan,
+    "op6_chat_format": op6_chat_format,
     "op7_source_mixing": op7_source_mixing,
+    "op8_token_ids": op8_token_ids,
 }
 
 ORACLE: dict[str, str] = {
     "op4_line_dedup": line_dedup.ORACLE,
+    "op6_chat_format": chat_format.ORACLE,
     "op7_source_mixing": mixing.ORACLE,
 }
