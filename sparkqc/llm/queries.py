@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkqc.llm import chat_format, langid, license_scan, line_dedup, mixing, repair_ids, sentencepiece_codec
+from sparkqc.llm import chat_format, langid, license_scan, line_dedup, mixing, ngram_jaccard, repair_ids, sentencepiece_codec
 from sparkqc.llm.common import table
 
 #: Folder of the public vocabulary files; "" means the installed package.
@@ -22,6 +22,10 @@ def tokenizer_path(name: str, folder: str = TOKENIZER_DIR) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_ngram_jaccard(spark: SparkSession, sf: str) -> DataFrame:
+    return ngram_jaccard.near_duplicates(table(spark, sf, "documents"), ngram_jaccard.Similarity(words=3, num=90, den=100))
+
+
 def op2_sentencepiece_codec(spark: SparkSession, sf: str) -> DataFrame:
     pieces = sentencepiece_codec.load_pieces(tokenizer_path("piece_bpe_32k.model"))
     coded = sentencepiece_codec.encode(table(spark, sf, "documents"), pieces)
@@ -61,6 +65,7 @@ def op8_token_ids(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_ngram_jaccard": op1_ngram_jaccard,
     "op2_sentencepiece_codec": op2_sentencepiece_codec,
     "op3_language_id": op3_language_id,
     "op4_line_dedup": op4_line_dedup,
