@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkqc.llm import chat_format, langid, license_scan, line_dedup, mixing, ngram_jaccard, repair_ids, sentencepiece_codec
+from sparkqc.llm import chat_format, langid, license_scan, line_dedup, mixing, ngram_jaccard, nn_descent, repair_ids, sentencepiece_codec, voronoi_knn
 from sparkqc.llm.common import table
 
 #: Folder of the public vocabulary files; "" means the installed package.
@@ -64,6 +64,14 @@ def op8_token_ids(spark: SparkSession, sf: str) -> DataFrame:
     return repair_ids.read_ids(spark, path)
 
 
+def op9_nearest_neighbours(spark: SparkSession, sf: str) -> DataFrame:
+    return nn_descent.nearest(table(spark, sf, "embeddings"), F.col("vec_id") % 20 == 0, 20)
+
+
+def op10_exact_top_k(spark: SparkSession, sf: str) -> DataFrame:
+    return voronoi_knn.top_k(table(spark, sf, "embeddings"), F.col("id") % 100 == 0, 10)
+
+
 QUERIES = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
     "op2_sentencepiece_codec": op2_sentencepiece_codec,
@@ -73,10 +81,13 @@ QUERIES = {
     "op6_chat_format": op6_chat_format,
     "op7_source_mixing": op7_source_mixing,
     "op8_token_ids": op8_token_ids,
+    "op9_nearest_neighbours": op9_nearest_neighbours,
+    "op10_exact_top_k": op10_exact_top_k,
 }
 
 ORACLE: dict[str, str] = {
     "op4_line_dedup": line_dedup.ORACLE,
     "op6_chat_format": chat_format.ORACLE,
     "op7_source_mixing": mixing.ORACLE,
+    "op10_exact_top_k": voronoi_knn.ORACLE,
 }
