@@ -29,6 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sparkqc.llm.common import staged, texts_of
 
@@ -193,18 +194,24 @@ def _scorer(key: str, model: LanguageModel) -> Scorer:
     return _KEPT[key]
 
 
-def predict(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of ``docs``: the id, ``lang_pred`` and ``score``."""
+def annotate(docs: DataFrame, model: LanguageModel, text_col: str = "text", pred_col: str = "lang_pred", score_col: str = "score") -> DataFrame:
+    """``docs`` with the prediction and its score in two more columns; columns of these names are replaced."""
     shared, key = docs.sparkSession.sparkContext.broadcast(model), uuid.uuid4().hex
+    rows = docs.drop(pred_col, score_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = _scorer(key, shared.value)
         for batch in batches:
-            found = [scorer.predict(t) for t in texts_of(batch.column(1))]
+            found = [scorer.predict(t) for t in texts_of(batch.column(text_col))]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())],
-                names=["id", "lang_pred", "score"])
+                [*batch.columns, pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())],
+                names=[*batch.schema.names, pred_col, score_col])
+
+    shape = T.StructType([*rows.schema.fields, T.StructField(pred_col, T.StringType()), T.StructField(score_col, T.DoubleType())])
+    return rows.mapInArrow(run, shape)
 
-    kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(
-        run, f"id {kind}, lang_pred string, score double").withColumnRenamed("id", id_col)
+
+def predict(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per row of ``docs``: the id, ``lang_pred`` and ``score``."""
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    return annotate(rows, model).select(F.col("id").alias(id_col), "lang_pred", "score")

@@ -101,23 +101,27 @@ def deletions(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id
     return judged.where("any").drop("any")
 
 
-def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of ``docs``: id, the text without its later repeated runs, ``n_lines`` and ``n_deleted``."""
-    found = deletions(docs, min_words, id_col, text_col).withColumnsRenamed({"id": "_id", "key": "_key", "lines": "_judged"})
-    rows = docs.select(*_document_key(id_col, text_col), F.col(text_col).alias("text")).join(
-        found, F.col("id").eqNullSafe(F.col("_id")) & (F.col("key") == F.col("_key")), "left")
-    parts = F.split("text", "\n", -1)
+def clean_lines(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with texts without their later repeated runs, and ``n_lines`` and ``n_deleted``; columns of these names are replaced."""
+    found = deletions(docs, min_words, id_col, text_col).withColumnsRenamed({"id": "_ld_id", "key": "_ld_key", "lines": "_ld_lines"})
+    rows = docs.join(found, F.col(id_col).eqNullSafe(F.col("_ld_id")) & (F.xxhash64(F.col(text_col)) == F.col("_ld_key")), "left")
+    parts = F.split(F.col(text_col), "\n", -1)
     # each judged line reaches to the next one, so lines without words go with the line before; those at the top stay
-    spans = F.transform("_judged", lambda x, i: F.struct(
-        x["pos"].alias("from"), F.when(i + 1 < F.size("_judged"), F.get(F.col("_judged"), i + 1)["pos"]).otherwise(F.size(parts)).alias("to"), x["gone"].alias("gone")))
-    head = F.slice(parts, 1, F.get(F.col("_judged"), F.lit(0))["pos"])
+    judged = F.col("_ld_lines")
+    spans = F.transform(judged, lambda x, i: F.struct(
+        x["pos"].alias("from"), F.when(i + 1 < F.size(judged), F.get(judged, i + 1)["pos"]).otherwise(F.size(parts)).alias("to"), x["gone"].alias("gone")))
+    head = F.slice(parts, 1, F.get(judged, F.lit(0))["pos"])
     kept = F.concat(head, F.flatten(F.transform(F.filter(spans, lambda x: ~x["gone"]), lambda x: F.slice(parts, x["from"] + 1, x["to"] - x["from"]))))
-    total = F.coalesce(F.size(parts), F.lit(0)).cast("long")
-    out = rows.withColumn("_kept", F.when(F.col("_judged").isNotNull(), kept))
-    return out.select(
-        F.col("id").alias(id_col), F.when(F.col("_kept").isNull(), F.col("text")).otherwise(F.array_join("_kept", "\n")).alias(text_col),
-        F.when(F.col("text").isNull(), 0).otherwise(total).cast("long").alias("n_lines"),
-        F.when(F.col("_kept").isNull(), 0).otherwise(total - F.size("_kept")).cast("long").alias("n_deleted"))
+    total = F.when(F.col(text_col).isNull(), 0).otherwise(F.size(parts)).cast("long")
+    out = rows.withColumn("_ld_kept", F.when(judged.isNotNull(), kept)).withColumns({
+        "n_lines": total, "n_deleted": F.when(F.col("_ld_kept").isNull(), 0).otherwise(total - F.size("_ld_kept")).cast("long")})
+    out = out.withColumn(text_col, F.when(F.col("_ld_kept").isNull(), F.col(text_col)).otherwise(F.array_join("_ld_kept", "\n")))
+    return out.drop("_ld_id", "_ld_key", "_ld_lines", "_ld_kept")
+
+
+def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per row of ``docs``: id, the text without its later repeated runs, ``n_lines`` and ``n_deleted``."""
+    return clean_lines(docs.select(id_col, text_col), min_words, id_col, text_col)
 
 
 ORACLE = r"""
