@@ -91,14 +91,19 @@ def test_splits_are_hypergeometric(spark):
     assert abs(np.mean(left) - 3) < 0.6 and 0.4 < np.var(left) < 2.4  # expectation 3, variance 1.105
 
 
+def taken_of(frame):
+    sized = mixing.sizes(frame)
+    return mixing.taken(mixing.mix(sized, mixing.targets(sized))).collect()
+
+
 def test_defined_results(spark, docs):
-    assert mixing.taken(mixing.mix(s := mixing.sizes(docs([])), mixing.targets(s))).count() == 0
+    assert taken_of(docs([])) == []
     rows = [(1, None, "en", "a", 0), (2, "", "en", "b", 0)]
-    got = mixing.taken(mixing.mix(s := mixing.sizes(docs(rows)), mixing.targets(s))).collect()
+    got = taken_of(docs(rows))
     assert [(r.size, r.target, r.taken) for r in got] == [(0, 0.0, 0)] * 2
     rows = [(None, "a b c", "en", None, 0), (7, "a b c", "en", "x", 0), (7, "a b c", "en", "x", 0), (7, "d", "en", "x", 0)]
     frame = docs(rows).selectExpr("*", "1 AS size", "2 AS target", "3 AS shard")
-    got = mixing.taken(mixing.mix(s := mixing.sizes(frame), mixing.targets(s))).collect()
+    got = taken_of(frame)
     assert len(got) == 4 and sum(r.taken for r in got if r.id == 7) == pytest.approx(9, abs=3)
 
 
