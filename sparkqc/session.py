@@ -39,7 +39,6 @@ def get_session(master: str | None = None, app: str = "sparkqc", shuffle_partiti
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.sql.shuffle.partitions": str(int(cpus)),
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
@@ -50,6 +49,9 @@ def get_session(master: str | None = None, app: str = "sparkqc", shuffle_partiti
         builder = builder.master(master)
     elif "spark.master" not in launched:
         builder = builder.master(f"local[{cpus}]")
+    local = (master or launched.get("spark.master", "local")).startswith("local") and not (master or launched.get("spark.master", "")).startswith("local-cluster")
+    if local:  # on a cluster Spark's own value stays
+        defaults["spark.sql.shuffle.partitions"] = str(int(cpus))
     for key, value in defaults.items():
         if key not in launched:
             builder = builder.config(key, value)
@@ -90,7 +92,5 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Before a CPU-heavy expansion (a parameter grid x rows): if the input has fewer
-    partitions than the cluster has cores, spread it round-robin; otherwise no-op."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    """Before a CPU-heavy expansion (a parameter grid x rows): deal the rows evenly; AQE sizes and splits the partitions."""
+    return df.hint("rebalance")

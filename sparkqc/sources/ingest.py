@@ -12,7 +12,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from sparkqc.sources.contract import Contract, name_ok
 
@@ -34,7 +34,7 @@ def raw_schema(contract: Contract) -> StructType:
                       + [StructField(CORRUPT, StringType(), True)])
 
 
-def read_batches(spark: SparkSession, path: str, contract: Contract) -> DataFrame:
+def read_batches(spark: SparkSession, path: str | list[str], contract: Contract) -> DataFrame:
     """All CSV files under ``path``; header skipped, columns bound by position
     to the contract names; ``file_name`` carried on every row."""
     df = (spark.read.schema(raw_schema(contract)).option("header", True).option("enforceSchema", True)
@@ -65,6 +65,8 @@ def typed(df: DataFrame, contract: Contract) -> DataFrame:
                 checks.append(F.when(F.length(raw) > contract.varchar_len[f.name], F.lit(f"{f.name} longer than {contract.varchar_len[f.name]}")))
         else:
             cast = raw.try_cast(f.dataType)
+            if isinstance(f.dataType, DoubleType):  # NaN and infinities are no measurements
+                cast = F.when(~F.isnan(cast) & (F.abs(cast) != F.lit(float("inf"))), cast)
             cols.append(cast.alias(f.name))
             checks.append(F.when(raw.isNotNull() & cast.isNull(), F.lit(f"bad value in {f.name}")))
     arity = F.when(F.col(CORRUPT).isNotNull(), F.lit("wrong number of fields"))
@@ -79,11 +81,12 @@ def quarantine_rows(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     return good, bad
 
 
-def header_widths(spark: SparkSession, path: str) -> DataFrame:
+def header_widths(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """V2 input: ``(file_name, n_header_cols)`` from the first line of each file.
 
     The header is the first line of the split starting at byte 0; ``min_by``
-    over a per-partition increasing id is a partial aggregate per file.
+    over a per-partition increasing id is a partial aggregate per file. A file
+    without a line has no row here.
     """
     txt = spark.read.text(path).select("value", F.col("_metadata.file_name").alias("file_name"),
                                        F.input_file_block_start().alias("_blk"), F.monotonically_increasing_id().alias("_i"))
@@ -98,9 +101,13 @@ def all_null_columns(df: DataFrame, columns: list[str]) -> DataFrame:
     return counts.select("file_name", zero.alias("n_all_null_cols"))
 
 
-def file_verdicts(spark: SparkSession, path: str, df: DataFrame, contract: Contract) -> DataFrame:
+def file_verdicts(spark: SparkSession, path: str | list[str], df: DataFrame, contract: Contract) -> DataFrame:
     """V5: one row per file: ``(file_name, ok, reason)``; the first failing check wins
-    (name, then column count, then an all-missing column)."""
+    (name, then column count, then an all-missing column).
+
+    ``df`` holds the cells as normalised text, so a column of unparsable values is not taken for a missing one
+    (its rows are rejected one by one); in a file without rows every column is missing.
+    """
     widths = header_widths(spark, path)  # every non-empty file, even one holding only its header
     names = widths.select("file_name").unionByName(df.select("file_name")).distinct()
     nulls = all_null_columns(df, contract.columns)
@@ -108,7 +115,7 @@ def file_verdicts(spark: SparkSession, path: str, df: DataFrame, contract: Contr
     reason = F.coalesce(
         F.when(~name_ok(F.col("file_name"), contract.naming), F.lit(REASON_NAME)),
         F.when(F.coalesce(F.col("n_header_cols"), F.lit(-1)) != contract.n_columns, F.lit(REASON_COLUMNS)),
-        F.when(F.coalesce(F.col("n_all_null_cols"), F.lit(0)) > 0, F.lit(REASON_ALL_NULL)))
+        F.when(F.coalesce(F.col("n_all_null_cols"), F.lit(contract.n_columns)) > 0, F.lit(REASON_ALL_NULL)))
     return v.select("file_name", reason.isNull().alias("ok"), reason.alias("reason"))
 
 
@@ -119,13 +126,12 @@ def route_files(df: DataFrame, verdicts: DataFrame) -> tuple[DataFrame, DataFram
     return good, bad
 
 
-def validate_batches(spark: SparkSession, path: str, contract: Contract) -> dict[str, DataFrame]:
+def validate_batches(spark: SparkSession, path: str | list[str], contract: Contract) -> dict[str, DataFrame]:
     """V1-V5 + S5 in one plan: ``good`` typed rows, ``rejected_rows``, ``bad_files``, ``verdicts``."""
     raw = read_batches(spark, path, contract)
     norm = normalise_nulls(raw, contract.columns)
-    t = typed(norm, contract)
-    verdicts = file_verdicts(spark, path, t, contract)
-    in_good_files, bad_files = route_files(t, verdicts)
+    verdicts = file_verdicts(spark, path, norm, contract)
+    in_good_files, bad_files = route_files(typed(norm, contract), verdicts)
     good, rejected = quarantine_rows(in_good_files)
     return {"good": good, "rejected_rows": rejected, "bad_files": bad_files, "verdicts": verdicts}
 

@@ -2,7 +2,7 @@
 
 New delivery files are picked up incrementally by the file source; the
 streaming checkpoint replaces "move the file to an archive". Each micro-batch
-runs the same batch validators (V1-V5, S5) through ``foreachBatch`` and
+gives its files to the batch validators (V1-V5, S5) through ``foreachBatch`` and
 appends to the table; scoring is stateless and runs unchanged on a stream.
 """
 
@@ -15,47 +15,32 @@ from pyspark.sql import functions as F
 
 from sparkqc.session import ensure_checkpoint_dir
 from sparkqc.sources import ingest
-from sparkqc.sources.contract import Contract, name_ok
+from sparkqc.sources.contract import Contract
+
+
+#: Files of one micro-batch at most: what bounds the list of paths on the driver.
+MAX_FILES = 1000
 
 
 def stream_checkpoint(spark: SparkSession, name: str) -> str:
     return ensure_checkpoint_dir(spark).rstrip("/") + f"/streams/{name}"
 
 
-def read_stream(spark: SparkSession, path: str, contract: Contract, max_files_per_trigger: int | None = None) -> DataFrame:
+def read_stream(spark: SparkSession, path: str, contract: Contract, max_files_per_trigger: int = MAX_FILES) -> DataFrame:
     """CSV file stream with the raw (text) contract schema and ``file_name``."""
     r = (spark.readStream.schema(ingest.raw_schema(contract)).option("header", True).option("enforceSchema", True)
          .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", ingest.CORRUPT))
-    if max_files_per_trigger:
-        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
+    r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     return r.csv(path).select("*", F.col("_metadata.file_name").alias("file_name"), F.col("_metadata.file_path").alias("file_path"))
 
 
-def _validate_micro_batch(batch: DataFrame, contract: Contract) -> dict[str, DataFrame]:
-    """V1-V5 and S5 on one micro-batch; headers are read from the batch's own files
-    (their paths are metadata, bounded by ``maxFilesPerTrigger``)."""
-    spark = batch.sparkSession
-    paths = [r[0] for r in batch.select("file_path").distinct().collect()]
-    norm = ingest.normalise_nulls(batch.drop("file_path"), contract.columns)
-    t = ingest.typed(norm, contract)
-    widths = ingest.header_widths(spark, paths) if paths else None
-    per_file = t.select("file_name").distinct().join(ingest.all_null_columns(t, contract.columns), "file_name", "left")
-    if widths is not None:
-        per_file = per_file.join(widths, "file_name", "left")
-    else:
-        per_file = per_file.withColumn("n_header_cols", F.lit(contract.n_columns))
-    reason = F.coalesce(
-        F.when(~name_ok(F.col("file_name"), contract.naming), F.lit(ingest.REASON_NAME)),
-        F.when(F.coalesce(F.col("n_header_cols"), F.lit(-1)) != contract.n_columns, F.lit(ingest.REASON_COLUMNS)),
-        F.when(F.coalesce(F.col("n_all_null_cols"), F.lit(0)) > 0, F.lit(ingest.REASON_ALL_NULL)))
-    verdicts = per_file.select("file_name", reason.isNull().alias("ok"), reason.alias("reason"))
-    in_good, bad_files = ingest.route_files(t, verdicts)
-    good, rejected = ingest.quarantine_rows(in_good)
-    return {"good": good, "rejected_rows": rejected, "bad_files": bad_files}
+def read_files(spark: SparkSession, path: str, max_files_per_trigger: int = MAX_FILES) -> DataFrame:
+    """``(file_path)`` of every line of newly delivered files, headers too, so that a file without rows is seen."""
+    return spark.readStream.option("maxFilesPerTrigger", max_files_per_trigger).text(path).select(F.col("_metadata.file_path").alias("file_path"))
 
 
 def ingest_stream(spark: SparkSession, path: str, contract: Contract, table_path: str, quarantine_path: str,
-                  checkpoint: str | None = None, available_now: bool = True, max_files_per_trigger: int | None = None):
+                  checkpoint: str | None = None, available_now: bool = True, max_files_per_trigger: int = MAX_FILES):
     """Append newly delivered files to the table; quarantine bad files and rows.
 
     ``trigger(availableNow=True)`` processes everything present and stops, which
@@ -65,12 +50,15 @@ def ingest_stream(spark: SparkSession, path: str, contract: Contract, table_path
     bookkeeping columns) removes them.
     """
     def handle(batch: DataFrame, epoch_id: int) -> None:
-        parts = _validate_micro_batch(batch, contract)
+        paths = [r[0] for r in batch.distinct().collect()]  # at most maxFilesPerTrigger
+        if not paths:
+            return
+        parts = ingest.validate_batches(spark, paths, contract)
         parts["good"].withColumn("_epoch", F.lit(epoch_id)).write.mode("append").parquet(table_path)
         parts["bad_files"].withColumn("_epoch", F.lit(epoch_id)).write.mode("append").parquet(quarantine_path + "/files")
         parts["rejected_rows"].withColumn("_epoch", F.lit(epoch_id)).write.mode("append").parquet(quarantine_path + "/rows")
 
-    w = read_stream(spark, path, contract, max_files_per_trigger).writeStream.foreachBatch(handle).option(
+    w = read_files(spark, path, max_files_per_trigger).writeStream.foreachBatch(handle).option(
         "checkpointLocation", checkpoint or stream_checkpoint(spark, "ingest"))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start()
