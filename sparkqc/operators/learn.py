@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from sparkqc.operators import evaluate
 from sparkqc.operators.ranking import cumulative_sums
+from sparkqc.sources import fits
 from sparkqc.session import cut_lineage
 
 # Tuned families and the order they are searched.
@@ -308,6 +309,10 @@ def evaluate_trial(family: str, params: dict, train: DataFrame, test: DataFrame,
     return TrialResult(family, params, metrics)
 
 
+#: Names of cluster dummies start so; they are in a trial's column list, but no features.
+DUMMY = "cl_"
+
+# Columns of the trial table and names of the metrics.
 TRIAL_SCHEMA = ("column_list array<string>, num_features int, model_name string, best_params map<string,string>, "
                 "clustering_indicator string, train_matthews_corrcoef double, val_matthews_corrcoef double, "
                 "train_recall_score double, val_recall_score double, train_val_matthews_corrcoef double, "
@@ -318,8 +323,8 @@ METRIC_NAMES = ("train_matthews_corrcoef", "val_matthews_corrcoef", "train_recal
 
 
 def trial_table(spark: SparkSession, rows: list[tuple[Sequence[str], str, TrialResult]]) -> DataFrame:
-    """The 13-column trial table (one row per retained trial)."""
-    data = [(list(cols), len(cols), t.family, {k: str(v) for k, v in t.params.items()}, clustering,
+    """The 13-column trial table (one row per retained trial); ``num_features`` is without cluster dummies."""
+    data = [(list(cols), sum(not c.startswith(DUMMY) for c in cols), t.family, {k: str(v) for k, v in t.params.items()}, clustering,
              *[float(t.metrics[m]) for m in METRIC_NAMES]) for cols, clustering, t in rows]
     return spark.createDataFrame(data, TRIAL_SCHEMA)
 
@@ -379,27 +384,18 @@ def save_model(model, path: str) -> None:
     """Persist any fitted family: Spark ML models in their own format; naive Bayes
     parameters as JSON; AdaBoost as its stumps (Spark format) plus weights; kNN
     as its reference rows (parquet) plus parameters."""
-    import json
-    import os
-
+    spark = SparkSession.getActiveSession()
     if isinstance(model, _Wrapped):
-        os.makedirs(path, exist_ok=True)
         m = model.model
-        with open(os.path.join(path, "gaussian_nb.json"), "w") as fh:
-            json.dump({"features": list(model.features), "classes": [float(c) for c in m.theta],
-                       "theta": [m.theta[c] for c in m.theta], "var": [m.var[c] for c in m.theta],
-                       "log_prior": [m.log_prior[c] for c in m.theta]}, fh)
+        fits.save_json(spark, {"features": list(model.features), "classes": [float(c) for c in m.theta], "theta": [m.theta[c] for c in m.theta],
+                               "var": [m.var[c] for c in m.theta], "log_prior": [m.log_prior[c] for c in m.theta]}, f"{path}/gaussian_nb")
     elif isinstance(model, AdaBoostModel):
-        os.makedirs(path, exist_ok=True)
         for i, st in enumerate(model.stumps):
-            st.write().overwrite().save(os.path.join(path, f"stump_{i}"))
-        with open(os.path.join(path, "adaboost.json"), "w") as fh:
-            json.dump({"alphas": model.alphas, "n_classes": model.n_classes, "label": model.label}, fh)
+            st.write().overwrite().save(f"{path}/stump_{i}")
+        fits.save_json(spark, {"alphas": model.alphas, "n_classes": model.n_classes, "label": model.label}, f"{path}/adaboost")
     elif isinstance(model, KNNModel):
-        model.reference.write.mode("overwrite").parquet(os.path.join(path, "reference"))
-        with open(os.path.join(path, "knn.json"), "w") as fh:
-            json.dump({"features": list(model.features), "label": model.label, "key": model.key, "k": model.k,
-                       "p": model.p, "weights": model.weights}, fh)
+        model.reference.write.mode("overwrite").parquet(f"{path}/reference")
+        fits.save_json(spark, {"features": list(model.features), "label": model.label, "key": model.key, "k": model.k, "p": model.p, "weights": model.weights}, f"{path}/knn")
     elif hasattr(model, "write"):
         model.write().overwrite().save(path)
     else:
@@ -415,28 +411,19 @@ _SPARK_MODELS = {
 
 def load_model(spark: SparkSession, family: str, path: str):
     """Inverse of ``save_model``."""
-    import json
-    import os
-
     from pyspark.ml import classification
 
     if family == "GaussianNB":
-        with open(os.path.join(path, "gaussian_nb.json")) as fh:
-            d = json.load(fh)
+        d = fits.load_json(spark, f"{path}/gaussian_nb")
         cls = d["classes"]
-        m = GaussianNBModel(dict(zip(cls, d["theta"])), dict(zip(cls, d["var"])), dict(zip(cls, d["log_prior"])))
-        return _Wrapped(m, d["features"])
+        return _Wrapped(GaussianNBModel(dict(zip(cls, d["theta"])), dict(zip(cls, d["var"])), dict(zip(cls, d["log_prior"]))), d["features"])
     if family == "AdaBoostClassifier":
-        with open(os.path.join(path, "adaboost.json")) as fh:
-            d = json.load(fh)
-        stumps = [classification.DecisionTreeClassificationModel.load(os.path.join(path, f"stump_{i}"))
-                  for i in range(len(d["alphas"]))]
+        d = fits.load_json(spark, f"{path}/adaboost")
+        stumps = [classification.DecisionTreeClassificationModel.load(f"{path}/stump_{i}") for i in range(len(d["alphas"]))]
         return AdaBoostModel(stumps, d["alphas"], d["n_classes"], d["label"])
     if family == "KNeighborsClassifier":
-        with open(os.path.join(path, "knn.json")) as fh:
-            d = json.load(fh)
-        ref = spark.read.parquet(os.path.join(path, "reference"))
-        return KNNModel(ref, d["features"], d["label"], d["key"], d["k"], d["p"], d["weights"])
+        d = fits.load_json(spark, f"{path}/knn")
+        return KNNModel(spark.read.parquet(f"{path}/reference"), d["features"], d["label"], d["key"], d["k"], d["p"], d["weights"])
     return getattr(classification, _SPARK_MODELS[family]).load(path)
 
 

@@ -14,6 +14,8 @@ row by row on the driver and no data rows are paired.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -64,13 +66,14 @@ def missingness_corr(long: DataFrame, key: str, col: str = "col", value: str = "
 
 
 def impute_plan(long: DataFrame, key: str, col: str = "col", value: str = "v", drop_above: float = 0.8,
-                corr_above: float = 0.6, skew_band: float = 0.5, strict_order: bool = True) -> DataFrame:
+                corr_above: float = 0.6, skew_band: float = 0.5, strict_order: bool = True, order: Sequence | None = None) -> DataFrame:
     """M1: ``(col, prop_missing, skew, strategy)`` for every column with a NULL.
 
     drop if share > 0.8; else 'mean' / 'median' (by |skew| < 0.5) when no other
     column's null indicator has |r| > 0.6 with it; else 'iterative'. With
     ``strict_order`` a column dropped earlier in column order is not counted
-    (the reference drops while it loops).
+    (columns are dropped in a loop over them). ``order`` lists the columns in
+    their table's order; without it ids are compared (numbers, never names).
     """
     prof = missing_profile(long, col, value)
     mo = moments(long, col, value).select(col, "skew")
@@ -79,7 +82,13 @@ def impute_plan(long: DataFrame, key: str, col: str = "col", value: str = "v", d
     corr = missingness_corr(long, key, col, value)
     dropped = p.where(drop_flag).select(F.col(col).alias("col_b"), F.lit(True).alias("_b_drop"))
     c = corr.join(per_column(dropped), "col_b", "left")
-    excluded = F.coalesce(F.col("_b_drop"), F.lit(False)) & (F.col("col_b") < F.col("col_a")) if strict_order else F.lit(False)
+    before = F.col("col_b") < F.col("col_a")
+    if order is not None:  # one row per column
+        places = long.sparkSession.createDataFrame([(x, i) for i, x in enumerate(order)], f"c {_ddl(list(order))}, i int")
+        for side in ("a", "b"):
+            c = c.join(per_column(places.select(F.col("c").alias(f"col_{side}"), F.col("i").alias(f"_i_{side}"))), f"col_{side}")
+        before = F.col("_i_b") < F.col("_i_a")
+    excluded = F.coalesce(F.col("_b_drop"), F.lit(False)) & before if strict_order else F.lit(False)
     strong = (c.where((F.abs("r") > corr_above) & ~excluded)
               .groupBy(F.col("col_a").alias(col)).agg(F.count(F.lit(1)).alias("n_strong")))
     j = p.join(per_column(strong), col, "left").fillna(0, ["n_strong"])

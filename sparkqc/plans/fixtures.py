@@ -63,6 +63,18 @@ def holes_wide_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     return emb.select("vec_id", (F.col("label") == 0).cast("int").alias("y"), *cols)
 
 
+def sensor_holes_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``holes`` with contract-like names (Sensor1, Sensor2, ... Sensor10), where the order of columns is not that of the text:
+    Sensor2 is dropped before Sensor10, whose gaps lie within its own; Sensor1 and Sensor12 share theirs."""
+    h = holes_view(spark, sf_dir)
+    k, p, null = F.col("vec_id"), F.col("pos"), F.lit(None).cast("double")
+    v = (F.when((p == 12) & (k % 9 == 0), null).when((p == 2) & (k % 20 < 17), null).when((p == 10) & (k % 20 < 15), null).otherwise(F.col("v")))
+    return h.select("vec_id", "y", F.concat(F.lit("Sensor"), p.cast("string")).alias("pos"), v.alias("v"))
+
+
+SENSORS = [f"Sensor{i}" for i in range(1, N_DIMS + 1)]
+
+
 def trials_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tuning results derived from ``part`` (one trial per part key)."""
     p = table(spark, sf_dir, "part")
@@ -123,6 +135,10 @@ SQL_HOLES = """holes AS (SELECT vec_id, y, pos, CASE
     WHEN pos = 9 THEN 1e0 / (v + 0.6e0)
     ELSE v END AS v FROM long)"""
 
+SQL_SENSOR_HOLES = SQL_HOLES.replace("holes AS", "holes0 AS", 1) + """,
+holes AS (SELECT vec_id, y, pos, CASE WHEN pos = 12 AND vec_id % 9 = 0 THEN NULL WHEN pos = 2 AND vec_id % 20 < 17 THEN NULL
+    WHEN pos = 10 AND vec_id % 20 < 15 THEN NULL ELSE v END AS v FROM holes0)"""
+
 SQL_TRIALS = """t0 AS (SELECT p_partkey AS trial_id, p_type AS family, p_size AS num_features,
     CASE WHEN p_partkey % 2 = 0 THEN 'yes' ELSE 'no' END AS clustering,
     ((p_partkey * 37) % 101) / 125e0 - 0.1e0 AS train_val_mcc, 0.4e0 + ((p_partkey * 29) % 50) / 125e0 AS train_val_recall,
@@ -144,7 +160,8 @@ SQL_NAMES = """names AS (SELECT page_id, CASE page_id % 5 WHEN 0 THEN 'wafer_010
 
 def with_views(*views: str) -> str:
     """``WITH`` prefix for an oracle query using the named fixture views."""
-    parts = {"long": [SQL_LONG], "holes": [SQL_LONG, SQL_HOLES], "trials": [SQL_TRIALS], "preds": [SQL_PREDS],
+    parts = {"long": [SQL_LONG], "holes": [SQL_LONG, SQL_HOLES], "sensor_holes": [SQL_LONG, SQL_SENSOR_HOLES],
+             "trials": [SQL_TRIALS], "preds": [SQL_PREDS],
              "events_dup": [SQL_EVENTS_DUP], "names": [SQL_NAMES]}
     out: list[str] = []
     for v in views:

@@ -234,11 +234,11 @@ ORACLE.update({
     "rows_with_missing": with_views("holes") + """SELECT vec_id, count(*) FILTER (WHERE v IS NULL) AS n_missing FROM holes
         GROUP BY vec_id HAVING count(*) FILTER (WHERE v IS NULL) > 0""",
     "missingness_corr": with_views("holes", *MISS_CORR) + f"SELECT pos_a, pos_b, {r6('r')} AS r FROM mcorr",
-    "impute_plan": with_views("holes", *MISS_CORR, f"""prof AS (SELECT pos, count(*) - count(v) AS nm,
+    "impute_plan": with_views("sensor_holes", *MISS_CORR, f"""prof AS (SELECT pos, count(*) - count(v) AS nm,
         (count(*) - count(v)) / count(*) AS prop, {skew_sql()} AS skew FROM holes GROUP BY pos)""",
         """strong AS (SELECT c.pos_a AS pos, count(*) AS n_strong FROM mcorr c LEFT JOIN prof p ON p.pos = c.pos_b
         WHERE abs(c.r) > 0.6e0 AND NOT (coalesce(p.prop > 0.8e0, false) AND c.pos_b < c.pos_a) GROUP BY c.pos_a)""")
-        + f"""SELECT p.pos, {r6('p.prop')} AS prop_missing, {r6('p.skew')} AS skew, CASE WHEN p.prop > 0.8e0 THEN 'drop'
+        + f"""SELECT 'Sensor' || p.pos AS pos, {r6('p.prop')} AS prop_missing, {r6('p.skew')} AS skew, CASE WHEN p.prop > 0.8e0 THEN 'drop'
         WHEN coalesce(s.n_strong, 0) - 1 <= 0 THEN CASE WHEN p.skew > -0.5e0 AND p.skew < 0.5e0 THEN 'mean' ELSE 'median' END
         ELSE 'iterative' END AS strategy FROM prof p LEFT JOIN strong s ON p.pos = s.pos WHERE p.nm > 0""",
     "impute_mean": with_views("holes") + f"SELECT vec_id, pos, {r6('coalesce(v, avg(v) OVER (PARTITION BY pos))')} AS v FROM holes",
@@ -366,14 +366,14 @@ ORACLE.update({
         SELECT event_id, """ + r6("least(greatest(value, lo), hi)") + " AS v FROM events CROSS JOIN b",
     "cap_gaussian": """WITH b AS (SELECT avg(value) - 3e0 * stddev_samp(value) AS lo, avg(value) + 3e0 * stddev_samp(value) AS hi FROM events)
         SELECT event_id, """ + r6("least(greatest(value, lo), hi)") + " AS v FROM events CROSS JOIN b",
-    "imputation_report": with_views("holes", *MISS_CORR, f"""prof AS (SELECT pos, count(*) - count(v) AS nm,
+    "imputation_report": with_views("sensor_holes", *MISS_CORR, f"""prof AS (SELECT pos, count(*) - count(v) AS nm,
         (count(*) - count(v)) / count(*) AS prop, {skew_sql()} AS skew FROM holes GROUP BY pos)""",
         """strong AS (SELECT c.pos_a AS pos, count(*) AS n_strong FROM mcorr c LEFT JOIN prof p ON p.pos = c.pos_b
         WHERE abs(c.r) > 0.6e0 AND NOT (coalesce(p.prop > 0.8e0, false) AND c.pos_b < c.pos_a) GROUP BY c.pos_a)""",
         """plan AS (SELECT p.pos, CASE WHEN p.prop > 0.8e0 THEN 'drop'
         WHEN coalesce(s.n_strong, 0) - 1 <= 0 THEN CASE WHEN p.skew > -0.5e0 AND p.skew < 0.5e0 THEN 'mean' ELSE 'median' END
         ELSE 'iterative' END AS strategy FROM prof p LEFT JOIN strong s ON p.pos = s.pos WHERE p.nm > 0)""")
-        + "SELECT pos AS Column_Name, strategy AS Impute_Strategy FROM plan WHERE strategy <> 'drop'",
+        + "SELECT 'Sensor' || pos AS Column_Name, strategy AS Impute_Strategy FROM plan WHERE strategy <> 'drop'",
     "drop_constant": with_views("holes", "const AS (SELECT pos FROM holes GROUP BY pos HAVING min(v) IS NOT DISTINCT FROM max(v))")
         + "SELECT pos, count(*) AS n_rows FROM holes WHERE pos NOT IN (SELECT pos FROM const) GROUP BY pos",
     "append_compile": with_views("events_dup") + f"SELECT DISTINCT event_id, user_id, event_type, {r6('value')} AS value, props FROM events_dup",

@@ -3,26 +3,26 @@
 ``prepare`` validates delivery files against a contract and appends the good
 rows to a table (bad files and rows go to a quarantine table). ``train``
 compiles the table, fits the preprocessing chain and a model, writes the report
-tables and persists every fitted artefact: a JSON document for the small fit
-parameters (one entry per column), a long fit table (S7) for audit, and Spark
+tables and persists every fitted artefact, all through Spark's writers: a long
+fit table (S7) of every per-column stage, a JSON document for the rest, and Spark
 ML models in their own format. ``predict`` validates a new delivery folder and
 replays the chain with the saved artefacts.
 """
 
 from __future__ import annotations
 
-import json
 import os
 from dataclasses import asdict, fields
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkqc.operators import learn
+from sparkqc.operators import evaluate, learn, split
 from sparkqc.operators.iterative import IterativeImputerFit
 from sparkqc.plans import score as sc
-from sparkqc.plans.train import PreprocessFit, final_model, fit_preprocess, search
+from sparkqc.plans.train import PreprocessFit, final_model, fit_preprocess, model_frame, search
 from sparkqc.sources import fits, ingest
+from sparkqc.session import cut_lineage
 from sparkqc.sources.contract import Contract
 
 ROW_KEY = "_row_key"
@@ -39,6 +39,21 @@ REPORT_LAYOUT = {
                                                              "prop_outliers": "Prop_Outliers"}),
     "best_transformation": ("Best_Transformation_Non_Gaussian", {"col": "Variable", "type": "Transformation_Type",
                                                                  "a2": "Test-stats"}),
+    "duplicate_rows": ("Duplicated_Rows", None),
+    "rows_with_missing": ("Rows_with_Missing_Values", None),
+    "train_set": ("Train_Set", None),
+    "test_set": ("Test_Set", None),
+}
+
+
+#: Stages of the fit table: their statistics in order, and which of them is text.
+FIT_STAGES = {
+    "simple_fill": (("fill",), None),
+    "fallback_fill": (("fill",), None),
+    "cap_iqr": (("lower", "upper"), None),
+    "cap_gaussian": (("lower", "upper"), None),
+    "transforms": (("type", "lam"), "type"),
+    "scaler": (("centre", "scale"), None),
 }
 
 
@@ -75,23 +90,38 @@ def report_tables(prep: PreprocessFit) -> dict[str, DataFrame]:
 
 
 def _prep_to_json(prep: PreprocessFit) -> dict:
-    d = {f.name: getattr(prep, f.name) for f in fields(prep) if f.name not in ("reports", "iterative")}
+    d = {f.name: getattr(prep, f.name) for f in fields(prep) if f.name not in ("reports", "iterative", *FIT_STAGES)}
     d["iterative"] = asdict(prep.iterative) if prep.iterative is not None else None
-    d["transforms"] = {c: list(v) for c, v in prep.transforms.items()}
-    d["cap_iqr"] = {c: list(v) for c, v in prep.cap_iqr.items()}
-    d["cap_gaussian"] = {c: list(v) for c, v in prep.cap_gaussian.items()}
     if d["iterative"] is not None:
         d["iterative"]["rounds"] = [{t: [b0, [list(x) for x in terms]] for t, (b0, terms) in r.items()}
                                     for r in prep.iterative.rounds]
     return d
 
 
-def _prep_from_json(d: dict) -> PreprocessFit:
+def _fit_rows(spark: SparkSession, prep: PreprocessFit, scaler: dict) -> DataFrame:
+    """Every per-column stage as rows of the fit table (one row per column and statistic)."""
+    rows = []
+    for stage, (kinds, text) in FIT_STAGES.items():
+        for c, v in (scaler if stage == "scaler" else getattr(prep, stage)).items():
+            values = v if isinstance(v, (tuple, list)) else (v,)
+            rows += [(stage, c, k, None, x) if k == text else (stage, c, k, None if x is None else float(x), None) for k, x in zip(kinds, values)]
+    rows += [(stage, c, "dropped", None, None) for stage in ("dropped_missing", "constant") for c in getattr(prep, stage)]
+    return spark.createDataFrame(rows, fits.FIT_SCHEMA)
+
+
+def _load_stages(spark: SparkSession, path: str) -> dict[str, dict]:
+    out = {}
+    for stage, (kinds, text) in FIT_STAGES.items():
+        stats = [k for k in kinds if k != text]
+        table = fits.load_fit(spark, path, stage, stats, [text] if text else [])
+        found = fits.fit_dict(table, "col", list(kinds))
+        out[stage] = {c: v[0] for c, v in found.items()} if len(kinds) == 1 else found
+    return out
+
+
+def _prep_from_json(d: dict, stages: dict[str, dict]) -> PreprocessFit:
     it = d.pop("iterative")
-    prep = PreprocessFit(**{k: v for k, v in d.items()})
-    prep.transforms = {c: tuple(v) for c, v in prep.transforms.items()}
-    prep.cap_iqr = {c: tuple(v) for c, v in prep.cap_iqr.items()}
-    prep.cap_gaussian = {c: tuple(v) for c, v in prep.cap_gaussian.items()}
+    prep = PreprocessFit(**d, **{k: v for k, v in stages.items() if k != "scaler"})
     if it is not None:
         rounds = [{t: (b0, [tuple(x) for x in terms]) for t, (b0, terms) in r.items()} for r in it["rounds"]]
         prep.iterative = IterativeImputerFit(it["columns"], it["means"], rounds)
@@ -111,39 +141,42 @@ def train(spark: SparkSession, table_path: str, out_dir: str, contract: Contract
     model, base, fam, params, km, n_cl = final_model(tr, te, ROW_KEY, label, res, max_iter)
     best = res.best.first()
     chosen = list(best["column_list"])
-    os.makedirs(out_dir, exist_ok=True)
     for name, df in report_tables(prep).items():
         ingest.write_report(df, os.path.join(out_dir, "reports", name))
     res.trials.write.mode("overwrite").parquet(os.path.join(out_dir, "reports", "Model_Results"))
     res.best.write.mode("overwrite").parquet(os.path.join(out_dir, "reports", "Best_Model_Results"))
-    fit_rows = [fits.to_fit_rows(spark.createDataFrame([(c, lo, hi) for c, (lo, hi) in d.items()],
-                                                       "col string, lower double, upper double"), stage, "col", ["lower", "upper"])
-                for stage, d in (("cap_iqr", prep.cap_iqr), ("cap_gaussian", prep.cap_gaussian)) if d]
-    for fr in fit_rows:
-        fits.save_fit(fr, os.path.join(out_dir, "fit_table"))
+    fits.save_fit(_fit_rows(spark, prep, res.scaler), os.path.join(out_dir, "fit_table"))
     learn.save_model(model, os.path.join(out_dir, "model"))
     if km is not None:
         km.write().overwrite().save(os.path.join(out_dir, "kmeans"))
-    meta = {"prep": _prep_to_json(prep), "scaler": {c: list(v) for c, v in res.scaler.items()}, "selected": base,
-            "family": fam, "params": params, "n_clusters": n_cl, "id_col": id_col, "label": label}
-    with open(os.path.join(out_dir, "pipeline.json"), "w") as fh:
-        json.dump(meta, fh)
+    meta = {"prep": _prep_to_json(prep), "selected": base, "family": fam, "params": params, "n_clusters": n_cl, "id_col": id_col, "label": label}
+    fits.save_json(spark, meta, os.path.join(out_dir, "pipeline.json"))
+    for name, df in final_reports(tr, te, label, res, base, fam, params, model, km, n_cl, max_iter).items():
+        ingest.write_report(df, os.path.join(out_dir, "reports", name))
     return {"family": fam, "features": chosen, "test_mcc": best["test_matthews_corrcoef"],
             "test_recall": best["test_recall_score"]}
 
 
+def final_reports(tr: DataFrame, te: DataFrame, label: str, res, base: list, fam: str, params: dict, model, km, n_cl: int, max_iter: int) -> dict[str, DataFrame]:
+    """Classification report and confusion table of the final model over all rows, and the learning curve of its configuration."""
+    every = tr.unionByName(te)
+    frame, use = model_frame(every, res.scaler, base, fam, km, n_cl, keep=(ROW_KEY, label))
+    told = learn.predict(model, learn.assemble(frame, use), "pred").withColumnRenamed(label, "y")
+    folded = split.stratified_folds(frame.select(ROW_KEY, label, *use), label, ROW_KEY)
+    return {"Classification_Report": evaluate.classification_report(told), "Confusion_Matrix": evaluate.confusion(told),
+            "Learning_Curve": learn.learning_curve(cut_lineage(folded), use, label, fam, params, ROW_KEY, max_iter=max_iter)}
+
+
 def load_scoring_model(model_dir: str) -> tuple[sc.ScoringModel, dict]:
     from pyspark.ml.clustering import KMeansModel
-    from pyspark.sql import SparkSession as _S
 
-    with open(os.path.join(model_dir, "pipeline.json")) as fh:
-        meta = json.load(fh)
-    prep = _prep_from_json(meta["prep"])
-    model = learn.load_model(_S.getActiveSession(), meta["family"], os.path.join(model_dir, "model"))
+    spark = SparkSession.getActiveSession()
+    meta = fits.load_json(spark, os.path.join(model_dir, "pipeline.json"))
+    stages = _load_stages(spark, os.path.join(model_dir, "fit_table"))
+    prep = _prep_from_json(meta["prep"], stages)
+    model = learn.load_model(spark, meta["family"], os.path.join(model_dir, "model"))
     km = KMeansModel.load(os.path.join(model_dir, "kmeans")) if meta["n_clusters"] else None
-    sm = sc.ScoringModel(prep, {c: tuple(v) for c, v in meta["scaler"].items()}, meta["selected"], meta["family"], model,
-                         km, meta["n_clusters"])
-    return sm, meta
+    return sc.ScoringModel(prep, stages["scaler"], meta["selected"], meta["family"], model, km, meta["n_clusters"]), meta
 
 
 def predict(spark: SparkSession, src_dir: str, contract: Contract, model_dir: str, out_path: str | None = None) -> DataFrame:
@@ -153,7 +186,7 @@ def predict(spark: SparkSession, src_dir: str, contract: Contract, model_dir: st
     feats = [c for c in contract.columns if c != meta["id_col"]]
     keyed = with_row_key(good, [meta["id_col"], *feats])
     prepped = sc.preprocess_new(keyed, sm.prep)
-    scored = sc.score(prepped, sm).join(keyed.select(ROW_KEY, meta["id_col"]).dropDuplicates([ROW_KEY]), ROW_KEY)
+    scored = sc.score(prepped, sm, keep=(meta["id_col"],))
     if out_path:
         ingest.write_predictions(scored, out_path)
     return scored

@@ -109,7 +109,7 @@ def q_missingness_corr(spark, sf):
 
 
 def q_impute_plan(spark, sf):
-    return finish(missing.impute_plan(fx.holes_view(spark, sf), "vec_id", col="pos"))
+    return finish(missing.impute_plan(fx.sensor_holes_view(spark, sf), "vec_id", col="pos", order=fx.SENSORS))
 
 
 def _impute_query(spark, sf, strategy):
@@ -127,7 +127,7 @@ def q_impute_median(spark, sf):
 
 
 def q_imputation_report(spark, sf):
-    return missing.imputation_report(missing.impute_plan(fx.holes_view(spark, sf), "vec_id", col="pos"), "pos")
+    return missing.imputation_report(missing.impute_plan(fx.sensor_holes_view(spark, sf), "vec_id", col="pos", order=fx.SENSORS), "pos")
 
 
 def q_drop_constant(spark, sf):

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkqc.functions.transforms import TRANSFORM_TYPES
-from sparkqc.operators import dedup, features, missing, normality, outliers, split
+from sparkqc.operators import dedup, features, missing, normality, outliers, profile, split
 from sparkqc.operators import transforms as tops
 from sparkqc.operators.iterative import IterativeImputerFit, apply_iterative, fit_iterative_imputer
 from sparkqc.operators.shape import to_long
@@ -70,7 +70,8 @@ def _long(df: DataFrame, key: str, cols: Sequence[str]) -> DataFrame:
 def _normal_split(df: DataFrame, key: str, cols: Sequence[str]) -> tuple[list, list]:
     if not cols:
         return [], []
-    return normality.normal_split(normality.anderson_normal(_long(df, key, cols), "col"), "col")
+    normal = set(normality.normal_split(normality.anderson_normal(_long(df, key, cols), "col"), "col")[0])
+    return [c for c in cols if c in normal], [c for c in cols if c not in normal]  # in the order of the columns
 
 
 def fit_preprocess(data: DataFrame, key: str, label: str, id_cols: Sequence[str] = (), test_size: float = 0.2,
@@ -96,8 +97,10 @@ def fit_preprocess(data: DataFrame, key: str, label: str, id_cols: Sequence[str]
 
     # M1: plan on train
     lt = _long(train, key, feats)
+    reports["duplicate_rows"] = dedup.duplicate_rows(data.select(*feats, label))
+    reports["rows_with_missing"] = profile.rows_with_missing_wide(sp, feats)
     reports["missing_profile"] = missing.missing_profile(lt)
-    plan = {r["col"]: r["strategy"] for r in missing.impute_plan(lt, key).collect()}  # one row per column
+    plan = {r["col"]: r["strategy"] for r in missing.impute_plan(lt, key, order=feats).collect()}  # one row per column
     fit.dropped_missing = [c for c in feats if plan.get(c) == "drop"]
     drop_log += [(c, REASON_MISSING) for c in fit.dropped_missing]
     kept = [c for c in feats if c not in fit.dropped_missing]
@@ -154,6 +157,7 @@ def fit_preprocess(data: DataFrame, key: str, label: str, id_cols: Sequence[str]
     test = cut_lineage(tops.apply_transforms_wide(test, fit.transforms))
     fit.normal, fit.non_normal = _normal_split(train, key, kept)
     reports["columns_dropped"] = spark.createDataFrame(drop_log, "Columns_Removed string, Reason string")
+    reports["train_set"], reports["test_set"] = train, test
     fit.reports = reports
     return fit, train, test
 
@@ -166,7 +170,7 @@ class SearchResult:
     best: DataFrame
     ranking: list
     scaler: dict
-    kmeans: dict = field(default_factory=dict)   # k features -> (model, n_clusters)
+    kmeans: dict = field(default_factory=dict)   # number of features of a trial, without dummies -> (model, n_clusters)
 
 
 def fit_scaler(train: DataFrame, key: str, normal: Sequence[str], non_normal: Sequence[str]) -> dict:
@@ -216,7 +220,7 @@ def search(train: DataFrame, test: DataFrame, key: str, label: str, normal: Sequ
     tr = cut_lineage(split.stratified_folds(train, label, key, folds, seed))
     rows = []
     kmeans = {}
-    for k in ks:
+    for k in sorted({min(k, len(ranking)) for k in ks}):  # no more features than there are
         top = set(ranking[:k])
         feats = [c for c in cols if c in top]  # k best by F, kept in the original column order
         for cl in clustering:
@@ -229,7 +233,7 @@ def search(train: DataFrame, test: DataFrame, key: str, label: str, normal: Sequ
                 kn = cluster.knee(cdf, [], "x", "y").first()["knee"]
                 n_cl = int(kn) if kn is not None else 2
                 km = cluster.fit_kmeans(vec, n_cl, seed=seed, max_iter=max_iter)
-                kmeans[k] = (km, n_cl)
+                kmeans[len(feats)] = (km, n_cl)
             for fam in families:
                 f_tr, use = model_frame(tr, scaler, feats, fam, km, n_cl, keep=(key, label, "fold"))
                 f_te, _ = model_frame(test, scaler, feats, fam, km, n_cl, keep=(key, label))

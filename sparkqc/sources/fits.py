@@ -9,6 +9,8 @@ apply time. Spark ML models use their own ``MLWritable`` format.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,8 +29,18 @@ def to_fit_rows(df: DataFrame, stage: str, col: str, stats: list[str], texts: li
     return out
 
 
-def save_fit(fit_rows: DataFrame, path: str, mode: str = "append") -> None:
-    fit_rows.write.mode(mode).parquet(path)
+def save_fit(fit_rows: DataFrame, path: str) -> None:
+    """All stages of one run; an earlier run's rows are replaced."""
+    fit_rows.write.mode("overwrite").parquet(path)
+
+
+def save_json(spark: SparkSession, value, path: str) -> None:
+    """One JSON document through Spark, so that any store Spark can write will do."""
+    spark.createDataFrame([(json.dumps(value),)], "value string").coalesce(1).write.mode("overwrite").text(path)
+
+
+def load_json(spark: SparkSession, path: str):
+    return json.loads(spark.read.text(path, wholetext=True).where("value <> ''").first()[0])
 
 
 def load_fit(spark: SparkSession, path: str, stage: str, stats: list[str], texts: list[str] = ()) -> DataFrame:

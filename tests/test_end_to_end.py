@@ -40,11 +40,15 @@ def test_prepare_train_predict(spark, tmpdir_path):
     assert res["family"] == "LogisticRegression" and len(res["features"]) == 3
     reports = set(os.listdir(os.path.join(out, "reports")))
     assert {"Missing_Values_Info", "Columns_Drop_from_Original", "Outliers_Info_Gaussian", "Best_Model_Results"} <= reports
+    assert {"Classification_Report", "Confusion_Matrix", "Learning_Curve", "Duplicated_Rows", "Rows_with_Missing_Values", "Train_Set", "Test_Set"} <= reports
+    assert spark.read.parquet(os.path.join(out, "reports", "Confusion_Matrix")).agg({"n": "sum"}).first()[0] == 180
+    stages = {r.stage for r in spark.read.parquet(os.path.join(out, "fit_table")).select("stage").distinct().collect()}
+    assert {"simple_fill", "fallback_fill", "cap_iqr", "scaler", "constant"} <= stages or {"simple_fill", "fallback_fill", "cap_gaussian", "scaler", "constant"} <= stages
     drops = {r.Columns_Removed: r.Reason for r in spark.read.parquet(os.path.join(out, "reports", "Columns_Drop_from_Original")).collect()}
     assert drops["Wafer"] == "Irrelevant column" and drops["Sensor6"] == "Constant variance"
     new = os.path.join(tmpdir_path, "new")
     write_batches(new, rng, n_files=1, rows=25, label=False, start=10)
     pred = pipeline.predict(spark, new, PRED_CONTRACT, out, os.path.join(tmpdir_path, "pred"))
     rows = pred.collect()
-    assert len(rows) == 25 and {r.Pred_Output for r in rows} <= {0, 1}
+    assert len(rows) == 25 and {r.Wafer for r in rows} == {f"W10-{i}" for i in range(25)} and {r.Pred_Output for r in rows} <= {0, 1}
     assert spark.read.parquet(os.path.join(tmpdir_path, "pred")).count() == 25

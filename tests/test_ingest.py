@@ -43,6 +43,38 @@ def test_verdicts_and_quarantine(spark, tmpdir_path):
     assert out["bad_files"].count() + out["verdicts"].where("ok").count() == 5
 
 
+def make_odd_batch(d):
+    hdr = "Wafer,Sensor1,Sensor2,Sensor3,Output"
+    write(d, "wafer_01012020_120000.csv", [hdr, "a1,NAN,1,1,1", "a2,Infinity,1,1,1", "a3,-inf,1,1,1", "a4,1,1,1,1", "a5,1,1,1,1.0e400"])
+    write(d, "wafer_02012020_120000.csv", [hdr])                                     # header only
+    write(d, "wafer_03012020_120000.csv", [hdr, "c1,1,x,1,1", "c2,1,y,1,1"])          # a column of unparsable text
+    write(d, "wafer_04012020_120000.csv", [hdr, "d1,1,NA,1,1", "d2,1,,1,1"])          # a column without values
+
+
+ODD_REASONS = {"wafer_01012020_120000.csv": None, "wafer_02012020_120000.csv": ingest.REASON_ALL_NULL, "wafer_03012020_120000.csv": None,
+               "wafer_04012020_120000.csv": ingest.REASON_ALL_NULL}
+
+
+def test_non_finite_cells_empty_files_and_unparsable_columns(spark, tmpdir_path):
+    make_odd_batch(tmpdir_path)
+    out = ingest.validate_batches(spark, tmpdir_path, CONTRACT)
+    assert {r.file_name: r.reason for r in out["verdicts"].collect()} == ODD_REASONS
+    assert [r.Wafer for r in out["good"].collect()] == ["a4"]
+    assert {r.Wafer: r._bad_reason for r in out["rejected_rows"].collect()} == {
+        "a1": "bad value in Sensor1", "a2": "bad value in Sensor1", "a3": "bad value in Sensor1", "a5": "bad value in Output", "c1": "bad value in Sensor2", "c2": "bad value in Sensor2"}
+
+
+def test_stream_sees_files_without_rows(spark, tmpdir_path):
+    from sparkqc.streaming.stream import ingest_stream
+
+    src = os.path.join(tmpdir_path, "in")
+    os.makedirs(src)
+    make_odd_batch(src)
+    ingest_stream(spark, src, CONTRACT, *(os.path.join(tmpdir_path, x) for x in ("table", "q", "ckpt"))).awaitTermination(120)
+    bad = {r.file_name: r.reason for r in spark.read.parquet(os.path.join(tmpdir_path, "q", "files")).collect()}
+    assert bad == {k: v for k, v in ODD_REASONS.items() if v}
+
+
 def test_append_and_compile(spark, tmpdir_path):
     src = os.path.join(tmpdir_path, "in")
     os.makedirs(src)

@@ -61,6 +61,15 @@ def test_impute_plan_branches(spark):
     assert plan == {"co1": "iterative", "co2": "iterative", "mostly": "drop", "sym": "mean", "skewed": "median"}
 
 
+def test_impute_plan_follows_the_order_of_the_columns(spark):
+    """Sensor2 (85 % missing) goes before Sensor10 (75 % missing, within it) is looked at, though "Sensor10" < "Sensor2"."""
+    v = np.random.default_rng(1).normal(size=200)
+    cols = {"Sensor2": [None if i % 20 < 17 else float(x) for i, x in enumerate(v)], "Sensor10": [None if i % 20 < 15 else float(i % 20) for i, x in enumerate(v)], "Sensor11": list(map(float, v))}
+    plan = lambda order: {r.col: r.strategy for r in missing.impute_plan(long_df(spark, cols), "k", order=order).collect()}
+    assert plan(["Sensor2", "Sensor10", "Sensor11"]) == {"Sensor2": "drop", "Sensor10": "mean"}
+    assert plan(["Sensor10", "Sensor2", "Sensor11"]) == {"Sensor2": "drop", "Sensor10": "iterative"}
+
+
 def test_missingness_corr_against_numpy(spark):
     n = 60
     a = [None if i % 3 == 0 else 1.0 for i in range(n)]

@@ -27,14 +27,22 @@ def test_fit_table_roundtrip(spark, tmpdir_path):
     cap = spark.createDataFrame([("s1", -1.0, 2.0), ("s2", 0.5, 0.75)], "col string, lower double, upper double")
     tr = spark.createDataFrame([("s1", "logarithmic", None), ("s3", "yeo-johnson", 0.25)], "col string, type string, lam double")
     path = os.path.join(tmpdir_path, "fits")
-    fits.save_fit(fits.to_fit_rows(cap, "cap_iqr", "col", ["lower", "upper"]), path)
-    fits.save_fit(fits.to_fit_rows(tr, "transform", "col", ["lam"], ["type"]), path)
+    earlier = spark.createDataFrame([("s1", -9.0, 9.0)], "col string, lower double, upper double")
+    fits.save_fit(fits.to_fit_rows(earlier, "cap_iqr", "col", ["lower", "upper"]), path)  # a run that is replaced
+    fits.save_fit(fits.to_fit_rows(cap, "cap_iqr", "col", ["lower", "upper"]).unionByName(fits.to_fit_rows(tr, "transform", "col", ["lam"], ["type"])), path)
     back = fits.fit_dict(fits.load_fit(spark, path, "cap_iqr", ["lower", "upper"]), "col", ["lower", "upper"])
     assert back == {"s1": (-1.0, 2.0), "s2": (0.5, 0.75)}
     t = fits.fit_dict(fits.load_fit(spark, path, "transform", ["lam"], ["type"]), "col", ["type", "lam"])
     assert t == {"s1": ("logarithmic", None), "s3": ("yeo-johnson", 0.25)}
 
 
+def test_json_through_spark(spark, tmpdir_path):
+    value = {"a": [1, 2.5, None], "é": {"x": "line\nbreak"}}
+    for _ in range(2):
+        fits.save_json(spark, value, os.path.join(tmpdir_path, "doc"))
+    assert fits.load_json(spark, os.path.join(tmpdir_path, "doc")) == value
+
+
 def test_drop_log_and_replay(spark):
     df = spark.createDataFrame([(1, "w", 1.0, 2.0, 3.0)], "k long, Wafer string, a double, b double, c double")
     out, log = features.drop_columns(df, ["Wafer"], "Irrelevant column")
