@@ -27,9 +27,9 @@ def main(argv=None) -> None:
     t.add_argument("--table", required=True)
     t.add_argument("--contract", required=True)
     t.add_argument("--out", required=True)
-    t.add_argument("--ks", default="5,10")
-    t.add_argument("--families", default="LogisticRegression,LinearSVC")
-    t.add_argument("--trials", type=int, default=2)
+    t.add_argument("--ks", default="", help="numbers of features, e.g. 5,10; all from 1 to 50 by default")
+    t.add_argument("--families", default="", help="all by default")
+    t.add_argument("--trials", type=int, default=pipeline.N_TRIALS)
     t.add_argument("--threshold", type=float, default=0.10)
     r = sub.add_parser("predict")
     r.add_argument("--src", required=True)
@@ -42,8 +42,8 @@ def main(argv=None) -> None:
     if a.cmd == "prepare":
         print(json.dumps(pipeline.prepare(spark, a.src, c, a.table, a.quarantine)))
     elif a.cmd == "train":
-        res = pipeline.train(spark, a.table, a.out, c, ks=tuple(int(x) for x in a.ks.split(",")),
-                             families=tuple(a.families.split(",")), n_trials=a.trials, threshold=a.threshold)
+        res = pipeline.train(spark, a.table, a.out, c, ks=tuple(int(x) for x in a.ks.split(",") if x) or None,
+                             families=tuple(x for x in a.families.split(",") if x) or None, n_trials=a.trials, threshold=a.threshold)
         print(json.dumps(res, default=str))
     else:
         pipeline.predict(spark, a.src, c, a.model, a.out)

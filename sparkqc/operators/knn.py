@@ -22,16 +22,21 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def _nearest(dist: np.ndarray, k: int) -> np.ndarray:
+    """Places of the k smallest, ties to the earlier place."""
+    if k < len(dist):
+        near = np.flatnonzero(dist <= np.partition(dist, k - 1)[k - 1])
+        return near[np.argsort(dist[near], kind="stable")[:k]]
+    return np.argsort(dist, kind="stable")
+
+
 def knn_neighbours(queries: DataFrame, reference: DataFrame, key: str, features: Sequence[str], label: str,
-                   k: int = 5, p: float = 2.0, exclude_self: bool = False, block_rows: int = 20000) -> DataFrame:
+                   k: int = 5, p: float = 2.0, exclude_self: bool = False, block_rows: int = 2048) -> DataFrame:
     """``(q_key, r_key, dist, r_label, rank)``: the k nearest reference rows of every query
     (Minkowski distance of order p, ties broken by reference key)."""
     feats = list(features)
     nq = queries.count()
     nr = reference.count()
-    # Small inputs: shrink the blocks so the Bq x Br grid still gives every core a task.
-    per_side = math.ceil(math.sqrt(queries.sparkSession.sparkContext.defaultParallelism))
-    block_rows = min(block_rows, max(256, math.ceil(max(nq, nr) / per_side)))
     bq = max(1, math.ceil(nq / block_rows))
     br = max(1, math.ceil(nr / block_rows))
     qblk = F.pmod(F.xxhash64(F.col("_key")), F.lit(bq))
@@ -68,7 +73,7 @@ def knn_neighbours(queries: DataFrame, reference: DataFrame, key: str, features:
             if exclude_self:
                 acc[qkeys[s:s + chunk][:, None] == rkeys[None, :]] = np.inf
             kk = min(k, len(rx))
-            idx = np.argsort(acc, axis=1, kind="stable")[:, :kk]
+            idx = np.stack([_nearest(row, kk) for row in acc])
             rows = np.repeat(np.arange(len(qc)), kk)
             cols = idx.ravel()
             dist = acc[rows, cols]

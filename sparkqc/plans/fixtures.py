@@ -7,9 +7,13 @@ work grows with them.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sparkqc.session import ensure_checkpoint_dir
+
 N_DIMS = 64
 
 
@@ -119,8 +123,46 @@ def names_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pg.select("page_id", nm.alias("nm"))
 
 
+# Delivery files by event type, and one that holds its header only.
+DELIVERIES = {"view": "wafer_01012020_120000.csv", "click": "wafer_0101202_120000.csv", "signup": "wafer_02012020_120000.csv",
+              "purchase": "wafer_03012020_120000.csv", "error": "wafer_04012020_120000.csv", "": "wafer_05012020_120000.csv"}
+
+
+def deliveries(spark: SparkSession, sf_dir: str) -> str:
+    """CSV delivery files of all events below the shared checkpoint folder: a bad name (click), a missing column (signup),
+    a column without values (purchase), no rows, and in the others short rows, over-long ids, infinite and unparsable cells."""
+    k, kind = F.col("event_id"), F.col("event_type")
+    wafer = F.concat(F.lit("W"), k.cast("string"), F.when(k % 23 == 0, F.repeat(F.lit("x"), 300)).otherwise(""))
+    first = F.when(k % 17 == 0, "Infinity").when(k % 29 == 0, "abc").when(k % 13 == 0, "NaN").otherwise(F.col("value").cast("string"))
+    second = F.when(kind == "purchase", F.when(k % 2 == 0, "NA").otherwise("")).otherwise(F.col("user_id").cast("string"))
+    third = F.when(k % 7 == 0, " ").otherwise("2.5")
+    out = (k % 2).cast("string")
+    line = (F.when(kind == "signup", F.concat_ws(",", wafer, first, second, out)).when(k % 19 == 0, F.concat_ws(",", wafer, first))
+            .otherwise(F.concat_ws(",", wafer, first, second, third, out)))
+    rows = table(spark, sf_dir, "events").select(kind.alias("kind"), k.alias("ord"), line.alias("value"))
+    head = spark.createDataFrame([(t, -1, "Wafer,Sensor1,Sensor2,Output" if t == "signup" else "Wafer,Sensor1,Sensor2,Sensor3,Output") for t in DELIVERIES], "kind string, ord long, value string")
+    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/deliveries-{uuid.uuid4().hex}"
+    written = rows.unionByName(head).withColumn("file", F.when(F.col("kind") == "", "empty").otherwise(F.col("kind")))
+    written.repartition("file").sortWithinPartitions("file", "ord").select("file", "value").write.partitionBy("file").text(f"{folder}/by-type")
+    # the writer names its files itself: give the six their delivery names
+    fs_path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = fs_path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(fs_path(f"{folder}/in"))
+    for t, name in DELIVERIES.items():
+        part = next(p.getPath() for p in fs.listStatus(fs_path(f"{folder}/by-type/file={t or 'empty'}")) if p.getPath().getName().startswith("part-"))
+        fs.rename(part, fs_path(f"{folder}/in/{name}"))
+    return f"{folder}/in"
+
+
 # ---------------------------------------------------------------- DuckDB side
 
+SQL_CELLS = "cells AS (SELECT event_id, CASE event_type " + " ".join(f"WHEN '{t}' THEN '{n}'" for t, n in DELIVERIES.items() if t) + """ END AS file_name, event_type,
+    'W' || event_id || CASE WHEN event_id % 23 = 0 THEN repeat('x', 300) ELSE '' END AS wafer,
+    CASE WHEN event_id % 17 = 0 OR (event_id % 29 = 0) THEN 'bad' WHEN event_id % 13 = 0 THEN 'missing' ELSE 'value' END AS s1,
+    value, user_id, CASE WHEN event_id % 7 <> 0 THEN 2.5e0 END AS s3, CAST(event_id % 2 AS INTEGER) AS out, event_id % 19 = 0 AS short FROM events),
+judged AS (SELECT *, CASE WHEN short THEN 'wrong number of fields' WHEN length(wafer) > 255 THEN 'Wafer longer than 255' WHEN s1 = 'bad' THEN 'bad value in Sensor1' END AS reason
+    FROM cells WHERE event_type IN ('view', 'error'))"""
+
 SQL_LONG = """long AS (SELECT vec_id, CAST(label = 0 AS INTEGER) AS y,
     CAST(generate_subscripts(embedding, 1) AS BIGINT) AS pos, CAST(unnest(embedding) AS DOUBLE) AS v FROM embeddings)"""
 
@@ -162,7 +204,7 @@ def with_views(*views: str) -> str:
     """``WITH`` prefix for an oracle query using the named fixture views."""
     parts = {"long": [SQL_LONG], "holes": [SQL_LONG, SQL_HOLES], "sensor_holes": [SQL_LONG, SQL_SENSOR_HOLES],
              "trials": [SQL_TRIALS], "preds": [SQL_PREDS],
-             "events_dup": [SQL_EVENTS_DUP], "names": [SQL_NAMES]}
+             "events_dup": [SQL_EVENTS_DUP], "cells": [SQL_CELLS], "names": [SQL_NAMES]}
     out: list[str] = []
     for v in views:
         for p in parts.get(v, [v]):  # unknown names are extra CTE text

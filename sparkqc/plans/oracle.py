@@ -6,7 +6,7 @@ rounded to 6 decimals and ``+ 0.0`` folds -0.0, mirroring ``queries.finish``.
 
 from __future__ import annotations
 
-from sparkqc.plans.fixtures import with_views
+from sparkqc.plans.fixtures import DELIVERIES, with_views
 
 
 def r6(expr: str) -> str:
@@ -377,4 +377,16 @@ ORACLE.update({
     "drop_constant": with_views("holes", "const AS (SELECT pos FROM holes GROUP BY pos HAVING min(v) IS NOT DISTINCT FROM max(v))")
         + "SELECT pos, count(*) AS n_rows FROM holes WHERE pos NOT IN (SELECT pos FROM const) GROUP BY pos",
     "append_compile": with_views("events_dup") + f"SELECT DISTINCT event_id, user_id, event_type, {r6('value')} AS value, props FROM events_dup",
+    "delivery_verdicts": "SELECT * FROM (VALUES " + ", ".join(
+        f"('{DELIVERIES[t]}', {str(r is None).lower()}, {'NULL' if r is None else repr(r)})" for t, r in (
+            ("view", None), ("click", "invalid file name"), ("signup", "mismatch of number of columns"),
+            ("purchase", "columns with all missing values"), ("error", None), ("", "columns with all missing values")))
+        + ") t(file_name, ok, reason) WHERE (SELECT count(DISTINCT event_type) FROM events) = 5",
+    "delivery_good_rows": with_views("cells") + """SELECT wafer AS "Wafer", CASE s1 WHEN 'value' THEN value END AS "Sensor1", CAST(user_id AS DOUBLE) AS "Sensor2",
+        s3 AS "Sensor3", out AS "Output", file_name FROM judged WHERE reason IS NULL""",
+    "delivery_rejected_rows": with_views("cells") + """SELECT file_name, wafer AS "Wafer", reason FROM judged WHERE reason IS NOT NULL""",
+    "header_widths": "SELECT * FROM (VALUES " + ", ".join(f"('{n}', {4 if t == 'signup' else 5})" for t, n in DELIVERIES.items())
+        + ") t(file_name, n_header_cols) WHERE (SELECT count(DISTINCT event_type) FROM events) = 5",
+    "all_null_columns": with_views("cells") + """SELECT file_name, CAST(CASE event_type WHEN 'signup' THEN 1 WHEN 'purchase' THEN 1 ELSE 0 END AS INTEGER) AS n_all_null_cols
+        FROM cells GROUP BY file_name, event_type""",
 })

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from sparkqc.operators import evaluate, learn, split
 from sparkqc.operators.iterative import IterativeImputerFit
 from sparkqc.plans import score as sc
-from sparkqc.plans.train import PreprocessFit, final_model, fit_preprocess, model_frame, search
+from sparkqc.plans.train import N_TRIALS, PreprocessFit, final_model, fit_preprocess, model_frame, search
 from sparkqc.sources import fits, ingest
 from sparkqc.session import cut_lineage
 from sparkqc.sources.contract import Contract
@@ -129,8 +129,8 @@ def _prep_from_json(d: dict, stages: dict[str, dict]) -> PreprocessFit:
 
 
 def train(spark: SparkSession, table_path: str, out_dir: str, contract: Contract, id_col: str = "Wafer",
-          label: str = "Output", ks=(5, 10), families=("LogisticRegression", "LinearSVC"), clustering=("no", "yes"),
-          n_trials: int = 2, threshold: float = 0.10, max_iter: int = 20) -> dict:
+          label: str = "Output", ks=None, families=None, clustering=("no", "yes"),
+          n_trials: int = N_TRIALS, threshold: float = 0.10, max_iter: int = 100) -> dict:
     """E-2: compile -> preprocess fit -> search -> final fit; writes reports and artefacts."""
     data = ingest.compile_table(spark, table_path)
     feats = [c for c in contract.columns if c not in (id_col, label)]

@@ -18,7 +18,10 @@ from sparkqc.operators import transforms as tops
 from sparkqc.operators.ranking import cumulative_sums
 from sparkqc.operators.shape import to_long
 from sparkqc.plans import fixtures as fx
-from sparkqc.sources.contract import name_ok
+from sparkqc.sources import ingest
+from sparkqc.sources.contract import contract_from_dict, name_ok, sensor_contract
+
+DELIVERY_CONTRACT = contract_from_dict(sensor_contract(n_sensors=3))
 
 LINEITEM_NUM = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
@@ -396,6 +399,25 @@ def q_file_verdicts(spark, sf):
                            F.when(~ok, F.lit("invalid file name")).alias("reason"))
 
 
+def _ingest(part: str):
+    def q(spark, sf):
+        return ingest.validate_batches(spark, fx.deliveries(spark, sf), DELIVERY_CONTRACT)[part]
+    return q
+
+
+def q_delivery_rejected(spark, sf):
+    return _ingest("rejected_rows")(spark, sf).select("file_name", "Wafer", F.col("_bad_reason").alias("reason"))
+
+
+def q_header_widths(spark, sf):
+    return ingest.header_widths(spark, fx.deliveries(spark, sf))
+
+
+def q_all_null_columns(spark, sf):
+    cells = ingest.normalise_nulls(ingest.read_batches(spark, fx.deliveries(spark, sf), DELIVERY_CONTRACT), DELIVERY_CONTRACT.columns)
+    return ingest.all_null_columns(cells, DELIVERY_CONTRACT.columns)
+
+
 def q_knn_vote(spark, sf):
     """Leave-one-out 5-NN vote of the 10-class label over all items (Euclidean)."""
     from sparkqc.operators import knn
@@ -437,7 +459,7 @@ def _trial_query(family: str, params: dict, n_features: int = 16):
 def q_iterative_impute(spark, sf):
     from sparkqc.operators.iterative import fit_iterative_imputer
 
-    _, out = fit_iterative_imputer(fx.holes_wide_view(spark, sf), WIDE_FEATS, max_iter=3)
+    _, out = fit_iterative_imputer(fx.holes_wide_view(spark, sf), WIDE_FEATS, max_iter=10)
     return finish(out)
 
 
@@ -453,21 +475,22 @@ def q_kmeans_knee(spark, sf):
     from sparkqc.operators import learn
 
     vec = learn.assemble(fx.wide_view(spark, sf), WIDE_FEATS)
-    curve = spark.createDataFrame(cluster.wcss_curve(vec, ks=range(1, 11), seed=42, max_iter=10), "k int, wcss double")
-    return cluster.knee(curve, [], "k", "wcss").join(curve.groupBy().agg(F.count(F.lit(1)).alias("points")))
+    costs = cluster.wcss_curve(vec, ks=range(1, 11), seed=42)
+    curve = spark.createDataFrame(costs, "k int, wcss double")
+    return cluster.knee(curve, [], "k", "wcss").withColumn("points", F.lit(len(costs)).cast("long"))
 
 
 def q_learning_curve(spark, sf):
     from sparkqc.operators import learn
 
     train, _ = _split_wide(spark, sf)
-    return finish(learn.learning_curve(train, WIDE_FEATS[:16], "y", "GaussianNB", {"var_smoothing": 1e-9}, "vec_id"))
+    return finish(learn.learning_curve(train, WIDE_FEATS, "y", "GaussianNB", {"var_smoothing": 1e-9}, "vec_id"))
 
 
 def q_preprocess_train(spark, sf):
     from sparkqc.plans.train import fit_preprocess
 
-    fit, train, _ = fit_preprocess(fx.holes_wide_view(spark, sf), "vec_id", "y", relabel=False, iterative_rounds=2)
+    fit, train, _ = fit_preprocess(fx.holes_wide_view(spark, sf), "vec_id", "y", relabel=False)
     return finish(train)
 
 
@@ -477,7 +500,7 @@ def q_final_score(spark, sf):
     from sparkqc.plans.train import final_model, fit_preprocess, search
 
     data = fx.holes_wide_view(spark, sf)
-    prep, train, test = fit_preprocess(data, "vec_id", "y", relabel=False, iterative_rounds=2)
+    prep, train, test = fit_preprocess(data, "vec_id", "y", relabel=False)
     res = search(train, test, "vec_id", "y", prep.normal, prep.non_normal, ks=(8,), families=("LogisticRegression",),
                  clustering=("yes",), n_trials=1, max_iter=10)
     model, base, fam, _, km, n_cl = final_model(train, test, "vec_id", "y", res)
@@ -545,6 +568,11 @@ QUERIES = {
     "leaderboard": q_leaderboard,
     "file_name_check": q_file_name_check,
     "file_verdicts": q_file_verdicts,
+    "delivery_verdicts": _ingest("verdicts"),
+    "delivery_good_rows": _ingest("good"),
+    "delivery_rejected_rows": q_delivery_rejected,
+    "header_widths": q_header_widths,
+    "all_null_columns": q_all_null_columns,
     "knn_vote": q_knn_vote,
     "iterative_impute": q_iterative_impute,
     "kmeans_assign": q_kmeans_assign,

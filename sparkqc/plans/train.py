@@ -164,6 +164,11 @@ def fit_preprocess(data: DataFrame, key: str, label: str, id_cols: Sequence[str]
 
 # ------------------------------------------------------------- model search
 
+# The largest number of features and the trials of each configuration.
+MAX_FEATURES = 50
+N_TRIALS = 50
+
+
 @dataclass
 class SearchResult:
     trials: DataFrame
@@ -206,14 +211,19 @@ def cluster_dummies_frame(frame: DataFrame, n_clusters: int) -> DataFrame:
 
 
 def search(train: DataFrame, test: DataFrame, key: str, label: str, normal: Sequence[str], non_normal: Sequence[str],
-           ks: Sequence[int] = (5, 10), families: Sequence[str] = ("LogisticRegression", "GaussianNB"),
-           clustering: Sequence[str] = ("no", "yes"), n_trials: int = 2, folds: int = 5, seed: int = 42,
-           threshold: float = 0.10, max_iter: int = 10) -> SearchResult:
+           ks: Sequence[int] | None = None, families: Sequence[str] | None = None,
+           clustering: Sequence[str] = ("no", "yes"), n_trials: int = N_TRIALS, folds: int = 5, seed: int = 42,
+           threshold: float = 0.10, max_iter: int = 100) -> SearchResult:
     """Feature count x clustering x family grid; ANOVA ranking computed once
     (F is invariant to the per-column affine scaling) and prefixes taken per k.
-    Scaled families see scaled features, the others raw ones (P6)."""
+    Scaled families see scaled features, the others raw ones (P6).
+
+    By default the whole space is searched: 1 to 50 features, all families, with and without clusters, 50 trials each;
+    ``ks``, ``families``, ``clustering`` and ``n_trials`` shorten it."""
     from sparkqc.operators import cluster, evaluate, learn
 
+    ks = ks or range(1, MAX_FEATURES + 1)
+    families = families or learn.FAMILIES
     cols = [*normal, *non_normal]
     scaler = fit_scaler(train, key, normal, non_normal)
     ranking = features.ranked_features(features.anova_f(_long(train, key, cols).join(train.select(key, label), key), label))
