@@ -1,20 +1,22 @@
 """Normalising-transform search and replay.
 
-The search scores every (column, candidate) pair at once: the long frame is
-exploded by the five candidate names (a constant factor), and the normality
-test, skew and kurtosis are one grouped computation keyed by (col, type).
+The search ranks every column once. Moments of all candidates come from one
+pass over the rows, their Anderson-Darling sums from one pass over the ranked
+distinct values: a monotone candidate keeps or reverses the order. Only squares
+of columns with both signs are ranked anew.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sparkqc.functions.stats import ad_critical, log_norm_cdf, log_norm_sf, unbiased_kurt, unbiased_skew
 from sparkqc.functions.transforms import TRANSFORM_TYPES, apply_named, yeo_johnson_t
-from sparkqc.operators.normality import anderson_normal
-from sparkqc.operators.profile import keys, moments, per_column, small_table
+from sparkqc.operators.profile import keys, per_column, ranked_values, small_table
+from sparkqc.operators.ranking import cumulative_sums
 from sparkqc.session import spread
 
 
@@ -68,26 +70,52 @@ def score_transforms(train: DataFrame, test: DataFrame | None = None, col="col",
     sides = train.select(*k, v.alias(value), F.lit(True).alias("_train"))
     if test is not None:
         sides = sides.unionByName(test.select(*k, v.alias(value), F.lit(False).alias("_train")))
-    gate = sides.groupBy(*k).agg(F.min(value).alias("_min"), F.count_if(v == 0).alias("_zeros"),
-                                 F.count_if(v < 0).alias("_neg_train") if test is None else
-                                 F.count_if((v < 0) & F.col("_train")).alias("_neg_train"))
-    types_arr = F.array(*[F.lit(t) for t in types])
-    allowed = (gate.select(*k, F.explode(types_arr).alias("type"), "_min", "_zeros", "_neg_train")
-               .where(~(((F.col("type") == "logarithmic") & (F.col("_min") <= 0))
-                        | ((F.col("type") == "reciprocal") & (F.col("_zeros") > 0))))
-               .select(*k, "type", (F.col("type") == "square-root") & (F.col("_neg_train") > 0)).toDF(*k, "type", "_nan"))
-    allowed = small_table(allowed)  # columns x candidates rows
-    tr = train.join(per_column(allowed), k)
+    own = F.when(F.col("_train"), v)
+    gate = small_table(sides.groupBy(*k).agg(
+        F.min(value).alias("_min"), F.count_if(v == 0).alias("_zeros"), F.min(own).alias("_least"), F.max(own).alias("_most"),
+        F.count_if(own < 0).alias("_n_neg"), F.count_if(own > 0).alias("_n_pos")))
     lam = None
     if "yeo-johnson" in types:
         yj = small_table(yj if yj is not None else fit_yeo_johnson(train, k, value))
-        tr = tr.join(per_column(yj.withColumnRenamed("lam", "_lam")), k, "left")
+        train = train.join(per_column(yj.withColumnRenamed("lam", "_lam")), k, "left")
         lam = F.col("_lam")
-    tr = tr.withColumn("_tv", apply_named(F.col("type"), v, lam))
-    ad = anderson_normal(tr, [*k, "type"], "_tv")
-    mo = moments(tr, [*k, "type"], "_tv").select(*k, "type", "skew", "kurt")
-    out = ad.join(per_column(mo), [*k, "type"]).join(per_column(allowed), [*k, "type"])
-    return out.select(*k, "type", "n", F.when(~F.col("_nan"), F.col("a2")).alias("a2"), "crit", "skew", "kurt")
+    # statistics of every candidate in one pass over the rows
+    t_of = {t: apply_named(t, v, lam) for t in types}
+    stats = small_table(train.groupBy(*k).agg(*[a for t, x in t_of.items() for a in (
+        F.count(x).alias(f"n_{t}"), F.avg(x).alias(f"mean_{t}"), F.stddev_samp(x).alias(f"sd_{t}"), F.var_pop(x).alias(f"var_{t}"),
+        F.skewness(x).alias(f"g1_{t}"), F.kurtosis(x).alias(f"g2_{t}"))]).join(per_column(gate), k))
+    # the values are ranked once; a monotone candidate keeps or reverses that order
+    ranked = ranked_values(train.drop("_lam"), k, value).join(per_column(stats), k).where(v.isNotNull())
+    if lam is not None:
+        ranked = ranked.join(per_column(yj.withColumnRenamed("lam", "_lam")), k, "left")
+    mixed = (F.col("_least") < 0) & (F.col("_most") > 0)
+    before, after = F.col("cum_before"), F.col("n") - F.col("cum_before") - F.col("c")
+    # reciprocals: negative values first, each sign in reversed order
+    flipped = F.when(v < 0, F.col("_n_neg") - before - F.col("c")).otherwise(F.col("_n_neg") + after)
+    place = {"reciprocal": flipped, "square": F.when(F.col("_most") <= 0, after).otherwise(before)}
+    sums = ranked.groupBy(*k).agg(*[F.sum(_ad_term(t_of[t], t, place.get(t, before), F.col("c"))).alias(f"s_{t}") for t in types])
+    if "square" in types:  # squares of both signs interleave: rank them anew
+        both = ranked.where(mixed).groupBy(*k, (v * v).alias("_sq")).agg(F.sum("c").alias("c"), F.first("n_square").alias("n_square"),
+                                                                        F.first("mean_square").alias("mean_square"), F.first("sd_square").alias("sd_square"))
+        again = cumulative_sums(both, k, ["_sq"], weight="c").groupBy(*k).agg(F.sum(_ad_term(F.col("_sq"), "square", F.col("cum_before"), F.col("c"))).alias("_s_sq"))
+        sums = sums.join(again, k, "left").withColumn("s_square", F.coalesce("_s_sq", "s_square")).drop("_s_sq")
+    wide = stats.join(per_column(sums), k, "left")
+    nn = lambda t: F.when(F.col(f"n_{t}") > 0, F.col(f"n_{t}").cast("double"))
+    raises = {"logarithmic": F.col("_min") <= 0, "reciprocal": F.col("_zeros") > 0}
+    rows = [F.struct(
+        F.lit(t).alias("type"), F.col(f"n_{t}").alias("n"),
+        F.when(F.lit(t != "square-root") | (F.col("_n_neg") == 0), -nn(t) - F.col(f"s_{t}") / nn(t)).alias("a2"), ad_critical(F.col(f"n_{t}")).alias("crit"),
+        unbiased_skew(F.col(f"n_{t}"), F.col(f"g1_{t}"), F.col(f"var_{t}")).alias("skew"), unbiased_kurt(F.col(f"n_{t}"), F.col(f"g2_{t}"), F.col(f"var_{t}")).alias("kurt"),
+        F.coalesce(~raises.get(t, F.lit(False)), F.lit(True)).alias("ok")) for t in types]
+    return wide.select(*k, F.explode(F.array(*rows)).alias("r")).where("r.ok").select(*k, "r.type", "r.n", "r.a2", "r.crit", "r.skew", "r.kurt")
+
+
+def _ad_term(value: Column, kind: str, before: Column, count: Column) -> Column:
+    """A value's part of the Anderson-Darling sum of one candidate."""
+    n, lo = F.col(f"n_{kind}").cast("double"), before.cast("double")
+    hi = lo + count.cast("double")
+    z = (value - F.col(f"mean_{kind}")) / F.when(F.col(f"sd_{kind}") > 0, F.col(f"sd_{kind}"))
+    return (hi * hi - lo * lo) * log_norm_cdf(z) + ((n - lo) * (n - lo) - (n - hi) * (n - hi)) * log_norm_sf(z)
 
 
 def pick_transform(scores: DataFrame, col="col", rule: str = "alphabetical") -> DataFrame:
