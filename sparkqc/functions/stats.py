@@ -81,11 +81,6 @@ def unbiased_kurt(n: Column, g2: Column, var_pop: Column) -> Column:
     return F.when(nd < 4, F.lit(None).cast("double")).when(var_pop == 0, F.lit(0.0)).otherwise(val)
 
 
-def safe_div(a: Column, b: Column) -> Column:
-    """a / b, NULL when b is 0 (ANSI mode would raise)."""
-    return F.try_divide(a, b)
-
-
 def mcc_from_counts(tp: Column, tn: Column, fp: Column, fn: Column) -> Column:
     """Matthews correlation from confusion counts; 0 when any margin is 0."""
     tp, tn, fp, fn = (c.cast("double") for c in (tp, tn, fp, fn))

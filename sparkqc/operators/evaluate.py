@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkqc.functions.stats import mcc_from_counts
-from sparkqc.operators.ranking import running_max_before
+from sparkqc.operators.ranking import cumulative_sums, running_max_before
 
 
 def confusion(df: DataFrame, y: str = "y", pred: str = "pred", by: Sequence[str] = ()) -> DataFrame:
@@ -120,5 +120,6 @@ def select_best(trials: DataFrame, threshold: float = 0.10, test_mcc: str = "tes
 
 
 def leaderboard(trials: DataFrame, metric: str = "test_mcc", tie: str = "trial_id") -> DataFrame:
-    """Trials ranked by a metric (descending)."""
-    return trials.orderBy(F.desc(metric), F.asc(tie))
+    """Trials with their ``rank`` by a metric (descending, ties by id); dealt by range, not one task."""
+    ranked = cumulative_sums(trials.select(tie, metric), [], [F.desc(metric), F.asc(tie)], out_before="_before", out_total="_n")
+    return ranked.select(tie, metric, (F.col("_before") + 1).alias("rank"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkqc.operators.profile import keys, per_column
@@ -44,8 +44,8 @@ def reorder_columns(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.select(*cols)
 
 
-def choose_scaled(model_kind: str, scaled: DataFrame, raw: DataFrame) -> DataFrame:
-    """Plan-time branch on model family."""
+def choose_scaled(model_kind: str, scaled, raw):
+    """Plan-time branch on model family (frames, or the names of scaled and raw columns)."""
     return scaled if model_kind in SCALED_FAMILIES else raw
 
 
@@ -127,7 +127,6 @@ def fit_scale_split(long: DataFrame, normal_cols: Sequence, col="col", value: st
     return std.unionByName(mm)
 
 
-def apply_affine_wide(df: DataFrame, fit: dict[str, tuple[float, float]]) -> DataFrame:
-    """F1-F3 apply on wide: a single projection from literal (mean, scale) pairs."""
-    return df.select(*[((F.col(c) - F.lit(float(fit[c][0]))) / F.lit(float(fit[c][1]))).alias(c) if c in fit else F.col(c)
-                       for c in df.columns])
+def affine(col: str, fit: dict[str, tuple[float, float]]) -> Column:
+    """F1-F3 apply on wide: one column by its literal (mean, scale) pair."""
+    return (F.col(col) - F.lit(float(fit[col][0]))) / F.lit(float(fit[col][1]))

@@ -17,7 +17,7 @@ from dataclasses import asdict, fields
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkqc.operators import evaluate, learn, split
+from sparkqc.operators import evaluate, features, learn, split
 from sparkqc.operators.iterative import IterativeImputerFit
 from sparkqc.plans import score as sc
 from sparkqc.plans.train import N_TRIALS, PreprocessFit, final_model, fit_preprocess, model_frame, search
@@ -132,7 +132,9 @@ def train(spark: SparkSession, table_path: str, out_dir: str, contract: Contract
           label: str = "Output", ks=None, families=None, clustering=("no", "yes"),
           n_trials: int = N_TRIALS, threshold: float = 0.10, max_iter: int = 100) -> dict:
     """E-2: compile -> preprocess fit -> search -> final fit; writes reports and artefacts."""
-    data = ingest.compile_table(spark, table_path)
+    compiled = os.path.join(out_dir, "compiled")
+    ingest.compile_table(spark, table_path).write.mode("overwrite").parquet(compiled)
+    data = ingest.read_table(spark, compiled, contract.schema)
     feats = [c for c in contract.columns if c not in (id_col, label)]
     data = with_row_key(data.select(id_col, *feats, label), [id_col, *feats, label])
     prep, tr, te = fit_preprocess(data, ROW_KEY, label, id_cols=(id_col,))
@@ -184,7 +186,7 @@ def predict(spark: SparkSession, src_dir: str, contract: Contract, model_dir: st
     sm, meta = load_scoring_model(model_dir)
     good = ingest.validate_batches(spark, src_dir, contract)["good"].drop("file_name")
     feats = [c for c in contract.columns if c != meta["id_col"]]
-    keyed = with_row_key(good, [meta["id_col"], *feats])
+    keyed = with_row_key(features.reorder_columns(good, [meta["id_col"], *sm.prep.features]), [meta["id_col"], *feats])
     prepped = sc.preprocess_new(keyed, sm.prep)
     scored = sc.score(prepped, sm, keep=(meta["id_col"],))
     if out_path:

@@ -15,7 +15,6 @@ from sparkqc.functions import transforms as tfn
 from sparkqc.functions.stats import round6
 from sparkqc.operators import cluster, dedup, evaluate, features, missing, naive_bayes, normality, outliers, profile, split
 from sparkqc.operators import transforms as tops
-from sparkqc.operators.ranking import cumulative_sums
 from sparkqc.operators.shape import to_long
 from sparkqc.plans import fixtures as fx
 from sparkqc.sources import ingest
@@ -380,8 +379,7 @@ def q_select_best(spark, sf):
 
 def q_leaderboard(spark, sf):
     t = fx.trials_view(spark, sf).select("trial_id", "test_mcc")
-    r = cumulative_sums(t, [], [F.desc("test_mcc"), F.asc("trial_id")], out_before="_b", out_total="_n")
-    return finish(r.select("trial_id", "test_mcc", (F.col("_b") + 1).alias("rank")))
+    return finish(evaluate.leaderboard(t, "test_mcc", "trial_id"))
 
 
 # ------------------------------------------------------------- file checks

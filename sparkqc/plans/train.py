@@ -84,9 +84,10 @@ def fit_preprocess(data: DataFrame, key: str, label: str, id_cols: Sequence[str]
     spark = data.sparkSession
     feats = [c for c in data.columns if c not in (key, label, *id_cols)]
     reports: dict[str, DataFrame] = {}
-    drop_log = [(c, REASON_ID) for c in id_cols]
     # P1 + D1: drop the id, keep one of each fully-equal row (deterministic by key)
-    base = dedup.drop_duplicates(data.drop(*id_cols), subset=[*feats, label], order_key=key)
+    without_id, id_log = features.drop_columns(data, id_cols, REASON_ID)
+    drop_log = []
+    base = dedup.drop_duplicates(without_id, subset=[*feats, label], order_key=key)
     if relabel:
         base = features.recode_label(base, label)
     # Exact stratified split
@@ -156,7 +157,7 @@ def fit_preprocess(data: DataFrame, key: str, label: str, id_cols: Sequence[str]
     train = cut_lineage(tops.apply_transforms_wide(train, fit.transforms))
     test = cut_lineage(tops.apply_transforms_wide(test, fit.transforms))
     fit.normal, fit.non_normal = _normal_split(train, key, kept)
-    reports["columns_dropped"] = spark.createDataFrame(drop_log, "Columns_Removed string, Reason string")
+    reports["columns_dropped"] = id_log.unionByName(spark.createDataFrame(drop_log, id_log.schema))
     reports["train_set"], reports["test_set"] = train, test
     fit.reports = reports
     return fit, train, test
@@ -193,9 +194,8 @@ def model_frame(df: DataFrame, scaler: dict, feats: Sequence[str], family: str,
     from pyspark.ml.feature import VectorAssembler
 
     s_name = {c: f"_s_{c}" for c in feats}
-    frame = df.select(*keep, *feats, *[((F.col(c) - F.lit(float(scaler[c][0]))) / F.lit(float(scaler[c][1]))).alias(s_name[c])
-                                       for c in feats])
-    use = [s_name[c] for c in feats] if family in features.SCALED_FAMILIES else list(feats)
+    frame = df.select(*keep, *feats, *[features.affine(c, scaler).alias(s_name[c]) for c in feats])
+    use = features.choose_scaled(family, [s_name[c] for c in feats], list(feats))
     if km is not None:
         vec = VectorAssembler(inputCols=[s_name[c] for c in feats], outputCol="_kvec").transform(frame)
         frame = km.copy().setFeaturesCol("_kvec").setPredictionCol("cluster").transform(vec).drop("_kvec")
@@ -226,7 +226,8 @@ def search(train: DataFrame, test: DataFrame, key: str, label: str, normal: Sequ
     families = families or learn.FAMILIES
     cols = [*normal, *non_normal]
     scaler = fit_scaler(train, key, normal, non_normal)
-    ranking = features.ranked_features(features.anova_f(_long(train, key, cols).join(train.select(key, label), key), label))
+    x, y = features.split_features_label(train, label, key)
+    ranking = features.ranked_features(features.anova_f(_long(x, key, cols).join(y, key), label))
     tr = cut_lineage(split.stratified_folds(train, label, key, folds, seed))
     rows = []
     kmeans = {}
