@@ -13,19 +13,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkqc.session import ensure_checkpoint_dir
 from sparkqc.sources import ingest
 from sparkqc.sources.contract import Contract
 
-
 #: Files of one micro-batch at most: what bounds the list of paths on the driver.
 MAX_FILES = 1000
 
 
-def stream_checkpoint(spark: SparkSession, name: str) -> str:
-    return ensure_checkpoint_dir(spark).rstrip("/") + f"/streams/{name}"
-
-
 def read_stream(spark: SparkSession, path: str, contract: Contract, max_files_per_trigger: int = MAX_FILES) -> DataFrame:
     """CSV file stream with the raw (text) contract schema and ``file_name``."""
     r = (spark.readStream.schema(ingest.raw_schema(contract)).option("header", True).option("enforceSchema", True)
@@ -40,11 +34,12 @@ def read_files(spark: SparkSession, path: str, max_files_per_trigger: int = MAX_
 
 
 def ingest_stream(spark: SparkSession, path: str, contract: Contract, table_path: str, quarantine_path: str,
-                  checkpoint: str | None = None, available_now: bool = True, max_files_per_trigger: int = MAX_FILES):
+                  checkpoint: str, available_now: bool = True, max_files_per_trigger: int = MAX_FILES):
     """Append newly delivered files to the table; quarantine bad files and rows.
 
     ``trigger(availableNow=True)`` processes everything present and stops, which
-    makes the stream a restartable incremental batch job. The appends are
+    makes the stream a restartable incremental batch job; ``checkpoint`` is a
+    folder that outlives the session, as it knows the files read. The appends are
     at-least-once: a micro-batch replayed after a failure writes its rows again
     under the same ``_epoch``; ``compile_table`` (DISTINCT without the
     bookkeeping columns) removes them.
@@ -59,7 +54,7 @@ def ingest_stream(spark: SparkSession, path: str, contract: Contract, table_path
         parts["rejected_rows"].withColumn("_epoch", F.lit(epoch_id)).write.mode("append").parquet(quarantine_path + "/rows")
 
     w = read_files(spark, path, max_files_per_trigger).writeStream.foreachBatch(handle).option(
-        "checkpointLocation", checkpoint or stream_checkpoint(spark, "ingest"))
+        "checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start()
 
