@@ -8,7 +8,7 @@ language with the largest sum wins; ``score`` is its posterior share over all la
 
 Fitting reads the labelled rows twice: a count per language over all of them, then a hash
 sample of about ``docs_per_lang`` rows per language (whole texts), so the model is bounded by
-``docs_per_lang``, ``min_word`` and ``min_gram`` whatever the table's size. Prediction reads every
+``docs_per_lang``, ``min_word``, ``min_gram`` and MAX_LANGS (the languages with most rows) whatever the table's size. Prediction reads every
 whole text once and shuffles nothing.
 
 Defined results: a null text or one without a letter is ``und`` with score 0; with nothing to
@@ -35,6 +35,7 @@ from sparkqc.llm.common import staged, texts_of
 
 UNDETERMINED = "und"
 DOCS_PER_LANG = 1500
+MAX_LANGS = 1000
 MAX_N = 4
 MIN_WORD = 2
 MIN_GRAM = 3
@@ -68,8 +69,8 @@ def has_letter(words: list[str]) -> bool:
 
 
 def _sample(labelled: DataFrame, docs_per_lang: int) -> tuple[DataFrame, list[tuple[str, int]]]:
-    counts = [(r["lang"], r["n"]) for r in labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()]
-    counts.sort(key=lambda x: (-x[1], x[0]))
+    most = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGS)
+    counts = [(r["lang"], r["n"]) for r in most.collect()]
     spark = labelled.sparkSession
     share = spark.createDataFrame([(k, min(1.0, docs_per_lang / n)) for k, n in counts] or [("", 0.0)], "lang string, _share double")
     draw = F.pmod(F.xxhash64("doc_id", F.lit(17)), F.lit(1 << 40)) / F.lit(float(1 << 40))
