@@ -11,17 +11,22 @@ from sparkqc.llm.common import staged
 def components(edges: DataFrame) -> DataFrame:
     """``(id, component)`` for every end of ``edges`` (a, b); the component is the smallest id that can be reached.
 
-    Each round a node takes the smallest label among its neighbours and then its label's label, so paths shrink by
-    doubling. Labels only fall; when their sum stays, all are final. Nothing but that sum comes to the driver.
+    Each round contracts the graph: a node goes to its smallest smaller neighbour and on to where that goes, edges
+    are renamed, and loops and doubles vanish. The smallest node of a component never moves, so it is what is left of it. The
+    edges shrink from round to round; only whether any are left comes to the driver.
     """
-    both = staged(edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
-    labels = staged(both.groupBy(F.col("a").alias("id")).agg(F.least(F.min("b"), F.first("a")).alias("component")), "labels")
-    total = F.sum(F.col("component").cast("decimal(38,0)"))
-    before, now = None, labels.agg(total).first()[0]
-    while now is not None and now != before:
-        near = both.join(labels, F.col("b") == F.col("id")).groupBy("a").agg(F.min("component").alias("_near"))
-        hooked = labels.join(near, F.col("id") == F.col("a")).select("id", F.least("component", "_near").alias("component"))
-        parents = hooked.select(F.col("id").alias("_p"), F.col("component").alias("_up"))
-        labels = staged(hooked.join(parents, F.col("component") == F.col("_p")).select("id", F.col("_up").alias("component")), "labels")
-        before, now = now, labels.agg(total).first()[0]
-    return labels
+    def ordered(rows: DataFrame) -> DataFrame:
+        return rows.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a < b").distinct()
+
+    left = staged(ordered(edges), "edges")
+    names = staged(edges.select(F.explode(F.array("a", "b")).alias("id")).distinct().withColumn("component", F.col("id")), "components")
+    while left.limit(1).count():
+        step = staged(left.groupBy(F.col("b").alias("from")).agg(F.min("a").alias("to")), "step")
+        on = step.select(F.col("from").alias("_f"), F.col("to").alias("_t"))
+        goes = staged(step.join(on, F.col("to") == F.col("_f"), "left").select("from", F.coalesce("_t", "to").alias("to")), "goes")
+        at_a = goes.select(F.col("from").alias("_fa"), F.col("to").alias("_ta"))
+        at_b = goes.select(F.col("from").alias("_fb"), F.col("to").alias("_tb"))
+        renamed = left.join(at_a, F.col("a") == F.col("_fa"), "left").join(at_b, F.col("b") == F.col("_fb"), "left")
+        left = staged(ordered(renamed.select(F.coalesce("_ta", "a").alias("a"), F.coalesce("_tb", "b").alias("b"))), "edges")
+        names = staged(names.join(at_a, F.col("component") == F.col("_fa"), "left").select("id", F.coalesce("_ta", "component").alias("component")), "components")
+    return names

@@ -15,7 +15,8 @@ share cancel, and sketches can differ by no more than the symmetric difference o
 
 Equal sets are one class and take part once. Buckets of near copies would give all pairs, of which the components need
 few: first the neighbours in each bucket (sorted by sketch) are verified and joined to components, then only
-pairs across components, bucket by bucket in blocks of bounded size. No bucket is capped, and no link between components is lost.
+pairs across components, bucket by bucket in blocks of bounded size. Each set carries its smallest keys, so a pair that shares a
+smaller key is left to that key's bucket. No bucket is capped, and no link between components is lost.
 
 Defined results: a null or empty text, or one without words, has no shingles and is linked with nothing; with fewer words
 than a shingle, the whole sequence is one shingle. A null id gets a null component. Rows that share an id may be linked through it. Other
@@ -40,6 +41,7 @@ SKETCH_BITS = 512
 BAND_RATIO = 1.4
 BLOCK = 512  # documents of a bucket that one task compares with as many others
 SEEN = 1_000_000
+LEAST = 8  # smallest keys that a set carries
 _BASE = 0x9E3779B97F4A7C15
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -165,6 +167,14 @@ def chunk_keys(tokens: np.ndarray, sim: Similarity, bands: list[int]) -> np.ndar
     return np.concatenate(keys) if keys else np.zeros(0, U64)
 
 
+def least_keys(keys: np.ndarray) -> bytes:
+    """The smallest join keys of a set; places beyond its last key hold the largest number, which is smaller than none."""
+    out = np.full(LEAST, np.iinfo(np.int64).max)
+    few = np.sort(keys.view(np.int64))[:LEAST]
+    out[:len(few)] = few
+    return out.tobytes()
+
+
 def hamming(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Differing bits of sketches given as unsigned 64-bit words, along the last axis."""
     return np.bitwise_count(a ^ b).sum(axis=-1, dtype=np.int32)
@@ -173,7 +183,7 @@ def hamming(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 # ---- Spark -----------------------------------------------------------------------------------------------------
 
 def sketches(docs: DataFrame, sim: Similarity, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(id, n, s1, s2, sketch, keys)``: set size, a 128-bit name of the set, parity bits and join keys.
+    """``(id, n, s1, s2, sketch, least, keys)``: set size, a 128-bit name of the set, parity bits, smallest keys and join keys.
 
     A copy of a set that its task has met before has no keys: a combiner on the map side.
     """
@@ -183,7 +193,7 @@ def sketches(docs: DataFrame, sim: Similarity, id_col: str = "doc_id", text_col:
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
                 part = batch.slice(at, 1000)
-                n, s1, s2, bits, keys = [], [], [], [], []
+                n, s1, s2, bits, least, keys = [], [], [], [], [], []
                 for tokens in shingle_sets(texts_of(part.column(1)), sim.words):
                     n.append(len(tokens))
                     if len(tokens) * sim.den // sim.num >= bands[-2]:
@@ -193,19 +203,20 @@ def sketches(docs: DataFrame, sim: Similarity, id_col: str = "doc_id", text_col:
                     bits.append(parity_bits(tokens))
                     if (name, other) in seen or not len(tokens):
                         keys.append(np.zeros(0, U64))
+                        least.append(None)
                         continue
                     if len(seen) >= SEEN:
                         seen.clear()
                     seen.add((name, other))
                     keys.append(chunk_keys(tokens, sim, bands))
+                    least.append(least_keys(keys[-1]))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(n, pa.int64()), pa.array(np.array(s1, U64).view(np.int64)), pa.array(np.array(s2, U64).view(np.int64)), pa.array(bits, pa.binary()),
+                    [part.column(0), pa.array(n, pa.int64()), pa.array(np.array(s1, U64).view(np.int64)), pa.array(np.array(s2, U64).view(np.int64)), pa.array(bits, pa.binary()), pa.array(least, pa.binary()),
                      list_array(np.concatenate(keys).view(np.int64), np.array([len(k) for k in keys]), pa.int64())],
-                    names=["id", "n", "s1", "s2", "sketch", "keys"])
+                    names=["id", "n", "s1", "s2", "sketch", "least", "keys"])
 
-    kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(
-        run, f"id {kind}, n long, s1 long, s2 long, sketch binary, keys array<long>")
+    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(
+        run, "id long, n long, s1 long, s2 long, sketch binary, least binary, keys array<long>")
 
 
 def _rows(batch: pa.RecordBatch) -> tuple[np.ndarray, ...]:
@@ -277,7 +288,8 @@ def cross_pairs(buckets: DataFrame, sim: Similarity) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def found():
             for group in _groups(batches, ["key", "i", "j"]):
-                _, rep, n, comp, bits = _rows(group)
+                key, rep, n, comp, bits = _rows(group)
+                least = np.frombuffer(b"".join(group.column("least").to_pylist()), np.int64).reshape(-1, LEAST)
                 i, j, block = (group.column(c).to_numpy() for c in ("i", "j", "block"))
                 left = np.flatnonzero(block == i)
                 right = np.flatnonzero(block == j)
@@ -288,14 +300,17 @@ def cross_pairs(buckets: DataFrame, sim: Similarity) -> DataFrame:
                     if inside:
                         ok &= rep[rows][:, None] < rep[right][None, :]
                     x, y = np.nonzero(ok)
-                    yield rep[rows[x]], rep[right[y]]
+                    for lo in range(0, len(x), 4096):
+                        a, b = rows[x[lo:lo + 4096]], right[y[lo:lo + 4096]]
+                        earlier = ((least[a][:, :, None] == least[b][:, None, :]) & (least[a][:, :, None] < key[0])).any(axis=(1, 2))
+                        yield rep[a[~earlier]], rep[b[~earlier]]
         yield from _emit(found())
 
     spans = buckets.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
     sized = buckets.join(spans.select("key", F.ceil(F.col("m") / BLOCK).alias("blocks")), "key")
     placed = sized.withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")))
     dealt = placed.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).select(
-        "key", "rep", "n", "component", "sketch", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
+        "key", "rep", "n", "component", "sketch", "least", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
     return dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(run, "a long, b long").distinct()
 
 
@@ -316,15 +331,20 @@ def _token_sets(docs: DataFrame, sim: Similarity, id_col: str, text_col: str) ->
                 found = shingle_sets(texts_of(part.column(1)), sim.words)
                 yield pa.RecordBatch.from_arrays([part.column(0), list_array(np.concatenate(found).view(np.int64), np.array([len(x) for x in found]), pa.int64())], names=["id", "tokens"])
 
-    kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, f"id {kind}, tokens array<long>")
+    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(run, "id long, tokens array<long>")
+
+
+def _named(rows: DataFrame, column: str, names: DataFrame) -> DataFrame:
+    """``rows`` with the ids in ``column`` replaced by their components, where they have one."""
+    known = names.select(F.col("id").alias("_id_of"), F.col("component").alias("_name"))
+    return rows.join(known, F.col(column) == F.col("_id_of"), "left").withColumn(column, F.coalesce("_name", column)).drop("_id_of", "_name")
 
 
 def near_duplicates(docs: DataFrame, sim: Similarity = Similarity(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: id, ``n_shingles`` and ``component_id``, the smallest id reachable by links."""
     known = staged(sketches(docs, sim, id_col, text_col), "sketches")
     filled = known.where("n > 0 AND id IS NOT NULL")
-    classes = filled.groupBy("s1", "s2", "n").agg(F.min("id").alias("rep"), F.first("sketch").alias("sketch"))
+    classes = filled.groupBy("s1", "s2", "n").agg(F.min("id").alias("rep"), F.first("sketch").alias("sketch"), F.max("least").alias("least"))
     classes = staged(classes, "classes")
     of_class = lambda rows: rows.join(classes.select(F.col("s1").alias("_1"), F.col("s2").alias("_2"), F.col("n").alias("_n"), "rep"),
                                       (F.col("s1") == F.col("_1")) & (F.col("s2") == F.col("_2")) & (F.col("n") == F.col("_n"))).drop("_1", "_2", "_n")
@@ -335,16 +355,17 @@ def near_duplicates(docs: DataFrame, sim: Similarity = Similarity(), id_col: str
     met = of_class(crowd).select("key", "rep").distinct()
     several = met.groupBy("key").agg(F.count(F.lit(1)).alias("_c")).where("_c > 1").select("key")
     met = met.join(several, "key", "left_semi")
-    buckets = staged(met.join(classes.select(F.col("rep").alias("_r"), "n", "sketch"), F.col("rep") == F.col("_r")).drop("_r"), "buckets")
+    buckets = staged(met.join(classes.select(F.col("rep").alias("_r"), "n", "sketch", "least"), F.col("rep") == F.col("_r")).drop("_r"), "buckets")
     involved = buckets.select(F.col("rep").alias("_r")).distinct()
     sets = staged(_token_sets(docs.join(involved, F.col(id_col) == F.col("_r"), "left_semi"), sim, id_col, text_col), "token-sets")
 
     first = staged(verified(neighbour_pairs(buckets.withColumn("component", F.col("rep")), sim), sets, sim), "links")
-    joined = components(first).withColumnsRenamed({"id": "_i", "component": "_c"})
-    placed = buckets.join(joined, F.col("rep") == F.col("_i"), "left").withColumn("component", F.coalesce("_c", "rep")).drop("_i", "_c")
-    rest = staged(verified(cross_pairs(placed, sim), sets, sim), "links")
-    final = components(first.union(rest)).withColumnsRenamed({"id": "_i", "component": "_c"})
-    named = of_class(known.where("n > 0").select("id", "n", "s1", "s2")).join(final, F.col("rep") == F.col("_i"), "left").select(
-        "id", "n", F.when(F.col("id").isNotNull(), F.coalesce("_c", "rep")).alias("component_id"))
+    joined = components(first)
+    placed = staged(_named(buckets.withColumn("component", F.col("rep")), "component", joined), "buckets")
+    rest = verified(cross_pairs(placed, sim), sets, sim)
+    # links between components are edges between their names
+    between = staged(_named(_named(rest, "a", joined), "b", joined).distinct(), "links")
+    named = of_class(known.where("n > 0").select("id", "n", "s1", "s2"))
+    named = _named(_named(named, "rep", joined), "rep", components(between)).select("id", "n", F.when(F.col("id").isNotNull(), F.col("rep")).alias("component_id"))
     alone = known.where("n = 0").select("id", "n", F.col("id").alias("component_id"))
     return named.unionByName(alone).select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id")
