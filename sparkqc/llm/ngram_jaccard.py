@@ -356,7 +356,7 @@ def near_duplicates(docs: DataFrame, sim: Similarity = Similarity(), id_col: str
     several = met.groupBy("key").agg(F.count(F.lit(1)).alias("_c")).where("_c > 1").select("key")
     met = met.join(several, "key", "left_semi")
     buckets = staged(met.join(classes.select(F.col("rep").alias("_r"), "n", "sketch", "least"), F.col("rep") == F.col("_r")).drop("_r"), "buckets")
-    involved = buckets.select(F.col("rep").alias("_r")).distinct()
+    involved = buckets.select(F.col("rep").alias("_r")).distinct().hint("merge")  # grows with the data: never a broadcast
     sets = staged(_token_sets(docs.join(involved, F.col(id_col) == F.col("_r"), "left_semi"), sim, id_col, text_col), "token-sets")
 
     first = staged(verified(neighbour_pairs(buckets.withColumn("component", F.col("rep")), sim), sets, sim), "links")
