@@ -1,9 +1,10 @@
 """Approximate nearest neighbours: NN-descent graph and greedy graph search.
 
-Build. Equal vectors are one node. A few pivot partitions, each solved in blocks, give every node first neighbours. Then each
+Build. Equal vectors are one node. A few pivot partitions give every node first neighbours: a cell of more than BLOCK nodes
+is cut by further pivots drawn from it, other ones in each partition, as many levels as it takes. Then each
 round joins neighbours of neighbours: a node's neighbourhood (its neighbours and the nodes that count it among
 theirs) is gathered with their vectors, each member is offered its best of the other members, and keeps the ``degree``
-best it has been offered.
+best it has been offered. Rounds end when few lists change.
 
 Search. Each query keeps a pool of the ``pool`` best nodes found; a round joins the pool's nodes that haven't been
 followed yet with their neighbourhoods, and takes what is better than the pool's worst. It ends when no pool has such nodes left.
@@ -33,13 +34,15 @@ from sparkqc.llm.vectors import dimension, groups, matrix, pivots, usable
 
 DEGREE = 32
 PARTITIONS = 4
-ROUNDS = 2
+STILL = 0.01  # a round that brings fewer new entries than this share of all is the last
 OFFERS = 4
 POOL = 160
 SEARCH_ROUNDS = 12
 CELL = 500
 MAX_PIVOTS = 1024
 BLOCK = 2048
+SPLIT = 16
+NEARLY = 0.9
 _NEIGHBOURS = "array<struct<far:double,id:long>>"
 
 
@@ -87,8 +90,39 @@ def _best(lists: Column, degree: int) -> Column:
     return F.slice(F.array_sort(F.array_distinct(F.flatten(lists))), 1, degree)
 
 
+def _cut(cells: DataFrame, dim: int, salt: int) -> DataFrame:
+    """Large ``cells(node, code, scale, cell, n, was)`` cut into smaller ones: each row goes to the nearest of up to SPLIT members drawn by hash.
+
+    A cell that the last cut left nearly whole (vectors that can't be told apart) is dealt by a hash of the ids. Both hashes depend on ``salt``.
+    """
+    def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            parents, which = np.unique(batch.column("cell").to_numpy(), return_inverse=True)
+            x = _decode(batch.column("code").to_pylist(), batch.column("scale").to_numpy(), dim)
+            child = np.zeros(len(x), np.int64)
+            for i in range(len(parents)):
+                at = np.flatnonzero(which == i)
+                own = batch.column("drawn")[int(at[0])].as_py()
+                if own:
+                    p = _decode([m["code"] for m in own], np.array([m["scale"] for m in own]), dim)
+                    p, y = p - p[0], x[at] - p[0]  # near copies differ by little: take off what they share
+                    child[at] = ((p * p).sum(1) - 2 * (y @ p.T)).argmin(1)
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("node", "code", "scale", "cell", "n")), pa.array(child)], names=["node", "code", "scale", "cell", "n", "child"])
+
+    whole = F.col("n") > NEARLY * F.col("was")
+    place = F.xxhash64(F.lit(salt), "node")
+    by_hash = cells.where(whole).select("node", "code", "scale", "cell", "n", F.pmod(place, F.ceil(F.col("n") / BLOCK)).alias("child"))
+    rest = cells.where(~whole)
+    drawn = rest.where(F.pmod(place, F.col("n")) < 2 * SPLIT).groupBy(F.col("cell").alias("_c")).agg(
+        F.max("n").alias("_n"), F.sort_array(F.collect_list(F.struct(place.alias("place"), "node", "code", "scale"))).alias("_all")).select(
+        "_c", F.slice("_all", 1, F.least(F.lit(SPLIT), F.ceil(F.col("_n") / CELL) + 1).cast("int")).alias("drawn"))
+    near = rest.join(drawn, F.col("cell") == F.col("_c"), "left").select("node", "code", "scale", "cell", "n", "drawn").mapInArrow(
+        assign, "node long, code binary, scale double, cell long, n long, child long")
+    return near.union(by_hash).select("node", "code", "scale", F.xxhash64("cell", "child").alias("cell"), F.col("n").alias("was"))
+
+
 def first_neighbours(nodes: DataFrame, codes: DataFrame, dim: int, degree: int, partition: int, n: int, seed: int = 9) -> DataFrame:
-    """``(node, near)``: the best of each node's cell in one pivot partition; large cells are solved in blocks."""
+    """``(node, near)``: the best of each node's cell in one pivot partition; cells of more than BLOCK nodes are cut by further pivots until none is left."""
     centres = pivots(nodes, "node", "v", max(1, min(MAX_PIVOTS, n // CELL)), dim, seed * 100 + partition).astype(np.float32)
     shared = nodes.sparkSession.sparkContext.broadcast(centres)
 
@@ -99,7 +133,7 @@ def first_neighbours(nodes: DataFrame, codes: DataFrame, dim: int, degree: int,
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cell, pa.int64())], names=["node", "code", "scale", "cell"])
 
     def solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in groups(batches, ["cell", "block"]):
+        for group in groups(batches, ["cell"]):
             ids = group.column("node").to_numpy()
             x = _decode(group.column("code").to_pylist(), group.column("scale").to_numpy(), dim)
             k = min(degree, len(ids) - 1)
@@ -112,10 +146,22 @@ def first_neighbours(nodes: DataFrame, codes: DataFrame, dim: int, degree: int,
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(ids[at:at + 512]), _neighbour_lists(np.take_along_axis(far, best, 1).ravel().round(5), ids[best].ravel(), np.full(len(far), k))], names=["node", "near"])
 
-    cells = staged(codes.mapInArrow(assign, "node long, code binary, scale double, cell long"), "cells")
-    sizes = cells.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
-    dealt = cells.join(sizes, "cell").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks"))).drop("blocks")
-    return dealt.repartition("cell", "block").sortWithinPartitions("cell", "block").mapInArrow(solve, f"node long, near {_NEIGHBOURS}")
+    cells = staged(codes.mapInArrow(assign, "node long, code binary, scale double, cell long").withColumn("was", F.lit(None).cast("long")), "cells")
+    small, level = None, 0
+    while True:
+        sizes = cells.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).select(F.col("cell").alias("_s"), "n")
+        sized = cells.join(sizes, F.col("cell") == F.col("_s")).drop("_s")
+        if not sizes.where(F.col("n") > BLOCK).limit(1).count():
+            last = cells
+            break
+        fits = sized.where(F.col("n") <= BLOCK).select(*codes.columns, "cell")
+        small = fits if small is None else small.union(fits)
+        level += 1
+        large = sized.where(F.col("n") > BLOCK).withColumn("was", F.coalesce("was", F.lit(1 << 62)))
+        cells = staged(_cut(large, dim, (seed * 100 + partition) * 1000 + level), "cells")
+    last = last.select(*codes.columns, "cell")
+    dealt = last if small is None else small.union(last)
+    return dealt.repartition("cell").sortWithinPartitions("cell").mapInArrow(solve, f"node long, near {_NEIGHBOURS}")
 
 
 def neighbourhoods(graph: DataFrame, codes: DataFrame, degree: int, parts: int) -> DataFrame:
@@ -131,7 +177,7 @@ def neighbourhoods(graph: DataFrame, codes: DataFrame, degree: int, parts: int)
 
 
 def descend(graph: DataFrame, codes: DataFrame, dim: int, degree: int, offers: int, parts: int) -> DataFrame:
-    """One round: members of a neighbourhood are offered their best of the other members."""
+    """One round: members of a neighbourhood are offered their best of the other members. ``(node, near, moved)``: the new lists, and their new entries."""
     def offer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lists = batch.column(1)
@@ -159,18 +205,23 @@ def descend(graph: DataFrame, codes: DataFrame, dim: int, degree: int, offers: i
                     [pa.array(np.concatenate(owners)), _neighbour_lists(np.concatenate(fars), np.concatenate(others), np.concatenate(lengths))], names=["node", "near"])
 
     offered = neighbourhoods(graph, codes, degree, parts).mapInArrow(offer, f"node long, near {_NEIGHBOURS}")
-    return staged(graph.union(offered).groupBy("node").agg(_best(F.collect_list("near"), degree).alias("near")), "graph")
+    ids = lambda c: F.transform(c, lambda x: x["id"])
+    lists = graph.select("node", "near", F.col("near").alias("old")).union(offered.select("node", "near", F.lit(None).cast(_NEIGHBOURS)))
+    merged = lists.groupBy("node").agg(_best(F.collect_list("near"), degree).alias("near"), F.first("old", ignorenulls=True).alias("old"))
+    return staged(merged.select("node", "near", F.size(F.array_except(ids("near"), F.coalesce(ids("old"), F.array().cast("array<long>")))).alias("moved")), "graph")
 
 
-def build(nodes: DataFrame, codes: DataFrame, dim: int, n: int, parts: int, degree: int = DEGREE, partitions: int = PARTITIONS, rounds: int = ROUNDS, offers: int = OFFERS) -> DataFrame:
-    """``(node, near)``: the neighbour graph, neighbours in order."""
+def build(nodes: DataFrame, codes: DataFrame, dim: int, n: int, parts: int, degree: int = DEGREE, partitions: int = PARTITIONS, offers: int = OFFERS, still: float = STILL) -> DataFrame:
+    """``(node, near)``: the neighbour graph, neighbours in order. Lists only get better, so the rounds end."""
     lists = first_neighbours(nodes, codes, dim, degree, 0, n)
     for p in range(1, partitions):
         lists = lists.union(first_neighbours(nodes, codes, dim, degree, p, n))
     graph = staged(lists.groupBy("node").agg(_best(F.collect_list("near"), degree).alias("near")), "graph")
-    for _ in range(rounds):
-        graph = descend(graph, codes, dim, degree, offers, parts)
-    return graph
+    while True:
+        turned = descend(graph, codes, dim, degree, offers, parts)
+        graph = turned.select("node", "near")
+        if (turned.agg(F.sum("moved")).first()[0] or 0) <= still * n * degree:
+            return graph
 
 
 def _packed(near: DataFrame) -> DataFrame:

@@ -107,6 +107,14 @@ def test_nearest_with_a_common_vector(spark):
     assert [v for v, _ in got[0]] == [v for v, _ in want[0]] and [v for v, _ in got[280]] == [v for v, _ in want[280]]
 
 
+def test_nearest_recall_with_cells_far_above_the_block(spark, monkeypatch):
+    for name, value in (("BLOCK", 40), ("CELL", 10), ("MAX_PIVOTS", 1)):
+        monkeypatch.setattr(nn_descent, name, value)
+    rows = clustered(np.random.default_rng(6))
+    got = found(nn_descent.nearest(frame(spark, rows), F.col("vec_id") % 20 == 0, 20))
+    assert recall(rows, got, 20, 20) >= 0.95, recall(rows, got, 20, 20)
+
+
 def test_query_recall_against_brute_force(spark):
     table = spark.read.parquet(f"{SF}/embeddings.parquet").collect()
     got = found(QUERIES["op9_nearest_neighbours"](spark, SF))
