@@ -8,9 +8,10 @@ best it has been offered. Rounds end when few lists change.
 
 Search. Each query keeps a pool of the ``pool`` best nodes found; a round joins the pool's nodes that haven't been
 followed yet with their neighbourhoods, and takes what is better than the pool's worst. It ends when no pool has such nodes left.
-The best of the pool are scored again in double precision on the original vectors.
+The whole pool is scored again in double precision on the original vectors.
 
-In between, vectors travel as 8-bit codes with a scale. Every row is a node or equal to one; the neighbourhood of a
+In between, vectors travel in their own precision (32-bit floats, or else doubles) and are multiplied in doubles, so the pool's order is the
+exact one up to the order of a sum. Every row is a node or equal to one; the neighbourhood of a
 hub is its ``degree`` neighbours and the ``degree`` nearest of the nodes that name it, which is the index's approximation. Measured
 recall is in the README; the tests hold it against brute force.
 
@@ -27,6 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.storagelevel import StorageLevel
 
 from sparkqc.llm.common import staged
@@ -37,7 +39,6 @@ PARTITIONS = 4
 STILL = 0.01  # a round that brings fewer new entries than this share of all is the last
 OFFERS = 4
 POOL = 160
-SEARCH_ROUNDS = 12
 CELL = 500
 MAX_PIVOTS = 1024
 BLOCK = 2048
@@ -46,13 +47,8 @@ NEARLY = 0.9
 _NEIGHBOURS = "array<struct<far:double,id:long>>"
 
 
-def _code(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    scale = np.abs(x).max(1) / 127
-    return np.round(x / np.where(scale > 0, scale, 1)[:, None]).astype(np.int8), scale
-
-
-def _decode(codes: list[bytes], scales: np.ndarray, dim: int) -> np.ndarray:
-    return np.frombuffer(b"".join(codes), np.int8).reshape(-1, dim).astype(np.float32) * scales.astype(np.float32)[:, None]
+def _vectors(carried: list[bytes], dim: int, kind: str) -> np.ndarray:
+    return np.frombuffer(b"".join(carried), kind).reshape(-1, dim).astype(np.float64)
 
 
 def _neighbour_lists(far: np.ndarray, ids: np.ndarray, lengths: np.ndarray) -> pa.ListArray:
@@ -76,66 +72,70 @@ def nodes_of(vectors: DataFrame, keep: int, id_col: str = "vec_id", vector_col:
     return nodes, named
 
 
-def coded(nodes: DataFrame, dim: int) -> DataFrame:
-    """``(node, code, scale)``."""
+def carried(nodes: DataFrame, dim: int, kind: str) -> DataFrame:
+    """``(node, x)``: the vectors as bytes of numbers of ``kind``, which holds them without loss."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            codes, scale = _code(matrix(batch.column(1), dim))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(scale)], names=["node", "code", "scale"])
+            rows = matrix(batch.column(1), dim).astype(kind)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x.tobytes() for x in rows], pa.binary())], names=["node", "x"])
 
-    return nodes.select("node", "v").mapInArrow(run, "node long, code binary, scale double")
+    return nodes.select("node", "v").mapInArrow(run, "node long, x binary")
 
 
-def _best(lists: Column, degree: int) -> Column:
-    return F.slice(F.array_sort(F.array_distinct(F.flatten(lists))), 1, degree)
+def _firsts(lists: DataFrame, key: str, others: list[Column], degree: int) -> DataFrame:
+    """``(key, near, ...)``: the ``degree`` best of all ``near`` of a key, one entry an id."""
+    gathered = lists.groupBy(key).agg(F.array_sort(F.transform(F.flatten(F.collect_list("near")), lambda e: F.struct(e["id"], e["far"]))).alias("_all"), *others)
+    single = F.filter("_all", lambda e, i: (i == 0) | (F.get(F.col("_all"), i - 1)["id"] != e["id"]))
+    best = F.slice(F.array_sort(F.transform(single, lambda e: F.struct(e["far"], e["id"]))), 1, degree).alias("near")
+    return gathered.withColumn("near", best).drop("_all")
 
 
-def _cut(cells: DataFrame, dim: int, salt: int) -> DataFrame:
-    """Large ``cells(node, code, scale, cell, n, was)`` cut into smaller ones: each row goes to the nearest of up to SPLIT members drawn by hash.
+def _cut(cells: DataFrame, dim: int, kind: str, salt: int) -> DataFrame:
+    """Large ``cells(node, x, cell, n, was)`` cut into smaller ones: each row goes to the nearest of up to SPLIT members drawn by hash.
 
     A cell that the last cut left nearly whole (vectors that can't be told apart) is dealt by a hash of the ids. Both hashes depend on ``salt``.
     """
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             parents, which = np.unique(batch.column("cell").to_numpy(), return_inverse=True)
-            x = _decode(batch.column("code").to_pylist(), batch.column("scale").to_numpy(), dim)
+            x = _vectors(batch.column("x").to_pylist(), dim, kind)
             child = np.zeros(len(x), np.int64)
             for i in range(len(parents)):
                 at = np.flatnonzero(which == i)
                 own = batch.column("drawn")[int(at[0])].as_py()
                 if own:
-                    p = _decode([m["code"] for m in own], np.array([m["scale"] for m in own]), dim)
+                    p = _vectors([m["x"] for m in own], dim, kind)
                     p, y = p - p[0], x[at] - p[0]  # near copies differ by little: take off what they share
                     child[at] = ((p * p).sum(1) - 2 * (y @ p.T)).argmin(1)
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("node", "code", "scale", "cell", "n")), pa.array(child)], names=["node", "code", "scale", "cell", "n", "child"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("node", "x", "cell", "n")), pa.array(child)], names=["node", "x", "cell", "n", "child"])
 
     whole = F.col("n") > NEARLY * F.col("was")
     place = F.xxhash64(F.lit(salt), "node")
-    by_hash = cells.where(whole).select("node", "code", "scale", "cell", "n", F.pmod(place, F.ceil(F.col("n") / BLOCK)).alias("child"))
+    by_hash = cells.where(whole).select("node", "x", "cell", "n", F.pmod(place, F.ceil(F.col("n") / BLOCK)).alias("child"))
     rest = cells.where(~whole)
     drawn = rest.where(F.pmod(place, F.col("n")) < 2 * SPLIT).groupBy(F.col("cell").alias("_c")).agg(
-        F.max("n").alias("_n"), F.sort_array(F.collect_list(F.struct(place.alias("place"), "node", "code", "scale"))).alias("_all")).select(
+        F.max("n").alias("_n"), F.sort_array(F.collect_list(F.struct(place.alias("place"), "node", "x"))).alias("_all")).select(
         "_c", F.slice("_all", 1, F.least(F.lit(SPLIT), F.ceil(F.col("_n") / CELL) + 1).cast("int")).alias("drawn"))
-    near = rest.join(drawn, F.col("cell") == F.col("_c"), "left").select("node", "code", "scale", "cell", "n", "drawn").mapInArrow(
-        assign, "node long, code binary, scale double, cell long, n long, child long")
-    return near.union(by_hash).select("node", "code", "scale", F.xxhash64("cell", "child").alias("cell"), F.col("n").alias("was"))
+    near = rest.join(drawn, F.col("cell") == F.col("_c"), "left").select("node", "x", "cell", "n", "drawn").mapInArrow(
+        assign, "node long, x binary, cell long, n long, child long")
+    return near.union(by_hash).select("node", "x", F.xxhash64("cell", "child").alias("cell"), F.col("n").alias("was"))
 
 
-def first_neighbours(nodes: DataFrame, codes: DataFrame, dim: int, degree: int, partition: int, n: int, seed: int = 9) -> DataFrame:
+def first_neighbours(nodes: DataFrame, points: DataFrame, dim: int, kind: str, degree: int, partition: int, n: int, seed: int = 9) -> DataFrame:
     """``(node, near)``: the best of each node's cell in one pivot partition; cells of more than BLOCK nodes are cut by further pivots until none is left."""
-    centres = pivots(nodes, "node", "v", max(1, min(MAX_PIVOTS, n // CELL)), dim, seed * 100 + partition).astype(np.float32)
+    centres = pivots(nodes, "node", "v", max(1, min(MAX_PIVOTS, n // CELL)), dim, seed * 100 + partition)
     shared = nodes.sparkSession.sparkContext.broadcast(centres)
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = _decode(batch.column(1).to_pylist(), batch.column(2).to_numpy(), dim)
+            x = _vectors(batch.column(1).to_pylist(), dim, kind)
             cell = (x @ shared.value.T).argmax(1) if len(shared.value) else np.zeros(len(x))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cell, pa.int64())], names=["node", "code", "scale", "cell"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cell, pa.int64())], names=["node", "x", "cell"])
 
     def solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in groups(batches, ["cell"]):
             ids = group.column("node").to_numpy()
-            x = _decode(group.column("code").to_pylist(), group.column("scale").to_numpy(), dim)
+            x = _vectors(group.column("x").to_pylist(), dim, kind)
             k = min(degree, len(ids) - 1)
             if k < 1:
                 continue
@@ -144,9 +144,9 @@ def first_neighbours(nodes: DataFrame, codes: DataFrame, dim: int, degree: int,
                 far[np.arange(len(far)), np.arange(at, at + len(far))] = np.inf
                 best = np.argpartition(far, k - 1, axis=1)[:, :k]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids[at:at + 512]), _neighbour_lists(np.take_along_axis(far, best, 1).ravel().round(5), ids[best].ravel(), np.full(len(far), k))], names=["node", "near"])
+                    [pa.array(ids[at:at + 512]), _neighbour_lists(np.take_along_axis(far, best, 1).ravel(), ids[best].ravel(), np.full(len(far), k))], names=["node", "near"])
 
-    cells = staged(codes.mapInArrow(assign, "node long, code binary, scale double, cell long").withColumn("was", F.lit(None).cast("long")), "cells")
+    cells = staged(points.mapInArrow(assign, "node long, x binary, cell long").withColumn("was", F.lit(None).cast("long")), "cells")
     small, level = None, 0
     while True:
         sizes = cells.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).select(F.col("cell").alias("_s"), "n")
@@ -154,131 +154,134 @@ def first_neighbours(nodes: DataFrame, codes: DataFrame, dim: int, degree: int,
         if not sizes.where(F.col("n") > BLOCK).limit(1).count():
             last = cells
             break
-        fits = sized.where(F.col("n") <= BLOCK).select(*codes.columns, "cell")
+        fits = sized.where(F.col("n") <= BLOCK).select(*points.columns, "cell")
         small = fits if small is None else small.union(fits)
         level += 1
         large = sized.where(F.col("n") > BLOCK).withColumn("was", F.coalesce("was", F.lit(1 << 62)))
-        cells = staged(_cut(large, dim, (seed * 100 + partition) * 1000 + level), "cells")
-    last = last.select(*codes.columns, "cell")
+        cells = staged(_cut(large, dim, kind, (seed * 100 + partition) * 1000 + level), "cells")
+    last = last.select(*points.columns, "cell")
     dealt = last if small is None else small.union(last)
     return dealt.repartition("cell").sortWithinPartitions("cell").mapInArrow(solve, f"node long, near {_NEIGHBOURS}")
 
 
-def neighbourhoods(graph: DataFrame, codes: DataFrame, degree: int, parts: int) -> DataFrame:
-    """``(node, members)``: per node its neighbours and the ``degree`` nearest nodes that name it, with their codes and worst neighbours."""
+def neighbourhoods(graph: DataFrame, points: DataFrame, degree: int, parts: int) -> DataFrame:
+    """``(node, members)``: per node its neighbours and the ``degree`` nearest nodes that name it, with their vectors and worst neighbours."""
     edges = graph.select(F.col("node").alias("w"), F.explode("near").alias("e")).select("w", F.col("e.id").alias("u"), "e.far")
     named = Window.partitionBy("u").orderBy("far", "w")
     back = edges.withColumn("_n", F.row_number().over(named)).where(F.col("_n") <= degree).select(F.col("u").alias("w"), F.col("w").alias("u"))
     both = edges.select("w", "u").union(back).distinct()
     worst = graph.select(F.col("node").alias("_g"), F.when(F.size("near") < degree, F.lit(float("inf"))).otherwise(F.element_at("near", -1)["far"]).alias("worst"))
-    member = codes.join(worst, F.col("node") == F.col("_g"), "left").select(F.col("node").alias("_u"), F.struct(
-        F.col("node").alias("id"), "code", "scale", F.coalesce("worst", F.lit(float("inf"))).alias("worst")).alias("m"))
+    member = points.join(worst, F.col("node") == F.col("_g"), "left").select(F.col("node").alias("_u"), F.struct(
+        F.col("node").alias("id"), "x", F.coalesce("worst", F.lit(float("inf"))).alias("worst")).alias("m"))
     return both.join(member, F.col("u") == F.col("_u")).repartition(parts, "w").groupBy(F.col("w").alias("node")).agg(F.collect_list("m").alias("members"))
 
 
-def descend(graph: DataFrame, codes: DataFrame, dim: int, degree: int, offers: int, parts: int) -> DataFrame:
+def descend(graph: DataFrame, points: DataFrame, dim: int, kind: str, degree: int, offers: int, parts: int) -> DataFrame:
     """One round: members of a neighbourhood are offered their best of the other members. ``(node, near, moved)``: the new lists, and their new entries."""
     def offer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            lists = batch.column(1)
-            bounds, items = lists.offsets.to_numpy() - lists.offsets[0].as_py(), lists.flatten()
-            ids, worst = items.field("id").to_numpy(), items.field("worst").to_numpy()
-            x = _decode(items.field("code").to_pylist(), items.field("scale").to_numpy(), dim)
-            fars, others, lengths, owners = [], [], [], []
-            for lo, hi in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
-                k = min(offers, hi - lo - 1)
-                if k < 1:
-                    continue
-                far = -(x[lo:hi] @ x[lo:hi].T)
-                np.fill_diagonal(far, np.inf)
-                best = np.argpartition(far, k - 1, axis=1)[:, :k]
-                value = np.take_along_axis(far, best, 1).round(5)
-                good = value < worst[lo:hi][:, None]
-                fars.append(value[good])
-                others.append(ids[lo:hi][best][good])
-                n = good.sum(1)
-                some = n > 0
-                lengths.append(n[some])
-                owners.append(ids[lo:hi][some])
-            if owners:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(owners)), _neighbour_lists(np.concatenate(fars), np.concatenate(others), np.concatenate(lengths))], names=["node", "near"])
-
-    offered = neighbourhoods(graph, codes, degree, parts).mapInArrow(offer, f"node long, near {_NEIGHBOURS}")
+        for whole in batches:
+            for at in range(0, whole.num_rows, 500):
+                batch = whole.slice(at, 500)
+                lists = batch.column(1)
+                bounds, items = lists.offsets.to_numpy() - lists.offsets[0].as_py(), lists.flatten()
+                ids, worst = items.field("id").to_numpy(), items.field("worst").to_numpy()
+                x = _vectors(items.field("x").to_pylist(), dim, kind)
+                fars, others, lengths, owners = [], [], [], []
+                for lo, hi in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+                    k = min(offers, hi - lo - 1)
+                    if k < 1:
+                        continue
+                    far = -(x[lo:hi] @ x[lo:hi].T)
+                    np.fill_diagonal(far, np.inf)
+                    best = np.argpartition(far, k - 1, axis=1)[:, :k]
+                    value = np.take_along_axis(far, best, 1)
+                    good = value < worst[lo:hi][:, None]
+                    fars.append(value[good])
+                    others.append(ids[lo:hi][best][good])
+                    n = good.sum(1)
+                    some = n > 0
+                    lengths.append(n[some])
+                    owners.append(ids[lo:hi][some])
+                if owners:
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.concatenate(owners)), _neighbour_lists(np.concatenate(fars), np.concatenate(others), np.concatenate(lengths))], names=["node", "near"])
+
+    offered = neighbourhoods(graph, points, degree, parts).mapInArrow(offer, f"node long, near {_NEIGHBOURS}")
     ids = lambda c: F.transform(c, lambda x: x["id"])
     lists = graph.select("node", "near", F.col("near").alias("old")).union(offered.select("node", "near", F.lit(None).cast(_NEIGHBOURS)))
-    merged = lists.groupBy("node").agg(_best(F.collect_list("near"), degree).alias("near"), F.first("old", ignorenulls=True).alias("old"))
+    merged = _firsts(lists, "node", [F.first("old", ignorenulls=True).alias("old")], degree)
     return staged(merged.select("node", "near", F.size(F.array_except(ids("near"), F.coalesce(ids("old"), F.array().cast("array<long>")))).alias("moved")), "graph")
 
 
-def build(nodes: DataFrame, codes: DataFrame, dim: int, n: int, parts: int, degree: int = DEGREE, partitions: int = PARTITIONS, offers: int = OFFERS, still: float = STILL) -> DataFrame:
+def build(nodes: DataFrame, points: DataFrame, dim: int, kind: str, n: int, parts: int, degree: int = DEGREE, partitions: int = PARTITIONS, offers: int = OFFERS, still: float = STILL) -> DataFrame:
     """``(node, near)``: the neighbour graph, neighbours in order. Lists only get better, so the rounds end."""
-    lists = first_neighbours(nodes, codes, dim, degree, 0, n)
+    lists = first_neighbours(nodes, points, dim, kind, degree, 0, n)
     for p in range(1, partitions):
-        lists = lists.union(first_neighbours(nodes, codes, dim, degree, p, n))
-    graph = staged(lists.groupBy("node").agg(_best(F.collect_list("near"), degree).alias("near")), "graph")
+        lists = lists.union(first_neighbours(nodes, points, dim, kind, degree, p, n))
+    graph = staged(_firsts(lists, "node", [], degree), "graph")
     while True:
-        turned = descend(graph, codes, dim, degree, offers, parts)
+        turned = descend(graph, points, dim, kind, degree, offers, parts)
         graph = turned.select("node", "near")
         if (turned.agg(F.sum("moved")).first()[0] or 0) <= still * n * degree:
             return graph
 
 
 def _packed(near: DataFrame) -> DataFrame:
-    """Neighbourhoods as three binaries a node: ids, codes, scales."""
+    """Neighbourhoods as two binaries a node: ids, vectors."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            lists = batch.column(1)
-            bounds, items = lists.offsets.to_numpy() - lists.offsets[0].as_py(), lists.flatten()
-            ids, scales, codes = items.field("id").to_numpy(), items.field("scale").to_numpy(), items.field("code").to_pylist()
-            spans = list(zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([ids[lo:hi].tobytes() for lo, hi in spans], pa.binary()), pa.array([b"".join(codes[lo:hi]) for lo, hi in spans], pa.binary()),
-                 pa.array([scales[lo:hi].tobytes() for lo, hi in spans], pa.binary())], names=["w", "ids", "codes", "scales"])
+        for whole in batches:
+            for at in range(0, whole.num_rows, 500):
+                batch = whole.slice(at, 500)
+                lists = batch.column(1)
+                bounds, items = lists.offsets.to_numpy() - lists.offsets[0].as_py(), lists.flatten()
+                ids, xs = items.field("id").to_numpy(), items.field("x").to_pylist()
+                spans = list(zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0), pa.array([ids[lo:hi].tobytes() for lo, hi in spans], pa.binary()), pa.array([b"".join(xs[lo:hi]) for lo, hi in spans], pa.binary())], names=["w", "ids", "xs"])
 
-    return near.mapInArrow(run, "w long, ids binary, codes binary, scales binary")
+    return near.mapInArrow(run, "w long, ids binary, xs binary")
 
 
-def _follow(frontier: DataFrame, dim: int) -> DataFrame:
+def _follow(frontier: DataFrame, dim: int, kind: str) -> DataFrame:
     """``(query, near)``: of each followed neighbourhood what is better than the pool's worst."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 part = batch.slice(at, 500)
-                query, worst = part.column(0).to_numpy(), part.column(3).to_numpy()
-                q = _decode(part.column(1).to_pylist(), part.column(2).to_numpy(), dim)
-                ids = [np.frombuffer(x, np.int64) for x in part.column(4).to_pylist()]
+                query, worst = part.column(0).to_numpy(), part.column(2).to_numpy()
+                q = _vectors(part.column(1).to_pylist(), dim, kind)
+                ids = [np.frombuffer(x, np.int64) for x in part.column(3).to_pylist()]
                 n = np.array([len(x) for x in ids])
-                x = _decode(part.column(5).to_pylist(), np.frombuffer(b"".join(part.column(6).to_pylist()), np.float64), dim)
+                x = _vectors(part.column(4).to_pylist(), dim, kind)
                 owner = np.repeat(np.arange(len(n)), n)
-                far = -np.einsum("ij,ij->i", x, q[owner]).round(5).astype(float)
+                far = -np.einsum("ij,ij->i", x, q[owner])
                 good = far < worst[owner]
                 kept = np.bincount(owner[good], minlength=len(n))
                 yield pa.RecordBatch.from_arrays([pa.array(query), _neighbour_lists(far[good], np.concatenate(ids)[good], kept)], names=["query", "near"])
 
-    return frontier.select("query", "code", "scale", "worst", "ids", "codes", "scales").mapInArrow(run, f"query long, near {_NEIGHBOURS}")
+    return frontier.select("query", "x", "worst", "ids", "xs").mapInArrow(run, f"query long, near {_NEIGHBOURS}")
 
 
-def search(starts: DataFrame, graph: DataFrame, codes: DataFrame, dim: int, parts: int, degree: int = DEGREE, pool: int = POOL, rounds: int = SEARCH_ROUNDS) -> DataFrame:
-    """``(query, pool)`` for the nodes ``starts(query)``: the nearest nodes found, in order, the query's own node first or nearly."""
-    adjacency = _packed(neighbourhoods(graph, codes, degree, parts)).persist(StorageLevel.DISK_ONLY)
+def search(starts: DataFrame, graph: DataFrame, points: DataFrame, dim: int, kind: str, parts: int, degree: int = DEGREE, pool: int = POOL) -> DataFrame:
+    """``(query, pool)`` for the nodes ``starts(query)``: the nearest nodes found, in order, the query's own node first."""
+    adjacency = _packed(neighbourhoods(graph, points, degree, parts)).persist(StorageLevel.DISK_ONLY)
     entry = lambda far, node, new: F.struct(far.alias("far"), node.alias("id"), new.alias("new"))
-    own = codes.withColumnsRenamed({"node": "_n"})
-    begun = starts.join(own, F.col("query") == F.col("_n")).select("query", "code", "scale", F.array(entry(F.lit(float("-inf")), F.col("query"), F.lit(True))).alias("pool"))
+    own = points.withColumnsRenamed({"node": "_n"})
+    begun = starts.join(own, F.col("query") == F.col("_n")).select("query", "x", F.array(entry(F.lit(float("-inf")), F.col("query"), F.lit(True))).alias("pool"))
     state = staged(begun, "search")
-    for _ in range(rounds):
+    # a node that has left a pool is worse than its worst for good, so the rounds end
+    while state.where(F.exists("pool", lambda x: x["new"])).limit(1).count():
         fresh = F.transform(F.filter("pool", lambda x: x["new"]), lambda x: x["id"])
         worst = F.when(F.size("pool") < pool, F.lit(float("inf"))).otherwise(F.element_at("pool", -1)["far"])
-        frontier = state.select("query", "code", "scale", worst.alias("worst"), F.explode(fresh).alias("follow")).join(adjacency, F.col("follow") == F.col("w"))
-        found = _follow(frontier, dim).select("query", F.lit(None).cast("binary").alias("code"), F.lit(None).cast("double").alias("scale"),
-                                              F.transform("near", lambda x: entry(x["far"], x["id"], F.lit(True))).alias("pool"))
+        frontier = state.select("query", "x", worst.alias("worst"), F.explode(fresh).alias("follow")).join(adjacency, F.col("follow") == F.col("w"))
+        found = _follow(frontier, dim, kind).select("query", F.lit(None).cast("binary").alias("x"), F.transform("near", lambda x: entry(x["far"], x["id"], F.lit(True))).alias("pool"))
         old = state.withColumn("pool", F.transform("pool", lambda x: entry(x["far"], x["id"], F.lit(False))))
-        merged = old.unionByName(found).groupBy("query").agg(F.max("code").alias("code"), F.max("scale").alias("scale"), F.array_sort(F.flatten(F.collect_list("pool"))).alias("_all"))
-        # one entry a node: followed ones (new = false) come first among equals; the own node has its place at the top
-        distinct = F.filter("_all", lambda x, i: ((i == 0) | (F.get(F.col("_all"), i - 1)["id"] != x["id"])) & ((x["id"] != F.col("query")) | (i == 0)))
-        state = staged(merged.select("query", "code", "scale", F.slice(distinct, 1, pool).alias("pool")), "search")
-        if not state.where(F.exists("pool", lambda x: x["new"])).limit(1).count():
-            break
+        by_id = F.array_sort(F.transform(F.flatten(F.collect_list("pool")), lambda x: F.struct(x["id"], x["new"], x["far"])))
+        merged = old.unionByName(found).groupBy("query").agg(F.max("x").alias("x"), by_id.alias("_all"))
+        # one entry a node: the followed one (new = false) where there is one, so the own node keeps its place at the top
+        distinct = F.filter("_all", lambda x, i: (i == 0) | (F.get(F.col("_all"), i - 1)["id"] != x["id"]))
+        ranked = F.array_sort(F.transform(distinct, lambda x: entry(x["far"], x["id"], x["new"])))
+        state = staged(merged.select("query", "x", F.slice(ranked, 1, pool).alias("pool")), "search")
     adjacency.unpersist()
     return state.select("query", F.transform("pool", lambda x: x["id"]).alias("pool"))
 
@@ -288,11 +291,12 @@ def nearest(vectors: DataFrame, is_query: Column, k: int, id_col: str = "vec_id"
     nodes, named = nodes_of(vectors, k + 1, id_col, vector_col)
     parts = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dim, n = dimension(nodes, "v"), nodes.count()
-    codes = staged(coded(nodes, dim), "codes")
-    graph = build(nodes, codes, dim, n, parts, degree)
+    kind = "<f4" if isinstance(vectors.schema[vector_col].dataType.elementType, T.FloatType) else "<f8"
+    points = staged(carried(nodes, dim, kind), "points")
+    graph = build(nodes, points, dim, kind, n, parts, degree)
     asked = staged(named.where(is_query), "queries")
-    found = search(asked.select(F.col("node").alias("query")).distinct(), graph, codes, dim, parts, degree, pool)
-    pairs = found.select("query", F.explode(F.slice("pool", 1, 2 * k + 24)).alias("node"))
+    found = search(asked.select(F.col("node").alias("query")).distinct(), graph, points, dim, kind, parts, degree, pool)
+    pairs = found.select("query", F.explode("pool").alias("node"))
     left = nodes.select(F.col("node").alias("_q"), F.col("v").alias("_x"))
     right = nodes.select(F.col("node").alias("_c"), F.col("v").alias("_y"), "members")
     product = F.aggregate(F.zip_with("_x", "_y", lambda a, b: F.coalesce(a, F.lit(0.0)) * F.coalesce(b, F.lit(0.0))), F.lit(0.0), lambda a, x: a + x)

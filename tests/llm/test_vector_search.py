@@ -115,6 +115,14 @@ def test_nearest_recall_with_cells_far_above_the_block(spark, monkeypatch):
     assert recall(rows, got, 20, 20) >= 0.95, recall(rows, got, 20, 20)
 
 
+def test_nearest_recall_in_a_large_group_of_near_copies(spark):
+    rng = np.random.default_rng(7)
+    centre = rng.normal(size=64)
+    rows = [(i, (v / np.linalg.norm(v)).astype(np.float32)) for i, v in enumerate(centre / np.linalg.norm(centre) + rng.normal(size=(1500, 64)) * 0.004)]
+    got = found(nn_descent.nearest(frame(spark, rows), F.col("vec_id") % 100 == 0, 20))
+    assert recall(rows, got, 100, 20) >= 0.9, recall(rows, got, 100, 20)
+
+
 def test_query_recall_against_brute_force(spark):
     table = spark.read.parquet(f"{SF}/embeddings.parquet").collect()
     got = found(QUERIES["op9_nearest_neighbours"](spark, SF))
