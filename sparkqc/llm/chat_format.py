@@ -8,10 +8,12 @@ Levels come from pointer doubling: each round a call's pointer jumps to its poin
 log2(n) joins on unique keys, however long a conversation is. Rows are never gathered by conversation, so one that
 holds a third of all rows is spread like any other.
 
-Defined results: of several calls (or results) with one id the smallest by content is kept and ``n_rows`` tells how many
-there were; a result without a call is an ``orphan``, a call without a result ``unanswered``; a call that comes after one that does not
+Defined results: of several calls (or results) with one id the smallest by content is linked and its ``n_rows`` tells how many
+there were; each other content follows once with the state ``duplicate``, the kind ``duplicate_call`` or ``duplicate_result``, no level
+or place, and the number of its own rows; a result without a call is an ``orphan``, a call without a result ``unanswered``; a call that comes after one that does not
 exist is a root; calls on or behind a cycle have no level and the state ``cycle``. A null argument counts as missing;
-a null result is ``null`` in the JSON. Rows without conversation or call id are linked to nothing. Other columns are not read.
+a null result is ``null`` in the JSON. Rows without conversation or call id are linked to nothing:
+each is an unanswered call without a level or an orphan of its own, with ``n_rows`` 1. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -70,27 +72,32 @@ def validate(calls: DataFrame, schemas: Mapping[str, Schema]) -> DataFrame:
     entries = F.filter(F.array_sort(F.map_entries(given)), lambda e: e["value"].isNotNull())
     pairs = F.transform(entries, lambda e: F.concat(quoted(e["key"]), F.lit(":"), F.when(
         F.array_contains(plain, e["key"]) & ~F.array_contains(wrong, F.concat(F.lit("type:"), e["key"])), e["value"]).otherwise(quoted(e["value"]))))
-    message = F.concat(F.lit('{"arguments":{'), F.array_join(pairs, ","), F.lit('},"id":'), quoted(F.col("id")), F.lit(',"name":'), F.coalesce(quoted(F.col("name")), F.lit("null")), F.lit("}"))
+    message = F.concat(F.lit('{"arguments":{'), F.array_join(pairs, ","), F.lit('},"id":'), F.coalesce(quoted(F.col("id")), F.lit("null")), F.lit(',"name":'), F.coalesce(quoted(F.col("name")), F.lit("null")), F.lit("}"))
     return known.withColumn("errors", errors).withColumn("message", message).drop("_tool", "_params")
 
 
 def link(calls: DataFrame, results: DataFrame, schemas: Mapping[str, Schema]) -> DataFrame:
     """``calls``: (conv, id, after, name, arguments map<string,string>); ``results``: (conv, id, content).
 
-    Returns one row per call and per result: (conv, id, kind, state, level, place, errors, message, n_rows); ``place`` orders
+    Returns one row per call and per result, per other content of their ids, and per call or result without a key: (conv, id, kind, state, level, place, errors, message, n_rows); ``place`` orders
     the messages of a conversation, ties by id.
     """
-    entries = F.array_sort(F.map_entries("arguments"))
-    asked = calls.groupBy("conv", "id").agg(F.min(F.struct("name", "after", entries.alias("entries"))).alias("c"), F.count(F.lit(1)).alias("n_rows")).select(
-        "conv", "id", "n_rows", "c.name", "c.after", F.map_from_entries("c.entries").alias("arguments"))
-    answered = results.groupBy("conv", "id").agg(F.min(F.struct(F.col("content"))).alias("r"), F.count(F.lit(1)).alias("_n")).select(
-        F.col("conv").alias("_conv"), F.col("id").alias("_id"), F.col("r.content").alias("content"), "_n")
-    asked = staged(asked, "chat-calls")
-    depth = levels(asked.where("conv IS NOT NULL AND id IS NOT NULL").select("conv", "id", "after")).withColumnsRenamed({"conv": "_lc", "id": "_li"})
+    kinds = lambda rows: rows.groupBy("conv", "id", "content").agg(F.count(F.lit(1)).alias("n"))
+    named = F.col("conv").isNotNull() & F.col("id").isNotNull()
+    unpacked = ["c.name", "c.after", F.map_from_entries("c.entries").alias("arguments")]
+    said = staged(calls.select("conv", "id", F.struct("name", "after", F.array_sort(F.map_entries("arguments")).alias("entries")).alias("content")), "chat-said")
+    told = staged(results.select("conv", "id", F.struct("content").alias("content")), "chat-told")
+    by_call, by_result = staged(kinds(said.where(named)), "chat-calls"), staged(kinds(told.where(named)), "chat-results")
+    first = lambda rows: rows.groupBy("conv", "id").agg(F.min("content").alias("c"), F.sum("n").alias("n_rows"))
+    asked = staged(first(by_call).select("conv", "id", "n_rows", *unpacked), "chat-calls")
+    answered = first(by_result).select(F.col("conv").alias("_conv"), F.col("id").alias("_id"), F.col("c.content").alias("content"), F.col("n_rows").alias("_n"))
+    depth = levels(asked.select("conv", "id", "after")).withColumnsRenamed({"conv": "_lc", "id": "_li"})
     checked = validate(asked, schemas).join(depth, (F.col("conv") == F.col("_lc")) & (F.col("id") == F.col("_li")), "left")
     both = checked.join(answered, (F.col("conv") == F.col("_conv")) & (F.col("id") == F.col("_id")), "full")
     is_call, is_result = F.col("n_rows").isNotNull(), F.col("_n").isNotNull()
     cyclic = F.col("_li").isNotNull() & F.col("level").isNull()
+    no_errors = F.array().cast("array<string>")
+    answer = lambda id_: F.concat(F.lit('{"content":'), F.coalesce(quoted(F.col("content")), F.lit("null")), F.lit(',"tool_call_id":'), F.coalesce(quoted(id_), F.lit("null")), F.lit("}"))
     call = F.struct(
         F.col("conv"), F.col("id"), F.lit("call").alias("kind"),
         F.when(cyclic, "cycle").when(is_result, "linked").otherwise("unanswered").alias("state"), F.col("level"),
@@ -98,10 +105,24 @@ def link(calls: DataFrame, results: DataFrame, schemas: Mapping[str, Schema]) ->
     result = F.struct(
         F.col("_conv").alias("conv"), F.col("_id").alias("id"), F.lit("result").alias("kind"),
         F.when(~is_call, "orphan").when(cyclic, "cycle").otherwise("linked").alias("state"), F.col("level"),
-        (F.col("level") * 2 + 1).alias("place"), F.array().cast("array<string>").alias("errors"),
-        F.concat(F.lit('{"content":'), F.coalesce(quoted(F.col("content")), F.lit("null")), F.lit(',"tool_call_id":'), F.coalesce(quoted(F.col("_id")), F.lit("null")), F.lit("}")).alias("message"),
+        (F.col("level") * 2 + 1).alias("place"), no_errors.alias("errors"), answer(F.col("_id")).alias("message"),
         F.col("_n").alias("n_rows"))
-    return both.select(F.explode(F.filter(F.array(F.when(is_call, call), F.when(is_result, result)), lambda x: x.isNotNull())).alias("m")).select("m.*")
+    linked = both.select(F.explode(F.filter(F.array(F.when(is_call, call), F.when(is_result, result)), lambda x: x.isNotNull())).alias("m")).select("m.*")
+
+    def others(rows: DataFrame) -> DataFrame:
+        least = first(rows).select(F.col("conv").alias("_c"), F.col("id").alias("_i"), "c")
+        return rows.join(least, (F.col("conv") == F.col("_c")) & (F.col("id") == F.col("_i"))).where(F.col("content") != F.col("c")).select("conv", "id", F.col("content").alias("c"), F.col("n").alias("n_rows"))
+
+    def alone(rows: DataFrame, kind: str, state: str, errors: Column, message: Column) -> DataFrame:
+        none = F.lit(None).cast("long")
+        return rows.select("conv", "id", F.lit(kind).alias("kind"), F.lit(state).alias("state"), none.alias("level"), none.alias("place"), errors.alias("errors"), message.alias("message"), "n_rows")
+
+    one = lambda rows: rows.where(~named).select("conv", "id", F.col("content").alias("c"), F.lit(1).cast("long").alias("n_rows"))
+    for rows, kind, state in ((others(by_call), "duplicate_call", "duplicate"), (one(said), "call", "unanswered")):
+        linked = linked.unionByName(alone(validate(rows.select("conv", "id", "n_rows", *unpacked), schemas), kind, state, F.col("errors"), F.col("message")))
+    for rows, kind, state in ((others(by_result), "duplicate_result", "duplicate"), (one(told), "result", "orphan")):
+        linked = linked.unionByName(alone(rows.select("conv", "id", "c.content", "n_rows"), kind, state, no_errors, answer(F.col("id"))))
+    return linked
 
 
 # The tools that plain conversations are taken to call.

@@ -59,6 +59,17 @@ def test_conversations(spark):
                    (2, "call_2_4", "result"): ("orphan", None), (2, "call_2_5", "result"): ("orphan", None), (None, None, "call"): ("unanswered", None)}
 
 
+def test_no_message_is_lost_to_a_null_or_repeated_key(spark):
+    rows = [(None, t, "user", f"q{t}") for t in range(5)] + [(7, None, "user", x) for x in "ab"] + [(None, 1, "assistant", "r"), (None, 2, "assistant", "s")]
+    rows += [(8, 0, "user", x) for x in ("x", "y", "y")] + [(8, 1, "assistant", x) for x in ("m", "n", "n")]
+    calls, results = cf.conversation_calls(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    got = [(r.conv, r.kind, r.state, json.loads(r.message), r.n_rows) for r in cf.link(calls, results, cf.CONVERSATION_TOOLS).collect()]
+    text = sorted((str(c), kind, state, m["arguments"]["text"] if "arguments" in m else m["content"], n) for c, kind, state, m, n in got)
+    assert text == sorted([*[("None", "call", "unanswered", f"q{t}", 1) for t in range(5)], *[("7", "call", "unanswered", x, 1) for x in "ab"],
+                           ("None", "result", "orphan", "r", 1), ("None", "result", "orphan", "s", 1), ("8", "call", "linked", "x", 3), ("8", "duplicate_call", "duplicate", "y", 2),
+                           ("8", "result", "linked", "m", 3), ("8", "duplicate_result", "duplicate", "n", 2)])
+
+
 def test_no_python_on_the_main_path(spark):
     calls, results = cf.conversation_calls(spark.read.parquet("/root/testdata/sf0.001/conversations.parquet"))
     plan = cf.link(calls, results, cf.CONVERSATION_TOOLS)._jdf.queryExecution().toString()
