@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkqc.llm import chat_format, langid, license_scan, line_dedup, mixing, ngram_jaccard, nn_descent, repair_ids, sentencepiece_codec, voronoi_knn
+from sparkqc.llm import chat_format, langid, license_scan, line_dedup, mixing, ngram_jaccard, nn_descent, repair_ids, sentencepiece_codec, suffix_dedup, voronoi_knn
 from sparkqc.llm.common import table
 
 #: Folder of the public vocabulary files; "" means the installed package.
@@ -72,6 +72,10 @@ def op10_exact_top_k(spark: SparkSession, sf: str) -> DataFrame:
     return voronoi_knn.top_k(table(spark, sf, "embeddings"), F.col("id") % 100 == 0, 10)
 
 
+def op12_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return suffix_dedup.digest(suffix_dedup.remove_repeats(table(spark, sf, "documents")))
+
+
 QUERIES = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
     "op2_sentencepiece_codec": op2_sentencepiece_codec,
@@ -83,6 +87,7 @@ QUERIES = {
     "op8_token_ids": op8_token_ids,
     "op9_nearest_neighbours": op9_nearest_neighbours,
     "op10_exact_top_k": op10_exact_top_k,
+    "op12_suffix_dedup": op12_suffix_dedup,
 }
 
 ORACLE: dict[str, str] = {
@@ -90,4 +95,5 @@ ORACLE: dict[str, str] = {
     "op6_chat_format": chat_format.ORACLE,
     "op7_source_mixing": mixing.ORACLE,
     "op10_exact_top_k": voronoi_knn.ORACLE,
+    "op12_suffix_dedup": suffix_dedup.ORACLE,
 }
