@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkqc.llm import chat_format, langid, license_scan, line_dedup, mixing, ngram_jaccard, nn_descent, repair_ids, sentencepiece_codec, suffix_dedup, voronoi_knn
+from sparkqc.llm import chat_format, hard_negatives, langid, license_scan, line_dedup, mixing, ngram_jaccard, nn_descent, repair_ids, sentencepiece_codec, suffix_dedup, voronoi_knn
 from sparkqc.llm.common import table
 
 #: Folder of the public vocabulary files; "" means the installed package.
@@ -76,6 +76,11 @@ def op12_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return suffix_dedup.digest(suffix_dedup.remove_repeats(table(spark, sf, "documents")))
 
 
+def op13_hard_negatives(spark: SparkSession, sf: str) -> DataFrame:
+    vectors = table(spark, sf, "embeddings").withColumn("label", hard_negatives.shifted_label(F.col("label"), F.col("vec_id")))
+    return hard_negatives.mine(vectors, F.col("id") % 100 == 0)
+
+
 QUERIES = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
     "op2_sentencepiece_codec": op2_sentencepiece_codec,
@@ -88,6 +93,7 @@ QUERIES = {
     "op9_nearest_neighbours": op9_nearest_neighbours,
     "op10_exact_top_k": op10_exact_top_k,
     "op12_suffix_dedup": op12_suffix_dedup,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 ORACLE: dict[str, str] = {
@@ -96,4 +102,5 @@ ORACLE: dict[str, str] = {
     "op7_source_mixing": mixing.ORACLE,
     "op10_exact_top_k": voronoi_knn.ORACLE,
     "op12_suffix_dedup": suffix_dedup.ORACLE,
+    "op13_hard_negatives": hard_negatives.ORACLE,
 }
