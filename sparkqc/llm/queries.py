@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkqc.llm import chat_format, hard_negatives, langid, license_scan, line_dedup, mixing, ngram_jaccard, nn_descent, repair_ids, sentencepiece_codec, suffix_dedup, voronoi_knn
+from sparkqc.llm import chat_format, hard_negatives, langid, license_scan, line_dedup, mixing, ngram_jaccard, nn_descent, repair_ids, sentencepiece_codec, spelling, suffix_dedup, voronoi_knn
 from sparkqc.llm.common import table
 
 #: Folder of the public vocabulary files; "" means the installed package.
@@ -72,6 +72,10 @@ def op10_exact_top_k(spark: SparkSession, sf: str) -> DataFrame:
     return voronoi_knn.top_k(table(spark, sf, "embeddings"), F.col("id") % 100 == 0, 10)
 
 
+def op11_spelling_variants(spark: SparkSession, sf: str) -> DataFrame:
+    return spelling.group_spellings(table(spark, sf, "documents"), noise=spelling.NOISE)
+
+
 def op12_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return suffix_dedup.digest(suffix_dedup.remove_repeats(table(spark, sf, "documents")))
 
@@ -92,6 +96,7 @@ QUERIES = {
     "op8_token_ids": op8_token_ids,
     "op9_nearest_neighbours": op9_nearest_neighbours,
     "op10_exact_top_k": op10_exact_top_k,
+    "op11_spelling_variants": op11_spelling_variants,
     "op12_suffix_dedup": op12_suffix_dedup,
     "op13_hard_negatives": op13_hard_negatives,
 }
