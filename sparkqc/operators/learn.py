@@ -25,14 +25,19 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkqc.operators import evaluate
+from sparkqc.operators import boosting, evaluate, network, pruning
 from sparkqc.operators.ranking import cumulative_sums
 from sparkqc.sources import fits
 from sparkqc.session import cut_lineage
 
 # Tuned families and the order they are searched.
 FAMILIES = ("RandomForestClassifier", "LogisticRegression", "DecisionTreeClassifier", "LinearSVC",
-            "KNeighborsClassifier", "GaussianNB", "GBTClassifier", "AdaBoostClassifier", "MultilayerPerceptronClassifier")
+            "KNeighborsClassifier", "GaussianNB", "GBTClassifier", "AdaBoostClassifier", "MultilayerPerceptronClassifier",
+            "RegularisedBoosting", "FeedForwardNetwork")
+#: Families whose trees are pruned by cost complexity when ``ccp_alpha`` is among their parameters.
+PRUNED = ("RandomForestClassifier", "DecisionTreeClassifier")
+#: Depth of trees that are grown to be pruned (the deepest that Spark ML grows).
+FULL_DEPTH = 30
 DEFAULT_FAMILIES = ("RandomForestClassifier", "LogisticRegression", "DecisionTreeClassifier", "LinearSVC",
                     "GaussianNB", "GBTClassifier")
 
@@ -56,8 +61,11 @@ def with_balanced_weight(df: DataFrame, label: str) -> tuple[DataFrame, float]:
 
 # ------------------------------------------------------------- search space
 
-def sample_params(family: str, rng: random.Random, n_features: int = 10) -> dict:
-    """One random point of the family's search space."""
+def sample_params(family: str, rng: random.Random, n_features: int = 10, alphas: Sequence[float] = ()) -> dict:
+    """One random point of the family's search space. ``alphas`` is the pruning path of a tree on the training rows: with it,
+    trees are grown fully and pruned at one of its values (but the last, which leaves the root alone)."""
+    if family in PRUNED and len(alphas) > 1:
+        return {"ccp_alpha": rng.choice(list(alphas[:-1]))}
     if family == "RandomForestClassifier":
         return {"numTrees": rng.choice([20, 50, 100]), "maxDepth": rng.randint(3, 12),
                 "minInfoGain": rng.choice([0.0, 1e-4, 1e-3, 1e-2])}
@@ -78,9 +86,47 @@ def sample_params(family: str, rng: random.Random, n_features: int = 10) -> dict
         return {"learning_rate": rng.uniform(0.001, 0.01), "n_rounds": 50}
     if family == "MultilayerPerceptronClassifier":
         return {"hidden": [rng.choice([8, 16, 32]) for _ in range(rng.randint(1, 3))], "stepSize": rng.uniform(0.01, 0.1)}
+    # Ranges of the search space.
+    if family == "RegularisedBoosting":
+        return {"booster": rng.choice(["gbtree", "gblinear"]), "eta": rng.uniform(0, 0.01), "gamma": rng.uniform(1, 50), "min_child_weight": rng.uniform(1, 50),
+                "max_delta_step": rng.randint(1, 10), "colsample_bytree": rng.uniform(0, 1), "colsample_bylevel": rng.uniform(0, 1), "colsample_bynode": rng.uniform(0, 1),
+                "lambda": rng.uniform(1, 2), "alpha": rng.uniform(0, 1), "subsample": rng.uniform(0.5, 1)}
+    if family == "FeedForwardNetwork":
+        units = lambda: 32 * rng.randint(1, 20)
+        return {"units": [units() for _ in range(1 + rng.randint(0, 2))], "activation": rng.choice(network.ACTIVATIONS), "hidden_initializer": rng.choice(network.INITIALIZERS),
+                "output_initializer": rng.choice(network.INITIALIZERS), "batch_normalization": rng.choice([True, False]),
+                "dropout": rng.choice([0.0, round(0.1 * rng.randint(1, 5), 1)])}
     raise ValueError(family)
 
 
+def full_tree(df: DataFrame, label: str, weighted: bool, seed: int = 42):
+    """A decision tree grown until its leaves are pure (or FULL_DEPTH deep) on an assembled frame."""
+    tree = DecisionTreeClassifier(maxDepth=FULL_DEPTH, impurity="gini", seed=seed, featuresCol=FEATURES, labelCol=label)
+    return (tree.setWeightCol(WEIGHT) if weighted else tree).fit(df)
+
+
+def pruning_alphas(train: DataFrame, features: Sequence[str], label: str, seed: int = 42) -> list[float]:
+    """Pruning path of an unweighted full tree on ``train``: the values of ``ccp_alpha`` worth trying."""
+    return pruning.pruning_path(pruning.node_tables(full_tree(assemble(train, features), label, False, seed))[0])
+
+
+def fit_boosting(df: DataFrame, features: Sequence[str], label: str, params: dict, seed: int = 42) -> boosting.BoostedModel:
+    """L8 from a parameter point; missing parameters take the defaults of ``boosting``."""
+    penalty = boosting.Penalty(params.get("lambda", 1.0), params.get("alpha", 0.0), params.get("gamma", 0.0), params.get("min_child_weight", 1.0), params.get("max_delta_step", 0.0))
+    rounds = params.get("rounds", boosting.ROUNDS)
+    if params.get("booster", "gbtree") == "gblinear":
+        return boosting.fit_boosted_linear(df, features, label, params.get("eta", 0.5), penalty, rounds)
+    return boosting.fit_boosted_trees(df, features, label, params.get("eta", 0.3), penalty, rounds, params.get("max_depth", boosting.MAX_DEPTH), params.get("colsample_bytree", 1.0),
+                                      params.get("colsample_bylevel", 1.0), params.get("colsample_bynode", 1.0), params.get("subsample", 1.0), seed=seed)
+
+
+def fit_feed_forward(df: DataFrame, features: Sequence[str], label: str, params: dict, seed: int = 42, validation: DataFrame | None = None) -> network.NetworkModel:
+    """L10 from a parameter point."""
+    shape = {k: params[k] for k in ("activation", "hidden_initializer", "output_initializer", "batch_normalization", "dropout") if k in params}
+    layers = network.Layers(tuple(params.get("units", (32,))), **shape)
+    return network.fit_network(df, features, label, layers, params.get("epochs", network.EPOCHS), validation, seed=seed)
+
+
 def make_estimator(family: str, params: dict, sum_w: float, n_features: int, label: str, seed: int = 42, max_iter: int = 20):
     """Spark ML estimator for a family and parameter point (C maps to regParam = 1 / (C * sum w))."""
     common = {"featuresCol": FEATURES, "labelCol": label}
@@ -238,7 +284,14 @@ def fit_model(family: str, params: dict, train: DataFrame, features: Sequence[st
         return _Wrapped(fit_gaussian_nb_wide(train, features, label, params.get("var_smoothing", 1e-9)), features)
     if family == "AdaBoostClassifier":
         return fit_adaboost(train, label, params.get("learning_rate", 0.01), params.get("n_rounds", 50))
+    if family == "RegularisedBoosting":
+        return fit_boosting(train, features, label, params, seed)
+    if family == "FeedForwardNetwork":
+        return fit_feed_forward(train, features, label, params, seed)
     tr, sum_w = with_balanced_weight(train, label) if WEIGHT not in train.columns else (train, None)
+    if family in PRUNED and "ccp_alpha" in params:
+        grown = full_tree(tr, label, True, seed) if family == "DecisionTreeClassifier" else make_estimator(family, {**params, "maxDepth": FULL_DEPTH}, 1.0, len(features), label, seed).fit(tr)
+        return pruning.PrunedTrees(list(features), [pruning.prune(t, params["ccp_alpha"]) for t in pruning.node_tables(grown)])
     if sum_w is None:
         sum_w = float(train.agg(F.sum(WEIGHT)).first()[0])
     est = make_estimator(family, params, sum_w, len(features), label, seed, max_iter)
@@ -278,6 +331,8 @@ def evaluate_trial(family: str, params: dict, train: DataFrame, test: DataFrame,
     """
     from concurrent.futures import ThreadPoolExecutor
 
+    if family == "FeedForwardNetwork":
+        return _network_trial(params, train, test, features, label, fold, seed)
     tr = assemble(train, features)
     te = assemble(test, features)
     tr, _ = with_balanced_weight(tr, label)
@@ -309,6 +364,25 @@ def evaluate_trial(family: str, params: dict, train: DataFrame, test: DataFrame,
     return TrialResult(family, params, metrics)
 
 
+def _network_trial(params: dict, train: DataFrame, test: DataFrame, features: Sequence[str], label: str, fold: str, seed: int) -> TrialResult:
+    """L10's own protocol: a quarter held out and few epochs for the validation scores, then all training rows
+    until the loss of the test rows stops falling."""
+    from sparkqc.operators.split import stratified_split
+
+    key = next(c for c in train.columns if c not in (*features, label, fold))
+    held = cut_lineage(stratified_split(train.select(key, label, *features), label, key, 0.25, seed))
+    sub, val = held.where(F.col("split") == "train"), held.where(F.col("split") == "test")
+    short = fit_feed_forward(sub, features, label, {**params, "epochs": params.get("search_epochs", 5)}, seed)
+    full = fit_feed_forward(train, features, label, params, seed, test)
+    parts = [(short, sub, "train"), (short, val, "val"), (full, train, "train_val"), (full, test, "test")]
+    scored = [predict(m, df.select(label, *features)).select(F.col(label).alias("y"), "pred", F.lit(p).alias("part")) for m, df, p in parts]
+    every = scored[0].unionByName(scored[1]).unionByName(scored[2]).unionByName(scored[3])
+    mm = {r["part"]: r["mcc"] for r in evaluate.mcc(every, by=["part"]).collect()}
+    rr = {r["part"]: r["macro_recall"] for r in evaluate.macro_recall(every, by=["part"]).collect()}
+    metrics = {f"{p}_{m}": d.get(p, 0.0) for _, _, p in parts for m, d in (("matthews_corrcoef", mm), ("recall_score", rr))}
+    return TrialResult("FeedForwardNetwork", params, metrics)
+
+
 #: Names of cluster dummies start so; they are in a trial's column list, but no features.
 DUMMY = "cl_"
 
@@ -334,7 +408,8 @@ def tune(family: str, train: DataFrame, test: DataFrame, features: Sequence[str]
     """Seeded random search; keeps the Pareto-optimal trials on (val MCC, val recall)
     and drops those no better than random on train or test (E6, E7)."""
     rng = random.Random(f"{seed}-{family}-{len(features)}")
-    res = [evaluate_trial(family, sample_params(family, rng, len(features)), train, test, features, label, fold,
+    alphas = pruning_alphas(train, features, label) if family in PRUNED else ()
+    res = [evaluate_trial(family, sample_params(family, rng, len(features), alphas), train, test, features, label, fold,
                           seed=seed, max_iter=max_iter, key=key) for _ in range(n_trials)]
     front = []
     for t in res:
@@ -396,6 +471,8 @@ def save_model(model, path: str) -> None:
     elif isinstance(model, KNNModel):
         model.reference.write.mode("overwrite").parquet(f"{path}/reference")
         fits.save_json(spark, {"features": list(model.features), "label": model.label, "key": model.key, "k": model.k, "p": model.p, "weights": model.weights}, f"{path}/knn")
+    elif isinstance(model, (boosting.BoostedModel, pruning.PrunedTrees, network.NetworkModel)):
+        fits.save_json(spark, {"kind": type(model).__name__, **model.as_dict()}, f"{path}/model")
     elif hasattr(model, "write"):
         model.write().overwrite().save(path)
     else:
@@ -424,6 +501,12 @@ def load_model(spark: SparkSession, family: str, path: str):
     if family == "KNeighborsClassifier":
         d = fits.load_json(spark, f"{path}/knn")
         return KNNModel(spark.read.parquet(f"{path}/reference"), d["features"], d["label"], d["key"], d["k"], d["p"], d["weights"])
+    if family == "RegularisedBoosting":
+        return boosting.BoostedModel.from_dict(fits.load_json(spark, f"{path}/model"))
+    if family == "FeedForwardNetwork":
+        return network.NetworkModel.from_dict(fits.load_json(spark, f"{path}/model"))
+    if family in PRUNED and fits.exists(spark, f"{path}/model"):
+        return pruning.PrunedTrees.from_dict(fits.load_json(spark, f"{path}/model"))
     return getattr(classification, _SPARK_MODELS[family]).load(path)
 
 

@@ -12,6 +12,7 @@ import math
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from sparkqc.operators.ranking import cumulative_sums
 
@@ -22,11 +23,12 @@ def split_quotas(counts: dict, test_size: float = 0.2) -> dict:
     n = sum(counts.values())
     n_test = int(math.ceil(test_size * n))
     n_train = n - n_test
-    classes = sorted(counts)
+    last = {c: (c is None, 0 if c is None else c) for c in counts}
+    classes = sorted(counts, key=last.get)
     cont = {c: counts[c] * n_train / n for c in classes}
     floor = {c: int(math.floor(cont[c])) for c in classes}
     need = n_train - sum(floor.values())
-    for c in sorted(classes, key=lambda c: (-(cont[c] - floor[c]), c))[:need]:
+    for c in sorted(classes, key=lambda c: (-(cont[c] - floor[c]), last[c]))[:need]:
         floor[c] += 1
     return {c: counts[c] - floor[c] for c in classes}
 
@@ -38,12 +40,15 @@ def _hash_rank(df: DataFrame, label: str, key: str, seed: int) -> DataFrame:
 
 
 def stratified_split(df: DataFrame, label: str, key: str, test_size: float = 0.2, seed: int = 42) -> DataFrame:
-    """Adds ``split`` in {'train', 'test'} with exact per-class quotas."""
+    """Adds ``split`` in {'train', 'test'} with exact per-class quotas.
+
+    Rows without a label are a class of their own, the last one. Keys are unique and not NULL.
+    """
     counts = {r[0]: r[1] for r in df.groupBy(label).count().collect()}  # one row per class
     quotas = split_quotas(counts, test_size)
-    q = df.sparkSession.createDataFrame([(k, int(v)) for k, v in quotas.items()], [label, "_quota"])
-    ranked = _hash_rank(df, label, key, seed).join(F.broadcast(q), label)
-    return ranked.withColumn("split", F.when(F.col("_rn") <= F.col("_quota"), "test").otherwise("train")).drop("_rn", "_n_c", "_quota")
+    q = df.sparkSession.createDataFrame([(k, int(v)) for k, v in quotas.items()], StructType([StructField("_class", df.schema[label].dataType), StructField("_quota", LongType())]))
+    ranked = _hash_rank(df, label, key, seed).join(F.broadcast(q), F.col(label).eqNullSafe(F.col("_class")))
+    return ranked.withColumn("split", F.when(F.col("_rn") <= F.col("_quota"), "test").otherwise("train")).drop("_rn", "_n_c", "_quota", "_class")
 
 
 def stratified_folds(df: DataFrame, label: str, key: str, k: int = 5, seed: int = 42) -> DataFrame:

@@ -390,3 +390,43 @@ ORACLE.update({
     "all_null_columns": with_views("cells") + """SELECT file_name, CAST(CASE event_type WHEN 'signup' THEN 1 WHEN 'purchase' THEN 1 ELSE 0 END AS INTEGER) AS n_all_null_cols
         FROM cells GROUP BY file_name, event_type""",
 })
+
+_WIDE = "wide AS (SELECT vec_id, CAST(label = 0 AS INTEGER) AS y, " + ", ".join(f"CAST(embedding[{i}] AS DOUBLE) AS e{i}" for i in range(1, 5)) + " FROM embeddings)"
+_PENALISED = "least(1e0, greatest(-1e0, -sign({g}) * greatest(abs({g}) - 0.5e0, 0) / ({h} + 1.5e0)))"
+
+
+def _score(g: str, h: str) -> str:
+    w = _PENALISED.format(g=g, h=h)
+    return f"-({g} * {w} * 2 + ({h} + 1.5e0) * {w} * {w} + 1e0 * abs({w}))"
+
+
+def _leaf_risk(n: str, k: str) -> str:
+    """Gini impurity of ``n`` rows, ``k`` of them of class 1, by their share of all rows."""
+    return f"(CASE WHEN {n} = 0 THEN 0 ELSE (1 - ({k} / {n}) * ({k} / {n}) - (1 - {k} / {n}) * (1 - {k} / {n})) * {n} / n END)"
+
+
+ORACLE.update({
+    "boosted_margins": f"WITH {_WIDE}, " + """m AS (SELECT vec_id, 0.25e0
+        + CASE WHEN e1 <= 0 THEN CASE WHEN e2 <= 0.05e0 THEN 0.5e0 ELSE -0.25e0 END ELSE CASE WHEN e3 <= -0.05e0 THEN 0.125e0 ELSE -1e0 END END
+        + CASE WHEN e4 <= 0.1e0 THEN 0.75e0 ELSE CASE WHEN e1 <= -0.1e0 THEN -0.5e0 ELSE 0.0625e0 END END AS margin FROM wide)
+        SELECT vec_id, """ + r6("margin") + """ AS margin, CAST(margin > 0 AS INTEGER) AS pred FROM m""",
+    "boosted_root_split": with_views("long") + f""", c AS (SELECT pos, v, count(*) AS c, sum(0.5e0 - y) AS g FROM long GROUP BY pos, v),
+        r AS (SELECT *, coalesce(sum(c) OVER (PARTITION BY pos ORDER BY v ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before, sum(c) OVER (PARTITION BY pos) AS n FROM c),
+        b AS (SELECT pos, c, g, dense_rank() OVER (PARTITION BY pos ORDER BY floor(CAST(before * 15 AS DOUBLE) / n)) AS bin FROM r),
+        s AS (SELECT pos, bin, CAST(sum(g) AS DOUBLE) AS g, CAST(sum(c) * 0.25e0 AS DOUBLE) AS h FROM b GROUP BY pos, bin),
+        k AS (SELECT pos, bin, sum(g) OVER w AS gl, sum(h) OVER w AS hl, sum(g) OVER (PARTITION BY pos) AS gt, sum(h) OVER (PARTITION BY pos) AS ht FROM s
+              WINDOW w AS (PARTITION BY pos ORDER BY bin ROWS UNBOUNDED PRECEDING)),
+        q AS (SELECT *, gt - gl AS gr, ht - hl AS hr FROM k WHERE hl >= 2 AND ht - hl >= 2),
+        z AS (SELECT pos, bin, {_score('gl', 'hl')} + {_score('gr', 'hr')} - {_score('gt', 'ht')} AS gain, gl, hl, gr, hr FROM q
+        QUALIFY row_number() OVER (PARTITION BY pos ORDER BY gain DESC, bin) = 1)
+        SELECT pos, CAST(bin AS BIGINT) AS bin, {r6('gain')} AS gain, {r6('gl')} AS gl, {r6('hl')} AS hl, {r6('gr')} AS gr, {r6('hr')} AS hr FROM z""",
+    "pruned_tree": f"WITH {_WIDE}, " + f"""l AS (SELECT vec_id, y, CASE WHEN e1 <= 0 THEN CASE WHEN e2 <= 0.05e0 THEN 1 ELSE 2 END ELSE CASE WHEN e3 <= -0.05e0 THEN 3 ELSE 4 END END AS leaf FROM wide),
+        c AS (SELECT CAST(count(*) AS DOUBLE) AS n, {", ".join(f"CAST(count(*) FILTER (leaf = {i}) AS DOUBLE) AS n{i}, CAST(count(*) FILTER (leaf = {i} AND y = 1) AS DOUBLE) AS k{i}" for i in range(1, 5))},
+              n1 + n2 AS nl, k1 + k2 AS kl, n3 + n4 AS nr, k3 + k4 AS kr, k1 + k2 + k3 + k4 AS k FROM l),
+        r AS (SELECT *, {_leaf_risk('nl', 'kl')} + 0.0005e0 AS alone_l, {_leaf_risk('nr', 'kr')} + 0.0005e0 AS alone_r, {_leaf_risk('n', 'k')} + 0.0005e0 AS alone,
+              {_leaf_risk('n1', 'k1')} + {_leaf_risk('n2', 'k2')} + 0.001e0 AS split_l, {_leaf_risk('n3', 'k3')} + {_leaf_risk('n4', 'k4')} + 0.001e0 AS split_r FROM c),
+        p AS (SELECT *, alone <= least(alone_l, split_l) + least(alone_r, split_r) AS root, alone_l <= split_l AS cut_l, alone_r <= split_r AS cut_r FROM r)
+        SELECT vec_id, CAST(CASE WHEN root THEN 1 ELSE 3 + 2 * CAST(NOT cut_l AS INTEGER) + 2 * CAST(NOT cut_r AS INTEGER) END AS BIGINT) AS n_nodes,
+          round(CAST(CASE WHEN root THEN k / n WHEN leaf <= 2 THEN CASE WHEN cut_l THEN kl / nl WHEN leaf = 1 THEN k1 / n1 ELSE k2 / n2 END
+          ELSE CASE WHEN cut_r THEN kr / nr WHEN leaf = 3 THEN k3 / n3 ELSE k4 / n4 END END AS DOUBLE), 6) + 0.0 AS share FROM l, p""",
+})

@@ -506,6 +506,54 @@ def q_final_score(spark, sf):
     return sc.score(sc.preprocess_new(data.drop("y"), prep), sm)
 
 
+# Trees of the queries below, as (feature, threshold, left, right, value) per node.
+BOOSTED_TREES = (((0, 0.0, 1, 2, 0.0), (1, 0.05, 3, 4, 0.0), (2, -0.05, 5, 6, 0.0), (-1, 0.0, -1, -1, 0.5), (-1, 0.0, -1, -1, -0.25), (-1, 0.0, -1, -1, 0.125), (-1, 0.0, -1, -1, -1.0)),
+                 ((3, 0.1, 1, 2, 0.0), (-1, 0.0, -1, -1, 0.75), (0, -0.1, 3, 4, 0.0), (-1, 0.0, -1, -1, -0.5), (-1, 0.0, -1, -1, 0.0625)))
+PRUNE_ALPHA = 0.0005
+
+
+def _tree(nodes):
+    import numpy as np
+
+    from sparkqc.operators.trees import Tree
+
+    f, t, le, r, v = (list(c) for c in zip(*nodes, strict=True))
+    return Tree(np.array(f), np.array(t), np.zeros(len(f), bool), np.array(le), np.array(r), np.array(v)[:, None])
+
+
+def q_boosted_margins(spark, sf):
+    """Margins of two fixed trees."""
+    from sparkqc.operators.boosting import BoostedModel
+
+    model = BoostedModel(["e1", "e2", "e3", "e4"], [_tree(t) for t in BOOSTED_TREES], bias=0.25)
+    return finish(model.transform(fx.wide_view(spark, sf).select("vec_id", "e1", "e2", "e3", "e4")).select("vec_id", "margin", F.col("prediction").cast("int").alias("pred")))
+
+
+BOOST_BINS = 16
+
+
+def q_boosted_root_split(spark, sf):
+    """Best first split of every column, from the gradient sums of the first round."""
+    from sparkqc.operators import boosting as bo
+
+    long = fx.long_view(spark, sf).select(F.concat(F.lit("e"), F.col("pos")).alias("col"), "v")
+    cuts = {**{c: [] for c in WIDE_FEATS}, **{r["col"]: r["cuts"] for r in bo.long_cuts(long, BOOST_BINS).collect()}}
+    rows = bo.binned_rows(fx.wide_view(spark, sf), WIDE_FEATS, "y", cuts)
+    penalty = bo.Penalty(lambda_=1.5, alpha=0.5, min_child_weight=2.0, max_delta_step=1.0)
+    best = bo.best_splits(bo.split_gains(bo.gradient_sums(rows, len(WIDE_FEATS)), penalty), ["col"])
+    return finish(best.select((F.col("col") + 1).cast("long").alias("pos"), F.col("bin").cast("long").alias("bin"), "gain", "gl", "hl", "gr", "hr"))
+
+
+def q_pruned_tree(spark, sf):
+    """A fixed tree, measured and pruned on the rows; class of every row."""
+    from sparkqc.operators import pruning
+
+    feats, wide = ["e1", "e2", "e3"], fx.wide_view(spark, sf)
+    table = pruning.prune(pruning.measured(_tree(BOOSTED_TREES[0]), wide, feats, "y", 2), PRUNE_ALPHA)
+    scored = pruning.PrunedTrees(feats, [table]).transform(wide.select("vec_id", *feats))
+    return finish(scored.select("vec_id", F.lit(len(table.parent)).cast("long").alias("n_nodes"), F.get("probability", F.lit(1)).alias("share")))
+
+
 QUERIES = {
     "missing_profile": q_missing_profile,
     "column_moments": q_column_moments,
@@ -583,6 +631,13 @@ QUERIES = {
     "naive_bayes_scores": _trial_query("GaussianNB", {"var_smoothing": 1e-9}),
     "adaboost_scores": _trial_query("AdaBoostClassifier", {"learning_rate": 0.01, "n_rounds": 5}),
     "mlp_scores": _trial_query("MultilayerPerceptronClassifier", {"hidden": [8]}),
+    "boosted_margins": q_boosted_margins,
+    "boosted_root_split": q_boosted_root_split,
+    "pruned_tree": q_pruned_tree,
+    "boosted_scores": _trial_query("RegularisedBoosting", {"eta": 0.3, "lambda": 1.5, "alpha": 0.5, "gamma": 1.0, "colsample_bytree": 0.5, "subsample": 0.8, "rounds": 3, "max_depth": 3}),
+    "pruned_tree_scores": _trial_query("DecisionTreeClassifier", {"ccp_alpha": 0.002}),
+    "pruned_forest_scores": _trial_query("RandomForestClassifier", {"ccp_alpha": 0.005, "numTrees": 20}),
+    "network_scores": _trial_query("FeedForwardNetwork", {"units": [32, 32], "activation": "selu", "batch_normalization": True, "dropout": 0.1, "epochs": 5}),
     "knn_scores": _trial_query("KNeighborsClassifier", {"n_neighbors": 5, "weights": "distance", "p": 1}),
     "learning_curve": q_learning_curve,
     "preprocess_train": q_preprocess_train,

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -91,6 +92,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def write_shared(df: DataFrame, name: str, partition_by: str | None = None) -> str:
+    """Write ``df`` as a Parquet table below the shared checkpoint folder; returns its path."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    (df.write.partitionBy(partition_by) if partition_by else df.write).parquet(path)
+    return path
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Before a CPU-heavy expansion (a parameter grid x rows): deal the rows evenly; AQE sizes and splits the partitions."""
     return df.hint("rebalance")

@@ -39,6 +39,12 @@ def save_json(spark: SparkSession, value, path: str) -> None:
     spark.createDataFrame([(json.dumps(value),)], "value string").coalesce(1).write.mode("overwrite").text(path)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether anything stands at ``path``, in whatever store it names."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+
+
 def load_json(spark: SparkSession, path: str):
     return json.loads(spark.read.text(path, wholetext=True).where("value <> ''").first()[0])
 
