@@ -6,80 +6,112 @@ missing both,
 
     r = (N n_ab - n_a n_b) / sqrt(n_a (N - n_a) n_b (N - n_b)).
 
-n_ab is a partial aggregation over the pairs a < b of NULL cells inside each
-row (at most p(p-1)/2 per row, bounded by the schema, combined map-side); the
-aggregate is mirrored and the diagonal is n_a itself. The matrix is never built
-row by row on the driver and no data rows are paired.
+Rows are numbered, and a column's missing rows are bitmaps, one per slice of
+32,768 rows (``bitmap_construct_agg``, combined map-side). The bitmaps of a slice
+meet in one task, at most one per column; n_ab is the popcount of their AND,
+added up over slices. Cells are never shuffled by row, and no pairs are made
+per row: pair counts leave a task as at most p x p sums.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkqc.operators.profile import missing_profile, moments, per_column, quantiles
 
 
-def _column_pairs(spark: SparkSession, cols: list) -> DataFrame:
-    """All ordered pairs of the given column ids (schema-bounded, built by index arithmetic)."""
-    m = len(cols)
-    ids = spark.createDataFrame([(i, c) for i, c in enumerate(cols)], "i long, c " + _ddl(cols))
-    pairs = spark.range(m * m).select((F.col("id") / m).cast("long").alias("i"), (F.col("id") % m).alias("j"))
-    return (pairs.join(F.broadcast(ids.withColumnRenamed("c", "col_a")), "i")
-            .join(F.broadcast(ids.withColumnRenamed("i", "j").withColumnRenamed("c", "col_b")), "j")
-            .select("col_a", "col_b"))
-
-
 def _ddl(cols: list) -> str:
     return "bigint" if cols and isinstance(cols[0], int) else "string"
 
 
-def missingness_corr(long: DataFrame, key: str, col: str = "col", value: str = "v") -> DataFrame:
-    """A2: ``(col_a, col_b, r)`` for every pair of columns whose indicator varies (0 < n_missing < N)."""
+def _numbered(holes: DataFrame, key: str) -> DataFrame:
+    """``holes`` with a dense row number ``_slot`` for every key."""
+    ids = holes.select(F.col(key).alias("_k")).distinct().withColumn("_slot", F.monotonically_increasing_id())
+    return holes.join(ids, F.col(key).eqNullSafe(F.col("_k"))).drop("_k")
+
+
+def missing_pairs(holes: DataFrame, cols: list, col: str = "col", slot: str = "_slot") -> DataFrame:
+    """``(col_a, col_b, n_a, n_b, n_ab)`` for all ordered pairs of ``cols``: missing cells of both, and rows that miss both.
+
+    ``holes`` has one row per missing cell: its column and the number of its row.
+    """
+    names = holes.sparkSession.sparkContext.broadcast(cols)  # one per column
+    kind = dict(holes.dtypes)[col]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        order = {c: i for i, c in enumerate(names.value)}
+        m = len(order)
+        both = np.zeros((m, m), np.int64)
+        held: dict[int, np.ndarray] = {}
+        slice_ = None
+
+        def add() -> None:
+            at = np.array(sorted(held), np.int64)
+            bits = np.stack([held[i] for i in at.tolist()])
+            for i, row in zip(at.tolist(), bits, strict=True):
+                both[i, at] += np.bitwise_count(bits & row).sum(1, dtype=np.int64)
+
+        for batch in batches:
+            for s, c, bitmap in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+                if held and s != slice_:
+                    add()
+                    held = {}
+                slice_ = s
+                held[order[c]] = np.frombuffer(bitmap, np.uint64)
+        if held:
+            add()
+        a, b = np.divmod(np.arange(m * m), m)
+        own = both.diagonal()
+        labels = pa.array(names.value)
+        yield pa.RecordBatch.from_arrays([labels.take(pa.array(a)), labels.take(pa.array(b)), pa.array(own[a]), pa.array(own[b]), pa.array(both[a, b])], names=["col_a", "col_b", "n_a", "n_b", "n_ab"])
+
+    bitmaps = holes.where(F.col(col).isin(cols)).groupBy(F.bitmap_bucket_number(slot).alias("slice"), F.col(col)).agg(F.bitmap_construct_agg(F.bitmap_bit_position(slot)).alias("bits"))
+    met = bitmaps.repartition("slice").sortWithinPartitions("slice").mapInArrow(run, f"col_a {kind}, col_b {kind}, n_a long, n_b long, n_ab long")
+    return met.groupBy("col_a", "col_b").agg(*[F.sum(c).alias(c) for c in ("n_a", "n_b", "n_ab")])
+
+
+def missingness_corr(long: DataFrame, key: str, col: str = "col", value: str = "v", slot: str | None = None) -> DataFrame:
+    """A2: ``(col_a, col_b, r)`` for every pair of columns whose indicator varies (0 < n_missing < N).
+
+    ``slot`` names a column with a whole number per row, dense as row numbers are (from ``monotonically_increasing_id`` or
+    an unbroken key); without it the keys of incomplete rows are numbered first, by one more exchange.
+    """
     spark = long.sparkSession
     prof = long.groupBy(col).agg(F.count_if(F.col(value).isNull()).alias("n_missing"), F.count(F.lit(1)).alias("N"))
     varying = prof.where((F.col("n_missing") > 0) & (F.col("n_missing") < F.col("N")))
-    info = {r[col]: (r["n_missing"], r["N"]) for r in varying.collect()}  # one row per column
+    info = {r[col]: r["N"] for r in varying.collect()}  # one row per column
     cols = sorted(info)
     if not cols:
         return spark.createDataFrame([], f"col_a {_ddl(cols)}, col_b {_ddl(cols)}, r double")
-    holes = (long.where(F.col(value).isNull() & F.col(col).isin(cols)).groupBy(key)
-             .agg(F.array_sort(F.collect_list(col)).alias("_m")))
-    # Only pairs a < b are emitted per row (each NULL cell meets the cells after it);
-    # the aggregate (<= p^2/2 rows) is mirrored, and the diagonal is n_missing itself.
-    upper = (holes.select(F.posexplode("_m").alias("_p", "col_a"), "_m")
-             .select("col_a", F.explode(F.slice("_m", F.col("_p") + 2, F.size("_m"))).alias("col_b"))
-             .groupBy("col_a", "col_b").agg(F.count(F.lit(1)).alias("n_ab")))
-    stats = spark.createDataFrame([(c, int(a), int(n)) for c, (a, n) in info.items()], f"c {_ddl(cols)}, n_m long, N long")
-    co = (upper.unionByName(upper.select(F.col("col_b").alias("col_a"), F.col("col_a").alias("col_b"), "n_ab"))
-          .unionByName(stats.select(F.col("c").alias("col_a"), F.col("c").alias("col_b"), F.col("n_m").alias("n_ab"))))
-    # co has at most m^2 rows (m = columns with NULLs): bounded by the schema, never by the data
-    pairs = _column_pairs(spark, cols).join(F.broadcast(co), ["col_a", "col_b"], "left").fillna(0, ["n_ab"])
-    sa = stats.select(F.col("c").alias("col_a"), F.col("n_m").alias("na"), F.col("N"))
-    sb = stats.select(F.col("c").alias("col_b"), F.col("n_m").alias("nb"))
-    j = pairs.join(F.broadcast(sa), "col_a").join(F.broadcast(sb), "col_b")
-    N, na, nb, nab = (F.col(c).cast("double") for c in ("N", "na", "nb", "n_ab"))
-    r = (N * nab - na * nb) / F.sqrt(na * (N - na) * nb * (N - nb))
-    return j.select("col_a", "col_b", r.alias("r"))
+    holes = long.where(F.col(value).isNull())
+    numbered = holes.select(F.col(col), F.col(slot).cast("long").alias("_slot")) if slot else _numbered(holes, key)
+    pairs = missing_pairs(numbered, cols, col)
+    total = F.lit(float(max(info.values())))
+    na, nb, nab = (F.col(c).cast("double") for c in ("n_a", "n_b", "n_ab"))
+    r = (total * nab - na * nb) / F.sqrt(na * (total - na) * nb * (total - nb))
+    return pairs.select("col_a", "col_b", r.alias("r"))
 
 
 def impute_plan(long: DataFrame, key: str, col: str = "col", value: str = "v", drop_above: float = 0.8,
-                corr_above: float = 0.6, skew_band: float = 0.5, strict_order: bool = True, order: Sequence | None = None) -> DataFrame:
+                corr_above: float = 0.6, skew_band: float = 0.5, strict_order: bool = True, order: Sequence | None = None, slot: str | None = None) -> DataFrame:
     """M1: ``(col, prop_missing, skew, strategy)`` for every column with a NULL.
 
     drop if share > 0.8; else 'mean' / 'median' (by |skew| < 0.5) when no other
     column's null indicator has |r| > 0.6 with it; else 'iterative'. With
     ``strict_order`` a column dropped earlier in column order is not counted
     (columns are dropped in a loop over them). ``order`` lists the columns in
-    their table's order; without it ids are compared (numbers, never names).
+    their table's order; without it ids are compared (numbers, never names). ``slot``: see ``missingness_corr``.
     """
     prof = missing_profile(long, col, value)
     mo = moments(long, col, value).select(col, "skew")
     p = prof.join(per_column(mo), col).where(F.col("n_missing") > 0)
     drop_flag = F.col("prop_missing") > drop_above
-    corr = missingness_corr(long, key, col, value)
+    corr = missingness_corr(long, key, col, value, slot)
     dropped = p.where(drop_flag).select(F.col(col).alias("col_b"), F.lit(True).alias("_b_drop"))
     c = corr.join(per_column(dropped), "col_b", "left")
     before = F.col("col_b") < F.col("col_a")

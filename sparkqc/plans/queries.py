@@ -106,12 +106,12 @@ def q_rows_with_missing(spark, sf):
 
 
 def q_missingness_corr(spark, sf):
-    r = missing.missingness_corr(fx.holes_view(spark, sf), "vec_id", col="pos")
+    r = missing.missingness_corr(fx.holes_view(spark, sf), "vec_id", col="pos", slot="vec_id")
     return finish(r.select(F.col("col_a").alias("pos_a"), F.col("col_b").alias("pos_b"), "r"))
 
 
 def q_impute_plan(spark, sf):
-    return finish(missing.impute_plan(fx.sensor_holes_view(spark, sf), "vec_id", col="pos", order=fx.SENSORS))
+    return finish(missing.impute_plan(fx.sensor_holes_view(spark, sf), "vec_id", col="pos", order=fx.SENSORS, slot="vec_id"))
 
 
 def _impute_query(spark, sf, strategy):
@@ -129,7 +129,7 @@ def q_impute_median(spark, sf):
 
 
 def q_imputation_report(spark, sf):
-    return missing.imputation_report(missing.impute_plan(fx.sensor_holes_view(spark, sf), "vec_id", col="pos", order=fx.SENSORS), "pos")
+    return missing.imputation_report(missing.impute_plan(fx.sensor_holes_view(spark, sf), "vec_id", col="pos", order=fx.SENSORS, slot="vec_id"), "pos")
 
 
 def q_drop_constant(spark, sf):

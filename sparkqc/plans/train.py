@@ -98,10 +98,11 @@ def fit_preprocess(data: DataFrame, key: str, label: str, id_cols: Sequence[str]
 
     # M1: plan on train
     lt = _long(train, key, feats)
+    numbered = to_long(train.withColumn("_slot", F.monotonically_increasing_id()), [key, "_slot"], feats)
     reports["duplicate_rows"] = dedup.duplicate_rows(data.select(*feats, label))
     reports["rows_with_missing"] = profile.rows_with_missing_wide(sp, feats)
     reports["missing_profile"] = missing.missing_profile(lt)
-    plan = {r["col"]: r["strategy"] for r in missing.impute_plan(lt, key, order=feats).collect()}  # one row per column
+    plan = {r["col"]: r["strategy"] for r in missing.impute_plan(numbered, key, order=feats, slot="_slot").collect()}  # one row per column
     fit.dropped_missing = [c for c in feats if plan.get(c) == "drop"]
     drop_log += [(c, REASON_MISSING) for c in fit.dropped_missing]
     kept = [c for c in feats if c not in fit.dropped_missing]

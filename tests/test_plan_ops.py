@@ -173,3 +173,19 @@ def test_anova_matches_closed_form(spark):
     ssw = sum(((a - a.mean()) ** 2).sum() for a in g)
     assert f == pytest.approx((ssb / 1) / (ssw / (80 - 2)))
     assert F is not None
+
+
+def test_missing_pairs_over_many_slices(spark):
+    import numpy as np
+    from pyspark.sql import functions as F
+
+    from sparkqc.operators import missing
+
+    n = 100_000  # four slices of 32,768 rows
+    lg = spark.range(n).select(F.col("id").alias("k"), F.explode(F.array(*[F.struct(F.lit(c).alias("col"), F.when(F.col("id") % d != 0, 1.0).alias("v")) for c, d in (("a", 2), ("b", 3), ("c", 7), ("d", n + 1))])).alias("x"))
+    lg = lg.select("k", "x.*")
+    i = np.arange(n)
+    want = np.corrcoef([i % 2 == 0, i % 3 == 0, i % 7 == 0, i == 0])
+    for slot in ("k", None):
+        got = {(r.col_a, r.col_b): r.r for r in missing.missingness_corr(lg, "k", slot=slot).collect()}
+        assert len(got) == 16 and all(abs(got["abcd"[a], "abcd"[b]] - want[a, b]) < 1e-9 for a in range(4) for b in range(4))
