@@ -6,8 +6,9 @@
 4. mixing: documents are taken as often as their sources' targets ask, in the order of the output shards.
 5. SentencePiece: the ids of each document.
 
-Stages 1 to 4 return the columns of ``documents``. Empty tables give empty results; null texts go in stage 1; rows without an id stay
-until stage 5; rows that share an id are one document from stage 3 on.
+Stages 1 to 4 return the columns of ``documents``. Empty tables give empty results; null texts go in stage 1; texts of any length are
+handled whole; rows without an id, and rows that share an id but not a text, are documents of their own; rows that share id and text are
+copies, of which stage 3 keeps one.
 """
 
 from __future__ import annotations
@@ -35,18 +36,21 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = ngram_jaccard.near_duplicates(docs, NEAR)
-    first = found.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("_first")).distinct()
-    kept = docs.join(first, F.col("doc_id") == F.col("_first"), "left_semi").dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.where("doc_id IS NULL")).select(*docs.columns)
+    # id and text name a row: rows that share an id, or have none, are documents of their own
+    keyed = docs.withColumn("_key", F.xxhash64("doc_id", "text"))
+    found = ngram_jaccard.near_duplicates(keyed, NEAR, "_key").select(F.col("_key").alias("_found"), F.col("component_id").alias("_group")).distinct()
+    ids = keyed.select("_key", "doc_id").distinct().join(found, F.col("_key") == F.col("_found"))
+    first = ids.groupBy("_group").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_key")).alias("_first")).select(F.col("_first._key").alias("_stays"))
+    kept = keyed.join(staged(first, "pipeline-first").hint("merge"), F.col("_key") == F.col("_stays"), "left_semi")
+    return kept.dropDuplicates(["_key"]).select(*docs.columns)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    sized = mixing.sizes(docs)
-    taken = mixing.mix(sized, mixing.targets(sized)).where("copy IS NOT NULL").groupBy("id", "size", "copy").agg(F.min("shard").alias("_shard"), F.min("place").alias("_place"))
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (mixing.word_count(F.col("text")) == F.col("_size"))
-    rows = docs.join(taken.select(F.col("id").alias("_id"), F.col("size").alias("_size"), "_shard", "_place"), same)
-    return rows.repartitionByRange("_shard", "_place").sortWithinPartitions("_shard", "_place").select(*docs.columns)
+    rows = staged(docs.withColumn("_number", F.monotonically_increasing_id()), "pipeline-numbered")
+    sized = mixing.sizes(rows, row_col="_number")
+    taken = mixing.mix(sized, mixing.targets(sized)).where("shard IS NOT NULL").select(F.col("_row").alias("_taken"), "shard", "place")
+    copies = rows.join(staged(taken, "pipeline-taken").hint("merge"), F.col("_number") == F.col("_taken"))
+    return copies.repartitionByRange("shard", "place").sortWithinPartitions("shard", "place").select(*docs.columns)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
