@@ -18,15 +18,33 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Spark's own setting: an execution's shuffle files go when it ends, not when the driver happens to collect its garbage.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as a Parquet table below the shared checkpoint folder and read it back.
 
-    Cuts the lineage: a lost executor costs a re-read, not a recomputation.
+    Cuts the lineage: a lost executor costs a re-read, not a recomputation. Shuffle files of the write are not needed after it and go.
     """
     spark = df.sparkSession
     path = os.path.join(ensure_checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex}")
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.__dict__["staged_at"] = path
+    return out
+
+
+def forget(*tables: DataFrame) -> None:
+    """Remove staged tables that nothing reads any more: what came from them is staged itself."""
+    for t in tables:
+        path = t.sparkSession._jvm.org.apache.hadoop.fs.Path(t.__dict__["staged_at"])
+        path.getFileSystem(t.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def texts_of(column: pa.Array | pa.ChunkedArray) -> list[str | None]:

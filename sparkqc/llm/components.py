@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkqc.llm.common import staged
+from sparkqc.llm.common import forget, staged
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -26,7 +26,10 @@ def components(edges: DataFrame) -> DataFrame:
         goes = staged(step.join(on, F.col("to") == F.col("_f"), "left").select("from", F.coalesce("_t", "to").alias("to")), "goes")
         at_a = goes.select(F.col("from").alias("_fa"), F.col("to").alias("_ta"))
         at_b = goes.select(F.col("from").alias("_fb"), F.col("to").alias("_tb"))
+        forget(step)
         renamed = left.join(at_a, F.col("a") == F.col("_fa"), "left").join(at_b, F.col("b") == F.col("_fb"), "left")
-        left = staged(ordered(renamed.select(F.coalesce("_ta", "a").alias("a"), F.coalesce("_tb", "b").alias("b"))), "edges")
-        names = staged(names.join(at_a, F.col("component") == F.col("_fa"), "left").select("id", F.coalesce("_ta", "component").alias("component")), "components")
+        left, was_left = staged(ordered(renamed.select(F.coalesce("_ta", "a").alias("a"), F.coalesce("_tb", "b").alias("b"))), "edges"), left
+        names, was_names = staged(names.join(at_a, F.col("component") == F.col("_fa"), "left").select("id", F.coalesce("_ta", "component").alias("component")), "components"), names
+        forget(goes, was_left, was_names)
+    forget(left)
     return names

@@ -40,7 +40,7 @@ MAX_N = 4
 MIN_WORD = 2
 MIN_GRAM = 3
 FLOOR = 1e-7  # share of a string that a language never shows
-CACHED_WORDS = 400_000
+CACHED_WORDS = 150_000
 _WORD = re.compile(r"[^\W\d_]+")
 
 

@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparkqc.llm.common import staged
+from sparkqc.llm.common import forget, staged
 from sparkqc.llm.mixing import word_count
 
 MIN_WORDS = 50
@@ -98,7 +98,9 @@ def deletions(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id
     gone = F.coalesce(F.max("reach").over(upto) >= F.col("pos"), F.lit(False))
     judged = at_line.withColumn("gone", gone).groupBy("id", "key").agg(
         F.max("gone").alias("any"), F.sort_array(F.collect_list(F.struct("pos", "gone"))).alias("lines"))
-    return judged.where("any").drop("any")
+    found = staged(judged.where("any").drop("any"), "line-deletions")
+    forget(lines, every)
+    return found
 
 
 def clean_lines(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -6,16 +6,17 @@ share cancel, and sketches can differ by no more than the symmetric difference o
 * A pair of sets of up to ``hi`` tokens with a Jaccard similarity of ``num / den`` differs by at most
   ``d = 2 hi (den - num) / (den + num)`` tokens. Sets are split into size bands; a set takes part in its own band and, if a
   larger partner may stand there, in the next.
-* Pigeonhole: a band's sketch has ``d + 2`` chunks, each the XOR of the hashes of its tokens. A differing token changes one
-  chunk, so two chunks at least are equal; a set with at most one empty chunk needs no key for it. Equal
-  (band, chunk, XOR) is the join key.
+* Pigeonhole: a band's sketch has some more than ``d`` chunks, each the XOR of the hashes of its tokens. A differing token changes
+  one chunk, so some chunks are equal; a set with more non-empty chunks than tokens by which any partner of the band can differ has an equal one
+  among these and needs no keys for empty chunks, which unlike sets share too. Equal (band, chunk, XOR) is the join key.
 * A second sketch of 512 parity bits goes with each set. Its Hamming distance is a lower bound of the symmetric
   difference too, and pairs beyond their own d are not emitted.
-* Pairs that are left are verified on the sets themselves.
+* Pairs that are left are held to a third sketch, whose size grows with the set, and then verified on the sets themselves.
 
 Equal sets are one class and take part once. Buckets of near copies would give all pairs, of which the components need
-few: first the neighbours in each bucket (sorted by sketch) are verified and joined to components, then only
-pairs across components, bucket by bucket in blocks of bounded size. Each set carries its smallest keys, so a pair that shares a
+few: first the neighbours in each bucket (sorted by sketch) are verified and joined to components, in rounds over one key in 64, in 8 and all, then only
+pairs across components, bucket by bucket in blocks of bounded size. Keys are shuffled once, with nothing but an id, and
+only those that several rows share go on. Each set carries its smallest keys, so a pair that shares a
 smaller key is left to that key's bucket. No bucket is capped, and no link between components is lost.
 
 Defined results: a null or empty text, or one without words, has no shingles and is linked with nothing; with fewer words
@@ -33,14 +34,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkqc.llm.common import U64, list_array, mix64, staged, texts_of
+from sparkqc.llm.common import U64, forget, list_array, mix64, staged, texts_of
 from sparkqc.llm.components import components
 
 SEGMENT = 4 << 20
 SKETCH_BITS = 512
 BAND_RATIO = 1.4
 BLOCK = 512  # documents of a bucket that one task compares with as many others
-SEEN = 1_000_000
+SEEN = 200_000
+SAMPLE = 20_000  # rows that are looked at for hot keys
+HOT = 50
+ROUNDS = (63, 7, 0)  # keys without these bits take part in a round
 LEAST = 8  # smallest keys that a set carries
 _BASE = 0x9E3779B97F4A7C15
 _SPACE = np.zeros(256, bool)
@@ -156,14 +160,15 @@ def chunk_keys(tokens: np.ndarray, sim: Similarity, bands: list[int]) -> np.ndar
         d = sim.differing(2 * bands[band])
         if d == 0:  # only equal sets link
             continue
-        k = d + 2
+        k = d + 2 + d // 16
         chunk = ((tokens >> U64(32)) * U64(k)) >> U64(32)
         cut = np.searchsorted(chunk, np.arange(k + 1, dtype=U64))
         xors = running[cut[1:]] ^ running[cut[:-1]]
         full = cut[1:] > cut[:-1]
         name = np.arange(k, dtype=U64) + U64((band + 1) << 32)
         key = mix64(xors ^ mix64(name))
-        keys.append(key[full] if k - int(full.sum()) <= 1 else key)
+        partner = min(bands[band], n * sim.den // sim.num)
+        keys.append(key[full] if int(full.sum()) > sim.differing(n + partner) else key)
     return np.concatenate(keys) if keys else np.zeros(0, U64)
 
 
@@ -182,41 +187,96 @@ def hamming(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 # ---- Spark -----------------------------------------------------------------------------------------------------
 
-def sketches(docs: DataFrame, sim: Similarity, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(id, n, s1, s2, sketch, least, keys)``: set size, a 128-bit name of the set, parity bits, smallest keys and join keys.
+def _each(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
 
-    A copy of a set that its task has met before has no keys: a combiner on the map side.
-    """
+
+def _bands_for(bands: list[int], n: int, sim: Similarity) -> list[int]:
+    return sim.bands(4 * n) if n * sim.den // sim.num >= bands[-2] else bands
+
+
+def sketches(docs: DataFrame, sim: Similarity, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``(id, n, s1, s2, sketch, least)``: set size, a 128-bit name of the set, parity bits and smallest join keys."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[tuple[int, int]] = set()
         bands = sim.bands(1024)
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
                 part = batch.slice(at, 1000)
-                n, s1, s2, bits, least, keys = [], [], [], [], [], []
+                n, s1, s2, bits, least = [], [], [], [], []
                 for tokens in shingle_sets(texts_of(part.column(1)), sim.words):
                     n.append(len(tokens))
-                    if len(tokens) * sim.den // sim.num >= bands[-2]:
-                        bands = sim.bands(4 * len(tokens))
-                    s1.append(name := int(np.bitwise_xor.reduce(tokens, initial=0)))
-                    s2.append(other := int((tokens * U64(0x94D049BB133111EB) >> U64(7)).sum(dtype=U64)))
+                    bands = _bands_for(bands, len(tokens), sim)
+                    s1.append(int(np.bitwise_xor.reduce(tokens, initial=0)))
+                    s2.append(int((tokens * U64(0x94D049BB133111EB) >> U64(7)).sum(dtype=U64)))
                     bits.append(parity_bits(tokens))
-                    if (name, other) in seen or not len(tokens):
+                    least.append(least_keys(chunk_keys(tokens, sim, bands)) if len(tokens) else None)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), pa.array(n, pa.int64()), pa.array(np.array(s1, U64).view(np.int64)), pa.array(np.array(s2, U64).view(np.int64)), pa.array(bits, pa.binary()), pa.array(least, pa.binary())],
+                    names=["id", "n", "s1", "s2", "sketch", "least"])
+
+    return _each(docs, id_col, text_col).mapInArrow(run, "id long, n long, s1 long, s2 long, sketch binary, least binary")
+
+
+def join_keys(docs: DataFrame, sim: Similarity, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``(key, id)``: the join keys of every set. A copy of a set that its task has met before has none: a combiner on the map side."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[bytes] = set()
+        bands = sim.bands(1024)
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1000):
+                part = batch.slice(at, 1000)
+                keys = []
+                for tokens in shingle_sets(texts_of(part.column(1)), sim.words):
+                    name = np.stack([np.bitwise_xor.reduce(tokens, initial=0), (tokens * U64(0x94D049BB133111EB) >> U64(7)).sum(dtype=U64)]).tobytes()
+                    if name in seen or not len(tokens):
                         keys.append(np.zeros(0, U64))
-                        least.append(None)
                         continue
                     if len(seen) >= SEEN:
                         seen.clear()
-                    seen.add((name, other))
+                    seen.add(name)
+                    bands = _bands_for(bands, len(tokens), sim)
                     keys.append(chunk_keys(tokens, sim, bands))
-                    least.append(least_keys(keys[-1]))
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(n, pa.int64()), pa.array(np.array(s1, U64).view(np.int64)), pa.array(np.array(s2, U64).view(np.int64)), pa.array(bits, pa.binary()), pa.array(least, pa.binary()),
-                     list_array(np.concatenate(keys).view(np.int64), np.array([len(k) for k in keys]), pa.int64())],
-                    names=["id", "n", "s1", "s2", "sketch", "least", "keys"])
+                ids = np.repeat(part.column(0).to_numpy(), [len(k) for k in keys])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), pa.array(ids)], names=["key", "id"])
+
+    return _each(docs.where(F.col(id_col).isNotNull()), id_col, text_col).mapInArrow(run, "key long, id long")
+
+
+def hot_keys(docs: DataFrame, sim: Similarity, rows: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``(key)``: keys that many of SAMPLE hash-drawn rows share; at most SAMPLE / HOT for each place of a key, so they can be broadcast."""
+    drawn = docs.where(F.pmod(F.xxhash64(F.col(id_col), F.lit(23)), F.lit(max(1, rows // SAMPLE))) == 0)
+    return join_keys(drawn, sim, id_col, text_col).groupBy("key").agg(F.count(F.lit(1)).alias("_c")).where(F.col("_c") >= HOT).select("key")
+
 
-    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(
-        run, "id long, n long, s1 long, s2 long, sketch binary, least binary, keys array<long>")
+def shared_keys(keys: DataFrame, hot: DataFrame) -> DataFrame:
+    """The rows of ``keys`` (key, id) whose key stands in several rows.
+
+    Keys meet once, dealt and sorted by key, with one row held back. Hot keys are known to be shared, so their rows needn't meet and are dealt by id too.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool))
+
+        def several(key: np.ndarray, ids: np.ndarray, sure: np.ndarray) -> pa.RecordBatch:
+            same = key[1:] == key[:-1]
+            keep = sure | np.concatenate([same, [False]]) | np.concatenate([[False], same]) if len(key) else sure
+            return pa.RecordBatch.from_arrays([pa.array(key[keep]), pa.array(ids[keep])], names=["key", "id"])
+
+        for batch in batches:
+            key, ids, sure = (np.concatenate([h, batch.column(i).to_numpy(zero_copy_only=False)]) for i, h in enumerate(held))
+            if not len(key):
+                continue
+            cut = int(np.searchsorted(key, key[-1]))  # the last key may go on
+            if sure[-1] or cut < len(key) - 1:
+                cut = len(key) - 1  # known to be shared: one row is enough to tell what follows
+                sure[cut:] = True
+            yield several(key[:cut], ids[:cut], sure[:cut])
+            held = key[cut:], ids[cut:], sure[cut:]
+        yield several(*held)
+
+    known = F.broadcast(hot.select(F.col("key").alias("_hot")))
+    marked = keys.join(known, F.col("key") == F.col("_hot"), "left").select("key", "id", F.col("_hot").isNotNull().alias("sure"))
+    dealt = marked.repartition("key", F.when(F.col("sure"), F.pmod(F.xxhash64("id"), F.lit(4096)))).sortWithinPartitions("key")
+    return dealt.mapInArrow(run, "key long, id long")
 
 
 def _rows(batch: pa.RecordBatch) -> tuple[np.ndarray, ...]:
@@ -269,12 +329,12 @@ def _emit(found: Iterator[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordB
 
 
 def neighbour_pairs(buckets: DataFrame, sim: Similarity) -> DataFrame:
-    """Pairs (a, b) of neighbours in each bucket in sketch order that may link; one pair a row at most."""
+    """Pairs (a, b) of neighbours in each bucket in sketch order that are in different components and may link; one pair a row at most."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def found():
             for batch in batches:
-                key, rep, n, _, bits = _rows(batch)
-                same = np.flatnonzero(key[1:] == key[:-1])
+                key, rep, n, comp, bits = _rows(batch)
+                same = np.flatnonzero((key[1:] == key[:-1]) & (comp[1:] != comp[:-1]))
                 ok = same[_may_link(sim, n[same], n[same + 1], bits[same], bits[same + 1])]
                 yield rep[ok], rep[ok + 1]
         yield from _emit(found())
@@ -306,32 +366,68 @@ def cross_pairs(buckets: DataFrame, sim: Similarity) -> DataFrame:
                         yield rep[a[~earlier]], rep[b[~earlier]]
         yield from _emit(found())
 
-    spans = buckets.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
-    sized = buckets.join(spans.select("key", F.ceil(F.col("m") / BLOCK).alias("blocks")), "key")
+    sized = buckets.join(buckets.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks")), "key")
     placed = sized.withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")))
     dealt = placed.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).select(
         "key", "rep", "n", "component", "sketch", "least", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
     return dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(run, "a long, b long").distinct()
 
 
+def wide_sketch(tokens: np.ndarray, sim: Similarity) -> bytes:
+    """Parity bits in proportion to the set: four for each token by which a partner of its size can differ, 512 at least."""
+    bits = max(SKETCH_BITS, 1 << (4 * sim.differing(2 * len(tokens))).bit_length())
+    return np.packbits((np.bincount((tokens >> U64(64 - bits.bit_length() + 1)).astype(np.int64), minlength=bits) & 1).astype(np.uint8)).tobytes()
+
+
+def sketch_distance(x: bytes, y: bytes) -> int:
+    """Differing parities; the longer sketch is folded: two neighbouring parities add up to one."""
+    a, b = (np.unpackbits(np.frombuffer(v, np.uint8)) for v in (x, y))
+    while len(a) > len(b):
+        a = a[0::2] ^ a[1::2]
+    while len(b) > len(a):
+        b = b[0::2] ^ b[1::2]
+    return int((a ^ b).sum())
+
+
+def likely(pairs: DataFrame, sets: DataFrame, sim: Similarity) -> DataFrame:
+    """The pairs whose wide sketches allow a link: no pair that has the similarity goes, and few others need their sets compared."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b, n, m, x, y = (batch.column(c).to_pylist() for c in ("a", "b", "_n", "_m", "_x", "_y"))
+            keep = np.array([sketch_distance(p, q) <= (i + j) * (sim.den - sim.num) // (sim.den + sim.num) for i, j, p, q in zip(n, m, x, y, strict=True)], bool)
+            yield pa.RecordBatch.from_arrays([batch.column("a").filter(pa.array(keep)), batch.column("b").filter(pa.array(keep))], names=["a", "b"])
+
+    left = sets.select(F.col("id").alias("_a"), F.size("tokens").alias("_n"), F.col("wide").alias("_x")).hint("merge")
+    right = sets.select(F.col("id").alias("_b"), F.size("tokens").alias("_m"), F.col("wide").alias("_y")).hint("merge")
+    both = pairs.join(left, F.col("a") == F.col("_a")).join(right, F.col("b") == F.col("_b"))
+    return both.select("a", "b", "_n", "_m", "_x", "_y").mapInArrow(run, "a long, b long")
+
+
 def verified(pairs: DataFrame, sets: DataFrame, sim: Similarity) -> DataFrame:
     """The pairs whose sets have the similarity."""
-    left = sets.select(F.col("id").alias("_a"), F.col("tokens").alias("_x"))
-    right = sets.select(F.col("id").alias("_b"), F.col("tokens").alias("_y"))
-    both = pairs.join(left, F.col("a") == F.col("_a")).join(right, F.col("b") == F.col("_b"))
+    left = sets.select(F.col("id").alias("_a"), F.col("tokens").alias("_x")).hint("merge")
+    right = sets.select(F.col("id").alias("_b"), F.col("tokens").alias("_y")).hint("merge")
+    both = staged(likely(pairs, sets, sim), "likely-pairs").join(left, F.col("a") == F.col("_a")).join(right, F.col("b") == F.col("_b"))
     shared = both.select("a", "b", F.size(F.array_intersect("_x", "_y")).cast("long").alias("c"), (F.size("_x") + F.size("_y")).cast("long").alias("t"))
     return shared.where(F.col("c") * sim.den >= (F.col("t") - F.col("c")) * sim.num).select("a", "b")
 
 
+def _open(buckets: DataFrame) -> DataFrame:
+    """Rows of the buckets (key, rep, component) that hold several components."""
+    spans = buckets.groupBy(F.col("key").alias("_key")).agg(F.min("component").alias("_lo"), F.max("component").alias("_hi")).where("_lo < _hi").select("_key")
+    return buckets.join(spans.hint("merge"), F.col("key") == F.col("_key"), "left_semi")
+
+
 def _token_sets(docs: DataFrame, sim: Similarity, id_col: str, text_col: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
                 part = batch.slice(at, 1000)
                 found = shingle_sets(texts_of(part.column(1)), sim.words)
-                yield pa.RecordBatch.from_arrays([part.column(0), list_array(np.concatenate(found).view(np.int64), np.array([len(x) for x in found]), pa.int64())], names=["id", "tokens"])
+                yield pa.RecordBatch.from_arrays([part.column(0), list_array(np.concatenate(found).view(np.int64), np.array([len(x) for x in found]), pa.int64()),
+                                                  pa.array([wide_sketch(x, sim) for x in found], pa.binary())], names=["id", "tokens", "wide"])
 
-    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(run, "id long, tokens array<long>")
+    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(run, "id long, tokens array<long>, wide binary")
 
 
 def _named(rows: DataFrame, column: str, names: DataFrame) -> DataFrame:
@@ -340,32 +436,48 @@ def _named(rows: DataFrame, column: str, names: DataFrame) -> DataFrame:
     return rows.join(known, F.col(column) == F.col("_id_of"), "left").withColumn(column, F.coalesce("_name", column)).drop("_id_of", "_name")
 
 
+def _links_of(links: DataFrame, renamed: list[DataFrame]) -> DataFrame:
+    """Links between the components so far."""
+    for names in renamed:
+        links = _named(_named(links, "a", names), "b", names)
+    return staged(links.where("a <> b").distinct(), "links")
+
+
 def near_duplicates(docs: DataFrame, sim: Similarity = Similarity(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: id, ``n_shingles`` and ``component_id``, the smallest id reachable by links."""
     known = staged(sketches(docs, sim, id_col, text_col), "sketches")
     filled = known.where("n > 0 AND id IS NOT NULL")
-    classes = filled.groupBy("s1", "s2", "n").agg(F.min("id").alias("rep"), F.first("sketch").alias("sketch"), F.max("least").alias("least"))
-    classes = staged(classes, "classes")
+    classes = staged(filled.groupBy("s1", "s2", "n").agg(F.min("id").alias("rep"), F.first("sketch").alias("sketch"), F.first("least").alias("least")), "classes")
     of_class = lambda rows: rows.join(classes.select(F.col("s1").alias("_1"), F.col("s2").alias("_2"), F.col("n").alias("_n"), "rep"),
                                       (F.col("s1") == F.col("_1")) & (F.col("s2") == F.col("_2")) & (F.col("n") == F.col("_n"))).drop("_1", "_2", "_n")
-    # keys that more than one document has; then one row per class
-    keyed = filled.select("s1", "s2", "n", F.explode("keys").alias("key"))
-    shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("_c")).where("_c > 1").select("key")
-    crowd = keyed.join(shared, "key", "left_semi")
-    met = of_class(crowd).select("key", "rep").distinct()
-    several = met.groupBy("key").agg(F.count(F.lit(1)).alias("_c")).where("_c > 1").select("key")
-    met = met.join(several, "key", "left_semi")
-    buckets = staged(met.join(classes.select(F.col("rep").alias("_r"), "n", "sketch", "least"), F.col("rep") == F.col("_r")).drop("_r"), "buckets")
+    hot = staged(hot_keys(docs, sim, known.count(), id_col, text_col), "hot-keys")
+    crowd = staged(shared_keys(join_keys(docs, sim, id_col, text_col), hot), "shared-keys")
+    # one row per key and class, of keys that several classes have; ids that stand at several sets stand for each of them
+    reps = of_class(filled.select("id", "s1", "s2", "n")).select(F.col("id").alias("_i"), "rep").distinct()
+    met = staged(crowd.join(reps.hint("merge"), F.col("id") == F.col("_i")).select("key", "rep").distinct(), "keys-of-classes")
+    parts = classes.select(F.col("rep").alias("_r"), "n", "sketch", "least").hint("merge")
+    with_parts = lambda rows: rows.join(parts, F.col("rep") == F.col("_r")).drop("_r")
+    buckets = staged(_open(met.withColumn("component", F.col("rep"))), "buckets")
+    forget(hot, crowd, met)
     involved = buckets.select(F.col("rep").alias("_r")).distinct().hint("merge")  # grows with the data: never a broadcast
     sets = staged(_token_sets(docs.join(involved, F.col(id_col) == F.col("_r"), "left_semi"), sim, id_col, text_col), "token-sets")
 
-    first = staged(verified(neighbour_pairs(buckets.withColumn("component", F.col("rep")), sim), sets, sim), "links")
-    joined = components(first)
-    placed = staged(_named(buckets.withColumn("component", F.col("rep")), "component", joined), "buckets")
-    rest = verified(cross_pairs(placed, sim), sets, sim)
-    # links between components are edges between their names
-    between = staged(_named(_named(rest, "a", joined), "b", joined).distinct(), "links")
+    # neighbours are joined in rounds over more and more keys, so that pairs of what has met already need no look at their sets
+    renamed = []
+    for mask in ROUNDS:
+        some = buckets.where(F.col("key").bitwiseAND(F.lit(mask)) == 0)
+        links = staged(verified(neighbour_pairs(with_parts(some), sim), sets, sim), "links")
+        renamed.append(components(_links_of(links, renamed)))
+        buckets, was = staged(_open(_named(buckets, "component", renamed[-1])), "buckets"), buckets
+        forget(links, was)
+    links = staged(verified(cross_pairs(with_parts(buckets), sim), sets, sim), "links")
+    renamed.append(components(_links_of(links, renamed)))
+    forget(links, buckets, sets)
     named = of_class(known.where("n > 0").select("id", "n", "s1", "s2"))
-    named = _named(_named(named, "rep", joined), "rep", components(between)).select("id", "n", F.when(F.col("id").isNotNull(), F.col("rep")).alias("component_id"))
+    for names in renamed:
+        named = _named(named, "rep", names)
+    named = named.select("id", "n", F.when(F.col("id").isNotNull(), F.col("rep")).alias("component_id"))
     alone = known.where("n = 0").select("id", "n", F.col("id").alias("component_id"))
-    return named.unionByName(alone).select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id")
+    out = staged(named.unionByName(alone), "near-duplicates")
+    forget(known, classes, *renamed)
+    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id")

@@ -111,3 +111,15 @@ def test_components_of_chain_star_and_cycle(spark):
     got = {r.id: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert all(got[i] == 100 for i in range(100, 161)) and all(got[x] == 7 for x in range(300, 330)) and {got[1], got[2], got[3]} == {1}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_wide_sketches_never_exceed_the_difference():
+    rng = np.random.default_rng(4)
+    sim = nj.Similarity(5, 80, 100)
+    for n in (1, 30, 900, 6000, 40_000):
+        a = np.unique(rng.integers(0, 1 << 63, n).astype(np.uint64) * np.uint64(2) + np.uint64(1))
+        for m in (0, 1, n // 20, n // 8, n):
+            b = np.unique(np.concatenate([a[m:], rng.integers(0, 1 << 63, m // 2).astype(np.uint64)]))
+            if len(b):
+                x, y = nj.wide_sketch(a, sim), nj.wide_sketch(b, sim)
+                assert len(x) >= 64 and nj.sketch_distance(x, y) <= len(np.setxor1d(a, b))
