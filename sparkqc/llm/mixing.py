@@ -51,10 +51,10 @@ def word_count(text: Column) -> Column:
         F.lit(0)).cast("long")
 
 
-def sizes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """``(_row, id, source, size)``: ``_row`` tells repeated rows apart."""
-    measured = docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"))
-    return staged(measured.withColumn("_row", F.monotonically_increasing_id()), "mix-sizes")
+def sizes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", row_col: str | None = None) -> DataFrame:
+    """``(_row, id, source, size)``: ``_row`` tells repeated rows apart; it is ``row_col``, a number of each row, if that is given."""
+    row = F.col(row_col) if row_col else F.monotonically_increasing_id()
+    return staged(docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"), row.alias("_row")), "mix-sizes")
 
 
 def targets(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, most: int = MOST) -> DataFrame:
@@ -103,16 +103,19 @@ def mix(sized: DataFrame, targeted: DataFrame, most: int = MOST, splits: int = S
     middle = lambda p: p * F.col("source_size") + F.col("cum_before") + F.col("size") / 2
     passes = F.filter(F.sequence(F.lit(0), F.lit(most - 1)), lambda p: (F.col("size") > 0) & (middle(p) < F.col("target")))
     copies = rows.select("_row", "id", "source", "size", "source_size", "target", "_quota", "cum_before", F.explode_outer(passes).alias("copy"))
-    at = copies.withColumn("block", F.least(F.floor(middle(F.col("copy")) * F.col("_quota") / F.col("target")), F.col("_quota") - 1)).drop("cum_before", "_quota")
+    block = F.least(F.floor(middle(F.col("copy")) * F.col("_quota") / F.col("target")), F.col("_quota") - 1)
+    at = copies.withColumn("block", F.when(F.col("copy").isNotNull(), block)).drop("cum_before", "_quota")
     dealt = at.join(blocks.withColumnsRenamed({"source": "_s", "block": "_b"}),
                     F.col("source").eqNullSafe(F.col("_s")) & (F.col("block") == F.col("_b")), "left").drop("_s", "_b")
     return dealt.withColumn("place", F.when(F.col("copy").isNotNull(), _draw(seed + 1, "id", "copy", "block")))
 
 
-def taken(mixed: DataFrame) -> DataFrame:
-    """One row per document: the words the mix takes of it and the shards they go to."""
-    return mixed.groupBy("_row", "id", "size", "source_size", "target").agg(
-        F.sum(F.when(F.col("copy").isNotNull(), F.col("size")).otherwise(0)).alias("taken"), F.sort_array(F.collect_list("shard")).alias("shards")).drop("_row")
+def taken(mixed: DataFrame, splits: int = SPLITS) -> DataFrame:
+    """One row per document: the words that the shards' blocks hold of it, in all and (``shard_words``) for each shard."""
+    found = mixed.groupBy("_row", "id", "size", "source_size", "target").agg(F.collect_list("shard").alias("shards"))
+    words = F.transform(F.sequence(F.lit(0), F.lit((1 << splits) - 1)), lambda s: F.col("size") * F.size(F.filter("shards", lambda x: x == s)))
+    counted = found.withColumn("shard_words", words)
+    return counted.select("id", "size", "source_size", "target", F.aggregate("shard_words", F.lit(0).cast("long"), lambda n, w: n + w).alias("taken"), "shard_words")
 
 
 ORACLE = r"""
@@ -125,7 +128,22 @@ k AS (SELECT coalesce(sum(cap) FILTER (WHERE capped + cap / weight * free <= tot
              sum(weight) FILTER (WHERE NOT capped + cap / weight * free <= total) AS open, max(total) AS total FROM c),
 t AS (SELECT source, n, CAST(least(weight * coalesce((total - fixed) / open, 0), cap) AS DOUBLE) AS target FROM w, k),
 p AS (SELECT d.*, t.n, t.target, coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY md5('7:' || coalesce(CAST(doc_id AS VARCHAR), '')), doc_id, size
-             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
-SELECT doc_id, size, n AS source_size, round(target, 6) AS target,
-       CAST(size * (CAST(before + size / 2 < target AS INT) + CAST(n + before + size / 2 < target AS INT)) AS BIGINT) AS taken FROM p
+             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+q AS (SELECT source, target, CAST(greatest(1, round(target / (SELECT CASE WHEN sum(target) = 0 THEN 1 ELSE sum(target) END FROM t) * 512)) AS BIGINT) AS quota FROM t WHERE target > 0),
+b0 AS (SELECT source, unnest(range(quota)) AS block, 0 AS shard FROM q),
+b1 AS (SELECT source, block, shard * 2 + CAST(2 * (row_number() OVER r - 1) >= count(*) OVER (PARTITION BY shard) AS INT) AS shard FROM b0
+       WINDOW r AS (PARTITION BY shard ORDER BY md5('7000:' || coalesce(source, '') || ':' || block), source IS NULL, source, block)),
+b2 AS (SELECT source, block, shard * 2 + CAST(2 * (row_number() OVER r - 1) >= count(*) OVER (PARTITION BY shard) AS INT) AS shard FROM b1
+       WINDOW r AS (PARTITION BY shard ORDER BY md5('7001:' || coalesce(source, '') || ':' || block), source IS NULL, source, block)),
+b3 AS (SELECT source, block, shard * 2 + CAST(2 * (row_number() OVER r - 1) >= count(*) OVER (PARTITION BY shard) AS INT) AS shard FROM b2
+       WINDOW r AS (PARTITION BY shard ORDER BY md5('7002:' || coalesce(source, '') || ':' || block), source IS NULL, source, block)),
+x AS MATERIALIZED (SELECT row_number() OVER () AS r, * FROM p),
+m AS (SELECT r, x.source, size, x.target, quota, pass * n + before + size / 2 AS middle FROM x JOIN q ON x.source IS NOT DISTINCT FROM q.source, (VALUES (0), (1)) v(pass) WHERE size > 0),
+d1 AS (SELECT r, size, shard FROM (SELECT *, least(floor(middle * quota / target), quota - 1) AS block FROM m WHERE middle < target) c
+       JOIN b3 ON c.source IS NOT DISTINCT FROM b3.source AND c.block = b3.block),
+g AS (SELECT r, CAST(sum(size) AS BIGINT) AS taken, list_transform(range(8), lambda s: CAST(coalesce(list_sum(list_filter(list(CASE WHEN size > 0 THEN shard * 1000000000000 + size END), lambda y: y // 1000000000000 = s)), 0) AS BIGINT)) AS w
+      FROM d1 GROUP BY r)
+SELECT doc_id, size, n AS source_size, round(target, 6) AS target, coalesce(taken, 0) AS taken,
+       coalesce(array_to_string(list_transform(range(8), lambda s: CAST(w[s + 1] % 1000000000000 AS VARCHAR)), ','), '0,0,0,0,0,0,0,0') AS shard_words
+FROM x LEFT JOIN g ON x.r = g.r
 """

@@ -56,7 +56,8 @@ def op6_chat_format(spark: SparkSession, sf: str) -> DataFrame:
 def op7_source_mixing(spark: SparkSession, sf: str) -> DataFrame:
     sized = mixing.sizes(table(spark, sf, "documents"))
     taken = mixing.taken(mixing.mix(sized, mixing.targets(sized)))
-    return taken.select(F.col("id").alias("doc_id"), "size", "source_size", F.round("target", 6).alias("target"), "taken")
+    return taken.select(F.col("id").alias("doc_id"), "size", "source_size", F.round("target", 6).alias("target"), "taken",
+                        F.array_join(F.transform("shard_words", lambda w: w.cast("string")), ",").alias("shard_words"))
 
 
 def op8_token_ids(spark: SparkSession, sf: str) -> DataFrame:

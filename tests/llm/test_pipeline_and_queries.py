@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline as cp
 from conftest import SF001
 from scripts.check_oracle import TABLES, digest
-from sparkqc.llm import ngram_jaccard
+from sparkqc.llm import mixing, ngram_jaccard
 from sparkqc.llm.queries import ORACLE, QUERIES
 
 
@@ -24,7 +24,7 @@ def test_query_matches_oracle(spark, name):
 
 
 def test_one_query_for_each_operator():
-    assert sorted(int(k[2:].split("_")[0]) for k in QUERIES) == list(range(1, 11))
+    assert sorted(int(k[2:].split("_")[0]) for k in QUERIES) == list(range(1, 14))
 
 
 def small(rng):
@@ -60,6 +60,29 @@ def test_stages(spark, docs):
     assert coded.count() == mixed.count() and coded.where("NOT decoded OR n_tokens <> size(ids)").count() == 0
 
 
+def test_rows_that_share_ids_or_have_none(spark, docs):
+    rng = np.random.default_rng(5)
+    text = lambda: " ".join(f"w{x}" for x in rng.integers(0, 10 ** 6, 40))
+    a, b, c, d = text(), text(), text(), text()
+    rows = docs([(1, a), (1, b), (None, c), (None, c), (None, d), (2, a), (3, d), (3, d)])
+    kept = sorted(((r.doc_id, r.text) for r in cp.near_duplicates(spark, rows, "").collect()), key=str)
+    assert kept == sorted([(1, a), (1, b), (None, c), (3, d)], key=str)
+    same = docs([(None, "one two three", "en", s, 1) for s in "aaaabbbb"] + [(5, "four five six", "en", "a", 1), (5, "four five six", "en", "a", 1)])
+    taken = cp.mixture(spark, same, "").collect()
+    sized = mixing.sizes(same)
+    assert sum(len(r.text.split()) for r in taken) == sum(r.taken for r in mixing.taken(mixing.mix(sized, mixing.targets(sized))).collect())
+
+
+def test_mix_comes_through_the_tree(spark, monkeypatch):
+    words = lambda: sorted((r.doc_id, r.taken, r.shard_words) for r in QUERIES["op7_source_mixing"](spark, SF001).collect())
+    whole = words()
+    split = mixing.split_blocks
+    monkeypatch.setattr(mixing, "split_blocks", lambda *a: split(*a).withColumn("shard", F.lit(0)))
+    assert words() != whole
+    monkeypatch.setattr(mixing, "split_blocks", lambda *a: split(*a).where("shard <> 3"))
+    assert sum(r[1] for r in words()) < sum(r[1] for r in whole)
+
+
 def test_stages_of_an_empty_table(spark, docs):
     rows = docs([])
     for _, stage in cp.STAGES:
