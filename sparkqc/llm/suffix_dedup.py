@@ -218,13 +218,17 @@ def common_prefixes(text: np.ndarray, order: np.ndarray, left: np.ndarray, begin
         upto = np.minimum(np.minimum(left[here], np.where(other >= 0, left[other], 0)), most)
         have = np.minimum(have, upto)
         going = np.flatnonzero(have < upto)
-        while len(going):
+        wide = np.zeros(1, np.int64)
+        while len(going):  # eight bytes, as is mostly enough, then all that may follow at once
             a, b = here[going] + have[going], other[going] + have[going]
-            differ = words[a] ^ words[b]
-            low = differ & (~differ + U64(1))  # the lowest bit that differs
-            same = np.where(differ == 0, 8, (np.bitwise_count(low - U64(1)) >> 3).astype(np.int64))
+            differ = words[np.minimum(a[:, None] + wide, n)] ^ words[np.minimum(b[:, None] + wide, n)]
+            at = (differ != 0).argmax(1)
+            first = differ[np.arange(len(at)), at]
+            low = first & (~first + U64(1))  # the lowest bit that differs
+            same = np.where(first == 0, 8 * len(wide), 8 * at + (np.bitwise_count(low - U64(1)) >> 3).astype(np.int64))
             have[going] = np.minimum(have[going] + same, upto[going])
-            going = going[(same == 8) & (have[going] < upto[going])]
+            going = going[(first == 0) & (have[going] < upto[going])]
+            wide = np.arange(0, most, 8)
         shared[:lanes] = have
         out[here] = have
     return before, out
@@ -466,7 +470,7 @@ def digest(cut: DataFrame, id_col: str = "doc_id") -> DataFrame:
 
 
 ORACLE = """
-WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x, row_number() OVER () AS r FROM documents),
+WITH d AS MATERIALIZED (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x, row_number() OVER () AS r FROM documents),
 w AS (SELECT r, UNNEST(range(0, length(x) // 2 - 399)) AS i, x FROM d WHERE length(x) >= 800),
 h AS (SELECT r, i, md5(substr(x, 2 * i + 1, 800)) AS m FROM w),
 m AS (SELECT r, i FROM h QUALIFY count(*) OVER (PARTITION BY m) > 1),
