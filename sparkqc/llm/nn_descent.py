@@ -17,7 +17,8 @@ recall is in the README; the tests hold it against brute force.
 
 Nearness is the largest inner product. Defined results: a null id, a null or zero vector, or one with null or non-finite
 components takes no part; a shorter vector counts as padded with zeros; ties go to the smaller id; repeated vectors are all
-found in the order of their ids. Other columns are not read.
+found in the order of their ids; rows with equal ids are all found, a query never finds a row of its own id, and rows that
+share a query's id are queries of their own. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -57,17 +58,21 @@ def _neighbour_lists(far: np.ndarray, ids: np.ndarray, lengths: np.ndarray) -> p
 
 
 def nodes_of(vectors: DataFrame, keep: int, id_col: str = "vec_id", vector_col: str = "embedding") -> tuple[DataFrame, DataFrame]:
-    """Nodes ``(node, v, members)``, one per distinct vector with its ``keep`` smallest ids, and ``(vec_id, node)`` of all rows.
+    """Nodes ``(node, v, members)``, one per distinct vector with its ``keep`` smallest ids and how often each stands, and ``(vec_id, node)`` of all rows.
 
-    No result can hold more of a vector's ids than ``keep``, so the rest is not needed there.
+    No result can hold more of a vector's ids than ``keep``, so the rest is not needed there. A node's name is its place in the order of
+    smallest ids, since rows with one id may have several vectors.
     """
     length = F.aggregate(F.col("v"), F.lit(0.0), lambda a, x: F.greatest(a, F.abs(x)))
     rows = vectors.where(F.col(id_col).isNotNull() & usable(F.col(vector_col))).select(
         F.col(id_col).cast("long").alias("vec_id"), F.transform(vector_col, lambda x: x.cast("double") + 0.0).alias("v")).where(length > 0)
     rows = staged(rows, "vectors")
     first = Window.partitionBy("v").orderBy("vec_id")
-    few = rows.withColumn("_n", F.row_number().over(first)).where(F.col("_n") <= keep)
-    nodes = staged(few.groupBy("v").agg(F.min("vec_id").alias("node"), F.sort_array(F.collect_list("vec_id")).alias("members")).select("node", "v", "members"), "nodes")
+    ids = rows.groupBy("v", "vec_id").agg(F.count(F.lit(1)).alias("times"))
+    few = ids.withColumn("_n", F.row_number().over(first)).where(F.col("_n") <= keep)
+    members = few.groupBy("v").agg(F.min("vec_id").alias("_first"), F.sort_array(F.collect_list(F.struct("vec_id", "times"))).alias("members"))
+    ordered = members.repartitionByRange("_first", "v").sortWithinPartitions("_first", "v")
+    nodes = staged(ordered.select(F.monotonically_increasing_id().alias("node"), "v", "members"), "nodes")
     named = rows.join(nodes.select(F.col("v").alias("_v"), "node"), F.col("v") == F.col("_v")).select("vec_id", "node")
     return nodes, named
 
@@ -300,9 +305,12 @@ def nearest(vectors: DataFrame, is_query: Column, k: int, id_col: str = "vec_id"
     left = nodes.select(F.col("node").alias("_q"), F.col("v").alias("_x"))
     right = nodes.select(F.col("node").alias("_c"), F.col("v").alias("_y"), "members")
     product = F.aggregate(F.zip_with("_x", "_y", lambda a, b: F.coalesce(a, F.lit(0.0)) * F.coalesce(b, F.lit(0.0))), F.lit(0.0), lambda a, x: a + x)
-    scored = pairs.join(left, F.col("query") == F.col("_q")).join(right, F.col("node") == F.col("_c")).select("query", product.alias("score"), F.explode("members").alias("vec_id"))
-    best = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
-    lists = scored.withColumn("_n", F.row_number().over(best)).where(F.col("_n") <= k + 1).groupBy("query").agg(F.sort_array(F.collect_list(F.struct("_n", "vec_id", "score"))).alias("found"))
-    others = asked.join(lists, F.col("node") == F.col("query")).select(F.col("vec_id").alias("query_id"), F.filter("found", lambda x: x["vec_id"] != F.col("vec_id")).alias("found"))
-    return others.select("query_id", F.posexplode(F.slice("found", 1, k)).alias("rank", "hit")).select(
+    scored = pairs.join(left, F.col("query") == F.col("_q")).join(right, F.col("node") == F.col("_c")).select("query", product.alias("score"), F.explode("members").alias("m"))
+    hit = F.struct((-F.col("score")).alias("far"), F.col("m.vec_id").alias("vec_id"), F.col("m.times").alias("times"), "score")
+    lists = scored.groupBy("query").agg(F.array_sort(F.collect_list(hit)).alias("found"))
+    # the own id goes before the cut: it may stand at several nodes
+    others = asked.join(lists, F.col("node") == F.col("query")).select(
+        F.col("vec_id").alias("query_id"), F.slice(F.filter("found", lambda x: x["vec_id"] != F.col("vec_id")), 1, k).alias("found"))
+    rows = F.flatten(F.transform("found", lambda x: F.array_repeat(x, F.least(x["times"], F.lit(k)).cast("int"))))
+    return others.select("query_id", F.posexplode(F.slice(rows, 1, k)).alias("rank", "hit")).select(
         "query_id", (F.col("rank") + 1).alias("rank"), F.col("hit.vec_id").alias("vec_id"), F.col("hit.score").alias("score"))

@@ -133,3 +133,44 @@ def test_matrix_pads_short_vectors():
     import pyarrow as pa
 
     assert matrix(pa.array([[1.0], [], [2.0, 3.0]]), 2).tolist() == [[1, 0], [0, 0], [2, 3]]
+
+
+def per_row(rows, every, k, integer):
+    """One list of (rank, id, score) for each query row, of all rows with other ids."""
+    out = []
+    for q, v in rows:
+        if q % every == 0:
+            x = [np.floor(1024 * np.asarray(c, np.float32).astype(float)) if integer else np.asarray(c, np.float32).astype(float) for c in (v, *(c for _, c in rows))]
+            scores = sorted((-float(x[0] @ c), j) for c, (j, _) in zip(x[1:], rows) if j != q)
+            out += [(q, rank, j, round(-s, 9)) for rank, (s, j) in enumerate(scores[:k], 1)]
+    return sorted(out)
+
+
+def repeated_ids(seed):
+    """Ids that stand twice with one vector, with two vectors, and eight times, also as queries."""
+    rng = np.random.default_rng(seed)
+    rows = [(i, rng.normal(size=8).astype(np.float32)) for i in range(160)]
+    return rows + [rows[20], rows[33], *[(100, rng.normal(size=8).astype(np.float32)) for _ in range(7)], (41, rows[5][1]), (0, rows[7][1])]
+
+
+def test_exact_top_k_of_repeated_ids_and_queries(spark):
+    rows = repeated_ids(8)
+    got = voronoi_knn.top_k(frame(spark, rows), F.col("id") % 20 == 0, 10, query_block=4, data_block=50).collect()
+    assert sorted((r.query_id, r["rank"], r.vec_id, float(r.score)) for r in got) == per_row(rows, 20, 10, True)
+
+
+def test_nearest_of_repeated_ids_and_queries(spark):
+    rows = repeated_ids(9)
+    got = nn_descent.nearest(frame(spark, rows), F.col("vec_id") % 20 == 0, 20).collect()
+    # the pool holds every node here, so the lists are exact
+    found, want = sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in got), per_row(rows, 20, 20, False)
+    assert [x[:3] for x in found] == [x[:3] for x in want] and np.allclose([x[3] for x in found], [x[3] for x in want])
+
+
+@pytest.mark.parametrize("operator", [lambda d: voronoi_knn.top_k(d, F.col("id") % 20 == 0, 5), lambda d: nn_descent.nearest(d, F.col("vec_id") % 20 == 0, 5)])
+def test_extra_columns_with_clashing_names_change_nothing(spark, operator):
+    plain = frame(spark, repeated_ids(10))
+    extra = plain
+    for name in ("id", "node", "row", "cell", "v", "x", "score", "rank", "members", "query"):
+        extra = extra.withColumn(name, F.lit("clash"))
+    assert sorted(map(tuple, operator(extra).collect())) == sorted(map(tuple, operator(plain).collect()))
