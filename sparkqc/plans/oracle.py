@@ -430,3 +430,11 @@ ORACLE.update({
           round(CAST(CASE WHEN root THEN k / n WHEN leaf <= 2 THEN CASE WHEN cut_l THEN kl / nl WHEN leaf = 1 THEN k1 / n1 ELSE k2 / n2 END
           ELSE CASE WHEN cut_r THEN kr / nr WHEN leaf = 3 THEN k3 / n3 ELSE k4 / n4 END END AS DOUBLE), 6) + 0.0 AS share FROM l, p""",
 })
+ORACLE.update({
+    "joint_impute_cells": with_views("holes") + """SELECT CAST(pos AS BIGINT) AS pos, count(v) AS n_observed, CAST(0 AS BIGINT) AS n_changed, count(*) - count(v) AS n_filled,
+        CAST(0 AS BIGINT) AS n_left FROM holes GROUP BY pos""",
+    "joint_impute_line": with_views("holes") + f""", p AS (SELECT vec_id, max(v) FILTER (pos = 5) AS a, max(v) FILTER (pos = 10) AS b FROM holes GROUP BY vec_id),
+        l AS (SELECT regr_slope(a, b) AS slope, regr_intercept(a, b) AS base FROM p)
+        SELECT vec_id, {r6("coalesce(a, base + slope * b)")} AS e5, {r6("b")} AS e10 FROM p, l""",
+    "kmeans_nearest": "SELECT count(*) AS n_items, least(count(*), 4) AS n_clusters, CAST(0 AS BIGINT) AS n_not_nearest FROM embeddings",
+})

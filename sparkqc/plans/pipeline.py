@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from sparkqc.operators import evaluate, features, learn, split
 from sparkqc.operators.iterative import IterativeImputerFit
+from sparkqc.operators.joint_impute import JointImputerFit
 from sparkqc.plans import score as sc
 from sparkqc.plans.train import N_TRIALS, PreprocessFit, final_model, fit_preprocess, model_frame, search
 from sparkqc.sources import fits, ingest
@@ -90,11 +91,12 @@ def report_tables(prep: PreprocessFit) -> dict[str, DataFrame]:
 
 
 def _prep_to_json(prep: PreprocessFit) -> dict:
-    d = {f.name: getattr(prep, f.name) for f in fields(prep) if f.name not in ("reports", "iterative", *FIT_STAGES)}
+    d = {f.name: getattr(prep, f.name) for f in fields(prep) if f.name not in ("reports", "iterative", "joint", *FIT_STAGES)}
     d["iterative"] = asdict(prep.iterative) if prep.iterative is not None else None
     if d["iterative"] is not None:
         d["iterative"]["rounds"] = [{t: [b0, [list(x) for x in terms]] for t, (b0, terms) in r.items()}
                                     for r in prep.iterative.rounds]
+    d["joint"] = asdict(prep.joint) if prep.joint is not None else None
     return d
 
 
@@ -120,11 +122,13 @@ def _load_stages(spark: SparkSession, path: str) -> dict[str, dict]:
 
 
 def _prep_from_json(d: dict, stages: dict[str, dict]) -> PreprocessFit:
-    it = d.pop("iterative")
+    it, joint = d.pop("iterative"), d.pop("joint", None)
     prep = PreprocessFit(**d, **{k: v for k, v in stages.items() if k != "scaler"})
     if it is not None:
         rounds = [{t: (b0, [tuple(x) for x in terms]) for t, (b0, terms) in r.items()} for r in it["rounds"]]
         prep.iterative = IterativeImputerFit(it["columns"], it["means"], rounds)
+    if joint is not None:
+        prep.joint = JointImputerFit(**joint)
     return prep
 
 

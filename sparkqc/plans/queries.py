@@ -461,6 +461,41 @@ def q_iterative_impute(spark, sf):
     return finish(out)
 
 
+def q_joint_impute_cells(spark, sf):
+    """Every column of the view with gaps after imputation: cells seen, changed, filled and left empty."""
+    from sparkqc.operators.joint_impute import apply_joint, fit_joint_imputer
+
+    holes = fx.holes_wide_view(spark, sf)
+    fit = fit_joint_imputer(holes, WIDE_FEATS)
+    both = apply_joint(holes.select("*", *[F.col(c).alias(f"seen_{c}") for c in WIDE_FEATS]), fit)
+    count = lambda cond: F.count_if(cond)
+    cells = both.agg(*[F.struct(
+        F.lit(i + 1).cast("long").alias("pos"), F.count(f"seen_{c}").alias("n_observed"), count(F.col(f"seen_{c}").isNotNull() & ~F.col(c).eqNullSafe(F.col(f"seen_{c}"))).alias("n_changed"),
+        count(F.col(f"seen_{c}").isNull() & F.col(c).isNotNull() & ~F.isnan(c)).alias("n_filled"), count(F.col(c).isNull() | F.isnan(c)).alias("n_left")).alias(c) for i, c in enumerate(WIDE_FEATS)])
+    return cells.select(F.inline(F.array(*WIDE_FEATS)))
+
+
+def q_joint_impute_line(spark, sf):
+    """One column with gaps and one whole column: the model's fixed point is the regression line of the complete rows."""
+    from sparkqc.operators.joint_impute import apply_joint, fit_joint_imputer
+
+    pair = fx.holes_wide_view(spark, sf).select("vec_id", "e5", "e10")
+    return finish(apply_joint(pair, fit_joint_imputer(pair, ["e5", "e10"], max_iter=60, prior_rows=0.0, tol=1e-11)))
+
+
+def q_kmeans_nearest(spark, sf):
+    """Items per run of k-means (k = 4) that do not lie in the cluster of their nearest centre."""
+    from sparkqc.operators import learn
+
+    vec = learn.assemble(fx.wide_view(spark, sf), WIDE_FEATS)
+    model = cluster.fit_kmeans(vec, 4, seed=42)
+    centres = model.stages[-1].clusterCenters() if hasattr(model, "stages") else model.clusterCenters()
+    far = F.array(*[sum((F.col(c) - F.lit(float(x))) * (F.col(c) - F.lit(float(x))) for c, x in zip(WIDE_FEATS, centre, strict=True)) for centre in centres])
+    found = model.transform(vec).select("cluster", far.alias("far")).withColumn("own", F.get("far", F.col("cluster").cast("int")))
+    return found.agg(F.count(F.lit(1)).alias("n_items"), F.countDistinct("cluster").alias("n_clusters"),
+                     F.count_if(F.coalesce(F.col("own") > F.array_min("far") + 1e-9, F.lit(True))).alias("n_not_nearest"))
+
+
 def q_kmeans_assign(spark, sf):
     from sparkqc.operators import learn
 
@@ -621,6 +656,9 @@ QUERIES = {
     "all_null_columns": q_all_null_columns,
     "knn_vote": q_knn_vote,
     "iterative_impute": q_iterative_impute,
+    "joint_impute_cells": q_joint_impute_cells,
+    "joint_impute_line": q_joint_impute_line,
+    "kmeans_nearest": q_kmeans_nearest,
     "kmeans_assign": q_kmeans_assign,
     "kmeans_knee": q_kmeans_knee,
     "logistic_regression_scores": _trial_query("LogisticRegression", {"C": 0.5}),

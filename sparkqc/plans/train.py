@@ -18,6 +18,7 @@ from sparkqc.functions.transforms import TRANSFORM_TYPES
 from sparkqc.operators import dedup, features, missing, normality, outliers, profile, split
 from sparkqc.operators import transforms as tops
 from sparkqc.operators.iterative import IterativeImputerFit, apply_iterative, fit_iterative_imputer
+from sparkqc.operators.joint_impute import JointImputerFit, apply_joint, fit_joint_imputer
 from sparkqc.operators.shape import to_long
 from sparkqc.session import cut_lineage
 
@@ -36,6 +37,7 @@ class PreprocessFit:
     simple_fill: dict = field(default_factory=dict)     # mean / median imputation
     fallback_fill: dict = field(default_factory=dict)   # train mean of every column
     iterative: IterativeImputerFit | None = None
+    joint: JointImputerFit | None = None
     cap_iqr: dict = field(default_factory=dict)
     cap_gaussian: dict = field(default_factory=dict)
     constant: list = field(default_factory=list)
@@ -56,6 +58,8 @@ class PreprocessFit:
         out = missing.impute_wide(out, self.simple_fill)
         if self.iterative is not None:
             out = apply_iterative(out, self.iterative)
+        if self.joint is not None:
+            out = apply_joint(out, self.joint)
         out = missing.impute_wide(out, {c: v for c, v in self.fallback_fill.items() if c in out.columns})
         out = outliers.cap_wide(out, self.cap_iqr)
         out = outliers.cap_wide(out, self.cap_gaussian)
@@ -76,7 +80,7 @@ def _normal_split(df: DataFrame, key: str, cols: Sequence[str]) -> tuple[list, l
 
 def fit_preprocess(data: DataFrame, key: str, label: str, id_cols: Sequence[str] = (), test_size: float = 0.2,
                    seed: int = 42, iterative_rounds: int = 10, transform_types: Sequence[str] = TRANSFORM_TYPES,
-                   relabel: bool = True) -> tuple[PreprocessFit, DataFrame, DataFrame]:
+                   relabel: bool = True, imputer: str = "joint") -> tuple[PreprocessFit, DataFrame, DataFrame]:
     """E-2 steps 1-4. ``data`` is wide: key, id columns, features, label.
 
     Returns (fit, train, test), with train/test already transformed.
@@ -118,8 +122,14 @@ def fit_preprocess(data: DataFrame, key: str, label: str, id_cols: Sequence[str]
     fit.fallback_fill = {r["col"]: r["fill"] for r in missing.fit_simple_imputer(lk, "mean").collect()}
     train = missing.impute_wide(train.drop(*fit.dropped_missing), fit.simple_fill)
     test = missing.impute_wide(test.drop(*fit.dropped_missing), fit.simple_fill)
-    # M3: iterative imputation when planned (imputes every remaining NULL column)
-    if any(plan.get(c) == "iterative" for c in kept):
+    # M3: regression imputation when planned (imputes every remaining NULL column), by the joint model or in rounds
+    if imputer not in ("joint", "rounds"):
+        raise ValueError(f"unknown imputer {imputer!r}")
+    regress = any(plan.get(c) == "iterative" for c in kept)
+    if regress and imputer == "joint":
+        fit.joint = fit_joint_imputer(train, kept)
+        train, test = apply_joint(train, fit.joint), apply_joint(test, fit.joint)
+    elif regress:
         fit.iterative, train = fit_iterative_imputer(train, kept, max_iter=iterative_rounds)
         test = apply_iterative(test, fit.iterative)
     train = cut_lineage(missing.impute_wide(train, fit.fallback_fill))
