@@ -1,26 +1,273 @@
-"""Exact k-nearest-neighbour vote (L6 / J5) as a block-decomposed distributed join.
-
-Queries are cut into ``Bq`` blocks and reference rows into ``Br`` blocks of at
-most ``block_rows`` rows (by a hash of the key). Each query row is sent to the
-``Br`` groups ``(i, *)`` of its block and each reference row to the ``Bq``
-groups ``(*, j)``; one cogrouped task per (i, j) computes the distances of a
-bounded block pair with numpy and emits only its k best neighbours per query.
-A second, bounded step (k * Br candidates per query) keeps the overall k best
-and votes. Every group is bounded by ``2 * block_rows`` rows, no candidate is
-dropped before its exact distance is known, and no pair row is ever emitted.
-The total work is the inherent |Q| x |R| of exact kNN.
+"""Exact k-nearest-neighbour vote (L6 / J5) as a pivot-cell join with distance bounds, for Minkowski distances of any order p > 0.
+
+1. At most ``MAX_PIVOTS`` reference rows, in hash order, are pivots; every row belongs to the cell of its nearest pivot.
+2. One pass over the reference rows keeps, per cell, the k smallest distances to the pivot (of rows with different keys); one pass over the
+   queries keeps each cell's number of queries and its radius u.
+3. From these summaries alone follows, per query cell i, a distance theta_i within which every query of the cell has k neighbours:
+   the k-th smallest ``u_i + d(pivot_i, pivot_j) + d(pivot_j, row)``.
+4. Cells that lie side by side are packed into groups of about ``block_rows`` queries. A reference row is copied to a group only if, for one
+   of its cells, ``d(row, pivot_i) <= u_i + theta_i``: by the triangle inequality no other row can be among the k nearest.
+5. Large groups are cut into blocks of queries and of rows; one cogrouped task per pair of blocks computes all distances with numpy and emits
+   its k best neighbours per query, and a last bounded step (k * blocks candidates per query) keeps the overall k best.
+
+A row goes to as many groups as the bounds ask and never to more than there are; on data without clusters in many dimensions that can be all of
+them, as in a plain block join. Nothing is dropped before a bound or its exact distance excludes it, and no pair row is emitted. For p < 1 the
+distance itself breaks the triangle inequality, but its p-th power keeps it, so the bounds work on that.
+
+Defined results: rows with a null, NaN or infinite feature take no part; ties go to the smaller reference key; repeated query rows get a list
+each; repeated reference rows are neighbours of their own; with ``exclude_self`` all reference rows with the query's key go (a null key equals
+none); with fewer than k rows all are returned; empty inputs give an empty result. Columns other than key, label and features are not read.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from sparkqc.session import cut_lineage
+
+#: Pivots at most: bounds the driver's table of pivot distances (128 MB) and what tasks carry, whatever the number of rows.
+MAX_PIVOTS = 4096
+#: Bounds are widened by this share, against rounding.
+SLACK = 1e-9
+#: Copies that leave a task in one Arrow batch.
+_OUT_ROWS = 16384
+
+
+@dataclass
+class KnnPlan:
+    """What the summaries decide: group of every pivot, its reach, and the blocks of every group."""
+
+    cells: np.ndarray          # all pivots
+    group_of: np.ndarray       # group of each of them; -1 where it has no queries
+    pivots: np.ndarray         # those with queries, ordered so that a group's pivots stand together
+    reach: np.ndarray          # of each of these
+    starts: np.ndarray         # first pivot of each group
+    query_blocks: np.ndarray   # per group
+    row_blocks: np.ndarray     # per group
+    rows: int = 0
+    copies: int = 0            # reference rows sent to tasks, all copies counted
+
+    @property
+    def tasks(self) -> int:
+        return int((self.query_blocks * self.row_blocks).sum())
+
+    @property
+    def copies_per_row(self) -> float:
+        return self.copies / max(1, self.rows)
+
+
+def _sums(a: np.ndarray, b: np.ndarray, p: float) -> np.ndarray:
+    """Sums of |a_i - b_j| ** p, added up feature by feature."""
+    acc = np.zeros((len(a), len(b)))
+    for d in range(a.shape[1]):
+        diff = a[:, d][:, None] - b[:, d][None, :]
+        acc += diff * diff if p == 2 else np.abs(diff) ** p  # squaring needs no abs (same bits either sign)
+    return acc
+
+
+def _metric(a: np.ndarray, b: np.ndarray, p: float) -> np.ndarray:
+    """A distance that keeps the triangle inequality and the order of the Minkowski distance."""
+    s = _sums(a, b, p)
+    return s ** (1.0 / p) if p > 1 else s
+
+
+def _features(batch: pa.RecordBatch | pa.Table, width: int) -> np.ndarray:
+    column = batch.column("_x")
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, width)
+
+
+def _pieces(batch: pa.RecordBatch, width: int, others: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
+    """Slices of a batch whose distances to ``others`` rows fit 32 MB."""
+    step = max(1, 4_000_000 // max(1, others))
+    for s in range(0, batch.num_rows, step):
+        part = batch.slice(s, step)
+        yield part, _features(part, width)
+
+
+def _rows(df: DataFrame, key: str, key_type: str, features: Sequence[str], *more) -> DataFrame:
+    """``(_key, ..., _x, _row)`` of the rows that take part, written once."""
+    x = F.array(*[F.col(c).cast("double") for c in features])
+    whole = F.forall("_x", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < F.lit(float("inf"))))
+    written = cut_lineage(df.select(F.col(key).cast(key_type).alias("_key"), *more, x.alias("_x")))
+    # filtered after the write: a filter on an array of many aliased columns makes the optimiser try every mixture of their names
+    return written.where(whole).withColumn("_row", F.monotonically_increasing_id())
+
+
+def _near_lists(r: DataFrame, pivots: np.ndarray, p: float, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Per cell the ``size`` smallest distances of rows with different keys: (cell, distance, key hash), at most pivots x size rows."""
+    width = pivots.shape[1]
+
+    def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept: dict[int, dict[int, float]] = {}
+        for batch in batches:
+            for part, x in _pieces(batch, width, len(pivots)):
+                dist = _metric(x, pivots, p)
+                cell = dist.argmin(1)
+                near = dist[np.arange(len(cell)), cell]
+                keys = part.column("_hash").to_numpy(zero_copy_only=False)
+                order = np.lexsort((near, cell))
+                place = np.arange(len(order)) - np.searchsorted(cell[order], cell[order])
+                # repeated keys may hide others behind them: those beyond the first places count only where no list is full
+                for i in order[place < 4 * size]:
+                    lst = kept.setdefault(int(cell[i]), {})
+                    h, d = int(keys[i]), float(near[i])
+                    if d < lst.get(h, math.inf):
+                        lst[h] = d
+                        if len(lst) > size:
+                            del lst[max(lst, key=lst.get)]
+        rows = [(c, h, d) for c, lst in kept.items() for h, d in lst.items()]
+        cols = list(zip(*rows)) if rows else [(), (), ()]
+        yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.float64())], ["cell", "h", "d"])
+
+    cells = r.select(F.xxhash64("_key").alias("_hash"), "_x").mapInArrow(local, "cell int, h long, d double")
+    best = cells.groupBy("cell", "h").agg(F.min("d").alias("d"))
+    top = best.withColumn("_n", F.row_number().over(Window.partitionBy("cell").orderBy("d", "h"))).where(F.col("_n") <= size)
+    t = top.select("cell", "d", "h").toPandas()
+    return t["cell"].to_numpy(dtype=int), t["d"].to_numpy(dtype=float), t["h"].to_numpy(dtype=np.int64)
+
+
+def _query_cells(q: DataFrame, pivots: np.ndarray, p: float) -> tuple[np.ndarray, np.ndarray]:
+    """Number of queries and radius of every cell."""
+    width, m = pivots.shape[1], len(pivots)
+
+    def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, u = np.zeros(m, dtype=np.int64), np.zeros(m)
+        for batch in batches:
+            for _, x in _pieces(batch, width, m):
+                dist = _metric(x, pivots, p)
+                cell = dist.argmin(1)
+                n += np.bincount(cell, minlength=m)
+                np.maximum.at(u, cell, dist[np.arange(len(cell)), cell])
+        at = np.flatnonzero(n)
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(n[at]), pa.array(u[at])], ["cell", "n", "u"])
+
+    t = q.select("_x").mapInArrow(local, "cell int, n long, u double").groupBy("cell").agg(F.sum("n").alias("n"), F.max("u").alias("u")).toPandas()
+    n, u = np.zeros(m, dtype=np.int64), np.zeros(m)
+    n[t["cell"].to_numpy(dtype=int)] = t["n"]
+    u[t["cell"].to_numpy(dtype=int)] = t["u"]
+    return n, u
+
+
+def _bounds(between: np.ndarray, n: np.ndarray, u: np.ndarray, near: tuple[np.ndarray, np.ndarray, np.ndarray], size: int) -> np.ndarray:
+    """Reach ``u_i + theta_i`` of every cell with queries, -1 for the others."""
+    cell, dist, keys = near
+    reach = np.full(len(n), -1.0)
+    for i in np.flatnonzero(n):
+        upper = between[i][cell] + dist
+        order = np.argsort(upper, kind="stable")
+        _, first = np.unique(keys[order], return_index=True)  # places of the first row of every key
+        theta = u[i] + upper[order[np.sort(first)[size - 1]]] if len(first) >= size else math.inf
+        reach[i] = (u[i] + theta) * (1 + SLACK)
+    return reach
+
+
+def _chain(between: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Pivots that have queries, each followed by the nearest one left."""
+    left = n > 0
+    order = []
+    at = int(np.argmax(left))
+    while left.any():
+        at = int(np.argmin(np.where(left, between[at], np.inf))) if order else at
+        if not left[at]:
+            at = int(np.argmax(left))  # distances beyond the number range
+        left[at] = False
+        order.append(at)
+    return np.array(order, dtype=int)
+
+
+def _groups(n: np.ndarray, block_rows: int) -> tuple[np.ndarray, np.ndarray]:
+    """First pivot of every group, and its number of queries, for pivots in chain order."""
+    starts, sizes = [], []
+    for i, c in enumerate(n):
+        if not starts or sizes[-1] + c > block_rows:
+            starts.append(i)
+            sizes.append(0)
+        sizes[-1] += int(c)
+    return np.array(starts, dtype=int), np.array(sizes, dtype=np.int64)
+
+
+def _reached(x: np.ndarray, plan: KnnPlan, p: float) -> np.ndarray:
+    """rows x groups: does the row have to be compared with the group's queries?"""
+    return np.logical_or.reduceat(_metric(x, plan.pivots, p) <= plan.reach, plan.starts, axis=1)
+
+
+def _reached_counts(r: DataFrame, plan: KnnPlan, p: float) -> np.ndarray:
+    width, g = plan.pivots.shape[1], len(plan.starts)
+
+    def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n = np.zeros(g, dtype=np.int64)
+        for batch in batches:
+            for _, x in _pieces(batch, width, len(plan.pivots)):
+                n += _reached(x, plan, p).sum(0)
+        at = np.flatnonzero(n)
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(n[at])], ["g", "n"])
+
+    out = np.zeros(g, dtype=np.int64)
+    for row in r.select("_x").mapInArrow(local, "g int, n long").groupBy("g").agg(F.sum("n").alias("n")).collect():
+        out[row["g"]] = row["n"]
+    return out
+
+
+def plan_join(q: DataFrame, r: DataFrame, k: int, p: float, exclude_self: bool, block_rows: int, max_pivots: int = MAX_PIVOTS) -> KnnPlan | None:
+    """Pivots, bounds and blocks of the join of prepared queries and rows; None if a side is empty."""
+    rows = r.count()
+    if not rows:
+        return None
+    m = min(max_pivots, max(1, math.ceil(math.sqrt(rows))))
+    drawn = r.select("_x").orderBy(F.xxhash64("_x", "_key"), "_x").limit(m).collect()
+    pivots = np.unique(np.array([row["_x"] for row in drawn], dtype=float), axis=0)
+    n, u = _query_cells(q, pivots, p)
+    if not n.any():
+        return None
+    between = _metric(pivots, pivots, p)
+    size = k + int(exclude_self)
+    reach = _bounds(between, n, u, _near_lists(r, pivots, p, size), size)
+    order = _chain(between, n)
+    starts, sizes = _groups(n[order], block_rows)
+    group_of = np.full(len(pivots), -1)
+    group_of[order] = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(order))))
+    plan = KnnPlan(pivots, group_of, pivots[order], reach[order], starts, -(-sizes // block_rows), np.ones(len(starts), dtype=np.int64), rows)
+    reached = _reached_counts(r, plan, p)
+    plan.row_blocks = np.maximum(1, -(-reached // block_rows))
+    plan.copies = int((reached * plan.query_blocks).sum())
+    return plan
+
+
+def _deal(df: DataFrame, plan: KnnPlan, p: float, is_query: bool) -> DataFrame:
+    """Copies of the rows with the group ``_g``, the query block ``_i`` and the row block ``_j`` they are compared in."""
+    width = plan.cells.shape[1]
+    own, other = (plan.query_blocks, plan.row_blocks) if is_query else (plan.row_blocks, plan.query_blocks)
+
+    def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part, x in _pieces(batch, width, len(plan.cells)):
+                if is_query:
+                    at, g = np.arange(len(x)), plan.group_of[_metric(x, plan.cells, p).argmin(1)]
+                else:
+                    at, g = np.nonzero(_reached(x, plan, p))
+                ends = np.cumsum(other[g])
+                ids = part.column("_row").to_numpy(zero_copy_only=False)
+                for s in range(0, int(ends[-1]) if len(ends) else 0, _OUT_ROWS):
+                    out = np.arange(s, min(s + _OUT_ROWS, ends[-1]))
+                    w = np.searchsorted(ends, out, side="right")
+                    across = out - (ends[w] - other[g[w]])
+                    mine = ids[at[w]] % own[g[w]]
+                    i, j = (mine, across) if is_query else (across, mine)
+                    yield pa.RecordBatch.from_arrays([pa.array(g[w], pa.int32()), pa.array(i, pa.int32()), pa.array(j, pa.int32()), *part.take(pa.array(at[w])).columns],
+                                                     ["_g", "_i", "_j", *part.schema.names])
+
+    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema.fields)
+    return df.mapInArrow(local, f"_g int, _i int, _j int, {fields}")
+
 
 def _nearest(dist: np.ndarray, k: int) -> np.ndarray:
     """Places of the k smallest, ties to the earlier place."""
@@ -31,60 +278,48 @@ def _nearest(dist: np.ndarray, k: int) -> np.ndarray:
 
 
 def knn_neighbours(queries: DataFrame, reference: DataFrame, key: str, features: Sequence[str], label: str,
-                   k: int = 5, p: float = 2.0, exclude_self: bool = False, block_rows: int = 2048) -> DataFrame:
+                   k: int = 5, p: float = 2.0, exclude_self: bool = False, block_rows: int = 2048, max_pivots: int = MAX_PIVOTS) -> DataFrame:
     """``(q_key, r_key, dist, r_label, rank)``: the k nearest reference rows of every query
     (Minkowski distance of order p, ties broken by reference key)."""
-    feats = list(features)
-    nq = queries.count()
-    nr = reference.count()
-    bq = max(1, math.ceil(nq / block_rows))
-    br = max(1, math.ceil(nr / block_rows))
-    qblk = F.pmod(F.xxhash64(F.col("_key")), F.lit(bq))
-    rblk = F.pmod(F.xxhash64(F.col("_key")), F.lit(br))
-    q = queries.select(F.col(key).alias("_key"), *[F.col(c).cast("double").alias(c) for c in feats]).withColumn(
-        "_i", qblk).withColumn("_j", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(br - 1).cast("long"))))
-    r = reference.select(F.col(key).alias("_key"), F.col(label).cast("double").alias("_label"),
-                         *[F.col(c).cast("double").alias(c) for c in feats]).withColumn(
-        "_j", rblk).withColumn("_i", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(bq - 1).cast("long"))))
+    if not 0 < p < math.inf:
+        raise ValueError(f"order p must be positive and finite: {p}")
+    width = len(features)
     key_type = queries.schema[key].dataType.simpleString()
-    out_schema = f"q_key {key_type}, r_key {key_type}, dist double, r_label double"
-
-    def block(qdf: pd.DataFrame, rdf: pd.DataFrame) -> pd.DataFrame:
-        if qdf.empty or rdf.empty:
-            return pd.DataFrame({"q_key": [], "r_key": [], "dist": [], "r_label": []})
-        rx = rdf[feats].to_numpy(dtype=float)
-        rkeys = rdf["_key"].to_numpy()
-        rlab = rdf["_label"].to_numpy(dtype=float)
-        order = np.argsort(rkeys, kind="stable")  # tie-break by reference key
-        rx, rkeys, rlab = rx[order], rkeys[order], rlab[order]
-        qx = qdf[feats].to_numpy(dtype=float)
-        qkeys = qdf["_key"].to_numpy()
-        parts = []
-        chunk = max(1, min(len(qx), 4_000_000 // max(1, len(rx))))
-        for s in range(0, len(qx), chunk):
-            qc = qx[s:s + chunk]
-            acc = np.zeros((len(qc), len(rx)))
-            for d in range(qx.shape[1]):
-                diff = qc[:, d][:, None] - rx[:, d][None, :]
-                if p == 2:
-                    acc += diff * diff  # squaring needs no abs (same bits either sign)
-                else:
-                    acc += np.abs(diff) ** p
+    q = _rows(queries, key, key_type, features)
+    r = _rows(reference, key, key_type, features, F.col(label).cast("double").alias("_label"))
+    schema = f"_q long, q_key {key_type}, r_key {key_type}, dist double, r_label double"
+    plan = plan_join(q, r, k, p, exclude_self, block_rows, max_pivots)
+    if plan is None:
+        return queries.sparkSession.createDataFrame([], f"{schema}, rank int").drop("_q")
+
+    def block(left: pa.Table, right: pa.Table) -> pa.Table:
+        names = ["_q", "q_key", "r_key", "dist", "r_label"]
+        right = right.take(pc.sort_indices(right, sort_keys=[("_key", "ascending"), ("_row", "ascending")]))  # ties to the smaller key
+        both = pa.chunked_array(left.column("_key").chunks + right.column("_key").chunks, left.column("_key").type).combine_chunks().dictionary_encode().indices
+        codes = both.fill_null(-1).to_numpy(zero_copy_only=False)
+        qcode, rcode = codes[:left.num_rows], codes[left.num_rows:]
+        qx, rx = _features(left, width), _features(right, width)
+        at, to, dist = [np.zeros(0, dtype=int)], [np.zeros(0, dtype=int)], [np.zeros(0)]
+        chunk = max(1, 4_000_000 // max(1, len(rx)))
+        kk = min(k, len(rx))
+        for s in range(0, len(qx) if kk else 0, chunk):
+            acc = _sums(qx[s:s + chunk], rx, p)
             if exclude_self:
-                acc[qkeys[s:s + chunk][:, None] == rkeys[None, :]] = np.inf
-            kk = min(k, len(rx))
+                mine = qcode[s:s + chunk]
+                acc[(mine[:, None] == rcode[None, :]) & (mine[:, None] >= 0)] = np.inf
             idx = np.stack([_nearest(row, kk) for row in acc])
-            rows = np.repeat(np.arange(len(qc)), kk)
-            cols = idx.ravel()
-            dist = acc[rows, cols]
-            ok = np.isfinite(dist)
-            parts.append(pd.DataFrame({"q_key": qkeys[s:s + chunk][rows][ok], "r_key": rkeys[cols][ok],
-                                       "dist": dist[ok] ** (1.0 / p), "r_label": rlab[cols][ok]}))
-        return pd.concat(parts, ignore_index=True)
-
-    cand = q.groupBy("_i", "_j").cogroup(r.groupBy("_i", "_j")).applyInPandas(block, out_schema)
-    w = Window.partitionBy("q_key").orderBy("dist", "r_key")  # at most k * Br rows per query
-    return cand.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+            rows, cols = np.repeat(np.arange(len(acc)), kk), idx.ravel()
+            ok = np.isfinite(acc[rows, cols])
+            at.append(rows[ok] + s)
+            to.append(cols[ok])
+            dist.append(acc[rows, cols][ok] ** (1.0 / p))
+        i, j = pa.array(np.concatenate(at)), pa.array(np.concatenate(to))
+        return pa.table([left.column("_row").take(i), left.column("_key").take(i), right.column("_key").take(j), pa.array(np.concatenate(dist)), right.column("_label").take(j)], names=names)
+
+    cells = ["_g", "_i", "_j"]
+    near = _deal(q, plan, p, True).groupBy(*cells).cogroup(_deal(r, plan, p, False).groupBy(*cells)).applyInArrow(block, schema)
+    w = Window.partitionBy("_q").orderBy("dist", F.col("r_key").asc_nulls_last())  # at most k candidates a block of rows
+    return near.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).drop("_q")
 
 
 def knn_vote(neighbours: DataFrame, weights: str = "uniform") -> DataFrame:
