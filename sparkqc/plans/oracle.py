@@ -377,6 +377,8 @@ ORACLE.update({
     "drop_constant": with_views("holes", "const AS (SELECT pos FROM holes GROUP BY pos HAVING min(v) IS NOT DISTINCT FROM max(v))")
         + "SELECT pos, count(*) AS n_rows FROM holes WHERE pos NOT IN (SELECT pos FROM const) GROUP BY pos",
     "append_compile": with_views("events_dup") + f"SELECT DISTINCT event_id, user_id, event_type, {r6('value')} AS value, props FROM events_dup",
+    "delivery_history": with_views("events_dup") + f"""SELECT event_id, user_id, event_type, {r6('value')} AS value, NULL AS props FROM events_dup WHERE event_type <> 'purchase'
+        UNION SELECT event_id, user_id, event_type, {r6('value')}, props FROM events_dup""",
     "delivery_verdicts": "SELECT * FROM (VALUES " + ", ".join(
         f"('{DELIVERIES[t]}', {str(r is None).lower()}, {'NULL' if r is None else repr(r)})" for t, r in (
             ("view", None), ("click", "invalid file name"), ("signup", "mismatch of number of columns"),

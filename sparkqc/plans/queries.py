@@ -252,6 +252,21 @@ def q_append_compile(spark, sf):
     return finish(ingest.compile_table(spark, path))
 
 
+def q_delivery_history(spark, sf):
+    """S3 + S4: a narrow delivery, one with a later column, and the first one replayed, kept as distinct rows under a schema log."""
+    import uuid
+
+    from sparkqc.session import ensure_checkpoint_dir
+    from sparkqc.sources import history
+
+    path = ensure_checkpoint_dir(spark).rstrip("/") + f"/tables/history-{uuid.uuid4().hex}"
+    events = fx.events_dup_view(spark, sf)
+    narrow = events.where("event_type <> 'purchase'").select("event_id", "user_id", "event_type", "value")
+    for delivery in (narrow, events.select(*EVENT_COLS), narrow):
+        history.append_new(spark, delivery, path)
+    return finish(history.read_history(spark, path))
+
+
 def q_distinct_union(spark, sf):
     a = fx.table(spark, sf, "events").select("user_id", "event_type")
     b = fx.events_dup_view(spark, sf).select("user_id", "event_type")
@@ -609,6 +624,7 @@ QUERIES = {
     "cap_iqr": q_cap_iqr,
     "cap_gaussian": q_cap_gaussian,
     "append_compile": q_append_compile,
+    "delivery_history": q_delivery_history,
     "anderson_normal": q_anderson_normal,
     "anderson_holes": q_anderson_holes,
     "transform_log": q_transform_log,
