@@ -23,6 +23,7 @@ def main(argv=None) -> None:
     p.add_argument("--contract", required=True)
     p.add_argument("--table", required=True)
     p.add_argument("--quarantine", required=True)
+    p.add_argument("--incremental", action="store_true", help="keep the table as a set of distinct rows")
     t = sub.add_parser("train")
     t.add_argument("--table", required=True)
     t.add_argument("--contract", required=True)
@@ -40,7 +41,7 @@ def main(argv=None) -> None:
     spark = get_session(master=None)
     c = contract_schema(a.contract)
     if a.cmd == "prepare":
-        print(json.dumps(pipeline.prepare(spark, a.src, c, a.table, a.quarantine)))
+        print(json.dumps(pipeline.prepare(spark, a.src, c, a.table, a.quarantine, a.incremental)))
     elif a.cmd == "train":
         res = pipeline.train(spark, a.table, a.out, c, ks=tuple(int(x) for x in a.ks.split(",") if x) or None,
                              families=tuple(x for x in a.families.split(",") if x) or None, n_trials=a.trials, threshold=a.threshold)

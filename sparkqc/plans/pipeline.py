@@ -22,7 +22,7 @@ from sparkqc.operators.iterative import IterativeImputerFit
 from sparkqc.operators.joint_impute import JointImputerFit
 from sparkqc.plans import score as sc
 from sparkqc.plans.train import N_TRIALS, PreprocessFit, final_model, fit_preprocess, model_frame, search
-from sparkqc.sources import fits, ingest
+from sparkqc.sources import fits, history, ingest
 from sparkqc.session import cut_lineage
 from sparkqc.sources.contract import Contract
 
@@ -64,14 +64,21 @@ def with_row_key(df: DataFrame, cols: list[str]) -> DataFrame:
                                                                 for c in cols]), 256))
 
 
-def prepare(spark: SparkSession, src_dir: str, contract: Contract, table_path: str, quarantine_path: str) -> dict:
-    """E-1: validate, quarantine, append. Returns counts (one small job each)."""
-    parts = ingest.validate_batches(spark, src_dir, contract)
-    ingest.append_table(parts["good"], table_path)
+def prepare(spark: SparkSession, src_dir: str, contract: Contract, table_path: str, quarantine_path: str, incremental: bool = False) -> dict:
+    """E-1: validate, quarantine, append. Returns counts, taken from the written verdicts and rejected rows.
+
+    ``incremental`` keeps the table as a set of distinct rows (``sources.history``), so that ``train`` needs no DISTINCT over it.
+    A table is kept one way or the other from its first delivery on.
+    """
+    parts = ingest.validate_batches(spark, src_dir, contract, write_verdicts=True)
+    if incremental:
+        history.append_new(spark, parts["good"], table_path)
+    else:
+        ingest.append_table(parts["good"], table_path)
     parts["bad_files"].write.mode("append").parquet(os.path.join(quarantine_path, "files"))
-    parts["rejected_rows"].write.mode("append").parquet(os.path.join(quarantine_path, "rows"))
-    return {"files": parts["verdicts"].count(), "bad_files": parts["bad_files"].count(),
-            "rejected_rows": parts["rejected_rows"].count()}
+    rejected = cut_lineage(parts["rejected_rows"])
+    rejected.write.mode("append").parquet(os.path.join(quarantine_path, "rows"))
+    return {"files": parts["verdicts"].count(), "bad_files": parts["bad_files"].count(), "rejected_rows": rejected.count()}
 
 
 def report_tables(prep: PreprocessFit) -> dict[str, DataFrame]:
@@ -137,7 +144,8 @@ def train(spark: SparkSession, table_path: str, out_dir: str, contract: Contract
           n_trials: int = N_TRIALS, threshold: float = 0.10, max_iter: int = 100) -> dict:
     """E-2: compile -> preprocess fit -> search -> final fit; writes reports and artefacts."""
     compiled = os.path.join(out_dir, "compiled")
-    ingest.compile_table(spark, table_path).write.mode("overwrite").parquet(compiled)
+    kept = history.read_history(spark, table_path) if history.schema_log(spark, table_path) else ingest.compile_table(spark, table_path)
+    kept.write.mode("overwrite").parquet(compiled)
     data = ingest.read_table(spark, compiled, contract.schema)
     feats = [c for c in contract.columns if c not in (id_col, label)]
     data = with_row_key(data.select(id_col, *feats, label), [id_col, *feats, label])

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
+from sparkqc.session import cut_lineage
 from sparkqc.sources.contract import Contract, name_ok
 
 # Text tokens read as missing (pandas' default NA strings) besides the empty cell.
@@ -126,11 +127,16 @@ def route_files(df: DataFrame, verdicts: DataFrame) -> tuple[DataFrame, DataFram
     return good, bad
 
 
-def validate_batches(spark: SparkSession, path: str | list[str], contract: Contract) -> dict[str, DataFrame]:
-    """V1-V5 + S5 in one plan: ``good`` typed rows, ``rejected_rows``, ``bad_files``, ``verdicts``."""
+def validate_batches(spark: SparkSession, path: str | list[str], contract: Contract, write_verdicts: bool = False) -> dict[str, DataFrame]:
+    """V1-V5 + S5 in one plan: ``good`` typed rows, ``rejected_rows``, ``bad_files``, ``verdicts``.
+
+    With ``write_verdicts`` the verdicts (one row per file) are computed once, now, for callers that write several of these tables.
+    """
     raw = read_batches(spark, path, contract)
     norm = normalise_nulls(raw, contract.columns)
     verdicts = file_verdicts(spark, path, norm, contract)
+    if write_verdicts:
+        verdicts = cut_lineage(verdicts)
     in_good_files, bad_files = route_files(typed(norm, contract), verdicts)
     good, rejected = quarantine_rows(in_good_files)
     return {"good": good, "rejected_rows": rejected, "bad_files": bad_files, "verdicts": verdicts}

@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkqc.sources import ingest
+from sparkqc.sources import history, ingest
 from sparkqc.sources.contract import Contract
 
 #: Files of one micro-batch at most: what bounds the list of paths on the driver.
@@ -34,7 +34,7 @@ def read_files(spark: SparkSession, path: str, max_files_per_trigger: int = MAX_
 
 
 def ingest_stream(spark: SparkSession, path: str, contract: Contract, table_path: str, quarantine_path: str,
-                  checkpoint: str, available_now: bool = True, max_files_per_trigger: int = MAX_FILES):
+                  checkpoint: str, available_now: bool = True, max_files_per_trigger: int = MAX_FILES, incremental: bool = False):
     """Append newly delivered files to the table; quarantine bad files and rows.
 
     ``trigger(availableNow=True)`` processes everything present and stops, which
@@ -42,14 +42,18 @@ def ingest_stream(spark: SparkSession, path: str, contract: Contract, table_path
     folder that outlives the session, as it knows the files read. The appends are
     at-least-once: a micro-batch replayed after a failure writes its rows again
     under the same ``_epoch``; ``compile_table`` (DISTINCT without the
-    bookkeeping columns) removes them.
+    bookkeeping columns) removes them. With ``incremental`` the table is a
+    ``sources.history`` table, where a replay adds nothing in the first place.
     """
     def handle(batch: DataFrame, epoch_id: int) -> None:
         paths = [r[0] for r in batch.distinct().collect()]  # at most maxFilesPerTrigger
         if not paths:
             return
-        parts = ingest.validate_batches(spark, paths, contract)
-        parts["good"].withColumn("_epoch", F.lit(epoch_id)).write.mode("append").parquet(table_path)
+        parts = ingest.validate_batches(spark, paths, contract, write_verdicts=True)
+        if incremental:
+            history.append_new(spark, parts["good"], table_path)
+        else:
+            parts["good"].withColumn("_epoch", F.lit(epoch_id)).write.mode("append").parquet(table_path)
         parts["bad_files"].withColumn("_epoch", F.lit(epoch_id)).write.mode("append").parquet(quarantine_path + "/files")
         parts["rejected_rows"].withColumn("_epoch", F.lit(epoch_id)).write.mode("append").parquet(quarantine_path + "/rows")
 

@@ -1,5 +1,6 @@
 """The growing set of delivered rows: replays, later columns, equality of rows."""
 
+import numpy as np
 import pytest
 
 from sparkqc.sources import history
@@ -45,6 +46,25 @@ def test_empty_delivery_and_missing_table(spark, tmpdir_path):
     assert history.read_history(spark, f"{tmpdir_path}/t").count() == 0
 
 
+def test_prepare_and_stream_keep_distinct_rows(spark, tmpdir_path):
+    import os
+
+    import test_end_to_end as e2e
+    from sparkqc.plans import pipeline
+    from sparkqc.streaming.stream import ingest_stream
+
+    src, table, streamed = (os.path.join(tmpdir_path, x) for x in ("src", "table", "streamed"))
+    e2e.write_batches(src, np.random.default_rng(1), n_files=2, rows=20)
+    for _ in range(2):
+        counts = pipeline.prepare(spark, src, e2e.CONTRACT, table, os.path.join(tmpdir_path, "q"), incremental=True)
+        assert counts == {"files": 3, "bad_files": 1, "rejected_rows": 0}
+    assert history.read_history(spark, table).count() == 40
+    for run in range(2):  # a second checkpoint folder replays every file
+        ingest_stream(spark, src, e2e.CONTRACT, streamed, os.path.join(tmpdir_path, "q2"), os.path.join(tmpdir_path, f"c{run}"), incremental=True).awaitTermination(120)
+    assert history.read_history(spark, streamed).exceptAll(history.read_history(spark, table)).count() == 0
+    assert history.read_history(spark, streamed).count() == 40
+
+
 def test_only_touched_buckets_are_read(spark, tmpdir_path):
     path = f"{tmpdir_path}/t"
     history.append_new(spark, spark.range(500).selectExpr("cast(id as string) id", "cast(id as double) v"), path)
