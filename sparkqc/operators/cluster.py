@@ -123,10 +123,15 @@ def wcss_curve(features: DataFrame, vector_col: str = "features", ks: Sequence[i
     return [(k, curve.cost[k]) for k in ks]
 
 
+def centre_gaps(vector: Column, centres: np.ndarray) -> Column:
+    """Squared distances of a row (array of doubles) to every centre."""
+    return F.array(*[F.aggregate(F.zip_with(vector, F.lit([float(v) for v in c]), lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, v: s + v) for c in centres])
+
+
 def nearest_centre(vector: Column, centres: np.ndarray) -> Column:
     """the cluster of a row (array of doubles): the nearest centre, ties to the smaller number; no shuffle, no Python."""
-    gaps = [F.aggregate(F.zip_with(vector, F.lit([float(v) for v in c]), lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, v: s + v) for c in centres]
-    return F.array_position(F.array(*gaps), F.array_min(F.array(*gaps))).cast("int") - 1
+    gaps = centre_gaps(vector, centres)
+    return F.array_position(gaps, F.array_min(gaps)).cast("int") - 1
 
 
 def knee(curve: DataFrame, by: Sequence[str] = (), x: str = "x", y: str = "y", sensitivity: float = 1.0) -> DataFrame:

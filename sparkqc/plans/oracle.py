@@ -302,6 +302,9 @@ ORACLE.update({
         ELSE (v - min(v) OVER p) / CASE WHEN max(v) OVER p - min(v) OVER p > 0 THEN max(v) OVER p - min(v) OVER p ELSE 1e0 END END''')} AS v
         FROM skn WINDOW p AS (PARTITION BY pos)""",
     "kmeans_k1_cost": with_views("long") + f"SELECT {r6('sum(sse)')} AS cost FROM (SELECT pos, var_pop(v) * count(v) AS sse FROM long GROUP BY pos)",
+    "kmeans_curve": with_views("long") + f"""SELECT k, (SELECT count(DISTINCT vec_id) FROM long) AS n_items,
+        CASE WHEN k = 1 THEN (SELECT {r6('sum(sse)')} FROM (SELECT pos, var_pop(v) * count(v) AS sse FROM long GROUP BY pos)) END AS first_cost,
+        TRUE AS cost_agrees, TRUE AS not_above FROM range(1, 11) AS t(k)""",
     "knee": with_views("long", *KNEE) + """SELECT pos, CAST(arg_min(tx, k) FILTER (WHERE tx IS NOT NULL AND xn < 1 AND nxt < thr) AS BIGINT) AS knee
         FROM c5 GROUP BY pos""",
     "cluster_dummies": "SELECT vec_id, " + ", ".join(f"CASE WHEN label = {i} THEN 1 ELSE 0 END AS c{i}" for i in range(1, 10)) + " FROM embeddings",

@@ -519,6 +519,18 @@ def q_kmeans_assign(spark, sf):
     return model.transform(vec).select("vec_id", "cluster")
 
 
+def q_kmeans_curve(spark, sf):
+    """Per k: the cost at k = 1, whether the costs recomputed from the centres agree, and whether none is above that of k = 1."""
+    rows = fx.wide_view(spark, sf).select(F.array(*[F.col(c).cast("double") for c in WIDE_FEATS]).alias("x"))
+    found = cluster.kmeans_curve(rows, "x", range(1, 11))
+    costs = rows.agg(F.count(F.lit(1)).alias("n_items"), *[F.sum(F.array_min(cluster.centre_gaps(F.col("x"), c))).alias(f"c{k}") for k, c in found.centres.items()])
+    told = F.explode(F.array(*[F.struct(F.lit(k).cast("long").alias("k"), F.lit(found.cost[k]).alias("told"), F.col(f"c{k}").alias("cost")) for k in found.cost]))
+    per = costs.select("n_items", told.alias("t")).select("n_items", "t.*")
+    return finish(per.select("k", "n_items", F.when(F.col("k") == 1, F.col("told")).alias("first_cost"),
+                             (F.abs(F.col("told") - F.col("cost")) <= 1e-9 * F.col("cost")).alias("cost_agrees"),
+                             (F.col("told") <= F.lit(found.cost[1])).alias("not_above")))
+
+
 def q_kmeans_knee(spark, sf):
     from sparkqc.operators import learn
 
@@ -677,6 +689,7 @@ QUERIES = {
     "kmeans_nearest": q_kmeans_nearest,
     "kmeans_assign": q_kmeans_assign,
     "kmeans_knee": q_kmeans_knee,
+    "kmeans_curve": q_kmeans_curve,
     "logistic_regression_scores": _trial_query("LogisticRegression", {"C": 0.5}),
     "linear_svc_scores": _trial_query("LinearSVC", {"C": 0.0236}),
     "decision_tree_scores": _trial_query("DecisionTreeClassifier", {"maxDepth": 4}),
