@@ -285,8 +285,8 @@ def knn_neighbours(queries: DataFrame, reference: DataFrame, key: str, features:
         raise ValueError(f"order p must be positive and finite: {p}")
     width = len(features)
     key_type = queries.schema[key].dataType.simpleString()
-    q = _rows(queries, key, key_type, features)
     r = _rows(reference, key, key_type, features, F.col(label).cast("double").alias("_label"))
+    q = r.drop("_label") if queries is reference else _rows(queries, key, key_type, features)
     schema = f"_q long, q_key {key_type}, r_key {key_type}, dist double, r_label double"
     plan = plan_join(q, r, k, p, exclude_self, block_rows, max_pivots)
     if plan is None:
