@@ -302,6 +302,8 @@ ORACLE.update({
         ELSE (v - min(v) OVER p) / CASE WHEN max(v) OVER p - min(v) OVER p > 0 THEN max(v) OVER p - min(v) OVER p ELSE 1e0 END END''')} AS v
         FROM skn WINDOW p AS (PARTITION BY pos)""",
     "kmeans_k1_cost": with_views("long") + f"SELECT {r6('sum(sse)')} AS cost FROM (SELECT pos, var_pop(v) * count(v) AS sse FROM long GROUP BY pos)",
+    "sketch_quantiles": with_views("long") + """SELECT pos, CAST(p AS DOUBLE) AS p, count(v) AS n_values, TRUE AS rank_holds
+        FROM long, (VALUES (0.05), (0.25), (0.5), (0.75), (0.95)) AS t(p) WHERE v IS NOT NULL GROUP BY pos, p""",
     "kmeans_curve": with_views("long") + f"""SELECT k, (SELECT count(DISTINCT vec_id) FROM long) AS n_items,
         CASE WHEN k = 1 THEN (SELECT {r6('sum(sse)')} FROM (SELECT pos, var_pop(v) * count(v) AS sse FROM long GROUP BY pos)) END AS first_cost,
         TRUE AS cost_agrees, TRUE AS not_above FROM range(1, 11) AS t(k)""",

@@ -519,6 +519,19 @@ def q_kmeans_assign(spark, sf):
     return model.transform(vec).select("vec_id", "cluster")
 
 
+def q_sketch_quantiles(spark, sf):
+    """A4: sketches of two deliveries merged; is every quantile's rank over all rows within 3 % of the one asked for?"""
+    from sparkqc.operators import sketches
+
+    lg = fx.long_view(spark, sf).where("v IS NOT NULL")
+    old, new = (sketches.column_sketches(lg.where(f"pmod(vec_id, 2) = {half}"), "pos") for half in (0, 1))
+    asked = sketches.sketch_quantiles(sketches.merge_sketches(old, new, "pos"), [0.05, 0.25, 0.5, 0.75, 0.95], "pos")
+    near = lg.join(F.broadcast(asked), "pos").groupBy("pos", "p").agg(  # five rows a column
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("v") < F.col("q")).alias("below"), F.count_if(F.col("v") <= F.col("q")).alias("upto"))
+    holds = (F.col("below") / F.col("n") <= F.col("p") + 0.03) & (F.col("upto") / F.col("n") >= F.col("p") - 0.03)
+    return finish(near.select("pos", "p", F.col("n").alias("n_values"), holds.alias("rank_holds")))
+
+
 def q_kmeans_curve(spark, sf):
     """Per k: the cost at k = 1, whether the costs recomputed from the centres agree, and whether none is above that of k = 1."""
     rows = fx.wide_view(spark, sf).select(F.array(*[F.col(c).cast("double") for c in WIDE_FEATS]).alias("x"))
@@ -690,6 +703,7 @@ QUERIES = {
     "kmeans_assign": q_kmeans_assign,
     "kmeans_knee": q_kmeans_knee,
     "kmeans_curve": q_kmeans_curve,
+    "sketch_quantiles": q_sketch_quantiles,
     "logistic_regression_scores": _trial_query("LogisticRegression", {"C": 0.5}),
     "linear_svc_scores": _trial_query("LinearSVC", {"C": 0.0236}),
     "decision_tree_scores": _trial_query("DecisionTreeClassifier", {"maxDepth": 4}),
