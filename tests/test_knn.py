@@ -78,3 +78,36 @@ def test_rows_with_clusters_go_to_few_groups(spark):
     plan = knn.plan_join(q, q, 5, 2.0, True, 100)
     assert len(plan.starts) > 20
     assert plan.copies_per_row < len(plan.starts) / 5
+
+
+@pytest.mark.parametrize("width,p", [(64, 2.0), (16, 1.0), (6, 3.0), (5, 2.5)])
+def test_screened_block_equals_all_sums(width, p):
+    rng = np.random.default_rng(7)
+    q, r = rng.normal(size=(300, width)) * 1e-3 + 50, rng.normal(size=(2500, width)) * 1e-3 + 50
+    r[40:80], q[:90] = r[10], r[:90]
+    sums = knn._sums(q, r, p)
+    order = np.argsort(sums, axis=1, kind="stable")[:, :5]
+    best, at = knn._k_nearest(q, r, 5, p)
+    assert (at == order).all() and (best == np.take_along_axis(sums, order, 1)).all()
+
+
+def test_copies_of_a_row_do_not_grow_with_small_blocks(spark):
+    rng = np.random.default_rng(11)
+    rows = [(i, *(float(v) for v in x), 1, None) for i, x in enumerate(rng.normal(size=(9000, 3)))]
+    wide = frame(spark, rows).selectExpr("id", "label", *[f"rand({i}) AS x{i}" for i in range(24)]).localCheckpoint()  # no bounds help here
+    feats = [f"x{i}" for i in range(24)]
+    q = knn._rows(wide, "id", "bigint", feats)
+    plan = knn._plan(q, q, 5, 2.0, True, None, knn.MAX_PIVOTS, 24)
+    assert plan.copies_per_row <= knn.MAX_COPIES
+
+
+@pytest.mark.parametrize("block_rows", [60, None])
+def test_lists_without_each_part_equal_separate_joins(spark, block_rows):
+    rows = clustered(500, seed=9)
+    rows += [(600 + i, *rows[3][1:4], 2, "x") for i in range(30)]  # equal rows in all parts
+    df = frame(spark, rows).selectExpr("*", "int(id % 3) + 1 AS part").localCheckpoint()
+    feats = ["a", "b", "c"]
+    found = knn.knn_neighbours_without(df, df, "id", feats, "label", "part", (1, 2, 3), k=4, p=1.0, block_rows=block_rows)
+    for v in (None, 1, 2, 3):
+        alone = knn.knn_neighbours(df, df if v is None else df.where(f"part <> {v}"), "id", feats, "label", k=4, p=1.0)
+        assert got(found.where("without IS NULL" if v is None else f"without = {v}")) == got(alone)
