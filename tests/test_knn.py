@@ -111,3 +111,31 @@ def test_lists_without_each_part_equal_separate_joins(spark, block_rows):
     for v in (None, 1, 2, 3):
         alone = knn.knn_neighbours(df, df if v is None else df.where(f"part <> {v}"), "id", feats, "label", k=4, p=1.0)
         assert got(found.where("without IS NULL" if v is None else f"without = {v}")) == got(alone)
+
+
+def test_knn_trial_joins_once_and_scores_as_single_models(spark, monkeypatch):
+    from sparkqc.operators import evaluate, learn
+    from pyspark.sql import functions as F
+
+    df = frame(spark, clustered(360, seed=4)).selectExpr("id", "int(label > 0) AS y", "a", "b", "c", "int(id % 3) + 1 AS fold").localCheckpoint()
+    train, test = df.where("id % 7 > 0"), df.where("id % 7 = 0")
+    params, feats = {"n_neighbors": 3, "weights": "distance", "p": 1}, ["a", "b", "c"]
+    joins, join = [], knn._joined
+    monkeypatch.setattr(knn, "_joined", lambda *a: joins.append(1) or join(*a))
+    got_metrics = learn.evaluate_trial("KNeighborsClassifier", params, train, test, feats, "y", k=3, key="id").metrics
+    assert len(joins) == 1
+    preds = []
+    for f in (1, 2, 3):
+        model = learn.fit_model("KNeighborsClassifier", params, train.where(F.col("fold") != f), feats, "y", key="id")
+        for side, part in (("train", train.where(F.col("fold") != f)), ("val", train.where(F.col("fold") == f))):
+            preds.append(learn.predict(model, part).select("y", "pred", F.lit(f).alias("fold"), F.lit(side).alias("side")))
+    every = preds[0]
+    for more in preds[1:]:
+        every = every.unionByName(more)
+    cv = {r["side"]: r for r in evaluate.cv_scores(every).collect()}
+    for side in ("train", "val"):
+        assert got_metrics[f"{side}_matthews_corrcoef"] == pytest.approx(cv[side]["mcc"])
+        assert got_metrics[f"{side}_recall_score"] == pytest.approx(cv[side]["macro_recall"])
+    whole = learn.fit_model("KNeighborsClassifier", params, train, feats, "y", key="id")
+    alone = evaluate.mcc(learn.predict(whole, test)).first()["mcc"]
+    assert got_metrics["test_matthews_corrcoef"] == pytest.approx(alone)
