@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sparkqc.operators import boosting as bo
-from sparkqc.operators import learn, network, pruning, split
+from sparkqc.operators import growing, learn, network, pruning, split
 from sparkqc.operators.trees import Tree
 
 FEATURES = ["a", "b", "c"]
@@ -217,3 +217,64 @@ def test_split_keeps_rows_without_label(spark):
     got = split.stratified_split(spark.createDataFrame(rows, "k long, y int"), "y", "k", 0.2).groupBy("y", "split").count().collect()
     assert sum(r["count"] for r in got) == 90 and {(r["y"], r["split"]): r["count"] for r in got}[None, "test"] == 6
     assert split.stratified_split(spark.createDataFrame([(1, None), (2, None)], "k long, y int"), "y", "k").count() == 2
+
+
+# ------------------------------------------------------- bounded growth
+
+def noisy(spark, n=400):
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(n, 3))
+    y = ((x[:, 0] > 0.3) ^ (rng.random(n) < 0.3)).astype(int)
+    df = spark.createDataFrame([(i, int(y[i]), *map(float, x[i])) for i in range(n)], "k long, y int, " + ", ".join(f"{c} double" for c in FEATURES)).repartition(3, "k")
+    return learn.with_balanced_weight(learn.assemble(df, FEATURES), "y")[0].localCheckpoint()
+
+
+def test_growth_stops_where_pruning_would(spark):
+    data, alpha = noisy(spark), 0.004
+    whole = growing.grow(data, FEATURES, "y", learn.WEIGHT, 0.0, key="k")[0]
+    short = growing.grow(data, FEATURES, "y", learn.WEIGHT, alpha, key="k")[0]
+    assert len(short.parent) < len(whole.parent) / 2
+    inner = short.feature >= 0
+    assert (short.impurity * short.weight / short.weight[0])[inner].min() > alpha
+    one, two = pruning.prune(whole, alpha), pruning.prune(short, alpha)
+    key = lambda t: sorted(zip(t.feature.tolist(), t.threshold.tolist(), np.round(t.weight, 9).tolist()))
+    assert key(one) == key(two) and len(one.parent) > 3
+
+
+def test_growth_gains_like_spark(spark):
+    data = noisy(spark)
+    mine, theirs = growing.grow(data, FEATURES, "y", learn.WEIGHT, 0.0, key="k", depth=3)[0], pruning.node_tables(learn.make_estimator("DecisionTreeClassifier", {"maxDepth": 3}, 1.0, 3, "y").fit(data))[0]
+    assert (mine.feature[0], round(mine.threshold[0], 9), round(mine.weight[0], 6)) == (theirs.feature[0], round(theirs.threshold[0], 9), round(theirs.weight[0], 6))
+    seen = {(f, round(t, 9), round(w, 6)) for f, t, w in zip(mine.feature.tolist(), mine.threshold.tolist(), mine.weight.tolist())}
+    assert {(f, round(t, 9), round(w, 6)) for f, t, w in zip(theirs.feature.tolist(), theirs.threshold.tolist(), theirs.weight.tolist()) if f >= 0} <= seen
+
+
+def test_forest_draws_are_poisson_and_reruns_agree(spark, monkeypatch):
+    draws = growing._poisson(np.arange(200_000), 3, 42)
+    assert abs(draws.mean() - 1) < 0.01 and abs(draws.var() - 1) < 0.02
+    data = noisy(spark)
+    grow = lambda d: [t.rows() for t in growing.grow(d, FEATURES, "y", learn.WEIGHT, 0.01, 4, True, key="k")]
+    one, two = grow(data), grow(data.repartition(5))
+    same = lambda a, b: [(r[1:6], round(r[6], 9), round(r[7], 6)) for t in a for r in t] == [(r[1:6], round(r[6], 9), round(r[7], 6)) for t in b for r in t]
+    assert same(one, two) and one[0] != one[1]
+    monkeypatch.setattr(growing, "SUMS_BYTES", 2 * 8 * 3 * growing.MAX_BINS * 2)  # two open nodes a pass
+    size = lambda forest: sorted(sorted(round(r[7], 6) for r in t) for t in forest)
+    assert size(grow(data)) == size(one)
+
+
+def test_growth_of_few_rows_gaps_and_constant_columns(spark):
+    schema = "k long, y int, u double, v double, _w double"
+    rows = [(0, 0, 1.0, 5.0, 1.0), (1, 0, 1.0, 5.0, 1.0), (2, 1, None, 5.0, 1.0), (3, 1, 3.0, 5.0, 1.0), (4, None, 9.0, 5.0, 1.0)]
+    t = growing.grow(spark.createDataFrame(rows, schema), ["u", "v"], "y", "_w", 0.0, key="k")[0]
+    assert t.feature.tolist() == [0, -1, -1] and t.threshold[0] == 2.0 and t.weight.tolist() == [4, 2, 2]
+    assert len(growing.grow(spark.createDataFrame(rows[:2], schema), ["u", "v"], "y", "_w", 0.0)[0].parent) == 1
+    assert len(growing.grow(spark.createDataFrame([], schema), ["u", "v"], "y", "_w", 0.0)[0].parent) == 1
+
+
+@pytest.mark.parametrize("family", ["DecisionTreeClassifier", "RandomForestClassifier"])
+def test_pruned_fit_grows_no_more_than_it_keeps(spark, family, monkeypatch):
+    data, grown, grow = noisy(spark), [], growing.grow
+    monkeypatch.setattr(growing, "grow", lambda *a: grown.extend(grow(*a)) or grown)
+    learn.fit_model(family, {"ccp_alpha": 0.01, "numTrees": 3}, data, FEATURES, "y", key="k")
+    assert len(grown) == (3 if family == "RandomForestClassifier" else 1)
+    assert all((t.impurity * t.weight / t.weight[0])[t.feature >= 0].min() > 0.01 for t in grown)
