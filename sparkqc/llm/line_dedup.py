@@ -13,7 +13,7 @@ words or more that stands at an earlier place too (smaller id, or further up in
 5. Deletion: of equal runs the first place stays; the lines of all later ones go, wherever in a hot passage they stand.
 
 Runs are compared by 128 bits of hash, each with its first place only (a partial aggregate), so a passage
-in a third of all documents gives no pairs. A task holds the line hashes of one document, never a group of documents.
+in a third of all documents gives no pairs. All joins are merge joins, at every size: none of their sides is bounded, and the disk they take grows as the input does. A task holds the line hashes of one document, never a group of documents.
 
 Defined results: a null text stays null with 0 lines; an empty text has one empty line. A line without words
 goes with the line before it. A document that loses all its lines has an empty text. Rows with equal id and
@@ -76,8 +76,8 @@ def deletions(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id
     lines = staged(fingerprints(line_table(docs, id_col, text_col), min_words), "line-grams")
     seeds = lines.where("chosen").groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("gram")
     # the gram of an equal run is a fingerprint at both places, so seeds are marked on chosen lines only
-    seeded = lines.where("chosen").join(seeds, "gram", "left_semi").select("id", "key").distinct()
-    near = lines.join(seeded.withColumnsRenamed({"id": "_id", "key": "_key"}), F.col("id").eqNullSafe(F.col("_id")) & (F.col("key") == F.col("_key")), "left_semi")
+    seeded = lines.where("chosen").join(seeds.hint("merge"), "gram", "left_semi").select("id", "key").distinct()
+    near = lines.join(seeded.withColumnsRenamed({"id": "_id", "key": "_key"}).hint("merge"), F.col("id").eqNullSafe(F.col("_id")) & (F.col("key") == F.col("_key")), "left_semi")
     runs = []
     for kind, window in enumerate((_from_here(min_words), _up_to_here(min_words))):
         h1, h2 = _hash_of(window)
@@ -89,7 +89,7 @@ def deletions(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id
     every = staged(every, "line-runs")
     place = F.struct("id", "start", "key")
     firsts = every.groupBy("kind", "h1", "h2").agg(F.min(place).alias("place"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    later = every.join(firsts, ["kind", "h1", "h2"]).where(~place.eqNullSafe(F.col("place"))).select("id", "key", "start", "end")
+    later = every.join(firsts.hint("merge"), ["kind", "h1", "h2"]).where(~place.eqNullSafe(F.col("place"))).select("id", "key", "start", "end")
     # a line goes if a run that starts at it or before reaches it
     marks = later.groupBy("id", "key", F.col("start").alias("pos")).agg(F.max("end").alias("reach"))
     marked = lines.select("id", "key", "pos").withColumn("reach", F.lit(None).cast("int")).unionByName(marks.withColumn("reach", F.col("reach").cast("int")))
@@ -106,7 +106,7 @@ def deletions(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id
 def clean_lines(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with texts without their later repeated runs, and ``n_lines`` and ``n_deleted``; columns of these names are replaced."""
     found = deletions(docs, min_words, id_col, text_col).withColumnsRenamed({"id": "_ld_id", "key": "_ld_key", "lines": "_ld_lines"})
-    rows = docs.join(found, F.col(id_col).eqNullSafe(F.col("_ld_id")) & (F.xxhash64(F.col(text_col)) == F.col("_ld_key")), "left")
+    rows = docs.join(found.hint("merge"), F.col(id_col).eqNullSafe(F.col("_ld_id")) & (F.xxhash64(F.col(text_col)) == F.col("_ld_key")), "left")
     parts = F.split(F.col(text_col), "\n", -1)
     # each judged line reaches to the next one, so lines without words go with the line before; those at the top stay
     judged = F.col("_ld_lines")

@@ -101,3 +101,10 @@ def test_winnowing_keeps_few_grams_and_one_for_every_repeat(spark, docs):
 def test_no_python_on_the_main_path(spark, docs):
     plan = ld.dedup_lines(docs([(1, "a")]))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_small_tables_are_joined_as_large_ones_are(spark, docs, monkeypatch):
+    plans, staged = [], ld.staged
+    monkeypatch.setattr(ld, "staged", lambda df, name: plans.append(df._jdf.queryExecution().sparkPlan().toString()) or staged(df, name))
+    plans.append(ld.dedup_lines(docs([(1, "a b c\nd e f"), (2, "a b c\nd e f")]), 4)._jdf.queryExecution().sparkPlan().toString())
+    assert sum(p.count("SortMergeJoin") for p in plans) >= 4 and "BroadcastHashJoin" not in "".join(plans)
