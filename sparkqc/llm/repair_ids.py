@@ -2,8 +2,8 @@
 
 Documents are range-dealt by id and sorted, encoded with a public tokenizer (an end id closes each document) and
 packed into shards of about ``shard_ids`` ids. In each shard frequent pairs of symbols become nonterminals, again and
-again: a round counts the pairs, gives the most frequent a rule each, and replaces the places that no better pair
-overlaps. No rule crosses the end of a document, so a document is a run of symbols and can be decoded alone; the expansion
+again: a round counts all pairs, gives the most frequent a rule each, and replaces the places that no better pair
+overlaps, until no pair within documents stands ``MIN_PAIRS`` times. No rule crosses the end of a document, so a document is a run of symbols and can be decoded alone; the expansion
 lengths of the rules give the place of every id without decoding.
 
 A shard is one binary value: a header of six unsigned 64-bit integers (version, documents, ids, rules, symbols, first new symbol), then little-endian
@@ -37,8 +37,8 @@ from sparkqc.session import ensure_checkpoint_dir
 
 END = 1
 SHARD_IDS = 1_000_000
-ROUNDS = 6
-RULES_PER_ROUND = 512
+ROUNDS = None  # until no pair is frequent
+RULES_PER_ROUND = 4096  # the others come in the rounds after it
 MIN_PAIRS = 12
 CACHED_WORDS = 600_000
 _BUCKETS = 18
@@ -123,31 +123,45 @@ def _encoder(key: str, definition: str) -> WordEncoder:
 
 # ---- grammar ---------------------------------------------------------------------------------------------------
 
-def _frequent_pairs(keys: np.ndarray, most: int, least: int) -> tuple[np.ndarray, np.ndarray]:
-    """Frequent pairs, the most frequent first, and for every place the rank of its pair (or a large number).
+def _frequent_pairs(keys: np.ndarray, most: int | None, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs that stand ``least`` times or more, the most frequent first, and for every place the rank of its pair (or a large number).
 
-    Pairs are counted by bucket; of the pairs that share a bucket the first in the shard stands for it and is counted exactly.
+    Pairs are counted by bucket; of the pairs that share a bucket the first in the shard stands for it. The others are counted by sorting,
+    where so many of them share a bucket that one can be frequent. All counts are exact.
     """
+    never = np.iinfo(np.int32).max
     bucket = ((keys * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - _BUCKETS)).astype(np.int32)
     stands = np.zeros(1 << _BUCKETS, np.uint64)
     stands[bucket[::-1]] = keys[::-1]
     own = stands[bucket] == keys
     counts = np.bincount(bucket[own], minlength=1 << _BUCKETS)
-    best = np.flatnonzero(counts >= least)
-    best = best[np.lexsort((stands[best], -counts[best]))][:most]
-    rank = np.full(1 << _BUCKETS, np.iinfo(np.int32).max, np.int32)
+    rest = np.flatnonzero(~own)
+    rest = rest[np.bincount(bucket[rest], minlength=1 << _BUCKETS)[bucket[rest]] >= least]
+    others, which, n_others = np.unique(keys[rest], return_inverse=True, return_counts=True)
+    at = np.flatnonzero(counts >= least)
+    pairs, n = np.concatenate([stands[at], others]), np.concatenate([counts[at], n_others])
+    best = np.flatnonzero(n >= least)
+    best = best[np.lexsort((pairs[best], -n[best]))][:most]
+    rank = np.full(len(pairs), never, np.int32)
     rank[best] = np.arange(len(best), dtype=np.int32)
-    return stands[best], np.where(own, rank[bucket], np.iinfo(np.int32).max)
+    by_bucket = np.full(1 << _BUCKETS, never, np.int32)
+    by_bucket[at] = rank[:len(at)]
+    ranks = np.where(own, by_bucket[bucket], never)
+    ranks[rest] = rank[len(at):][which]
+    return pairs[best], ranks
+
 
+def compress(ids: np.ndarray, ends: np.ndarray, rounds: int | None = ROUNDS, most: int | None = RULES_PER_ROUND, least: int = MIN_PAIRS) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+    """(symbols, marks of the last symbol of each document, rules as pairs, first new symbol).
 
-def compress(ids: np.ndarray, ends: np.ndarray, rounds: int = ROUNDS, most: int = RULES_PER_ROUND, least: int = MIN_PAIRS) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
-    """(symbols, marks of the last symbol of each document, rules as pairs, first new symbol)."""
+    Without ``rounds`` it goes on until no pair stands ``least`` times; every round makes a rule, so it ends.
+    """
     symbols, last = ids.astype(np.uint32), ends.copy()
     first = int(symbols.max(initial=0)) + 1
     rules: list[np.ndarray] = []
     new = first
     never = np.iinfo(np.int32).max
-    for _ in range(rounds):
+    while rounds is None or len(rules) < rounds:
         if len(symbols) < 2:
             break
         keys = (symbols[:-1].astype(np.uint64) << np.uint64(32)) | symbols[1:]
@@ -158,8 +172,15 @@ def compress(ids: np.ndarray, ends: np.ndarray, rounds: int = ROUNDS, most: int
         rank = np.full(len(symbols) + 1, never, np.int32)  # rank[i + 1]: of the pair that starts at i
         rank[inside + 1] = ranks
         here, before, after = rank[1:-1], rank[:-2], rank[2:]
-        at = np.flatnonzero((here < before) & (here <= after) & (here < never))
-        used, which = np.unique(here[at], return_inverse=True)
+        at = np.flatnonzero((here <= before) & (here <= after) & (here < never))
+        # neighbours of one rank are a run of one symbol: every second place of it
+        inner = np.flatnonzero(here[at] == before[at])
+        if len(inner):
+            begins = np.flatnonzero(here != before)
+            odd = (at[inner] - begins[np.searchsorted(begins, at[inner], side="right") - 1]) % 2 == 1
+            at = np.delete(at, inner[odd])
+        taken = np.bincount(here[at], minlength=len(pairs)) > 0
+        used, which = np.flatnonzero(taken), (np.cumsum(taken) - 1)[here[at]]
         symbols[at] = new + which.astype(np.uint32)
         last[at] = last[at + 1]
         keep = np.ones(len(symbols), bool)

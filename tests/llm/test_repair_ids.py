@@ -98,3 +98,40 @@ def test_query_matches_the_library(spark, tokenizer):
         ids = whole(tokenizer, t)
         assert (got[d].start, got[d].n_tokens, got[d].ids_crc32) == (start, len(ids), crc(ids))
         start += len(ids)
+
+
+def frequent_left(symbols, last, least):
+    keys = (symbols[:-1].astype(np.uint64) << np.uint64(32)) | symbols[1:]
+    return int((np.unique(keys[~last[:-1]], return_counts=True)[1] >= least).sum())
+
+
+@pytest.mark.parametrize("kind", ["zipf", "runs", "uniform"])
+def test_no_frequent_pair_is_left_without_a_rule(kind):
+    rng = np.random.default_rng(8)
+    n = 60_000
+    ids = {"zipf": np.minimum(rng.zipf(1.3, n), 40_000), "uniform": rng.integers(0, 60, n), "runs": np.repeat(rng.integers(0, 9, n // 600), 600)}[kind].astype(np.uint32)
+    ends = rng.random(len(ids)) < 0.01
+    ends[-1] = True
+    symbols, last, rules, first = rp.compress(ids, ends)
+    assert frequent_left(symbols, last, rp.MIN_PAIRS) == 0
+    spelled = [np.array([i], np.uint32) for i in range(first)]
+    for a, b in rules.tolist():
+        spelled.append(np.concatenate([spelled[a], spelled[b]]))
+    assert (np.concatenate([spelled[s] for s in symbols]) == ids).all()
+    lengths = np.array([len(spelled[s]) for s in symbols])
+    assert (np.flatnonzero(ends) == np.cumsum(lengths)[last] - 1).all()
+
+
+def test_pairs_that_share_a_bucket_are_all_counted(monkeypatch):
+    monkeypatch.setattr(rp, "_BUCKETS", 2)  # four buckets for fifty pairs
+    keys = np.repeat(np.arange(50, dtype=np.uint64) << np.uint64(32), np.arange(1, 51))
+    pairs, ranks = rp._frequent_pairs(keys, None, 12)
+    assert (pairs >> np.uint64(32)).tolist() == list(range(49, 10, -1))
+    assert all((pairs[r] == k) if r < len(pairs) else (k >> np.uint64(32)) < 11 for k, r in zip(keys, ranks))
+
+
+def test_a_long_run_of_one_id_takes_few_rounds():
+    ids, ends = np.full(1 << 16, 7, np.uint32), np.zeros(1 << 16, bool)
+    ends[-1] = True
+    symbols, _, rules, _ = rp.compress(ids, ends)
+    assert len(symbols) <= rp.MIN_PAIRS and len(rules) <= 16
