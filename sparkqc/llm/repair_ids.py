@@ -126,11 +126,15 @@ def _encoder(key: str, definition: str) -> WordEncoder:
 def _frequent_pairs(keys: np.ndarray, most: int | None, least: int) -> tuple[np.ndarray, np.ndarray]:
     """Pairs that stand ``least`` times or more, the most frequent first, and for every place the rank of its pair (or a large number).
 
-    Pairs are counted by bucket; of the pairs that share a bucket the first in the shard stands for it. The others are counted by sorting,
-    where so many of them share a bucket that one can be frequent. All counts are exact.
+    Places whose bucket holds fewer than ``least`` are left out at once. The other pairs are counted by bucket; of the pairs that share a bucket
+    the first in the shard stands for it. The others are counted by sorting, where so many of them share a bucket that one can be frequent. All counts are exact.
     """
     never = np.iinfo(np.int32).max
-    bucket = ((keys * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - _BUCKETS)).astype(np.int32)
+    ranks = np.full(len(keys), never, np.int32)
+    bucket = ((keys * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - _BUCKETS)).view(np.int64)
+    crowded = np.bincount(bucket, minlength=1 << _BUCKETS) >= least
+    may = np.flatnonzero(crowded[bucket])
+    keys, bucket = keys[may], bucket[may]
     stands = np.zeros(1 << _BUCKETS, np.uint64)
     stands[bucket[::-1]] = keys[::-1]
     own = stands[bucket] == keys
@@ -146,8 +150,9 @@ def _frequent_pairs(keys: np.ndarray, most: int | None, least: int) -> tuple[np.
     rank[best] = np.arange(len(best), dtype=np.int32)
     by_bucket = np.full(1 << _BUCKETS, never, np.int32)
     by_bucket[at] = rank[:len(at)]
-    ranks = np.where(own, by_bucket[bucket], never)
-    ranks[rest] = rank[len(at):][which]
+    found = np.where(own, by_bucket[bucket], never)
+    found[rest] = rank[len(at):][which]
+    ranks[may] = found
     return pairs[best], ranks
 
 
@@ -161,31 +166,39 @@ def compress(ids: np.ndarray, ends: np.ndarray, rounds: int | None = ROUNDS, mos
     rules: list[np.ndarray] = []
     new = first
     never = np.iinfo(np.int32).max
+    open_ = ~last  # places whose pair may be frequent: pairs only grow rarer, but for those with a new symbol
+    open_[-1:] = False
     while rounds is None or len(rules) < rounds:
-        if len(symbols) < 2:
-            break
-        keys = (symbols[:-1].astype(np.uint64) << np.uint64(32)) | symbols[1:]
-        inside = np.flatnonzero(~last[:-1])
-        pairs, ranks = _frequent_pairs(keys[inside], most, least)
+        at = np.flatnonzero(open_)
+        pairs, ranks = _frequent_pairs((symbols[at].astype(np.uint64) << np.uint64(32)) | symbols[at + 1], None, least)
         if not len(pairs):
             break
+        open_[at] = ranks < never
+        pairs = pairs[:most]
+        now = np.flatnonzero(ranks < len(pairs))
+        at, here = at[now], ranks[now]
         rank = np.full(len(symbols) + 1, never, np.int32)  # rank[i + 1]: of the pair that starts at i
-        rank[inside + 1] = ranks
-        here, before, after = rank[1:-1], rank[:-2], rank[2:]
-        at = np.flatnonzero((here <= before) & (here <= after) & (here < never))
+        rank[at + 1] = here
+        before, after = rank[at], rank[at + 2]
+        best = (here <= before) & (here <= after)
+        begins = at[here != before]
         # neighbours of one rank are a run of one symbol: every second place of it
-        inner = np.flatnonzero(here[at] == before[at])
+        inner = np.flatnonzero(best & (here == before))
         if len(inner):
-            begins = np.flatnonzero(here != before)
-            odd = (at[inner] - begins[np.searchsorted(begins, at[inner], side="right") - 1]) % 2 == 1
-            at = np.delete(at, inner[odd])
-        taken = np.bincount(here[at], minlength=len(pairs)) > 0
-        used, which = np.flatnonzero(taken), (np.cumsum(taken) - 1)[here[at]]
+            best[inner[(at[inner] - begins[np.searchsorted(begins, at[inner], side="right") - 1]) % 2 == 1]] = False
+        at, here = at[best], here[best]
+        taken = np.bincount(here, minlength=len(pairs)) > 0
+        used, which = np.flatnonzero(taken), (np.cumsum(taken) - 1)[here]
         symbols[at] = new + which.astype(np.uint32)
         last[at] = last[at + 1]
-        keep = np.ones(len(symbols), bool)
-        keep[at + 1] = False
-        symbols, last = symbols[keep], last[keep]
+        open_[at] = True
+        open_[at[at > 0] - 1] = True
+        kept = np.ones(len(symbols), bool)
+        kept[at + 1] = False
+        stay = np.flatnonzero(kept)
+        symbols, last = symbols[stay], last[stay]
+        open_ = open_[stay] & ~last
+        open_[-1:] = False
         rules.append(np.stack([pairs[used] >> np.uint64(32), pairs[used] & np.uint64(0xFFFFFFFF)], 1).astype(np.uint32))
         new += len(used)
     return symbols, last, np.concatenate(rules) if rules else np.zeros((0, 2), np.uint32), first

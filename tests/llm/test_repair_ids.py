@@ -135,3 +135,15 @@ def test_a_long_run_of_one_id_takes_few_rounds():
     ends[-1] = True
     symbols, _, rules, _ = rp.compress(ids, ends)
     assert len(symbols) <= rp.MIN_PAIRS and len(rules) <= 16
+
+
+def test_rounds_count_only_what_can_be_frequent(monkeypatch):
+    rng = np.random.default_rng(3)
+    ids = np.minimum(rng.zipf(1.3, 60_000), 40_000).astype(np.uint32)
+    ends = rng.random(len(ids)) < 0.01
+    ends[-1] = True
+    looked, count = [], rp._frequent_pairs
+    monkeypatch.setattr(rp, "_frequent_pairs", lambda keys, *a: looked.append(len(keys)) or count(keys, *a))
+    symbols, last, _, _ = rp.compress(ids, ends)
+    assert len(looked) > 2 and looked[0] == (~ends).sum() and looked[-1] < len(symbols) / 10
+    assert frequent_left(symbols, last, rp.MIN_PAIRS) == 0
