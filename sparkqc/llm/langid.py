@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sparkqc.llm.common import staged, texts_of
+from sparkqc.llm.common import kept, staged, texts_of
 
 UNDETERMINED = "und"
 DOCS_PER_LANG = 1500
@@ -184,26 +184,15 @@ class Scorer:
         return self.model.langs[best], float(1.0 / np.exp(total - total[best]).sum())
 
 
-_KEPT: dict[str, Scorer] = {}
-
-
-def _scorer(key: str, model: LanguageModel) -> Scorer:
-    """The scorer of this Python worker: its table of words outlives a task."""
-    if key not in _KEPT:
-        _KEPT.clear()
-        _KEPT[key] = Scorer(model)
-    return _KEPT[key]
-
-
 def annotate(docs: DataFrame, model: LanguageModel, text_col: str = "text", pred_col: str = "lang_pred", score_col: str = "score") -> DataFrame:
     """``docs`` with the prediction and its score in two more columns; columns of these names are replaced."""
     shared, key = docs.sparkSession.sparkContext.broadcast(model), uuid.uuid4().hex
     rows = docs.drop(pred_col, score_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = _scorer(key, shared.value)
+        scorer = kept(key, lambda: Scorer(shared.value))
         for batch in batches:
-            found = [scorer.predict(t) for t in texts_of(batch.column(text_col))]
+            found = [scorer.predict(t) for at in range(0, batch.num_rows, 1000) for t in texts_of(batch.column(text_col).slice(at, 1000))]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())],
                 names=[*batch.schema.names, pred_col, score_col])

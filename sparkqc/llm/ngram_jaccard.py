@@ -34,10 +34,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkqc.llm.common import U64, forget, list_array, mix64, staged, texts_of
+from sparkqc.llm.common import U64, forget, let_go, list_array, mix64, staged, texts_of
 from sparkqc.llm.components import components
 
-SEGMENT = 4 << 20
+SEGMENT = 1 << 19  # a word of eight bytes and its powers for each byte: what a worker keeps and needs at a time grows with it
 SKETCH_BITS = 512
 BAND_RATIO = 1.4
 BLOCK = 512  # documents of a bucket that one task compares with as many others
@@ -75,7 +75,7 @@ class Similarity:
 # ---- shingles --------------------------------------------------------------------------------------------------
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    size = 1 << max(16, n.bit_length())
+    size = 1 << max(16, (n - 1).bit_length())
     if size not in _POWERS:
         _POWERS.clear()
         up, down = np.full(size, _BASE, U64), np.full(size, pow(_BASE, -1, 1 << 64), U64)
@@ -198,6 +198,7 @@ def _bands_for(bands: list[int], n: int, sim: Similarity) -> list[int]:
 def sketches(docs: DataFrame, sim: Similarity, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(id, n, s1, s2, sketch, least)``: set size, a 128-bit name of the set, parity bits and smallest join keys."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         bands = sim.bands(1024)
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
@@ -220,6 +221,7 @@ def sketches(docs: DataFrame, sim: Similarity, id_col: str = "doc_id", text_col:
 def join_keys(docs: DataFrame, sim: Similarity, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(key, id)``: the join keys of every set. A copy of a set that its task has met before has none: a combiner on the map side."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         seen: set[bytes] = set()
         bands = sim.bands(1024)
         for batch in batches:

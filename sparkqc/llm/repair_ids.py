@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkqc.llm.common import texts_of
+from sparkqc.llm.common import kept, texts_of
 from sparkqc.operators.ranking import cumulative_sums
 from sparkqc.session import ensure_checkpoint_dir
 
@@ -110,17 +110,6 @@ class WordEncoder(dict):
         return [b"".join(map(self.__getitem__, t.replace("\n", " ").split(" "))) if t else b"" for t in texts]
 
 
-_KEPT: dict[str, WordEncoder] = {}
-
-
-def _encoder(key: str, definition: str) -> WordEncoder:
-    """The encoder of this Python worker: its table of words outlives a task."""
-    if key not in _KEPT:
-        _KEPT.clear()
-        _KEPT[key] = WordEncoder(definition)
-    return _KEPT[key]
-
-
 # ---- grammar ---------------------------------------------------------------------------------------------------
 
 def _frequent_pairs(keys: np.ndarray, most: int | None, least: int) -> tuple[np.ndarray, np.ndarray]:
@@ -298,7 +287,7 @@ def write_ids(docs: DataFrame, tokenizer_file: str, path: str, shard_ids: int =
     close = int(end).to_bytes(4, "little")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part, seq = _encoder(key, shared.value), TaskContext.get().partitionId(), 0
+        encoder, part, seq = kept(key, lambda: WordEncoder(shared.value)), TaskContext.get().partitionId(), 0
         ids: list[int | None] = []
         coded: list[bytes] = []
         held = 0

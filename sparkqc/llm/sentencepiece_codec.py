@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkqc.llm.common import list_array, texts_of
+from sparkqc.llm.common import kept, list_array, texts_of
 
 SPACE = "▁"
 LITERAL = "\ud800"  # stands for a literal U+2581 while encoding; no UTF-8 text holds it
@@ -179,23 +179,12 @@ class Codec:
         return b"".join([spelled[i] for i in ids.tolist()])[1:].decode("utf-8", "replace")
 
 
-_KEPT: dict[str, Codec] = {}
-
-
-def _codec(key: str, pieces: Pieces) -> Codec:
-    """The codec of this Python worker: its table of words outlives a task."""
-    if key not in _KEPT:
-        _KEPT.clear()
-        _KEPT[key] = Codec(pieces)
-    return _KEPT[key]
-
-
 def encode(docs: DataFrame, pieces: Pieces, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: the id, ``ids`` and ``decoded``: whether decoding them gives the text again."""
     shared, key = docs.sparkSession.sparkContext.broadcast(pieces), uuid.uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = _codec(key, shared.value)
+        codec = kept(key, lambda: Codec(shared.value))
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 part = batch.slice(at, 500)
@@ -216,7 +205,7 @@ def decode(encoded: DataFrame, pieces: Pieces, id_col: str = "doc_id", ids_col:
     shared, key = encoded.sparkSession.sparkContext.broadcast(pieces), uuid.uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = _codec(key, shared.value)
+        codec = kept(key, lambda: Codec(shared.value))
         for batch in batches:
             texts = [None if x is None else codec.decode(np.array(x, dtype=np.int64)) for x in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=["id", "text"])

@@ -1,6 +1,7 @@
 import itertools
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from sparkqc.llm import ngram_jaccard as nj
@@ -123,3 +124,43 @@ def test_wide_sketches_never_exceed_the_difference():
             if len(b):
                 x, y = nj.wide_sketch(a, sim), nj.wide_sketch(b, sim)
                 assert len(x) >= 64 and nj.sketch_distance(x, y) <= len(np.setxor1d(a, b))
+
+
+def test_long_texts_need_little_memory_in_a_worker():
+    import tracemalloc
+
+    text = "abcdefg " * 750_000
+    nj.shingle_sets([text[:1000]], 3)
+    tracemalloc.start()
+    nj.shingle_sets([text], 3)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 80 << 20 and sum(a.nbytes for pair in nj._POWERS.values() for a in pair) <= 16 << 20
+
+
+def test_a_worker_keeps_one_table_and_near_duplicates_none(spark, docs):
+    from sparkqc.llm import common
+
+    common.let_go()
+    assert common.kept("a", lambda: [1]) is common.kept("a", lambda: [2])
+    assert common.kept("b", lambda: [3]) == [3] and list(common._KEPT) == ["b"]
+    common.let_go()
+    assert not common._KEPT
+
+    def left(batches):
+        from sparkqc.llm.common import _KEPT
+
+        for _ in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([len(_KEPT)])], names=["n"])
+
+    def keep(batches):
+        from sparkqc.llm.common import kept
+
+        for batch in batches:
+            kept("table of words", lambda: [0] * 1000)
+            yield batch
+
+    rows = docs([(i, f"a b c d {i}") for i in range(8)])
+    assert rows.repartition(8).mapInArrow(keep, rows.schema).count() == 8
+    nj.near_duplicates(rows, nj.Similarity()).collect()
+    assert spark.range(64).repartition(64).mapInArrow(left, "n long").agg({"n": "max"}).first()[0] == 0
