@@ -278,3 +278,14 @@ def test_pruned_fit_grows_no_more_than_it_keeps(spark, family, monkeypatch):
     learn.fit_model(family, {"ccp_alpha": 0.01, "numTrees": 3}, data, FEATURES, "y", key="k")
     assert len(grown) == (3 if family == "RandomForestClassifier" else 1)
     assert all((t.impurity * t.weight / t.weight[0])[t.feature >= 0].min() > 0.01 for t in grown)
+
+
+def test_a_pruned_trial_makes_its_rows_once(spark, monkeypatch):
+    df, _, _ = frame(spark, holes=0.0)
+    plans, grow = [], growing.grow
+    monkeypatch.setattr(growing, "grow", lambda d, *a: plans.append(d._jdf.queryExecution().optimizedPlan().toString()) or grow(d, *a))
+    rows = split.stratified_folds(df, "y", "k", 2)  # a join
+    assert "Join" in rows._jdf.queryExecution().optimizedPlan().toString()
+    t = learn.evaluate_trial("DecisionTreeClassifier", {"ccp_alpha": 0.05}, rows, df, FEATURES, "y", k=2, key="k")
+    assert len(plans) == 3 and not any("Join" in p for p in plans)
+    assert all(0 < v <= 1 for v in t.metrics.values())
