@@ -147,3 +147,44 @@ def test_rounds_count_only_what_can_be_frequent(monkeypatch):
     symbols, last, _, _ = rp.compress(ids, ends)
     assert len(looked) > 2 and looked[0] == (~ends).sum() and looked[-1] < len(symbols) / 10
     assert frequent_left(symbols, last, rp.MIN_PAIRS) == 0
+
+
+def test_a_batch_looks_up_each_piece_once(tokenizer, monkeypatch):
+    rng = random.Random(5)
+    bodies = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyzéñü") for _ in range(rng.randint(2, 9))) for _ in range(300)]
+    words = [f(b) + m for b in bodies for f in (str, str.upper, str.capitalize) for m in ("", ".", ",", "!!", "***")]
+    texts = [" ".join(rng.sample(words, 200)) for _ in range(60)]
+    encoder = rp.WordEncoder(open(FILE, encoding="utf-8").read())
+    asked, look_up = [], encoder._piece
+    monkeypatch.setattr(encoder, "_piece", lambda p: asked.append(p) or look_up(p))
+    assert [np.frombuffer(x, "<u4").tolist() for x in encoder.encode(texts)] == [whole(tokenizer, t)[:-1] for t in texts]
+    assert len(asked) <= len(set(bodies)) + 20  # bodies and marks; by words it would be thousands
+
+
+def test_whole_texts_of_odd_words(tokenizer):
+    encoder = rp.WordEncoder(open(FILE, encoding="utf-8").read(), cached=50)
+    rng = random.Random(6)
+    chars = [chr(x) for x in range(32, 256)] + ["'s", "'LL", "the", "Ünd", "...", "?!", "<|endoftext|>", "<|", "|>", "\n", " ", " ", "  ", "́", "日", "ſ", "K", "\x00"]
+    texts = ["".join(rng.choice(chars) for _ in range(rng.randint(0, 40))) for _ in range(4000)]
+    for some in (texts[:3000], texts[3000:], []):
+        assert [np.frombuffer(x, "<u4").tolist() for x in encoder.encode(some)] == [whole(tokenizer, t)[:-1] for t in some]
+
+
+def test_texts_are_encoded_some_megabytes_at_a_time(spark, docs, tokenizer, monkeypatch):
+    monkeypatch.setattr(rp, "TEXT_BYTES", 40)
+    rows = [(i, t) for i, t in enumerate(TEXTS * 2)]
+    got = rp.read_ids(spark, rp.write_ids(docs(rows), FILE, rp.shard_folder(spark))).orderBy("doc_id").collect()
+    assert [(r.n_tokens, r.ids_crc32) for r in got] == [(len(x), crc(x)) for x in (whole(tokenizer, t) for _, t in rows)]
+
+
+def test_pairs_too_wide_for_one_number_are_all_counted():
+    rng = np.random.default_rng(2)
+    small = rng.integers(0, 9, 3000).astype(np.uint32)
+    ends = rng.random(3000) < 0.01
+    ends[-1] = True
+    wide = small.copy()
+    wide[wide == 8] = 3 << 30  # the order of symbols stays
+    symbols, last, rules, first = rp.compress(small, ends)
+    got = rp.compress(wide, ends)
+    back = [np.where(x >= got[3], x.astype(np.int64) - got[3] + first, np.where(x == 3 << 30, 8, x)) for x in (got[0], got[2])]
+    assert (back[0] == symbols).all() and (back[1] == rules).all() and (got[1] == last).all()
