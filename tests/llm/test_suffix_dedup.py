@@ -109,3 +109,25 @@ def test_hot_passage_over_many_shards(spark):
     passage = passages(rng, 70)
     rows = [(i, passages(rng, 60) + passage + passages(rng, 60)) for i in range(150)]
     assert got(spark, rows, 40, shard=2000) == brute(rows, 40)
+
+
+def test_planted_passages_of_over_50_words_go_and_clean_documents_stay(spark):
+    rng = np.random.default_rng(50)
+
+    def text(n):
+        return " ".join("".join(rng.choice(list("abcdefghijklmnop"), int(rng.integers(6, 11)))) for _ in range(n))
+
+    rows, planted = [(i, text(150)) for i in range(80)], {}
+    for p in range(20):  # each passage in two documents, among words of their own
+        passage = text(51 + p)
+        while len(passage) < 400:
+            passage += " " + text(1)
+        for d in (80 + 2 * p, 81 + 2 * p):
+            rows.append((d, f"{text(40)}; {passage}; {text(40)}"))
+            planted[d] = len(passage)
+    short = text(51)[:395]
+    rows += [(200, f"{text(90)} <{short}> {text(90)}"), (201, f"{text(90)} [{short}] {text(90)}")]  # under 400 bytes: no byte goes
+    found = {r[0]: r for r in got(spark, rows, sd.LENGTH)}
+    assert {d for d, r in found.items() if r[2] > 0} == set(planted)
+    assert all(found[d][2] >= n and found[d][3] == 1 for d, n in planted.items())
+    assert all(found[d][1] == len(t.encode()) for d, t in rows)  # n_bytes is the size of the input, whatever goes
